@@ -39,7 +39,7 @@ def split_frontmatter(text: Column) -> Column:
 
 def split_chunks(text: Column) -> Column:
     """Non-blank chunks between lines that hold only ``---``."""
-    chunks = F.split(text, r"(?m)^[ \t]*---[ \t\r]*$\n?")
+    chunks = F.split(text, r"(?md)^[ \t]*---[ \t\r]*$\n?")
     return F.filter(chunks, lambda c: ~c.rlike(r"\A\s*\z"))
 
 

@@ -26,12 +26,20 @@ def with_row_index(df: DataFrame, order_by=READING_ORDER) -> DataFrame:
     """Number rows 0, 1, 2 … in the given order, without one task seeing all of them.
 
     The order is made by range partitioning, so a source that holds a third of all rows
-    is still cut into equal parts. Each row then has a place inside its partition; a
-    partition's start is the sum of the counts before it. The sorted rows are staged once,
-    because both passes must see the same partitions. ``order_by`` should name a unique
-    key: rows that tie are numbered in any order.
+    is still cut into equal parts. ``order_by`` should name a unique key: rows that tie
+    are numbered in any order.
     """
-    placed = stage(df.orderBy(*_columns(order_by)).withColumn("_place", F.monotonically_increasing_id()), "row-index")
+    return number_sorted(df.orderBy(*_columns(order_by)))
+
+
+def number_sorted(df: DataFrame) -> DataFrame:
+    """Number the rows of a sorted DataFrame in their order.
+
+    Each row has a place inside its partition; a partition starts at the sum of the counts
+    before it. The sorted rows are staged once, because both passes must see the same
+    partitions.
+    """
+    placed = stage(df.withColumn("_place", F.monotonically_increasing_id()), "row-index")
     part = F.shiftright("_place", _ROW_BITS)
     # One row per partition of the sort, however many rows there are: small enough for one
     # window and for a broadcast.

@@ -47,9 +47,12 @@ def read_csv_docs(spark: SparkSession, path: str, multi_line: bool | None = None
         .csv(path)
     )
     values = {n: F.coalesce(F.col(f"`{c}`"), F.lit("")) for n, c in zip(names, columns)}
+    # Spark refuses to read the corrupt-record column on its own, so the rule also names a
+    # data column, in a condition that always holds.
+    read_too = F.length(F.concat_ws("", F.col(f"`{columns[0]}`"))) >= 0
     placed = rows.select(
         row_to_json(values).alias("doc"),
-        F.when(F.col(_CORRUPT).isNotNull(), "row length differs from header").alias("error"),
+        F.when(F.col(_CORRUPT).isNotNull() & read_too, "row length differs from header").alias("error"),
         plain_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("pos"),

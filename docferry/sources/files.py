@@ -44,7 +44,7 @@ def _is(suffixes: list[str]) -> Column:
 
 def _whole_files(spark: SparkSession, values: list[str], keep: Column) -> DataFrame:
     """``text``, ``path`` and ``suffix`` of whole files."""
-    return scan(spark, values, keep, wholetext="true").select(
+    return scan(spark, values, keep, wholetext=True).select(
         F.col("value").alias("text"),
         plain_path(F.col("_metadata.file_path")).alias("path"),
         _suffix().alias("suffix"),
@@ -122,11 +122,7 @@ def read_json_files(spark: SparkSession, *values: str, metadata: bool = False) -
 def read_jsonl_files(spark: SparkSession, *values: str, metadata: bool = False) -> DataFrame:
     """One JSON object per line; blank lines are skipped. Large files are split."""
     lines = scan(spark, list(values), lineSep="\n")
-    return _with_metadata(line_documents(lines.where(_not_blank())), metadata)
-
-
-def _not_blank() -> Column:
-    return ~F.col("value").rlike(r"\A\s*\z")
+    return _with_metadata(line_documents(lines, skip_blank=True), metadata)
 
 
 def read_text_files(spark: SparkSession, *values: str, field: str = "body", metadata: bool = False) -> DataFrame:
@@ -169,7 +165,7 @@ def read_file_documents(
     n_files = check_inputs(spark, values)
     metadata = n_files > 1 if metadata is None else metadata
 
-    lines = line_documents(scan(spark, values, _is(LINE_SUFFIXES), lineSep="\n").where(_not_blank()))
+    lines = line_documents(scan(spark, values, _is(LINE_SUFFIXES), lineSep="\n"), skip_blank=True)
 
     structured = _whole_files(spark, values, _is(WHOLE_SUFFIXES))
     suffix, text = F.col("suffix"), F.col("text")

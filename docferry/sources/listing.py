@@ -57,14 +57,13 @@ def named_by(path: Column, values: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [matches(path, v) for v in values])
 
 
-def scan(spark: SparkSession, values: list[str], keep: Column | None = None, **options) -> DataFrame:
+def scan(spark: SparkSession, values: list[str], keep: Column | None = None, **text_options) -> DataFrame:
     """Text scan over exactly the files the inputs name.
 
     The conditions use file metadata only, so Spark applies them to the file listing and
     never opens the other files. Recursive lookup makes overlapping inputs count once.
     """
-    reader = spark.read.option("recursiveFileLookup", "true").options(**options)
-    text = reader.text([scan_root(v) for v in values])
+    text = spark.read.text([scan_root(v) for v in values], recursiveFileLookup=True, **text_options)
     condition = named_by(plain_path(F.col(FILE_PATH)), values)
     return text.where(condition if keep is None else condition & keep)
 
