@@ -28,7 +28,7 @@ EVENT_DOC = """'{"event_id":' || event_id || ',"event_type":"' || event_type ||
 
 def bodies(line: str, table: str, key: str, size: int = 500) -> str:
     return f"""
-SELECT batch_id, count(*) AS n_docs, octet_length(encode(body)) AS n_bytes, md5(body) AS body_md5
+SELECT batch_id, count(*) AS n_docs, CAST(octet_length(encode(body)) AS INTEGER) AS n_bytes, md5(body) AS body_md5
 FROM (SELECT batch_id, unnest(l) AS x, body FROM (
     SELECT batch_id, list(line) AS l, string_agg(line, '' ORDER BY key) AS body
     FROM (SELECT {key} AS key, {line} AS line, (row_number() OVER (ORDER BY {key}) - 1) // {size} AS batch_id FROM {table})
@@ -94,7 +94,7 @@ FROM documents""",
     "content_conflict": "SELECT doc_id, doc_id % 3 = 0 AS conflict FROM documents",
     "split_documents": f"""
 SELECT doc_id, idx, md5(chunk) AS chunk_md5 FROM (
-    SELECT doc_id, unnest(range(1, len(chunks) + 1)) AS idx, unnest(chunks) AS chunk FROM (
+    SELECT doc_id, CAST(unnest(range(1, len(chunks) + 1)) AS INTEGER) AS idx, unnest(chunks) AS chunk FROM (
         SELECT doc_id, list_filter(string_split_regex(whole, '(?m)^[ \\t]*---[ \\t\\r]*$\\n?'),
             lambda x: NOT regexp_full_match(x, '\\s*')) AS chunks
         FROM (SELECT doc_id, '---' || {LF} || source || {LF} || '---' || {LF} || text || {LF} || ' --- ' || {LF}

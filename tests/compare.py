@@ -27,6 +27,18 @@ def table_of(names, rows):
     return [names[i] for i in order], sorted(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
+TYPES = {
+    "BIGINT": "bigint", "INTEGER": "int", "VARCHAR": "string", "DOUBLE": "double", "BOOLEAN": "boolean", "DATE": "date",
+    "HUGEINT": "decimal(38,0)",
+}
+
+
+def type_difference(df, con, sql):
+    found = {d[0]: str(d[1]) for d in con.execute(f"DESCRIBE {sql}").fetchall()}
+    have = {f.name: f.dataType.simpleString() for f in df.schema}
+    return {k: (have.get(k), v) for k, v in found.items() if have.get(k) != TYPES.get(v, v)}
+
+
 def difference(df, con, sql):
     """None when equal, else a short text."""
     found = con.execute(sql)

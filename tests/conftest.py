@@ -1,7 +1,15 @@
+import os
+import sys
+
 import pytest
 from pyspark.sql import SparkSession
 
-from docferry.session import configure
+from docferry.session import configure  # noqa: E402
+
+# Python workers import the package and the test helpers from here.
+HERE = os.path.dirname(os.path.abspath(__file__))
+os.environ["PYTHONPATH"] = os.pathsep.join([os.path.dirname(HERE), HERE, os.environ.get("PYTHONPATH", "")])
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 
 @pytest.fixture(scope="session")
