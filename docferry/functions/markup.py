@@ -7,6 +7,13 @@ from pyspark.sql import functions as F
 
 from docferry.functions.json_text import json_string
 
+
+
+def let(value: Column, use) -> Column:
+    """``use(value)``, with the value computed once however often ``use`` names it."""
+    return F.get(F.transform(F.array(value), lambda x: use(x)), F.lit(0))
+
+
 # Number spelling in JSON.
 JSON_NUMBER = r"^-?(0|[1-9][0-9]*)(\.[0-9]+)?([eE][+-]?[0-9]+)?$"
 
@@ -50,6 +57,10 @@ def flat_yaml(text: Column) -> Column:
     to the YAML library (see ``docferry.functions.yaml_udf``).
     """
     lines = F.filter(F.split(text, r"\r?\n"), lambda line: ~line.rlike(r"^\s*$"))
+    return let(lines, _flat_yaml_lines)
+
+
+def _flat_yaml_lines(lines: Column) -> Column:
     # Starts with a letter or digit and holds no YAML punctuation.
     plain = r"^[A-Za-z_][A-Za-z0-9_-]*:[ ]+[A-Za-z0-9]([A-Za-z0-9 _./()-]*[A-Za-z0-9_./()-])?[ ]*$"
     # Spellings another rule of YAML could claim: exponents, leading zeros, other bases, special words.
@@ -70,18 +81,21 @@ def flat_yaml(text: Column) -> Column:
 
     def field(line: Column) -> Column:
         raw = F.trim(F.substr(line, F.length(key(line)) + 2))
-        return F.concat(json_string(key(line)), F.lit(":"), value(raw))
+        return F.concat(json_string(key(line)), F.lit(":"), let(raw, value))
 
-    fields = F.transform(lines, field)
     simple = (
         (F.size(lines) > 0)
         & F.forall(lines, lambda line: line.rlike(plain))
         & F.forall(lines, lambda line: ~key(line).rlike(r"(?i)^(null|true|false)$"))
-        & F.forall(fields, lambda f: f.isNotNull())
         # A repeated key is an error in YAML; the library reports it.
         & (F.size(F.array_distinct(F.transform(lines, key))) == F.size(lines))
     )
-    return F.when(simple, F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}")))
+
+    def joined(fields: Column) -> Column:
+        sure = F.forall(fields, lambda f: f.isNotNull())
+        return F.when(sure, F.concat(F.lit("{"), F.array_join(fields, ","), F.lit("}")))
+
+    return F.when(simple, let(F.transform(lines, field), joined))
 
 
 def _toon_tokens(text: Column) -> Column:
@@ -105,7 +119,9 @@ def _toon_key(raw: Column) -> Column:
 _KEY = r'("(?:[^"\\]|\\.)*"|[^\s:"\[\]{}]+)'
 _TABLE = rf"^{_KEY}\[([0-9]+)\]\{{(.+)\}}:[ ]*$"
 _INLINE = rf"^{_KEY}\[([0-9]+)\]:(?: (.*))?$"
-_SCALAR = rf'^{_KEY}: (.*)$'
+_SCALAR = rf"^{_KEY}: (.*)$"
+# A value that opens a quote must be one whole quoted string.
+_WHOLE_SCALAR = rf'^{_KEY}: (?!\s*").*$|^{_KEY}: "(?:[^"\\]|\\.)*"\s*$'
 
 
 def toon_documents(text: Column) -> Column:
@@ -115,65 +131,79 @@ def toon_documents(text: Column) -> Column:
     ``key: value`` and ``key[n]: a,b`` lines, which give one document.
     """
     lines = F.filter(F.split(text, r"\r?\n"), lambda line: ~line.rlike(r"^\s*$"))
+    return let(lines, _toon_lines)
+
+
+def _toon_lines(lines: Column) -> Column:
     first = F.get(lines, F.lit(0))
     rest = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
+    is_table = first.rlike(_TABLE) & F.forall(rest, lambda line: line.rlike(r"^ {2}\S"))
+    is_flat = F.forall(lines, lambda line: line.rlike(_WHOLE_SCALAR) | line.rlike(_INLINE))
+    other = F.when(first.rlike(r"^\[[0-9]+\]"), "document must be an object").otherwise("unsupported block")
+    return (
+        F.when(is_table, let(rest, lambda rows: _toon_table(first, rows)))
+        .when(is_flat, _toon_flat(lines))
+        .otherwise(_toon_result(None, other))
+    )
 
-    def length(line: Column, pattern: str) -> Column:
-        return F.regexp_extract(line, pattern, 2).cast("bigint")
 
-    fields = F.transform(_toon_tokens(F.regexp_extract(first, _TABLE, 3)), _toon_key)
+def _toon_result(docs: Column | None, error: Column) -> Column:
+    docs = F.array().cast("array<string>") if docs is None else docs
+    return F.struct(docs.alias("docs"), error.cast("string").alias("error"))
 
-    def row(line: Column) -> Column:
-        tokens = _toon_tokens(F.trim(line))
-        pairs = F.zip_with(
-            fields, F.transform(tokens, _toon_value), lambda k, v: F.concat(k, F.lit(":"), v)
-        )
-        return F.when(
-            F.size(tokens) == F.size(fields), F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+
+def _declared(line: Column, pattern: str) -> Column:
+    return F.regexp_extract(line, pattern, 2).cast("bigint")
+
+
+def _toon_table(first: Column, lines: Column) -> Column:
+    """Documents of a table; the lines are those below its header."""
+
+    def row(fields: Column, tokens: Column) -> Column:
+        pairs = F.zip_with(fields, tokens, lambda k, v: F.concat(k, F.lit(":"), _toon_value(v)))
+        joined = F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+        return F.when(F.size(tokens) == F.size(fields), joined)
+
+    def rows_of(fields: Column) -> Column:
+        return F.transform(lines, lambda line: let(_toon_tokens(F.trim(line)), lambda tokens: row(fields, tokens)))
+
+    def result(rows: Column) -> Column:
+        error = (
+            F.when(F.size(rows) == 0, "no rows")
+            .when(F.size(rows) != _declared(first, _TABLE), "declared length differs")
+            .when(F.exists(rows, lambda r: r.isNull()), "row width differs from header")
         )
+        return F.when(error.isNull(), _toon_result(rows, error)).otherwise(_toon_result(None, error))
+
+    header = F.transform(_toon_tokens(F.regexp_extract(first, _TABLE, 3)), _toon_key)
+    return let(let(header, rows_of), result)
 
-    rows = F.transform(rest, row)
-    is_table = first.rlike(_TABLE) & F.forall(rest, lambda line: line.rlike(r"^ {2}\S"))
-    table_error = (
-        F.when(F.size(rest) == 0, "no rows")
-        .when(F.size(rest) != length(first, _TABLE), "declared length differs")
-        .when(F.exists(rows, lambda r: r.isNull()), "row width differs from header")
-    )
+
+def _toon_flat(lines: Column) -> Column:
+    """The one document of a flat block."""
+
+    def listed(line: Column, tokens: Column) -> Column:
+        values = F.concat(F.lit("["), F.array_join(F.transform(tokens, _toon_value), ","), F.lit("]"))
+        return F.when(F.size(tokens) == _declared(line, _INLINE), values)
+
+    def value(line: Column) -> Column:
+        inline = F.regexp_extract(line, _INLINE, 3)
+        tokens = F.when(inline == "", F.array().cast("array<string>")).otherwise(_toon_tokens(inline))
+        scalar = F.trim(F.regexp_extract(line, _SCALAR, 2))
+        return F.when(line.rlike(_INLINE), let(tokens, lambda t: listed(line, t))).otherwise(let(scalar, _toon_value))
 
     def item(line: Column) -> Column:
-        listed = F.regexp_extract(line, _INLINE, 3)
-        tokens = F.when(listed == "", F.array().cast("array<string>")).otherwise(_toon_tokens(listed))
-        values = F.when(
-            F.size(tokens) == length(line, _INLINE),
-            F.concat(F.lit("["), F.array_join(F.transform(tokens, _toon_value), ","), F.lit("]")),
-        )
-        return F.when(
-            line.rlike(_INLINE),
-            F.concat(_toon_key(F.regexp_extract(line, _INLINE, 1)), F.lit(":"), values),
-        ).otherwise(
-            F.concat(
-                _toon_key(F.regexp_extract(line, _SCALAR, 1)),
-                F.lit(":"),
-                _toon_value(F.trim(F.regexp_extract(line, _SCALAR, 2))),
-            )
+        return F.concat(_toon_key(F.regexp_extract(line, r"^" + _KEY, 1)), F.lit(":"), value(line))
+
+    def result(items: Column) -> Column:
+        first = F.get(lines, F.lit(0))
+        lone = (F.size(lines) == 1) & first.rlike(_INLINE)
+        error = (
+            F.when(F.exists(items, lambda i: i.isNull()), "declared length differs")
+            .when(lone & (_declared(first, _INLINE) == 0), "no rows")
+            .when(lone, "array row must be an object")
         )
+        doc = F.concat(F.lit("{"), F.array_join(items, ","), F.lit("}"))
+        return F.when(error.isNull(), _toon_result(F.array(doc), error)).otherwise(_toon_result(None, error))
 
-    items = F.transform(lines, item)
-    # A value that opens a quote must be one whole quoted string.
-    scalar = rf'^{_KEY}: (?!\s*").*$|^{_KEY}: "(?:[^"\\]|\\.)*"\s*$'
-    is_flat = F.forall(lines, lambda line: line.rlike(scalar) | line.rlike(_INLINE))
-    flat_error = (
-        F.when(F.exists(items, lambda i: i.isNull()), "declared length differs")
-        .when((F.size(lines) == 1) & first.rlike(_INLINE) & (length(first, _INLINE) == 0), "no rows")
-        .when((F.size(lines) == 1) & first.rlike(_INLINE), "array row must be an object")
-    )
-    flat = F.array(F.concat(F.lit("{"), F.array_join(items, ","), F.lit("}")))
-
-    error = (
-        F.when(is_table, table_error)
-        .when(is_flat, flat_error)
-        .when(first.rlike(r"^\[[0-9]+\]"), "document must be an object")
-        .otherwise("unsupported block")
-    )
-    docs = F.when(error.isNotNull(), F.array().cast("array<string>")).when(is_table, rows).otherwise(flat)
-    return F.struct(docs.alias("docs"), error.alias("error"))
+    return let(F.transform(lines, item), result)

@@ -38,10 +38,19 @@ def has_glob(value: str) -> bool:
     return any(c in GLOB_CHARS for c in value)
 
 
+def local_path(uri: Column) -> Column:
+    """A URI without its ``file:`` scheme; other schemes stay."""
+    return (
+        F.when(F.startswith(uri, F.lit("file:///")), F.substr(uri, F.lit(8)))
+        .when(F.startswith(uri, F.lit("file:/")), F.substr(uri, F.lit(6)))
+        .otherwise(uri)
+    )
+
+
 def plain_path(file_path: Column) -> Column:
     """``_metadata.file_path`` as a user would type it: decoded, local scheme removed."""
     decoded = F.url_decode(F.replace(file_path, F.lit("+"), F.lit("%2B")))
-    return F.regexp_replace(decoded, r"^file:(?://)?(?=/)", "")
+    return local_path(F.when(F.contains(file_path, F.lit("%")), decoded).otherwise(file_path))
 
 
 def file_name(path: Column) -> Column:

@@ -24,7 +24,7 @@ except ImportError:  # plain key/value YAML still works without it
 
 
 def _loader():
-    class Core(yaml.SafeLoader):
+    class Core(getattr(yaml, "CSafeLoader", yaml.SafeLoader)):
         yaml_implicit_resolvers = {}
 
     def mapping(loader, node):

@@ -73,14 +73,14 @@ def assign_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, order_by
     ).drop("row_index")
 
 
-def bulk_lines(df: DataFrame, action: str = "create") -> DataFrame:
+def bulk_lines(df: DataFrame, action: str = "create", validated: bool = False) -> DataFrame:
     """Add ``line``: the text of one bulk operation per document.
 
     An update needs a string ``_id`` in each document; rows without one fail the job.
     """
     if action != "update":
         return df.withColumn("line", bulk_line(action, F.col("doc")))
-    split = with_update_id(df)
+    split = with_update_id(df, validated=validated)
     line = bulk_line(action, F.col("doc"), F.col("id"))
     failure = F.raise_error(F.concat(F.lit("update action: "), F.col("error")))
     return split.withColumn("line", F.when(F.col("error").isNull(), line).otherwise(failure)).drop("error")

@@ -17,6 +17,10 @@ def split_documents(df: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
+# How a document looks whose first value is an array.
+_FIRST_IS_ARRAY = r'^\s*\{\s*"(?:[^"\\]|\\.)*"\s*:\s*\['
+
+
 def explode_rows(df: DataFrame, doc: str = "doc") -> DataFrame:
     """A document whose only value is an array becomes one document per element.
 
@@ -24,27 +28,24 @@ def explode_rows(df: DataFrame, doc: str = "doc") -> DataFrame:
     when the array is empty or an element is no object.
     """
     others = [c for c in df.columns if c not in (doc, "error")]
-    earlier = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
-    only = F.get(F.map_values(F.col("_fields")), F.lit(0))
-    is_rows = (F.size("_fields") == 1) & F.startswith(F.schema_of_variant(only), F.lit("ARRAY"))
+    none = F.lit(None).cast("string")
+    earlier = F.col("error") if "error" in df.columns else none
+    # Only documents that begin like a table are parsed.
+    fields = F.when(F.rlike(F.col(doc), F.lit(_FIRST_IS_ARRAY)), json_map(F.col(doc), "array<variant>"))
     elements = F.transform(
-        F.try_variant_get(only, "$", "array<variant>"),
+        F.get(F.map_values("_fields"), F.lit(0)),
         lambda v: F.struct(
             F.to_json(v).alias("doc"),
             F.when(~F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), "array row must be an object").alias("error"),
         ),
     )
-    none = F.lit(None).cast("string")
     whole = F.array(F.struct(F.col(doc).alias("doc"), none.alias("error")))
     empty = F.array(F.struct(F.col(doc).alias("doc"), F.lit("no rows").alias("error")))
-    rows = (
-        F.when(~F.coalesce(is_rows, F.lit(False)), whole)
-        .when(F.size(elements) == 0, empty)
-        .otherwise(elements)
-    )
+    is_rows = F.coalesce(F.size("_fields") == 1, F.lit(False)) & F.get(F.map_values("_fields"), F.lit(0)).isNotNull()
+    rows = F.when(~is_rows, whole).when(F.size(elements) == 0, empty).otherwise(elements)
     # The parsed map is its own column, so the document is parsed once.
     return (
-        df.withColumn("_fields", json_map(F.col(doc)))
+        df.withColumn("_fields", fields)
         .select(*others, earlier.alias("_e"), F.posexplode(rows).alias("row", "_r"))
         .select(*others, "row", F.col("_r.doc").alias(doc), F.coalesce("_e", "_r.error").alias("error"))
     )

@@ -16,12 +16,14 @@ class DocumentError(ValueError):
 
 def line_error(doc: Column) -> Column:
     """Name of the rule a line breaks, null when it is one strict JSON object."""
-    return (
+    which = (
         F.when(~F.is_valid_utf8(doc), "invalid UTF-8")
         .when(trim_json(doc) == "", "blank line")
         .when(~is_json(doc), "invalid JSON")
-        .when(~F.startswith(trim_json(doc), F.lit("{")), "not a JSON object")
+        .otherwise("not a JSON object")
     )
+    # Good documents, nearly all of them, take the cheap check only.
+    return F.when(~(F.is_valid_utf8(doc) & is_json_object(doc)), which)
 
 
 def check_documents(df: DataFrame, doc: str = "doc") -> DataFrame:
@@ -80,17 +82,18 @@ def rejected(df: DataFrame) -> DataFrame:
     return df.where(F.col("error").isNotNull())
 
 
-def with_update_id(df: DataFrame, doc: str = "doc") -> DataFrame:
+def with_update_id(df: DataFrame, doc: str = "doc", validated: bool = False) -> DataFrame:
     """Split ``_id`` off each document for an update.
 
     Adds ``id``, replaces ``doc`` by the rest, and sets ``error`` when the document is no
-    object, has no ``_id``, or its ``_id`` is no string.
+    object, has no ``_id``, or its ``_id`` is no string. ``validated`` says that every
+    document is known to be a JSON object, which saves one parse.
     """
     fields = F.col("_fields")
     id_value = F.try_element_at(fields, F.lit("_id"))
     is_text = F.schema_of_variant(id_value) == "STRING"
     error = (
-        F.when(fields.isNull() | ~is_json_object(F.col(doc)), "not a JSON object")
+        F.when(fields.isNull() if validated else fields.isNull() | ~is_json_object(F.col(doc)), "not a JSON object")
         .when(~F.map_contains_key(fields, "_id"), "_id is missing")
         .when(~is_text, "_id is not a string")
     )

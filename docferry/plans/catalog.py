@@ -499,12 +499,9 @@ def suffix_rules(spark, sf_dir):
 # Files and streams -----------------------------------------------------------------------
 
 
-def _fields(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.get_json_object("doc", "$.event_id").cast("bigint").alias("event_id"),
-        F.get_json_object("doc", "$.event_type").alias("event_type"),
-        F.get_json_object("doc", "$.props").alias("props"),
-    )
+def _fields(docs: DataFrame, *more: str) -> DataFrame:
+    schema = ", ".join(["event_id bigint, event_type string, props string", *more])
+    return docs.select(F.from_json("doc", schema).alias("f")).select("f.*")
 
 
 @query
@@ -539,8 +536,9 @@ def jsonl_files(spark, sf_dir):
     # Every second line is blank.
     event_docs(spark, sf_dir).select(F.concat("doc", F.lit("\n  "))).write.text(path)
     docs = validate.enforce(read_jsonl_files(spark, f"{path}/*.txt", metadata=True))
-    named = F.get_json_object("doc", "$.file.path") == F.concat(F.lit(f"{path}/"), F.get_json_object("doc", "$.file.name"))
-    return _fields(docs.withColumn("named", named).where("named"))
+    fields = _fields(docs, "file struct<path: string, name: string>")
+    named = c("file.path") == text(f"{path}/", c("file.name"))
+    return fields.select("event_id", "event_type", "props", named.alias("named"))
 
 
 @query

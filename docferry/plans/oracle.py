@@ -193,7 +193,7 @@ FROM (SELECT *, page_id % 6 AS k FROM pages)""",
     "ndjson_gz_roundtrip": "SELECT event_id, event_type, props FROM events",
     "csv_file_docs": """
 SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role, md5(text) AS text_md5 FROM conversations""",
-    "jsonl_files": "SELECT event_id, event_type, props FROM events",
+    "jsonl_files": "SELECT event_id, event_type, props, true AS named FROM events",
     "concat_inputs": """
 SELECT kind, count(*) AS n FROM (SELECT event_type AS kind FROM events UNION ALL SELECT o_orderstatus FROM orders)
 GROUP BY kind""",

@@ -127,8 +127,8 @@ def write_bulk(
     """
     if max_requests is not None and max_requests < 1:
         raise ValueError("max requests must be at least 1")
-    good = enforce(df, errors) if "error" in df.columns else df
-    lines = bulk_lines(good, action).select("line")
+    checked = "error" in df.columns
+    lines = bulk_lines(enforce(df, errors) if checked else df, action, validated=checked).select("line")
     if max_requests is not None:
         lines = lines.coalesce(max_requests)
     lines.mapInArrow(_sender(target), REPLIES_DDL).write.mode("overwrite").parquet(replies_path)

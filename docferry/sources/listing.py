@@ -9,7 +9,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.functions.paths import extension, file_name, glob_regex, has_glob, is_gzip, plain_path
+from docferry.functions.paths import extension, file_name, glob_regex, has_glob, is_gzip, local_path, plain_path
 
 FILE_PATH = "_metadata.file_path"
 
@@ -78,9 +78,8 @@ def list_files(spark: SparkSession, values: list[str]) -> DataFrame:
         files = reader.load([scan_root(v) for v in values])
     except AnalysisException as err:
         raise InputError(f"input does not exist or matches no file: {', '.join(values)}") from err
-    path = F.regexp_replace("path", r"^file:(?://)?(?=/)", "")
     return (
-        files.select(path.alias("path"))
+        files.select(local_path(F.col("path")).alias("path"))
         .where(named_by(F.col("path"), values))
         .distinct()
         .select("path", file_name(F.col("path")).alias("name"), extension(F.col("path")).alias("suffix"))
