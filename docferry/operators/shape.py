@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from docferry.functions.json_text import json_map
-from docferry.functions.markup import split_chunks, toon_documents
+from docferry.functions.json_text import STRICT
+from docferry.functions.markup import let, split_chunks, toon_documents
 
 
 def split_documents(df: DataFrame, text: str = "text") -> DataFrame:
@@ -30,19 +30,21 @@ def explode_rows(df: DataFrame, doc: str = "doc") -> DataFrame:
     others = [c for c in df.columns if c not in (doc, "error")]
     none = F.lit(None).cast("string")
     earlier = F.col("error") if "error" in df.columns else none
-    # Only documents that begin like a table are parsed.
-    fields = F.when(F.rlike(F.col(doc), F.lit(_FIRST_IS_ARRAY)), json_map(F.col(doc), "array<variant>"))
-    elements = F.transform(
-        F.get(F.map_values("_fields"), F.lit(0)),
-        lambda v: F.struct(
-            F.to_json(v).alias("doc"),
-            F.when(~F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), "array row must be an object").alias("error"),
-        ),
-    )
+    # Cheap looks first: only documents of one key that holds an array are parsed.
+    is_rows = F.rlike(F.col(doc), F.lit(_FIRST_IS_ARRAY)) & (F.size(F.json_object_keys(doc)) == 1)
+    fields = F.when(is_rows, F.from_json(doc, "map<string,array<variant>>", STRICT))
+
+    def element(rendered: Column) -> Column:
+        wrong = ~F.startswith(rendered, F.lit("{"))
+        return F.struct(rendered.alias("doc"), F.when(wrong, "array row must be an object").alias("error"))
+
+    def all_of(elements: Column) -> Column:
+        empty = F.array(F.struct(F.col(doc).alias("doc"), F.lit("no rows").alias("error")))
+        return F.when(F.size(elements) == 0, empty).otherwise(F.transform(elements, lambda v: let(F.to_json(v), element)))
+
     whole = F.array(F.struct(F.col(doc).alias("doc"), none.alias("error")))
-    empty = F.array(F.struct(F.col(doc).alias("doc"), F.lit("no rows").alias("error")))
-    is_rows = F.coalesce(F.size("_fields") == 1, F.lit(False)) & F.get(F.map_values("_fields"), F.lit(0)).isNotNull()
-    rows = F.when(~is_rows, whole).when(F.size(elements) == 0, empty).otherwise(elements)
+    only = F.get(F.map_values("_fields"), F.lit(0))
+    rows = F.when(F.col("_fields").isNull(), whole).otherwise(let(only, all_of))
     # The parsed map is its own column, so the document is parsed once.
     return (
         df.withColumn("_fields", fields)

@@ -57,11 +57,13 @@ def check_targets(targets: DataFrame, known_pipelines: DataFrame) -> DataFrame:
     ``has_pipeline`` (the load brings the pipeline itself). ``known_pipelines``: ``name``
     of the pipelines that exist. Adds ``template_pipeline``, ``request_pipeline``,
     ``patterns_match`` and ``status``. A plain equi-join: Spark broadcasts the small side
-    only below its own size threshold, and splits skewed keys otherwise.
+    only below its own size threshold, and splits skewed keys otherwise. Targets that name
+    no pipeline get keys of their own that match nothing, so they do not meet in one task.
     """
     known = known_pipelines.select(F.col("name").alias("_known")).distinct()
     named = targets.withColumn("template_pipeline", default_pipeline(F.col("template_body")))
-    joined = named.join(known, F.col("template_pipeline") == F.col("_known"), "left")
+    spread = F.concat(F.lit("\0"), F.xxhash64("index").cast("string"))
+    joined = named.join(known, F.coalesce("template_pipeline", spread) == F.col("_known"), "left")
     has_template = F.col("template_body").isNotNull()
     own = F.coalesce(F.col("has_pipeline"), F.lit(False))
     reserved = F.coalesce(F.col("pipeline_name") == NO_PIPELINE, F.lit(False))
@@ -145,15 +147,13 @@ def apply_mapping(df: DataFrame, properties: dict[str, dict]) -> DataFrame:
     return df.withColumns(typed)
 
 
-def sort_for_index(df: DataFrame, fields: list[str], orders: list[str], shards: int | None = None) -> DataFrame:
+def sort_for_index(df: DataFrame, fields: list[str], orders: list[str]) -> DataFrame:
     """Bring rows into index sort order.
 
-    A global sort by range partitions. The hash of the row is the last key, so that one
-    value shared by many rows is still spread over several partitions. With ``shards``,
-    the number of range partitions is fixed.
+    A global sort by range partitions, so each shard gets its documents in order however
+    many shards there are. The hash of the row is the last key, so that one value shared by
+    many rows is still spread over several partitions.
     """
     keys = [F.col(f"`{f}`").desc() if o == "desc" else F.col(f"`{f}`").asc() for f, o in zip(fields, orders)]
     keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc())
-    if shards is None:
-        return df.orderBy(*keys)
-    return df.repartitionByRange(shards, *keys).sortWithinPartitions(*keys)
+    return df.orderBy(*keys)

@@ -12,6 +12,7 @@ import time
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
@@ -64,15 +65,14 @@ class BulkTarget:
             wait = min(wait * 2, LONGEST_WAIT)
 
 
-def _line_bytes(batch: pa.RecordBatch) -> tuple[pa.Buffer, list[int]]:
+def _line_bytes(batch: pa.RecordBatch) -> tuple[pa.Buffer, np.ndarray]:
     """The text of all lines as one buffer, and where each line begins and ends.
 
     Lines carry their newline, so any run of rows is one slice of the buffer.
     """
     lines = batch.column(batch.schema.get_field_index("line")).cast(pa.large_string())
     _, offsets, data = lines.buffers()
-    bounds = pa.Array.from_buffers(pa.int64(), len(lines) + 1, [None, offsets], offset=lines.offset)
-    return data, bounds.to_pylist()
+    return data, np.frombuffer(offsets, np.int64)[lines.offset : lines.offset + len(lines) + 1]
 
 
 def cut_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[bytes, int]]:
@@ -122,8 +122,11 @@ def write_bulk(
 
     The send is one Spark write of the replies to ``replies_path``, so the reply of each
     finished task is kept exactly once; count them with ``docferry.operators.account``.
-    At most ``max_requests`` requests are in flight, as that many tasks send; ``None``
-    leaves it to the number of cores.
+    At most ``max_requests`` requests are in flight, as that many tasks send. Tasks are
+    joined without a shuffle: with so few requests, the target is the limit and not the
+    reading. ``None`` sets no limit, and every running task sends: give that on a large
+    cluster whose target can take it; tasks then also stay small, so that little is sent
+    again when one is lost.
     """
     if max_requests is not None and max_requests < 1:
         raise ValueError("max requests must be at least 1")

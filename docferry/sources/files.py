@@ -42,9 +42,14 @@ def _is(suffixes: list[str]) -> Column:
     return F.coalesce(_suffix().isin(suffixes), F.lit(False))
 
 
-def _whole_files(spark: SparkSession, values: list[str], keep: Column) -> DataFrame:
+def _whole_files(spark: SparkSession, values: list[str]) -> DataFrame:
+    """Text scan of whole files; a file is one row, so it must be below 2 GB."""
+    return scan(spark, values, wholetext=True)
+
+
+def _named(files: DataFrame) -> DataFrame:
     """``text``, ``path`` and ``suffix`` of whole files."""
-    return scan(spark, values, keep, wholetext=True).select(
+    return files.select(
         F.col("value").alias("text"),
         plain_path(F.col("_metadata.file_path")).alias("path"),
         _suffix().alias("suffix"),
@@ -116,7 +121,7 @@ def _with_metadata(df: DataFrame, metadata: bool) -> DataFrame:
 
 def read_json_files(spark: SparkSession, *values: str, metadata: bool = False) -> DataFrame:
     """Each file is one JSON object."""
-    return _with_metadata(_rows(_whole_files(spark, list(values), F.lit(True)), _json_file(F.col("text"))), metadata)
+    return _with_metadata(_rows(_named(_whole_files(spark, list(values))), _json_file(F.col("text"))), metadata)
 
 
 def read_jsonl_files(spark: SparkSession, *values: str, metadata: bool = False) -> DataFrame:
@@ -127,14 +132,14 @@ def read_jsonl_files(spark: SparkSession, *values: str, metadata: bool = False)
 
 def read_text_files(spark: SparkSession, *values: str, field: str = "body", metadata: bool = False) -> DataFrame:
     """Each file's text becomes ``content.<field>``."""
-    files = _whole_files(spark, list(values), F.lit(True))
+    files = _named(_whole_files(spark, list(values)))
     return _with_metadata(_rows(files, _text_file(F.col("text"), field)), metadata)
 
 
 def read_markdown_files(spark: SparkSession, *values: str, field: str = "body", metadata: bool = False) -> DataFrame:
     """Frontmatter fields become ``content.*``, the rest ``content.<field>``."""
     check_content_field(field)
-    files = _whole_files(spark, list(values), F.lit(True))
+    files = _named(_whole_files(spark, list(values)))
     files = files.withColumn("fields", yaml_object(split_frontmatter(F.col("text"))["front"]))
     return _with_metadata(_rows(files, _markdown_file(F.col("text"), F.col("fields"), field)), metadata)
 
@@ -142,13 +147,13 @@ def read_markdown_files(spark: SparkSession, *values: str, field: str = "body",
 def read_yaml_files(spark: SparkSession, *values: str, field: str = "body", metadata: bool = False) -> DataFrame:
     """The one mapping of each file becomes ``content``."""
     check_content_field(field)
-    files = _whole_files(spark, list(values), F.lit(True)).withColumn("fields", yaml_object(F.col("text")))
+    files = _named(_whole_files(spark, list(values))).withColumn("fields", yaml_object(F.col("text")))
     return _with_metadata(_rows(files, _yaml_file(F.col("fields"), field)), metadata)
 
 
 def read_toon_docs(spark: SparkSession, *values: str, metadata: bool = False) -> DataFrame:
     """TOON documents between ``---`` lines; a lone table gives one document per row."""
-    files = _whole_files(spark, list(values), F.lit(True))
+    files = _named(_whole_files(spark, list(values)))
     return _with_metadata(_rows(files, _toon_file(F.col("text"))), metadata)
 
 
@@ -165,9 +170,10 @@ def read_file_documents(
     n_files = check_inputs(spark, values)
     metadata = n_files > 1 if metadata is None else metadata
 
-    lines = line_documents(scan(spark, values, _is(LINE_SUFFIXES), lineSep="\n"), skip_blank=True)
+    lines = line_documents(scan(spark, values, lineSep="\n").where(_is(LINE_SUFFIXES)), skip_blank=True)
 
-    structured = _whole_files(spark, values, _is(WHOLE_SUFFIXES))
+    whole = _whole_files(spark, values)  # listed once, used for both groups of whole files
+    structured = _named(whole.where(_is(WHOLE_SUFFIXES)))
     suffix, text = F.col("suffix"), F.col("text")
     is_markdown = suffix.isin(MARKDOWN_SUFFIXES)
     yaml_text = F.when(is_markdown, split_frontmatter(text)["front"]).when(suffix.isin(YAML_SUFFIXES), text)
@@ -178,7 +184,7 @@ def read_file_documents(
         .when(is_markdown, _markdown_file(text, F.col("fields"), field))
         .otherwise(_yaml_file(F.col("fields"), field))
     )
-    others = _whole_files(spark, values, ~_is(LINE_SUFFIXES + WHOLE_SUFFIXES))
+    others = _named(whole.where(~_is(LINE_SUFFIXES + WHOLE_SUFFIXES)))
     parts = [lines, _rows(structured, results), _rows(others, _text_file(text, field))]
     return _with_metadata(concat_documents(*parts), metadata)
 

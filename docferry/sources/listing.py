@@ -42,30 +42,36 @@ def scan_root(value: str) -> str:
     return _escape(value).replace("[!", "[^")
 
 
+def _has_scheme(value: str) -> bool:
+    return "://" in value
+
+
 def matches(path: Column, value: str) -> Column:
     """Is ``path`` one of the files this input names?"""
     value = local_form(value)
+    if not _has_scheme(value):
+        # The listing reports the default file system's scheme and host; the input has neither.
+        path = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "")
+    relative = not (value.startswith("/") or _has_scheme(value))
     if not has_glob(value):
-        return path == value if value.startswith("/") or ":" in value else F.endswith(path, F.lit("/" + value))
+        return F.endswith(path, F.lit("/" + value)) if relative else path == value
     pattern = glob_regex(value)
-    if not value.startswith("/") and ":" not in value:
-        pattern = "/" + pattern[1:]  # a relative glob: the listing reports absolute paths
-    return path.rlike(pattern)
+    return path.rlike("/" + pattern[1:] if relative else pattern)
 
 
 def named_by(path: Column, values: list[str]) -> Column:
     return reduce(lambda a, b: a | b, [matches(path, v) for v in values])
 
 
-def scan(spark: SparkSession, values: list[str], keep: Column | None = None, **text_options) -> DataFrame:
+def scan(spark: SparkSession, values: list[str], **text_options) -> DataFrame:
     """Text scan over exactly the files the inputs name.
 
-    The conditions use file metadata only, so Spark applies them to the file listing and
-    never opens the other files. Recursive lookup makes overlapping inputs count once.
+    This condition, and any further one on ``_metadata``, uses file metadata only, so Spark
+    applies it to the file listing and never opens the other files. Recursive lookup makes
+    overlapping inputs count once.
     """
     text = spark.read.text([scan_root(v) for v in values], recursiveFileLookup=True, **text_options)
-    condition = named_by(plain_path(F.col(FILE_PATH)), values)
-    return text.where(condition if keep is None else condition & keep)
+    return text.where(named_by(plain_path(F.col(FILE_PATH)), values))
 
 
 def list_files(spark: SparkSession, values: list[str]) -> DataFrame:
