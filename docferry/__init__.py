@@ -1,5 +1,6 @@
 """Document loading on Spark: read mixed files, check, shape, batch, write, account."""
 
+from docferry.operators.account import error_counts, request_errors, run_summary, success_counts
 from docferry.operators.batch import assign_batches, bulk_lines, render_batches, with_row_index
 from docferry.operators.validate import check_documents, enforce, objects_gate, rejected, require_all_objects
 from docferry.plans.load import check_target, load_to_bulk, load_to_ndjson
@@ -19,6 +20,7 @@ __all__ = [
     "check_target",
     "configure",
     "enforce",
+    "error_counts",
     "load_to_bulk",
     "load_to_ndjson",
     "objects_gate",
@@ -28,9 +30,12 @@ __all__ = [
     "read_ndjson",
     "rejected",
     "render_batches",
+    "request_errors",
     "require_all_objects",
+    "run_summary",
     "stream_bulk",
     "stream_ndjson",
+    "success_counts",
     "with_row_index",
     "write_bulk",
     "write_ndjson",

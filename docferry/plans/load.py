@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,12 +45,13 @@ def load_to_bulk(
     max_requests: int | None = DEFAULT_MAX_REQUESTS,
     errors: str = "failfast",
 ) -> DataFrame:
-    """Send the documents of the inputs; give the one-row summary."""
+    """Send the documents of the inputs; give the one-row summary, with elapsed ``seconds``."""
+    start = time.monotonic()
     documents = read_documents(configure(spark), *inputs, field=field)
     replies = write_bulk(
         documents, target, replies_path or scratch_dir(spark, "replies"), action, max_requests, errors
     )
-    return run_summary(replies)
+    return run_summary(replies).withColumn("seconds", F.lit(round(time.monotonic() - start, 3)))
 
 
 def check_target(spark: SparkSession, index: str, options: TargetOptions, known_pipelines: DataFrame) -> list[str]:

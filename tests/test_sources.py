@@ -232,3 +232,21 @@ def test_single_file_kinds(spark, tmp_path):
     toon = write(tmp_path / "g.toon", "id: 1\n---\nitems[2]: a\n")
     got = rows(read_toon_docs(spark, toon))
     assert got[0]["doc"] == '{"id":1}' and got[1]["error"] == "declared length differs"
+
+
+def test_read_configs(spark, tmp_path):
+    from docferry.sources.configs import read_configs
+
+    write(tmp_path / "geo.v1.json", '{\n"a": 1.0}')
+    write(tmp_path / "plain.txt", '{"b":2}')
+    write(tmp_path / "bad.JSON", "{")
+    write(tmp_path / "notes.json5", "{}")
+    pytest.importorskip("yaml")
+    write(tmp_path / "logs.YML", "index_patterns:\n  - logs-*\n")
+    got = {r["name"]: r for r in read_configs(spark, f"{tmp_path}/*").collect()}
+    assert got["geo.v1"]["body"] == '{"a":1.0}' and got["plain"]["body"] == '{"b":2}'
+    assert json.loads(got["logs"]["body"]) == {"index_patterns": ["logs-*"]}
+    assert got["bad"]["error"] == "template is not valid JSON" and got["bad"]["body"] is None
+    assert "unsupported" in got["notes"]["error"]
+    pipelines = {r["name"]: r["error"] for r in read_configs(spark, f"{tmp_path}/*", kind="pipeline").collect()}
+    assert pipelines["geo.v1"] is None and pipelines["logs"] is None and "unsupported" in pipelines["plain"]
