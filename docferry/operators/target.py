@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from docferry.functions.patterns import default_pipeline, template_match
+from docferry.operators.batch import READING_ORDER
 
 NO_PIPELINE = "_none"
 
@@ -147,13 +148,19 @@ def apply_mapping(df: DataFrame, properties: dict[str, dict]) -> DataFrame:
     return df.withColumns(typed)
 
 
-def sort_for_index(df: DataFrame, fields: list[str], orders: list[str]) -> DataFrame:
+def sort_for_index(df: DataFrame, fields: list[str], orders: list[str], unique: list[str] | None = None) -> DataFrame:
     """Bring rows into index sort order.
 
     A global sort by range partitions, so each shard gets its documents in order however
-    many shards there are. The hash of the row is the last key, so that one value shared by
-    many rows is still spread over several partitions.
+    many shards there are. Rows that share a value, copies of one document even, are spread
+    over several partitions by the ``unique`` columns, which come last: by default the
+    reading order where the rows have one, else a hash of the row.
     """
     keys = [F.col(f"`{f}`").desc() if o == "desc" else F.col(f"`{f}`").asc() for f, o in zip(fields, orders)]
-    keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]).asc())
+    if unique is None and set(READING_ORDER) <= set(df.columns):
+        unique = list(READING_ORDER)
+    if unique is None:
+        keys.append(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]))
+    else:
+        keys += [F.col(f"`{c}`") for c in unique]
     return df.orderBy(*keys)

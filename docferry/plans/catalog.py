@@ -468,7 +468,7 @@ def typed_mapping(spark, sf_dir):
 @query
 def index_sort(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
-    ordered = target.sort_for_index(customers, ["c_mktsegment", "c_acctbal", "c_custkey"], ["asc", "desc", "asc"])
+    ordered = target.sort_for_index(customers, ["c_mktsegment", "c_acctbal"], ["asc", "desc"], unique=["c_custkey"])
     return batch.number_sorted(ordered).select("c_custkey", "row_index")
 
 

@@ -16,7 +16,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+from pyspark.sql.datasource import (
+    DataSource,
+    DataSourceArrowWriter,
+    DataSourceStreamArrowWriter,
+    WriterCommitMessage,
+)
 
 from docferry.operators.batch import DEFAULT_BATCH_SIZE, DEFAULT_MAX_REQUESTS, bulk_lines
 from docferry.operators.validate import enforce
@@ -145,38 +150,60 @@ class _Counts(WriterCommitMessage):
     statuses: dict[int, int]
 
 
+def _send_all(target: BulkTarget, batches: Iterator[pa.RecordBatch]) -> _Counts:
+    counts = _Counts(0, 0, {})
+    for body, n_docs in cut_batches(batches, target.batch_size):
+        _, status, _ = target.send(body, n_docs)
+        counts.n_requests += 1
+        counts.n_docs += n_docs
+        counts.statuses[status] = counts.statuses.get(status, 0) + 1
+    return counts
+
+
+def _report(what: str, target: BulkTarget, messages: list) -> None:
+    # A few numbers per task, however many documents were sent.
+    done = [m for m in messages if m is not None]
+    statuses: dict[int, int] = {}
+    for message in done:
+        for status, n in message.statuses.items():
+            statuses[status] = statuses.get(status, 0) + n
+    print(
+        f"{what} {sum(m.n_docs for m in done):,} docs in {sum(m.n_requests for m in done):,} requests "
+        f"to {target.index}, statuses {json.dumps(statuses)}"
+    )
+
+
 class _BulkWriter(DataSourceArrowWriter):
     def __init__(self, target: BulkTarget):
         self.target = target
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        n_requests = n_docs = 0
-        statuses: dict[int, int] = {}
-        for body, n in cut_batches(iterator, self.target.batch_size):
-            _, status, _ = self.target.send(body, n)
-            statuses[status] = statuses.get(status, 0) + 1
-            n_requests, n_docs = n_requests + 1, n_docs + n
-        return _Counts(n_requests, n_docs, statuses)
+        return _send_all(self.target, iterator)
 
     def commit(self, messages: list) -> None:
-        # A few numbers per task, however many documents were sent.
-        done = [m for m in messages if m is not None]
-        statuses: dict[int, int] = {}
-        for message in done:
-            for status, n in message.statuses.items():
-                statuses[status] = statuses.get(status, 0) + n
-        print(
-            f"sent {sum(m.n_docs for m in done):,} docs in {sum(m.n_requests for m in done):,} requests "
-            f"to {self.target.index}, statuses {json.dumps(statuses)}"
-        )
+        _report("sent", self.target, messages)
 
     def abort(self, messages: list) -> None:
-        done = [m for m in messages if m is not None]
-        print(f"aborted after {sum(m.n_docs for m in done):,} docs to {self.target.index}")
+        _report("aborted after", self.target, messages)
+
+
+class _BulkStreamWriter(DataSourceStreamArrowWriter):
+    def __init__(self, target: BulkTarget):
+        self.target = target
+
+    def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
+        return _send_all(self.target, iterator)
+
+    def commit(self, messages: list, batchId: int) -> None:
+        _report(f"micro-batch {batchId}: sent", self.target, messages)
+
+    def abort(self, messages: list, batchId: int) -> None:
+        _report(f"micro-batch {batchId}: aborted after", self.target, messages)
 
 
 class BulkDataSource(DataSource):
-    """``df.write.format("docferry_bulk")`` for a ``line`` column made by ``bulk_lines``.
+    """``write.format("docferry_bulk")``, or ``writeStream``, for a ``line`` column made by
+    ``bulk_lines``.
 
     Options: ``index``, ``transport`` (``module:callable``, given all options),
     ``batchSize``, ``pipeline``, ``maxAttempts``, ``failOnServerError``.
@@ -187,19 +214,23 @@ class BulkDataSource(DataSource):
         return "docferry_bulk"
 
     def writer(self, schema, overwrite):
+        return _BulkWriter(self._target(schema))
+
+    def streamWriter(self, schema, overwrite):
+        return _BulkStreamWriter(self._target(schema))
+
+    def _target(self, schema) -> BulkTarget:
         if "line" not in schema.names:
             raise ValueError("the bulk sink needs a 'line' column; see bulk_lines")
         options = self.options
         attempts = options.get("maxAttempts")
-        return _BulkWriter(
-            BulkTarget(
-                index=options.get("index", ""),
-                transport=load_transport(options["transport"], dict(options)),
-                batch_size=int(options.get("batchSize", DEFAULT_BATCH_SIZE)),
-                pipeline=options.get("pipeline"),
-                max_attempts=int(attempts) if attempts else None,
-                fail_on_server_error=options.get("failOnServerError", "false") == "true",
-            )
+        return BulkTarget(
+            index=options.get("index", ""),
+            transport=load_transport(options["transport"], dict(options)),
+            batch_size=int(options.get("batchSize", DEFAULT_BATCH_SIZE)),
+            pipeline=options.get("pipeline"),
+            max_attempts=int(attempts) if attempts else None,
+            fail_on_server_error=options.get("failOnServerError", "false") == "true",
         )
 
 

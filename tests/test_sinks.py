@@ -13,6 +13,7 @@ from docferry import load_to_bulk, load_to_ndjson
 from docferry.operators.account import run_summary
 from docferry.operators.batch import bulk_lines
 from docferry.operators.target import TargetOptions
+from docferry.operators.validate import enforce
 from docferry.sinks.bulk import BulkTarget, cut_batches, register, write_bulk
 from docferry.sinks.ndjson import OutputError, check_output, write_ndjson
 from docferry.sinks.transport import BulkRequest, DryRun, HttpTransport
@@ -97,6 +98,20 @@ def test_data_source(spark, tmp_path):
     assert sorted(i for _, b in requests_in(seen) for i in ids(b)) == list(range(25))
 
 
+def test_stream_data_source(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.ndjson").write_text("".join(f'{{"id":{i}}}\n' for i in range(12)))
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    register(spark)
+    lines = bulk_lines(enforce(stream_ndjson(spark, str(tmp_path / "in")))).select("line")
+    writer = lines.writeStream.format("docferry_bulk").option("checkpointLocation", str(tmp_path / "ck"))
+    writer = writer.options(index="i", batchSize=5, folder=str(seen), transport="recorder:recorder_from_options")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    assert sorted(i for _, b in requests_in(seen) for i in ids(b)) == list(range(12))
+    assert {t for t, _ in requests_in(seen)} == {"/i/_bulk"}
+
+
 class Reply(BytesIO):
     status = 200
 

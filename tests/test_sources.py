@@ -113,6 +113,17 @@ def test_csv_widths_and_names(spark, tmp_path):
     assert rows(read_csv_docs(spark, write(tmp_path / "g.csv", "a,b\n"))) == []
 
 
+def test_csv_byte_order_mark_and_many_parts(spark, tmp_path):
+    marked = write(tmp_path / "m.csv", b"\xef\xbb\xbfa,b\n1,2\n")
+    assert docs(read_csv_docs(spark, marked)) == [{"a": "1", "b": "2"}]
+    write(tmp_path / "parts" / "1.csv", "a,b\n1,2\n")
+    write(tmp_path / "parts" / "2.csv", "a,b\n3,4\n")
+    assert docs(read_csv_docs(spark, str(tmp_path / "parts"))) == [{"a": "1", "b": "2"}, {"a": "3", "b": "4"}]
+    write(tmp_path / "parts" / "3.csv", "a,c\n5,6\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_csv_docs(spark, str(tmp_path / "parts")).collect()
+
+
 def test_csv_is_split_when_records_stay_on_lines(spark, tmp_path):
     plain = write(tmp_path / "p.csv", "i,v\n" + "".join(f'{i},"q ""{i}"""\n' for i in range(2000)))
     broken = write(tmp_path / "b.csv", "i,v\n" + "".join(f'{i},"q\n{i}"\n' for i in range(2000)))
