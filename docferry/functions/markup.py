@@ -137,7 +137,7 @@ def toon_documents(text: Column) -> Column:
 def _toon_lines(lines: Column) -> Column:
     first = F.get(lines, F.lit(0))
     rest = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
-    is_table = first.rlike(_TABLE) & F.forall(rest, lambda line: line.rlike(r"^ {2}\S"))
+    is_table = first.rlike(_TABLE) & F.forall(rest, is_toon_row)
     is_flat = F.forall(lines, lambda line: line.rlike(_WHOLE_SCALAR) | line.rlike(_INLINE))
     other = F.when(first.rlike(r"^\[[0-9]+\]"), "document must be an object").otherwise("unsupported block")
     return (
@@ -156,27 +156,54 @@ def _declared(line: Column, pattern: str) -> Column:
     return F.regexp_extract(line, pattern, 2).cast("bigint")
 
 
-def _toon_table(first: Column, lines: Column) -> Column:
-    """Documents of a table; the lines are those below its header."""
+ROW_WIDTH = "row width differs from header"
+
+
+def is_toon_header(line: Column) -> Column:
+    return line.rlike(_TABLE)
+
+
+def is_toon_row(line: Column) -> Column:
+    return line.rlike(r"^ {2}\S")
+
+
+def toon_header(line: Column) -> Column:
+    """Field names of a table header, as JSON strings."""
+    return F.transform(_toon_tokens(F.regexp_extract(line, _TABLE, 3)), _toon_key)
+
 
-    def row(fields: Column, tokens: Column) -> Column:
+def toon_length(line: Column) -> Column:
+    """Number of rows a table header declares."""
+    return _declared(line, _TABLE)
+
+
+def toon_row(fields: Column, line: Column) -> Column:
+    """JSON object of one table row, null when it has not one value per field."""
+
+    def joined(tokens: Column) -> Column:
         pairs = F.zip_with(fields, tokens, lambda k, v: F.concat(k, F.lit(":"), _toon_value(v)))
-        joined = F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
-        return F.when(F.size(tokens) == F.size(fields), joined)
+        return F.when(
+            F.size(tokens) == F.size(fields), F.concat(F.lit("{"), F.array_join(pairs, ","), F.lit("}"))
+        )
+
+    return let(_toon_tokens(F.trim(line)), joined)
+
+
+def _toon_table(first: Column, lines: Column) -> Column:
+    """Documents of a table; the lines are those below its header."""
 
     def rows_of(fields: Column) -> Column:
-        return F.transform(lines, lambda line: let(_toon_tokens(F.trim(line)), lambda tokens: row(fields, tokens)))
+        return F.transform(lines, lambda line: toon_row(fields, line))
 
     def result(rows: Column) -> Column:
         error = (
             F.when(F.size(rows) == 0, "no rows")
             .when(F.size(rows) != _declared(first, _TABLE), "declared length differs")
-            .when(F.exists(rows, lambda r: r.isNull()), "row width differs from header")
+            .when(F.exists(rows, lambda r: r.isNull()), ROW_WIDTH)
         )
         return F.when(error.isNull(), _toon_result(rows, error)).otherwise(_toon_result(None, error))
 
-    header = F.transform(_toon_tokens(F.regexp_extract(first, _TABLE, 3)), _toon_key)
-    return let(let(header, rows_of), result)
+    return let(let(toon_header(first), rows_of), result)
 
 
 def _toon_flat(lines: Column) -> Column:

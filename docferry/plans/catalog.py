@@ -18,7 +18,17 @@ from docferry.sinks.bulk import BulkTarget, write_bulk
 from docferry.sinks.ndjson import write_ndjson
 from docferry.sinks.transport import DryRun
 from docferry.sources.csv import read_csv_docs, row_to_json
-from docferry.sources.files import concat_documents, read_jsonl_files
+from docferry.sources.files import (
+    concat_documents,
+    read_documents,
+    read_json_files,
+    read_jsonl_files,
+    read_markdown_files,
+    read_text_files,
+    read_toon_docs,
+    read_yaml_files,
+)
+from docferry.sources.listing import list_files
 from docferry.sources.ndjson import read_ndjson
 from docferry.streaming.lines import stream_bulk, stream_ndjson, stream_to_ndjson
 
@@ -552,6 +562,81 @@ def concat_inputs(spark, sf_dir):
     return both.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def _lines_of(kind: str) -> list[Column]:
+    """The lines of one supplier's file."""
+    key, name, nation = c("s_suppkey"), c("s_name"), c("s_nationkey")
+    fields = [text("name: ", name), text("nation: ", nation)]
+    return {
+        "txt": [name, text("from ", nation)],
+        "md": [F.lit("---"), *fields, F.lit("---"), text("About ", name), text("from ", nation)],
+        "yml": fields,
+        "jsn": [text('{"name": "', name, '",'), text(' "nation": ', nation, "}")],
+        "ton": [F.lit("rows[2]{name,nation}:"), text("  ", name, ",", nation), text("  #", key, ",-1")],
+    }[kind]
+
+
+def _one_file_each(suppliers: DataFrame, kind: str, folder: str) -> None:
+    """Write one file per supplier, with the kind as suffix."""
+    lines = suppliers.select("s_suppkey", F.posexplode(F.array(*_lines_of(kind))).alias("pos", "line"))
+    lines = lines.repartition("s_suppkey").sortWithinPartitions("s_suppkey", "pos").drop("pos")
+    # The CSV writer can set the suffix; separator and quote are characters no line holds.
+    plain = {"extension": kind, "sep": "\x01", "quote": "\x02", "ignoreLeadingWhiteSpace": "false"}
+    lines.write.partitionBy("s_suppkey").options(**plain).csv(f"{folder}/{kind}")
+
+
+def _supplier_fields(docs: DataFrame) -> DataFrame:
+    def field(*paths: str) -> Column:
+        return F.coalesce(*[F.get_json_object("doc", p) for p in paths])
+
+    return validate.enforce(docs).select(
+        F.regexp_extract(field("$.file.path"), "s_suppkey=([0-9]+)/", 1).cast("bigint").alias("s_suppkey"),
+        field("$.content.name", "$.name").alias("name"),
+        field("$.content.nation", "$.nation").cast("int").alias("nation"),
+        field("$.content.body").alias("body"),
+    )
+
+
+def _files_query(kind: str, read: Callable[..., DataFrame]) -> Query:
+    def build(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_dir(spark, "files")
+        _one_file_each(table(spark, sf_dir, "supplier"), kind, folder)
+        return _supplier_fields(read(spark, f"{folder}/**/*.{kind}", metadata=True))
+
+    return build
+
+
+for _name, _kind, _read in [
+    ("text_files", "txt", read_text_files),
+    ("markdown_files", "md", read_markdown_files),
+    ("yaml_files", "yml", read_yaml_files),
+    ("json_files", "jsn", read_json_files),
+    ("toon_files", "ton", read_toon_docs),
+]:
+    _build = _files_query(_kind, _read)
+    _build.__name__ = _name
+    query(_build)
+
+
+@query
+def mixed_files(spark, sf_dir):
+    folder = scratch_dir(spark, "files")
+    suppliers = table(spark, sf_dir, "supplier")
+    for rest, kind in enumerate(["txt", "md", "yml"]):
+        _one_file_each(suppliers.where(c("s_suppkey") % 4 == rest), kind, folder)
+    rows = suppliers.where(c("s_suppkey") % 4 == 3).select("s_suppkey", c("s_name").alias("name"), c("s_nationkey").alias("nation"))
+    rows.repartition("s_suppkey").write.partitionBy("s_suppkey").json(f"{folder}/json")
+    # Overlapping inputs: every file counts once.
+    return _supplier_fields(read_documents(spark, f"{folder}/**/*", f"{folder}/md/**/*.md"))
+
+
+@query
+def listed_files(spark, sf_dir):
+    folder = scratch_dir(spark, "files")
+    _one_file_each(table(spark, sf_dir, "supplier"), "txt", folder)
+    found = list_files(spark, [f"{folder}/txt/*/*.txt", f"{folder}/**/*"])
+    return found.select(F.regexp_extract("path", "s_suppkey=([0-9]+)/", 1).cast("bigint").alias("s_suppkey"), "suffix")
+
+
 @query
 def bulk_dry_run(spark, sf_dir):
     replies = write_bulk(event_docs(spark, sf_dir), BulkTarget("events", DryRun(), 500), scratch_dir(spark, "replies"))

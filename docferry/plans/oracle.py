@@ -197,6 +197,25 @@ SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role,
     "concat_inputs": """
 SELECT kind, count(*) AS n FROM (SELECT event_type AS kind FROM events UNION ALL SELECT o_orderstatus FROM orders)
 GROUP BY kind""",
+    "text_files": f"""
+SELECT s_suppkey, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS INTEGER) AS nation,
+    s_name || {LF} || 'from ' || s_nationkey || {LF} AS body
+FROM supplier""",
+    "markdown_files": f"""
+SELECT s_suppkey, s_name AS name, s_nationkey AS nation,
+    'About ' || s_name || {LF} || 'from ' || s_nationkey || {LF} AS body
+FROM supplier""",
+    "yaml_files": "SELECT s_suppkey, s_name AS name, s_nationkey AS nation, CAST(NULL AS VARCHAR) AS body FROM supplier",
+    "json_files": "SELECT s_suppkey, s_name AS name, s_nationkey AS nation, CAST(NULL AS VARCHAR) AS body FROM supplier",
+    "toon_files": """
+SELECT s_suppkey, s_name AS name, s_nationkey AS nation, CAST(NULL AS VARCHAR) AS body FROM supplier
+UNION ALL SELECT s_suppkey, '#' || s_suppkey, -1, NULL FROM supplier""",
+    "mixed_files": f"""
+SELECT s_suppkey, CASE WHEN k > 0 THEN s_name END AS name, CASE WHEN k > 0 THEN s_nationkey END AS nation,
+    CASE k WHEN 0 THEN s_name || {LF} || 'from ' || s_nationkey || {LF}
+        WHEN 1 THEN 'About ' || s_name || {LF} || 'from ' || s_nationkey || {LF} END AS body
+FROM (SELECT *, s_suppkey % 4 AS k FROM supplier)""",
+    "listed_files": "SELECT s_suppkey, 'txt' AS suffix FROM supplier",
     "bulk_dry_run": f"""
 SELECT n AS n_docs, n AS n_accepted, {COMMAS.format("n")} || ' of ' || {COMMAS.format("n")} || ' docs accepted' AS summary
 FROM (SELECT count(*) AS n FROM events)""",

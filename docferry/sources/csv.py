@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from docferry.functions.paths import plain_path
 from docferry.sources.envelope import ENVELOPE_DDL, envelope
-from docferry.sources.listing import local_form
+from docferry.sources.listing import exceeds_split, local_form
 
 _CORRUPT = "_docferry_corrupt"
 
@@ -66,17 +66,8 @@ def _may_span_lines(spark: SparkSession, path: str) -> bool:
     A line break inside quotes leaves an odd number of quotes on its line. So if every
     line has an even number, each line is a whole record and the file may be split.
     """
-    split_bytes = spark.conf.get("spark.sql.files.maxPartitionBytes")
-    sizes = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
-    largest = sizes.agg(F.max("length")).first()[0] or 0
-    if largest <= _bytes(split_bytes):
+    if not exceeds_split(spark, path):
         return True
     lines = spark.read.text(path)
     quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
     return not lines.where(quotes % 2 == 1).isEmpty()
-
-
-def _bytes(size: str) -> int:
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    number = size.lower().rstrip("b")
-    return int(number[:-1]) << units[number[-1]] if number[-1] in units else int(number)

@@ -15,19 +15,20 @@ from docferry.functions.json_text import (
     wrap_content,
     wrap_fields,
 )
-from docferry.functions.markup import split_chunks, split_frontmatter, toon_documents
+from docferry.functions.markup import split_frontmatter
 from docferry.functions.paths import extension, has_glob, plain_path
 from docferry.functions.yaml_udf import yaml_object
-from docferry.operators.validate import line_error
 from docferry.sources.csv import read_csv_docs
 from docferry.sources.envelope import COLUMNS, envelope
 from docferry.sources.listing import InputError, check_inputs, local_form, scan
 from docferry.sources.ndjson import line_documents, read_ndjson
+from docferry.sources.toon import SEPARATOR, read_toon_file, toon_pieces
 
 LINE_SUFFIXES = ["ndjson", "jsonl"]
 MARKDOWN_SUFFIXES = ["md", "markdown"]
 YAML_SUFFIXES = ["yml", "yaml"]
-WHOLE_SUFFIXES = ["json", "toon", *MARKDOWN_SUFFIXES, *YAML_SUFFIXES]
+TOON_SUFFIXES = ["toon"]
+WHOLE_SUFFIXES = ["json", *MARKDOWN_SUFFIXES, *YAML_SUFFIXES]
 
 
 def _null() -> Column:
@@ -94,16 +95,6 @@ def _yaml_file(fields: Column, field: str) -> Column:
     return _one(F.when(error.isNull(), wrap_fields(fields["doc"])), error)
 
 
-def _toon_file(text: Column) -> Column:
-    def chunk(text: Column) -> Column:
-        decoded = toon_documents(text)
-        bad = _one(_null(), decoded["error"])
-        good = F.transform(decoded["docs"], lambda d: F.struct(d.alias("doc"), _null().alias("error")))
-        return F.when(decoded["error"].isNotNull(), bad).otherwise(good)
-
-    return F.flatten(F.transform(split_chunks(text), chunk))
-
-
 def _rows(df: DataFrame, results: Column) -> DataFrame:
     """Envelope rows from an array of results per file."""
     valid = F.is_valid_utf8(F.col("text"))
@@ -153,8 +144,7 @@ def read_yaml_files(spark: SparkSession, *values: str, field: str = "body", meta
 
 def read_toon_docs(spark: SparkSession, *values: str, metadata: bool = False) -> DataFrame:
     """TOON documents between ``---`` lines; a lone table gives one document per row."""
-    files = _named(_whole_files(spark, list(values)))
-    return _with_metadata(_rows(files, _toon_file(F.col("text"))), metadata)
+    return _with_metadata(toon_pieces(scan(spark, list(values), lineSep=SEPARATOR)), metadata)
 
 
 def read_file_documents(
@@ -162,8 +152,8 @@ def read_file_documents(
 ) -> DataFrame:
     """Any mix of files, each read by its suffix; unknown suffixes, and CSV, are text.
 
-    ``metadata`` defaults to whether more than one file is found. Three scans in all:
-    lines, structured whole files and text files, each listing only its own files.
+    ``metadata`` defaults to whether more than one file is found. Four scans in all: lines,
+    TOON, structured whole files and text files, each opening only its own files.
     """
     check_content_field(field)
     values = list(values)
@@ -180,12 +170,12 @@ def read_file_documents(
     structured = structured.withColumn("fields", yaml_object(yaml_text))
     results = (
         F.when(suffix == "json", _json_file(text))
-        .when(suffix == "toon", _toon_file(text))
         .when(is_markdown, _markdown_file(text, F.col("fields"), field))
         .otherwise(_yaml_file(F.col("fields"), field))
     )
-    others = _named(whole.where(~_is(LINE_SUFFIXES + WHOLE_SUFFIXES)))
-    parts = [lines, _rows(structured, results), _rows(others, _text_file(text, field))]
+    others = _named(whole.where(~_is(LINE_SUFFIXES + TOON_SUFFIXES + WHOLE_SUFFIXES)))
+    toon = toon_pieces(scan(spark, values, lineSep=SEPARATOR).where(_is(TOON_SUFFIXES)))
+    parts = [lines, toon, _rows(structured, results), _rows(others, _text_file(text, field))]
     return _with_metadata(concat_documents(*parts), metadata)
 
 
@@ -218,7 +208,7 @@ def read_documents(spark: SparkSession, *values: str, field: str = "body") -> Da
         if kind in ("ndjson", "json"):
             return read_ndjson(spark, value)
         if kind == "toon":
-            return read_toon_docs(spark, value)
+            return read_toon_file(spark, value)
         if value.lower().endswith(".gz"):
             raise InputError(f"unsupported compressed input: {value}")
     return read_file_documents(spark, *values, field=field)

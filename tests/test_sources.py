@@ -245,6 +245,36 @@ def test_single_file_kinds(spark, tmp_path):
     assert got[0]["doc"] == '{"id":1}' and got[1]["error"] == "declared length differs"
 
 
+def test_toon_record_mode(spark, tmp_path):
+    path = write(tmp_path / "m.toon", "---\nid: 1\n---\nrows[2]{id}:\n  2\n  3\n --- \nid: 4\r\n---\r\nid: 5\n---\n\n---\nid: 6")
+    assert [d["id"] for d in docs(read_documents(spark, path))] == [1, 2, 3, 4, 5, 6]
+    bad = rows(read_documents(spark, write(tmp_path / "b.toon", b"id: \xff\n---\n[1]: a")))
+    assert [r["error"] for r in bad] == ["file is not valid UTF-8 text", "document must be an object"]
+
+
+def test_large_toon_is_split(spark, tmp_path):
+    many = write(tmp_path / "many.toon", "\n---\n".join(f"id: {i}\nname: n{i}" for i in range(1500)))
+    body = "".join(f'  {i},"a,{i}"\r\n' for i in range(1500))
+    table = write(tmp_path / "table.toon", "rows[1500]{id,name}:\r\n" + body)
+    short = write(tmp_path / "short.toon", "rows[1501]{id,name}:\n" + body)
+    wide = write(tmp_path / "wide.toon", "rows[1500]{id,name}:\n" + body.replace("  7,", "  7,7,"))
+    two = write(tmp_path / "two.toon", "rows[1500]{id,name}:\n" + body + "---\nid: x\n")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        got = read_documents(spark, many)
+        assert got.select("block_start").distinct().count() > 2
+        assert docs(got) == [{"id": i, "name": f"n{i}"} for i in range(1500)]
+        got = read_documents(spark, table)
+        assert got.select("block_start").distinct().count() > 2
+        assert docs(got) == [{"id": i, "name": f"a,{i}"} for i in range(1500)]
+        assert [r["error"] for r in rows(read_documents(spark, short))] == ["declared length differs"]
+        wrong = rows(rejected(read_documents(spark, wide)))
+        assert [r["error"] for r in wrong] == ["row width differs from header"]
+        assert docs(read_documents(spark, two))[-1] == {"id": "x"}
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_read_configs(spark, tmp_path):
     from docferry.sources.configs import read_configs
 
