@@ -122,9 +122,9 @@ def add_file_metadata(doc: Column, path: Column, name: Column) -> Column:
 def check_content_field(field: str) -> str:
     """The content field is a single, plain key."""
     if not field:
-        raise ValueError("content field must not be empty")
+        raise ValueError("the content field needs a name")
     if "." in field:
-        raise ValueError("content field must not contain '.'")
+        raise ValueError("the content field is one key, without dots")
     return field
 
 

@@ -139,7 +139,7 @@ def _toon_lines(lines: Column) -> Column:
     rest = F.slice(lines, F.lit(2), F.greatest(F.size(lines) - 1, F.lit(0)))
     is_table = first.rlike(_TABLE) & F.forall(rest, is_toon_row)
     is_flat = F.forall(lines, lambda line: line.rlike(_WHOLE_SCALAR) | line.rlike(_INLINE))
-    other = F.when(first.rlike(r"^\[[0-9]+\]"), "document must be an object").otherwise("unsupported block")
+    other = F.when(first.rlike(r"^\[[0-9]+\]"), "not an object").otherwise("unsupported block")
     return (
         F.when(is_table, let(rest, lambda rows: _toon_table(first, rows)))
         .when(is_flat, _toon_flat(lines))
@@ -228,7 +228,7 @@ def _toon_flat(lines: Column) -> Column:
         error = (
             F.when(F.exists(items, lambda i: i.isNull()), "declared length differs")
             .when(lone & (_declared(first, _INLINE) == 0), "no rows")
-            .when(lone, "array row must be an object")
+            .when(lone, "row is not an object")
         )
         doc = F.concat(F.lit("{"), F.array_join(items, ","), F.lit("}"))
         return F.when(error.isNull(), _toon_result(F.array(doc), error)).otherwise(_toon_result(None, error))

@@ -11,7 +11,7 @@ def _parts(patterns: str | list[str]) -> list[str]:
     parts = [p.strip() for text in given for p in text.split(",")]
     parts = [p for p in parts if p]
     if "-" in parts:
-        raise ValueError("invalid lone '-' index pattern")
+        raise ValueError("a '-' needs a pattern after it")
     return parts
 
 
@@ -40,11 +40,10 @@ def template_match(body: Column, name: Column) -> Column:
     variant = F.try_parse_json(body)
     raw = F.try_variant_get(variant, "$.index_patterns", "variant")
     shape = F.schema_of_variant(raw)
-    given = (
-        F.when(shape == "STRING", F.array(F.try_variant_get(raw, "$", "string")))
-        .when(F.startswith(shape, F.lit("ARRAY")), F.try_variant_get(raw, "$", "array<variant>").cast("array<string>"))
-    )
     elements = F.try_variant_get(raw, "$", "array<variant>")
+    given = F.when(shape == "STRING", F.array(F.try_variant_get(raw, "$", "string"))).when(
+        F.startswith(shape, F.lit("ARRAY")), elements.cast("array<string>")
+    )
     only_text = F.forall(elements, lambda e: F.schema_of_variant(e) == "STRING")
     parts = F.filter(
         F.flatten(F.transform(given, lambda g: F.transform(F.split(g, ","), lambda p: F.btrim(p, F.lit(" \t\r\n"))))), lambda p: p != ""
@@ -60,10 +59,10 @@ def template_match(body: Column, name: Column) -> Column:
     last = F.try_element_at(hits, F.lit(-1))
     matched = F.coalesce(~F.startswith(last, F.lit("-")), F.lit(False))
     error = (
-        F.when(variant.isNull() | raw.isNull(), "index_patterns is missing")
-        .when(~((shape == "STRING") | F.startswith(shape, F.lit("ARRAY"))), "index_patterns must be a string or string array")
-        .when(~only_text, "index_patterns must contain only strings")
-        .when(F.array_contains(parts, "-"), "invalid lone '-' index pattern")
+        F.when(variant.isNull() | raw.isNull(), "no index_patterns")
+        .when(given.isNull(), "index_patterns is neither text nor a list")
+        .when(~only_text, "index_patterns lists something other than text")
+        .when(F.array_contains(parts, "-"), "a '-' needs a pattern after it")
     )
     return F.struct(F.when(error.isNull(), matched).alias("matched"), error.alias("error"))
 

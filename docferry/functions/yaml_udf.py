@@ -93,7 +93,7 @@ def _parse(texts: pd.Series) -> pd.DataFrame:
                 if isinstance(value, dict):
                     rows.append((json.dumps(value, ensure_ascii=False), None))
                 else:
-                    rows.append((None, "root must be a mapping"))
+                    rows.append((None, "not a mapping"))
             except (yaml.YAMLError, ValueError) as err:
                 rows.append((None, str(err).replace("\n", " ")))
     return pd.DataFrame(rows, columns=["doc", "error"])

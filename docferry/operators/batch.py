@@ -9,6 +9,7 @@ from docferry.functions.json_text import bulk_line
 from docferry.operators.validate import with_update_id
 from docferry.session import stage
 
+# Documents per request, requests in flight.
 DEFAULT_BATCH_SIZE = 5_000
 DEFAULT_MAX_REQUESTS = 16
 READING_ORDER = ("path", "block_start", "pos")

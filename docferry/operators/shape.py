@@ -36,7 +36,7 @@ def explode_rows(df: DataFrame, doc: str = "doc") -> DataFrame:
 
     def element(rendered: Column) -> Column:
         wrong = ~F.startswith(rendered, F.lit("{"))
-        return F.struct(rendered.alias("doc"), F.when(wrong, "array row must be an object").alias("error"))
+        return F.struct(rendered.alias("doc"), F.when(wrong, "row is not an object").alias("error"))
 
     def all_of(elements: Column) -> Column:
         empty = F.array(F.struct(F.col(doc).alias("doc"), F.lit("no rows").alias("error")))

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from docferry.functions.patterns import default_pipeline, template_match
 from docferry.operators.batch import READING_ORDER
 
+# Fixed value: the pipeline name that switches the default pipeline off.
 NO_PIPELINE = "_none"
 
 
@@ -30,16 +31,16 @@ class TargetOptions:
             if self.template_overwrite is not None:
                 raise ValueError("template overwrite needs a template")
         elif not self.template_name:
-            raise ValueError("template name must not be empty")
+            raise ValueError("a template needs a name")
         if self.pipeline_body is None:
             if self.pipeline_name is not None and self.pipeline_name != NO_PIPELINE:
                 raise ValueError(f"a pipeline name needs a pipeline, unless it is {NO_PIPELINE}")
             if self.pipeline_name == NO_PIPELINE and self.template_body is not None:
                 raise ValueError(f"{NO_PIPELINE} cannot be combined with a template")
         elif not self.pipeline_name:
-            raise ValueError("pipeline name must not be empty")
+            raise ValueError("a pipeline needs a name")
         elif self.pipeline_name == NO_PIPELINE:
-            raise ValueError(f"{NO_PIPELINE} is reserved and cannot name a pipeline")
+            raise ValueError(f"{NO_PIPELINE} is no name for a pipeline of one's own")
 
     @property
     def request_pipeline(self) -> str | None:

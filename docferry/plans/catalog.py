@@ -414,17 +414,18 @@ def template_defaults(spark, sf_dir):
 
 @query
 def preflight_check(spark, sf_dir):
-    named = text("Brand#", c("c_custkey") % 60)
-    none = F.lit(None).cast("string")
+    named, none = text("Brand#", c("c_custkey") % 60), F.lit(None).cast("string")
+    flat, nested = _settings(named, None), _settings(None, named)
     targets = table(spark, sf_dir, "customer").select(
         c("c_name").alias("index"),
         c("c_mktsegment").alias("template_name"),
-        by_rest("c_custkey", 7, none, none, _settings(named, None), _settings(None, named), F.lit("{}"), none, _settings(named, None)).alias("template_body"),
+        by_rest("c_custkey", 7, none, none, flat, nested, F.lit("{}"), none, flat).alias("template_body"),
         by_rest("c_custkey", 7, F.lit("_none"), named, named, none, named, named, F.lit("other")).alias("pipeline_name"),
-        by_rest("c_custkey", 7, F.lit(False), F.lit(True), F.lit(True), F.lit(False), F.lit(True), F.lit(False), F.lit(True)).alias("has_pipeline"),
+        (c("c_custkey") % 7).isin(1, 2, 4, 6).alias("has_pipeline"),
     )
     known = table(spark, sf_dir, "part").select(c("p_brand").alias("name"))
-    return target.check_targets(targets, known).select("index", "status", "template_pipeline", "request_pipeline", "patterns_match")
+    found = target.check_targets(targets, known)
+    return found.select("index", "status", "template_pipeline", "request_pipeline", "patterns_match")
 
 
 @query
@@ -484,7 +485,8 @@ def index_sort(spark, sf_dir):
 
 @query
 def url_format(spark, sf_dir):
-    suffix = by_rest("page_id", 8, *[F.lit(s) for s in ("", ".csv", ".NDJSON", ".json?x=a.csv", ".toon#f", ".md", ".csv.gz", ".bin")])
+    suffixes = ("", ".csv", ".NDJSON", ".json?x=a.csv", ".toon#f", ".md", ".csv.gz", ".bin")
+    suffix = by_rest("page_id", 8, *[F.lit(s) for s in suffixes])
     pages = table(spark, sf_dir, "pages").select(
         "page_id",
         F.concat(F.regexp_replace("url", r"[?#].*$", ""), suffix).alias("url"),
@@ -499,7 +501,8 @@ def url_format(spark, sf_dir):
 
 @query
 def suffix_rules(spark, sf_dir):
-    path = by_rest("page_id", 6, *[text(c("url"), s) for s in (".csv.gz", ".ndjson.GZ", ".json.gz", ".GZ", ".gz.txt", ".ndjson")])
+    suffixes = (".csv.gz", ".ndjson.GZ", ".json.gz", ".GZ", ".gz.txt", ".ndjson")
+    path = by_rest("page_id", 6, *[text(c("url"), s) for s in suffixes])
     return table(spark, sf_dir, "pages").select(
         "page_id", P.input_gzip_refused(path).alias("input_refused"), P.output_gzip_refused(path).alias("output_refused"),
         P.kind_of_path(path).alias("kind"),
@@ -623,7 +626,8 @@ def mixed_files(spark, sf_dir):
     suppliers = table(spark, sf_dir, "supplier")
     for rest, kind in enumerate(["txt", "md", "yml"]):
         _one_file_each(suppliers.where(c("s_suppkey") % 4 == rest), kind, folder)
-    rows = suppliers.where(c("s_suppkey") % 4 == 3).select("s_suppkey", c("s_name").alias("name"), c("s_nationkey").alias("nation"))
+    rows = suppliers.where(c("s_suppkey") % 4 == 3)
+    rows = rows.select("s_suppkey", c("s_name").alias("name"), c("s_nationkey").alias("nation"))
     rows.repartition("s_suppkey").write.partitionBy("s_suppkey").json(f"{folder}/json")
     # Overlapping inputs: every file counts once.
     return _supplier_fields(read_documents(spark, f"{folder}/**/*", f"{folder}/md/**/*.md"))

@@ -112,7 +112,7 @@ UNION ALL SELECT p_partkey, 1, 1, -p_size, p_type, 'true', NULL FROM part
 UNION ALL SELECT p_partkey, 2, 0, p_partkey, p_brand, NULL, p_size FROM part""",
     "toon_errors": """
 SELECT p_partkey, CASE p_partkey % 5 WHEN 0 THEN 'declared length differs' WHEN 1 THEN 'row width differs from header'
-    WHEN 2 THEN 'document must be an object' WHEN 3 THEN 'array row must be an object' END AS error
+    WHEN 2 THEN 'not an object' WHEN 3 THEN 'row is not an object' END AS error
 FROM part""",
     "row_index": """
 SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS row_index FROM orders""",

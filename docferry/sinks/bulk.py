@@ -27,6 +27,7 @@ from docferry.operators.batch import DEFAULT_BATCH_SIZE, DEFAULT_MAX_REQUESTS, b
 from docferry.operators.validate import enforce
 from docferry.sinks.transport import BulkRequest, Transport, load_transport
 
+# Seconds before a refused request is sent again, doubled up to the second.
 FIRST_WAIT = 1.0
 LONGEST_WAIT = 30.0
 

@@ -18,7 +18,7 @@ def check_output(path: str, n_inputs: int = 1) -> None:
     """Compressed output must end in ``.ndjson.gz``; several inputs need an NDJSON output."""
     low = path.lower()
     if low.endswith(".gz") and not low.endswith(".ndjson.gz"):
-        raise OutputError(f"unsupported compressed output: {path}")
+        raise OutputError(f"cannot write this kind of compressed file: {path}")
     if n_inputs > 1 and not re.search(r"\.ndjson(\.gz)?$", low):
         raise OutputError("several inputs need an output path ending in .ndjson or .ndjson.gz")
 

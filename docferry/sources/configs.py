@@ -31,7 +31,7 @@ def read_configs(spark: SparkSession, *values: str, kind: str = "template") -> D
     refused = F.coalesce(F.col("suffix").isin("jsonc", "json5"), F.lit(False)) if kind == "template" else ~json_suffix
     name = F.regexp_replace(file_name(F.col("path")), r"(?<=.)\.[^.]*$", "")
     error = (
-        F.when(name == "", f"{kind} name must not be empty")
+        F.when(name == "", f"a {kind} needs a name")
         .when(is_yaml, by_yaml["error"])
         .when(refused, F.concat(F.lit(f"unsupported {kind} suffix: "), F.coalesce("suffix", F.lit("none"))))
         .when(~valid, f"{kind} is not valid JSON")

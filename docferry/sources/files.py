@@ -57,21 +57,21 @@ def _named(files: DataFrame) -> DataFrame:
     )
 
 
-def _one(doc: Column, error: Column) -> Column:
-    """The result of a whole file: an array of ``struct(doc, error)``."""
-    return F.array(F.struct(doc.cast("string").alias("doc"), error.cast("string").alias("error")))
+def _result(doc: Column, error: Column) -> Column:
+    """The one document of a whole file, or its error."""
+    return F.struct(doc.cast("string").alias("doc"), error.cast("string").alias("error"))
 
 
 def _json_file(text: Column) -> Column:
     shape = root_shape(text)
-    error = F.when(shape == "array", "file must hold one JSON object, not an array").when(
-        shape != "object", "file must hold one JSON object"
+    error = F.when(shape == "array", "an array where one object should be").when(
+        shape != "object", "not one JSON object"
     )
-    return _one(F.when(error.isNull(), compact(text)), error)
+    return _result(F.when(error.isNull(), compact(text)), error)
 
 
 def _text_file(text: Column, field: str) -> Column:
-    return _one(wrap_content(text, field), _null())
+    return _result(wrap_content(text, field), _null())
 
 
 def _markdown_file(text: Column, fields: Column, field: str) -> Column:
@@ -79,27 +79,26 @@ def _markdown_file(text: Column, fields: Column, field: str) -> Column:
     content = F.to_json(F.struct(parts["body"].alias(field)))
     error = (
         F.when(parts["front"].isNull(), None)
-        .when(fields["error"].isNotNull(), F.concat(F.lit("invalid frontmatter: "), fields["error"]))
+        .when(fields["error"].isNotNull(), F.concat(F.lit("bad frontmatter: "), fields["error"]))
         .when(has_key(fields["doc"], field), "frontmatter has the content field")
     )
     doc = F.when(parts["front"].isNull(), wrap_fields(content)).when(
         error.isNull(), wrap_fields(join_objects(fields["doc"], content))
     )
-    return _one(doc, error)
+    return _result(doc, error)
 
 
 def _yaml_file(fields: Column, field: str) -> Column:
     error = F.when(
-        fields["error"].isNotNull(), F.concat(F.lit("invalid YAML document: "), fields["error"])
+        fields["error"].isNotNull(), F.concat(F.lit("bad YAML: "), fields["error"])
     ).when(has_key(fields["doc"], field), "YAML has the content field")
-    return _one(F.when(error.isNull(), wrap_fields(fields["doc"])), error)
+    return _result(F.when(error.isNull(), wrap_fields(fields["doc"])), error)
 
 
-def _rows(df: DataFrame, results: Column) -> DataFrame:
-    """Envelope rows from an array of results per file."""
-    valid = F.is_valid_utf8(F.col("text"))
-    results = F.when(valid, results).otherwise(_one(_null(), F.lit("file is not valid UTF-8 text")))
-    rows = df.select("path", F.lit(0).alias("block_start"), F.posexplode(results).alias("pos", "_r"))
+def _rows(files: DataFrame, result: Column) -> DataFrame:
+    """Envelope rows from one result per file."""
+    checked = F.when(F.is_valid_utf8(F.col("text")), result).otherwise(_result(_null(), F.lit("not UTF-8 text")))
+    rows = files.select("path", checked.alias("_r"), F.lit(0).alias("block_start"), F.lit(0).alias("pos"))
     return envelope(rows, F.col("_r.doc"), F.col("_r.error"))
 
 
@@ -112,7 +111,8 @@ def _with_metadata(df: DataFrame, metadata: bool) -> DataFrame:
 
 def read_json_files(spark: SparkSession, *values: str, metadata: bool = False) -> DataFrame:
     """Each file is one JSON object."""
-    return _with_metadata(_rows(_named(_whole_files(spark, list(values))), _json_file(F.col("text"))), metadata)
+    files = _named(_whole_files(spark, list(values)))
+    return _with_metadata(_rows(files, _json_file(F.col("text"))), metadata)
 
 
 def read_jsonl_files(spark: SparkSession, *values: str, metadata: bool = False) -> DataFrame:
@@ -168,14 +168,14 @@ def read_file_documents(
     is_markdown = suffix.isin(MARKDOWN_SUFFIXES)
     yaml_text = F.when(is_markdown, split_frontmatter(text)["front"]).when(suffix.isin(YAML_SUFFIXES), text)
     structured = structured.withColumn("fields", yaml_object(yaml_text))
-    results = (
+    result = (
         F.when(suffix == "json", _json_file(text))
         .when(is_markdown, _markdown_file(text, F.col("fields"), field))
         .otherwise(_yaml_file(F.col("fields"), field))
     )
     others = _named(whole.where(~_is(LINE_SUFFIXES + TOON_SUFFIXES + WHOLE_SUFFIXES)))
     toon = toon_pieces(scan(spark, values, lineSep=SEPARATOR).where(_is(TOON_SUFFIXES)))
-    parts = [lines, toon, _rows(structured, results), _rows(others, _text_file(text, field))]
+    parts = [lines, toon, _rows(structured, result), _rows(others, _text_file(text, field))]
     return _with_metadata(concat_documents(*parts), metadata)
 
 
@@ -195,11 +195,11 @@ def read_documents(spark: SparkSession, *values: str, field: str = "body") -> Da
     """
     check_content_field(field)
     if not values:
-        raise InputError("at least one input is required")
+        raise InputError("no input is given")
     for value in values:
         scheme = value.split("://", 1)[0] if "://" in value else None
         if scheme in ("http", "https"):
-            raise InputError(f"unsupported input scheme: {scheme}")
+            raise InputError(f"cannot read from {scheme} addresses")
     if len(values) == 1 and not has_glob(values[0]):
         value = local_form(values[0])
         kind = record_kind(value)
@@ -210,7 +210,7 @@ def read_documents(spark: SparkSession, *values: str, field: str = "body") -> Da
         if kind == "toon":
             return read_toon_file(spark, value)
         if value.lower().endswith(".gz"):
-            raise InputError(f"unsupported compressed input: {value}")
+            raise InputError(f"cannot read this compressed file: {value}")
     return read_file_documents(spark, *values, field=field)
 
 

@@ -98,7 +98,7 @@ def check_inputs(spark: SparkSession, values: list[str]) -> int:
     One row of counts comes back, whatever the number of files.
     """
     if not values:
-        raise InputError("at least one input is required")
+        raise InputError("no input is given")
     files = list_files(spark, values)
     path = F.col("path")
     found = files.agg(
@@ -109,10 +109,10 @@ def check_inputs(spark: SparkSession, values: list[str]) -> int:
     for i, value in enumerate(values):
         if found[f"n{i}"] == 0:
             if has_glob(value):
-                raise InputError(f"glob matches no regular file: {value}")
-            raise InputError(f"input is not a regular file: {value}")
+                raise InputError(f"no file matches: {value}")
+            raise InputError(f"no such file: {value}")
     if found["gzip"]:
-        raise InputError(f"unsupported compressed input: {found['gzip']}")
+        raise InputError(f"cannot read this compressed file: {found['gzip']}")
     return found["n"]
 
 

@@ -37,7 +37,7 @@ def toon_pieces(text: DataFrame) -> DataFrame:
         good = F.transform(decoded["docs"], lambda d: F.struct(d.alias("doc"), none.alias("error")))
         return F.when(decoded["error"].isNotNull(), bad).otherwise(good)
 
-    not_text = F.array(F.struct(F.lit(None).cast("string").alias("doc"), F.lit("file is not valid UTF-8 text").alias("error")))
+    not_text = F.array(F.struct(F.lit(None).cast("string").alias("doc"), F.lit("not UTF-8 text").alias("error")))
     results = F.when(
         F.is_valid_utf8(F.col("value")), F.flatten(F.transform(split_chunks(F.col("value")), documents))
     ).otherwise(not_text)
@@ -84,5 +84,5 @@ def _lone_table(spark: SparkSession, path: str) -> DataFrame | None:
         return None  # several documents, or an error that the general reader reports
     doc = toon_row(toon_header(header), line)
     rows = lines.where(is_toon_row(line)).withColumn("doc", doc)
-    error = F.when(~F.col("valid"), "file is not valid UTF-8 text").when(F.col("doc").isNull(), ROW_WIDTH)
+    error = F.when(~F.col("valid"), "not UTF-8 text").when(F.col("doc").isNull(), ROW_WIDTH)
     return envelope(rows, F.col("doc"), error)

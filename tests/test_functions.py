@@ -110,7 +110,7 @@ def test_yaml_object(spark):
         "t": "12:30:00",
     }
     assert json.loads(got[1]["doc"]) == {"k": "v"} and got[1]["error"] is None
-    assert got[2]["error"] == "root must be a mapping"
+    assert got[2]["error"] == "not a mapping"
     assert "repeated key" in got[3]["error"]
     assert got[4]["error"] and got[5]["error"]
 
@@ -132,7 +132,7 @@ def test_toon(spark):
         "id": 1, "name": "Al Pha", "active": True, "tags": ["s", 1], "none": [], "t": "10:30", "q": "a: b", "z": "007",
     }
     assert [g["error"] for g in got[2:]] == [
-        "declared length differs", "document must be an object", "array row must be an object", "no rows",
+        "declared length differs", "not an object", "row is not an object", "no rows",
         "declared length differs", "row width differs from header", "unsupported block", None, "unsupported block",
         "no rows",
     ]

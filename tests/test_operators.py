@@ -79,7 +79,7 @@ def test_explode_rows(spark):
     cases = {
         '{"rows":[{"a":1},{"a":2}]}': [('{"a":1}', None), ('{"a":2}', None)],
         '{"rows":[]}': [('{"rows":[]}', "no rows")],
-        '{"rows":[{"a":1},2]}': [('{"a":1}', None), ("2", "array row must be an object")],
+        '{"rows":[{"a":1},2]}': [('{"a":1}', None), ("2", "row is not an object")],
         '{"rows":[1],"b":2}': [('{"rows":[1],"b":2}', None)],
         '{"rows":{"a":1}}': [('{"rows":{"a":1}}', None)],
         "{}": [("{}", None)],
@@ -157,7 +157,7 @@ def test_check_target(spark):
         check_target(spark, "logs-a", TargetOptions("other", "{}", "t", TEMPLATE), known)
     with pytest.raises(ValueError, match="names no pipeline"):
         check_target(spark, "logs-a", TargetOptions("geo", "{}", "t", "{}"), known)
-    assert "missing" in check_target(spark, "a", TargetOptions(template_name="t", template_body="{}"), known)[0]
+    assert "no index_patterns" in check_target(spark, "a", TargetOptions(template_name="t", template_body="{}"), known)[0]
     assert check_target(spark, "a", TargetOptions(pipeline_name="_none"), none) == []
 
 

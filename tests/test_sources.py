@@ -198,18 +198,18 @@ def test_globs(spark, tmp_path):
 def test_input_refusals(spark, tmp_path):
     root = tmp_path / "c"
     corpus(root)
-    with pytest.raises(InputError, match="glob matches no regular file"):
+    with pytest.raises(InputError, match="no file matches"):
         check_inputs(spark, [f"{root}/*.md", f"{root}/s*"])
-    with pytest.raises(InputError, match="not a regular file"):
+    with pytest.raises(InputError, match="no such file"):
         check_inputs(spark, [f"{root}/a.md", f"{root}/sub"])
     with pytest.raises(InputError):
         read_documents(spark, f"{root}/none.md")
     with pytest.raises(InputError):
         read_documents(spark, f"{root}/*.none")
     write(root / "z.ndjson.gz", gzip.compress(b"{}\n"))
-    with pytest.raises(InputError, match="compressed"):
+    with pytest.raises(InputError, match="compressed file"):
         read_documents(spark, f"{root}/*.gz")
-    with pytest.raises(InputError, match="compressed"):
+    with pytest.raises(InputError, match="compressed file"):
         read_documents(spark, write(root / "z.json.gz", gzip.compress(b"{}")))
     for bad in ([], ["https://h/a.csv", f"{root}/a.md"], ["http://h/a.csv"]):
         with pytest.raises(InputError):
@@ -234,8 +234,8 @@ def test_single_file_kinds(spark, tmp_path):
     assert rows(read_yaml_files(spark, yml))[0]["error"] == "YAML has the content field"
     assert docs(read_yaml_files(spark, yml, field="other")) == [{"content": {"body": "x"}}]
     bad = write(tmp_path / "d.txt", b"\xff\xfe")
-    assert rows(read_documents(spark, bad))[0]["error"] == "file is not valid UTF-8 text"
-    for text, error in [("[1]", "not an array"), ("1", "one JSON object"), ("{", "one JSON object")]:
+    assert rows(read_documents(spark, bad))[0]["error"] == "not UTF-8 text"
+    for text, error in [("[1]", "an array where"), ("1", "not one JSON object"), ("{", "not one JSON object")]:
         path = write(tmp_path / "e.json", text)
         assert error in rows(read_json_files(spark, path))[0]["error"]
     lines = write(tmp_path / "f.jsonl", '{"a":1}\n[1]\n{\n')
@@ -249,7 +249,7 @@ def test_toon_record_mode(spark, tmp_path):
     path = write(tmp_path / "m.toon", "---\nid: 1\n---\nrows[2]{id}:\n  2\n  3\n --- \nid: 4\r\n---\r\nid: 5\n---\n\n---\nid: 6")
     assert [d["id"] for d in docs(read_documents(spark, path))] == [1, 2, 3, 4, 5, 6]
     bad = rows(read_documents(spark, write(tmp_path / "b.toon", b"id: \xff\n---\n[1]: a")))
-    assert [r["error"] for r in bad] == ["file is not valid UTF-8 text", "document must be an object"]
+    assert [r["error"] for r in bad] == ["not UTF-8 text", "not an object"]
 
 
 def test_large_toon_is_split(spark, tmp_path):
