@@ -153,7 +153,7 @@ def _toon_result(docs: Column | None, error: Column) -> Column:
 
 
 def _declared(line: Column, pattern: str) -> Column:
-    return F.regexp_extract(line, pattern, 2).cast("bigint")
+    return F.coalesce(F.regexp_extract(line, pattern, 2).try_cast("bigint"), F.lit(-1))
 
 
 ROW_WIDTH = "row width differs from header"

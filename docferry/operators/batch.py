@@ -33,6 +33,24 @@ def with_row_index(df: DataFrame, order_by=READING_ORDER) -> DataFrame:
     return number_sorted(df.orderBy(*_columns(order_by)))
 
 
+def _part() -> Column:
+    return F.shiftright("_place", _ROW_BITS).alias("_part")
+
+
+def _part_starts(placed: DataFrame, amount: Column) -> DataFrame:
+    """What comes before each partition: ``_part``, ``_start``.
+
+    One row per partition of the sort, however many rows there are: small enough for one
+    window and for a broadcast.
+    """
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    return (
+        placed.groupBy(_part())
+        .agg(F.sum(amount).alias("_n"))
+        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    )
+
+
 def number_sorted(df: DataFrame) -> DataFrame:
     """Number the rows of a sorted DataFrame in their order.
 
@@ -41,30 +59,61 @@ def number_sorted(df: DataFrame) -> DataFrame:
     partitions.
     """
     placed = stage(df.withColumn("_place", F.monotonically_increasing_id()), "row-index")
-    part = F.shiftright("_place", _ROW_BITS)
-    # One row per partition of the sort, however many rows there are: small enough for one
-    # window and for a broadcast.
-    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
-        placed.groupBy(part.alias("_part"))
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    )
     row = F.col("_place").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))
     return (
-        placed.withColumn("_part", part)
-        .join(F.broadcast(starts), "_part")
+        placed.withColumn("_part", _part())
+        .join(F.broadcast(_part_starts(placed, F.lit(1))), "_part")
         .withColumn("row_index", F.col("_start") + row)
         .drop("_place", "_part", "_start")
     )
 
 
-def assign_batches(df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, order_by=READING_ORDER) -> DataFrame:
+def number_as_read(df: DataFrame) -> DataFrame:
+    """Number documents in reading order without moving them.
+
+    For rows as a reader gave them, at most filtered or with other columns since: the rows
+    of a file block then still follow each other in one task. So only the blocks, one row
+    each, are sorted and summed, and the documents are staged but not shuffled. Refuses
+    rows that have been moved.
+    """
+    placed = stage(df.withColumn("_place", F.monotonically_increasing_id()), "as-read")
+    pos, place = F.col("pos"), F.col("_place")
+    blocks = placed.groupBy("path", "block_start").agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.min(place).alias("_first"),
+        F.max(place).alias("_last"),
+        ((F.min_by(pos, place) == F.min(pos)) & (F.max_by(pos, place) == F.max(pos))).alias("_ordered"),
+    )
+    blocks = stage(blocks.orderBy("path", "block_start").withColumn("_place", F.monotonically_increasing_id()), "blocks")
+    whole = F.col("_ordered") & (F.col("_last") - F.col("_first") + 1 == F.col("_n"))
+    if not blocks.where(~whole).isEmpty():
+        raise ValueError("rows are not as they were read; name the order to sort by")
+    inside = Window.partitionBy("_part").orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    starts = (
+        blocks.withColumn("_part", _part())
+        .join(F.broadcast(_part_starts(blocks, F.col("_n"))), "_part")
+        .withColumn("_base", F.col("_start") + F.coalesce(F.sum("_n").over(inside), F.lit(0)) - F.col("_first"))
+        .select("path", "block_start", "_base")
+    )
+    # Staged, so that Spark knows its size: it is broadcast if that is small, joined if not.
+    return (
+        placed.join(stage(starts, "block-starts"), ["path", "block_start"])
+        .withColumn("row_index", F.col("_base") + place)
+        .select(*df.columns, "row_index")
+    )
+
+
+def assign_batches(
+    df: DataFrame, batch_size: int = DEFAULT_BATCH_SIZE, order_by=READING_ORDER, as_read: bool = False
+) -> DataFrame:
     """Add ``batch_id`` and ``batch_pos``: consecutive batches of ``batch_size`` rows, the
-    last one short."""
+    last one short.
+
+    ``as_read`` tells that the rows are still as a reader gave them, which saves the sort.
+    """
     if batch_size < 1:
         raise ValueError("batch size must be at least 1")
-    numbered = with_row_index(df, order_by)
+    numbered = number_as_read(df) if as_read else with_row_index(df, order_by)
     size = F.lit(batch_size)
     return numbered.withColumns(
         {

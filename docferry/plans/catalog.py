@@ -620,6 +620,17 @@ for _name, _kind, _read in [
     query(_build)
 
 
+@query
+def batches_as_read(spark, sf_dir):
+    path = scratch_dir(spark, "as-read")
+    write_ndjson(event_docs(spark, sf_dir), path)
+    docs = validate.enforce(read_ndjson(spark, path), "keep")
+    batches = batch.assign_batches(docs, 700, as_read=True)
+    return batches.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("n"), (F.max("batch_pos") - F.min("batch_pos") + 1).alias("n_places")
+    )
+
+
 @query
 def mixed_files(spark, sf_dir):
     folder = scratch_dir(spark, "files")

@@ -197,6 +197,9 @@ SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role,
     "concat_inputs": """
 SELECT kind, count(*) AS n FROM (SELECT event_type AS kind FROM events UNION ALL SELECT o_orderstatus FROM orders)
 GROUP BY kind""",
+    "batches_as_read": """
+SELECT batch_id, count(*) AS n, CAST(count(*) AS INTEGER) AS n_places
+FROM (SELECT (row_number() OVER (ORDER BY event_id) - 1) // 700 AS batch_id FROM events) GROUP BY batch_id""",
     "text_files": f"""
 SELECT s_suppkey, CAST(NULL AS VARCHAR) AS name, CAST(NULL AS INTEGER) AS nation,
     s_name || {LF} || 'from ' || s_nationkey || {LF} AS body

@@ -72,15 +72,17 @@ def _lone_table(spark: SparkSession, path: str) -> DataFrame | None:
     )
     line = F.col("line")
     head = lines.where((F.col("block_start") == 0) & ~line.rlike(r"^\s*$")).first()
-    if head is None or not spark.range(1).select(is_toon_header(F.lit(head["line"]))).first()[0]:
+    if head is None:
         return None
     header = F.lit(head["line"])
+    is_header, declared = spark.range(1).select(is_toon_header(header), toon_length(header)).first()
+    if not is_header:
+        return None
     found = lines.agg(
         F.count_if(~line.rlike(r"^\s*$") & ~is_toon_row(line)).alias("others"),
         F.count_if(is_toon_row(line)).alias("rows"),
-        F.first(toon_length(header)).alias("declared"),
     ).first()
-    if found["others"] != 1 or found["rows"] != found["declared"] or found["rows"] == 0:
+    if found["others"] != 1 or found["rows"] != declared or found["rows"] == 0:
         return None  # several documents, or an error that the general reader reports
     doc = toon_row(toon_header(header), line)
     rows = lines.where(is_toon_row(line)).withColumn("doc", doc)

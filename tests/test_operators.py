@@ -7,6 +7,8 @@ from docferry.operators import account, batch, shape, target, validate
 from docferry.operators.target import TargetOptions
 from docferry.plans.load import check_target
 from docferry.session import scratch_dir
+from docferry.sources.files import concat_documents
+from docferry.sources.ndjson import read_ndjson
 
 
 def numbered(spark, n, parts=7):
@@ -46,6 +48,32 @@ def test_batches(spark, n, size):
     assert all(r["id"] == r["batch_id"] * size + r["batch_pos"] for r in got)
 
 
+def test_numbering_as_read(spark, tmp_path):
+    for i, n in enumerate([700, 0, 3, 1200, 41]):
+        (tmp_path / f"{4 - i}.ndjson").write_text("".join(f'{{"f":{4 - i},"i":{j}}}\n' for j in range(n)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    spark.conf.set("spark.sql.files.openCostInBytes", "100")
+    try:
+        docs = read_ndjson(spark, str(tmp_path))
+        assert docs.select("block_start").distinct().count() > 3
+        kept = docs.where("pos % 3 <> 1")
+        for df in (docs, kept, concat_documents(kept.where("name < '3'"), kept.where("name >= '3'")).coalesce(2)):
+            got = {r["doc"]: r["row_index"] for r in batch.number_as_read(df).collect()}
+            assert got == {r["doc"]: r["row_index"] for r in batch.with_row_index(df).collect()}
+            assert sorted(got.values()) == list(range(len(got)))
+        plan = batch.number_as_read(docs)._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" not in plan and "Exchange hashpartitioning(path" not in plan
+        sizes = batch.assign_batches(docs, 100, as_read=True).groupBy("batch_id").count().orderBy("batch_id").collect()
+        assert [r["count"] for r in sizes] == [100] * 19 + [44]
+        with pytest.raises(ValueError, match="not as they were read"):
+            batch.number_as_read(docs.repartition(5))
+        with pytest.raises(ValueError, match="not as they were read"):
+            batch.number_as_read(docs.union(docs))
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_batch_size_must_be_positive(spark):
     with pytest.raises(ValueError):
         batch.assign_batches(spark.range(1), 0, "id")
