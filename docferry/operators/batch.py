@@ -117,7 +117,7 @@ def assign_batches(
     size = F.lit(batch_size)
     return numbered.withColumns(
         {
-            "batch_id": F.floor(F.col("row_index") / size).cast("bigint"),
+            "batch_id": F.call_function("div", F.col("row_index"), size),
             "batch_pos": (F.col("row_index") % size).cast("int"),
         }
     ).drop("row_index")

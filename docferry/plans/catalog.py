@@ -239,13 +239,8 @@ def explode_rows(spark, sf_dir):
         F.to_json(F.struct(c("l_suppkey").alias("key"))),
     )
     docs = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", doc.alias("doc"))
-    return shape.explode_rows(docs).select(
-        "l_orderkey",
-        "l_linenumber",
-        "row",
-        F.get_json_object("doc", "$.key").cast("bigint").alias("key"),
-        F.get_json_object("doc", "$.of").alias("of"),
-    )
+    rows = shape.explode_rows(docs).withColumn("f", F.from_json("doc", "key bigint, of string"))
+    return rows.select("l_orderkey", "l_linenumber", "row", "f.key", "f.of")
 
 
 @query
@@ -255,15 +250,10 @@ def toon_rows(spark, sf_dir):
         c("p_type"), ",true\n---\nid: ", c("p_partkey"), "\nname: ", c("p_brand"), "\nsizes[2]: ", c("p_size"), ",x\n",
     )
     docs = table(spark, sf_dir, "part").select("p_partkey", whole.alias("text"))
-    return shape.toon_rows(docs).select(
-        "p_partkey",
-        "idx",
-        "row",
-        F.get_json_object("doc", "$.id").cast("bigint").alias("id"),
-        F.get_json_object("doc", "$.name").alias("name"),
-        F.get_json_object("doc", "$.size").alias("size"),
-        F.get_json_object("doc", "$.sizes[0]").cast("bigint").alias("first_size"),
-    )
+    schema = "id bigint, name string, size string, sizes array<string>"
+    rows = shape.toon_rows(docs).withColumn("f", F.from_json("doc", schema))
+    first_size = F.get(c("f.sizes"), F.lit(0)).cast("bigint")
+    return rows.select("p_partkey", "idx", "row", "f.id", "f.name", "f.size", first_size.alias("first_size"))
 
 
 @query

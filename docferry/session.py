@@ -42,5 +42,5 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     ``checkpoint()``, so that later passes read only the columns they need.
     """
     path = scratch_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
