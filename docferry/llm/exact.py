@@ -1,7 +1,8 @@
 """Exact duplicates by a distributed content sort.
 
-Rows are range-partitioned by (normalised text, identifier) with sampled splitters and
-sorted outside memory, so equal texts are neighbours. Each task walks its sorted rows once
+Rows are range-partitioned by (normalised text, identifier) with sampled splitters, of which
+long texts give their beginning and a hash, and sorted outside memory, so equal texts are
+neighbours. Each task walks its sorted rows once
 and compares neighbours in full. As the identifier is part of the range, a group that
 holds a third of all rows is spread over many tasks; its pieces are put together from the
 first and last run of every partition, which are two records per partition.
@@ -20,6 +21,8 @@ from pyspark.sql import types as T
 
 from docferry.llm.common import lower_ascii, stage
 
+#: Letters of a text that range splitters see.
+HEAD = 48
 PLAN = "part int, run long, first boolean, size long, sha string, edge binary"
 
 
@@ -80,11 +83,14 @@ def sorted_runs(docs: DataFrame, id_col: str, text_col: str, columns: list[str],
     rows = docs.select(*(F.col(f"`{c}`").alias(v) for c, v in inner.items()), text.alias("_docferry_t"))
     key = F.col(inner[id_col])
     norm = lower_ascii(F.col("_docferry_t"))
-    # The sort value is made again after the exchange, so each text is sent once.
+    # Splitters are samples of the first letters and a hash of the rest, so that what the driver
+    # sees of a text is bounded. The sort value is made after the exchange: each text is sent once.
     ranged = (
-        rows.repartitionByRange(norm.asc(), key.desc())
+        rows.repartitionByRange(F.substring(norm, 1, HEAD), F.xxhash64(norm), key.desc())
         .withColumn("_docferry_norm", norm)
-        .sortWithinPartitions(F.col("_docferry_norm").asc(), key.desc())
+        .withColumn("_docferry_head", F.substring("_docferry_norm", 1, HEAD))
+        .withColumn("_docferry_hash", F.xxhash64("_docferry_norm"))
+        .sortWithinPartitions("_docferry_head", "_docferry_hash", "_docferry_norm", key.desc())
         .select(*inner.values(), F.col("_docferry_t").cast("binary").alias("_docferry_text"))
     )
     plan = T.StructType([*(f for f in ranged.schema if f.name != "_docferry_text"), *T._parse_datatype_string(PLAN)])
