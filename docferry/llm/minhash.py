@@ -10,8 +10,9 @@
 3. A posting list is not joined with itself. Each member meets the centre of its list,
    collisions of the full signatures are counted, pairs above ``MATCHES`` are confirmed on
    the full sets, and confirmed links make components. Lists whose members lie in one
-   component are done. The rest meet another centre, and at last, exactly, all their members
-   that still lie in different components meet each other.
+   component are done. The rest meet another centre, and at last all their members that
+   still lie in different components meet each other, but for pairs whose shingles that no
+   other set in question has rule out a link.
 
 So a group of copies of any size costs a number of pairs in proportion to its size, and no
 link between different components is left out.
@@ -183,37 +184,46 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # Pairs held once come first in the order and meet nobody, so they only shorten the prefix.
     ranked = shared.groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("held", "pair"))).alias("p"))
     alone = F.lit(COORDINATES) - F.size("p")
+    # A text that others were made from shares more, and in longer lists, than its copies do.
+    central = F.aggregate("p", F.lit(0).cast("long"), lambda s, x: s + x["held"]).alias("central")
     prefix = stage(
-        ranked.where(alone < PREFIX).select("rep", F.explode(F.slice("p", 1, PREFIX - alone)).alias("p")).select("rep", "p.pair"), "near-prefixes"
+        ranked.where(alone < PREFIX).select("rep", central, F.explode(F.slice("p", 1, PREFIX - alone)).alias("p")).select("rep", "central", "p.pair"),
+        "near-prefixes",
     )
     sigs = classes.select("rep", "sig", "n")
-    comps = links = None
+    comps = links = sets = None
     for step in range(ROUNDS + 1):
         lists = prefix.withColumn("comp", F.col("rep")) if comps is None else (
-            prefix.join(comps, prefix["rep"] == comps["node"], "left").select("rep", "pair", F.coalesce("comp", "rep").alias("comp"))
+            prefix.join(comps, prefix["rep"] == comps["node"], "left").select("rep", "central", "pair", F.coalesce("comp", "rep").alias("comp"))
         )
-        order = F.struct(F.xxhash64("rep", F.lit(step)).alias("o"), "rep", "comp") if step else F.struct("rep", "comp")
-        centres = lists.groupBy("pair").agg(F.min(order).alias("c"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+        within = lists.groupBy("pair", "comp").agg(F.count("*").alias("k"), F.max(F.struct("central", "rep")).alias("c"))
+        mixed = within.groupBy("pair").agg(F.count("*").alias("comps"), F.max(F.struct("k", "comp")).alias("main")).where("comps > 1")
+        mixed = mixed.select("pair", F.col("main.comp").alias("main"))
         if step < ROUNDS:
-            meet = lists.join(centres.select("pair", F.col("c.rep").alias("other"), F.col("c.comp").alias("other_comp")), "pair")
-            meet = meet.where("comp != other_comp").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
+            # The centre is the most central member; later the most central one outside the largest component.
+            outside = within.join(mixed, "pair").where("comp != main") if step else within.join(mixed.select("pair"), "pair", "left_semi")
+            centres = outside.groupBy("pair").agg(F.max("c").alias("c")).select("pair", F.col("c.rep").alias("other"))
+            meet = lists.join(centres, "pair").where("rep != other").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
         else:
             # Members outside the list's largest component meet everyone of another component.
-            mixed = stage(lists.join(centres.select("pair"), "pair", "left_semi"), "near-mixed")
-            if mixed.isEmpty():
+            left = stage(lists.join(mixed, "pair"), "near-mixed")
+            if left.isEmpty():
                 break
-            sizes = mixed.groupBy("pair", "comp").agg(F.count("*").alias("k"))
-            main = sizes.groupBy("pair").agg(F.max(F.struct("k", "comp")).alias("m")).select("pair", F.col("m.comp").alias("main"))
-            marked = mixed.join(main, "pair")
-            few = marked.where("comp != main").select("pair", F.col("rep").alias("x"), F.col("comp").alias("xc"))
-            meet = few.join(marked, "pair").where("comp != xc and (comp = main or xc < comp)")
-            meet = meet.select(F.least("x", "rep").alias("a"), F.greatest("x", "rep").alias("b"))
+            sets = _full_sets(left.select("rep"), classes, rows, words, kind)
+            left = left.join(_sharing(sets), "rep").where("10 * sharing >= 8 * size")
+            few = left.where("comp != main").select("pair", *(F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "size", "sharing")))
+            meet = few.join(left, "pair").where("comp != x_comp and (comp = main or x_comp < comp)")
+            # Common shingles are at most what either shares with anyone; 0.8 asks for 4/9 of both sizes.
+            meet = meet.where("9 * least(sharing, x_sharing) >= 4 * (size + x_size)")
+            meet = meet.select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
         pairs = meet.distinct()
         one, two = (sigs.select(F.col("rep").alias(c), F.col("sig").alias(f"s{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
         counted = pairs.join(one, "a").join(two, "b").where("100 * least(na, nb) >= 80 * greatest(na, nb)")
         likely = stage(counted.where(_collisions("sa", "sb") >= MATCHES).select("a", "b"), "near-likely")
         if not likely.isEmpty():
-            new = _confirm(likely, classes, rows, words, kind)
+            made = _full_sets(likely.select(F.col("a").alias("rep")).union(likely.select("b")), classes, rows, words, kind) if sets is None else sets
+            one, two = (made.select(F.col("rep").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
+            new = stage(likely.join(one, "a").join(two, "b").where(_linked("set_a", "set_b")).select("a", "b"), "near-links")
             links = new if links is None else links.unionByName(new)
             comps = components(links)
     named = classes.select("rep", "digest", F.col("id").alias("class_id"))
@@ -230,14 +240,26 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
 
 
-def _confirm(likely: DataFrame, classes: DataFrame, rows: DataFrame, words: int, kind: str) -> DataFrame:
-    """The pairs whose full sets are linked."""
-    needed = likely.select(F.col("a").alias("rep")).union(likely.select("b")).distinct()
-    wanted = stage(classes.join(needed, "rep", "left_semi").select("rep", F.col("id").alias("wid"), F.col("digest").alias("wdigest")), "near-wanted")
-    # Texts are read again, and sets made and kept, for the representatives in question only.
+def _full_sets(reps: DataFrame, classes: DataFrame, rows: DataFrame, words: int, kind: str) -> DataFrame:
+    """(rep, shingles): the sets of these representatives, made again from their texts."""
+    wanted = classes.join(reps.distinct(), "rep", "left_semi").select("rep", F.col("id").alias("wid"), F.col("digest").alias("wdigest"))
+    wanted = stage(wanted, "near-wanted")
     texts = rows.join(wanted.select("wid").distinct(), F.col("id").eqNullSafe(F.col("wid")), "left_semi")
     made = texts.mapInArrow(_describe(words, True), f"id {kind}, digest binary, shingles binary")
     found = made.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("digest") == F.col("wdigest")))
-    sets = stage(found.groupBy("rep").agg(F.first("shingles").alias("shingles")), "near-full-sets")
-    one, two = (sets.select(F.col("rep").alias(c), F.col("shingles").alias(f"set_{c}")) for c in "ab")
-    return stage(likely.join(one, "a").join(two, "b").where(_linked("set_a", "set_b")).select("a", "b"), "near-links")
+    return stage(found.groupBy("rep").agg(F.first("shingles").alias("shingles")), "near-full-sets")
+
+
+def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for rep, data in zip(batch.column(0), batch.column(1), strict=True):
+            shingles = np.frombuffer(data.as_buffer(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(shingles), rep.as_py())), pa.array(shingles)], names=["rep", "shingle"])
+
+
+def _sharing(sets: DataFrame) -> DataFrame:
+    """(rep, size, sharing): a set's shingles, and how many of them some other of these sets has too."""
+    once = sets.mapInArrow(_exploded, "rep long, shingle long").groupBy("shingle").agg(F.count("*").alias("n"), F.first("rep").alias("rep")).where("n = 1")
+    size = sets.select("rep", (F.octet_length("shingles") / 8).cast("long").alias("size"))
+    own = once.groupBy("rep").agg(F.count("*").alias("own"))
+    return size.join(own, "rep", "left").select("rep", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("sharing"))
