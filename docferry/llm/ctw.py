@@ -26,11 +26,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docferry.llm.common import crc_class, stage
+from docferry.llm.common import crc_class, n_tasks, stage
 
 DEPTH = 5
 END, BEFORE = 0xFF, 0x00  # bytes that no UTF-8 text holds, and the context before a text
-CHUNK_BYTES, BLOCK_BYTES = 24_000_000, 6_000_000
+CHUNK_BYTES, BLOCK_BYTES = 32_000_000, 6_000_000
 FOLDS, HELD_OUT = 7, 2
 _HALF = np.log(0.5)
 
@@ -38,15 +38,17 @@ _HALF = np.log(0.5)
 def grams_of(texts: list[bytes], depth: int = DEPTH) -> np.ndarray:
     """The context and byte of every place of the texts: ``depth`` + 1 bytes, the byte lowest."""
     lead, tail = bytes([BEFORE]) * depth, bytes([END])
-    data = np.frombuffer(b"".join(lead + t + tail for t in texts), np.uint8).astype(np.int64)
-    key = data[: len(data) - depth].copy()
-    for i in range(1, depth + 1):
-        key <<= 8
-        key |= data[i : len(data) - depth + i]
-    n = np.array([len(t) + 1 for t in texts])
-    keep = np.ones(len(key), bool)
+    data = b"".join(lead + t + tail for t in texts)
+    # Eight bytes from every place on, read as one big-endian number; the upper ones are cut off.
+    n = len(data) - depth
+    eight = np.ndarray((n,), ">u8", bytes(7 - depth) + data, strides=(1,))
+    key = (eight.astype(np.int64)) & ((1 << 8 * (depth + 1)) - 1)
+    if len(texts) == 1:
+        return key
+    keep = np.ones(n, bool)
+    ends = np.cumsum([len(t) + 1 + depth for t in texts])[:-1]
     for i in range(depth):  # places that reach over from one text into the next
-        keep[(np.cumsum(n + depth) - depth + i)[:-1]] = False
+        keep[ends - depth + i] = False
     return key[keep]
 
 
@@ -87,23 +89,25 @@ class _Chunk:
         self.blocks, self.waiting = {True: [], False: []}, 0
 
     def tables(self) -> list:
+        from xxhash import xxh3_64_intdigest
+
         self.flush()
         words = list(self.learned) + list(self.words - self.learned.keys())
         keys, n = _counted(*(np.concatenate(x) for x in zip(*self.parts, strict=True))) if self.parts else (np.empty(0, np.int64),) * 2
-        return [words, [self.learned[w] for w in words], keys, n]
+        return [words, [xxh3_64_intdigest(w) - (1 << 63) for w in words], [self.learned[w] for w in words], keys, n]
 
 
 def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Documents with their chunk; a chunk's last row carries its tables."""
     part, number, chunk = TaskContext.get().partitionId() << 24, 0, _Chunk()
     waiting: list | None = None
-    kinds = [pa.int64(), None, pa.bool_(), pa.binary(), pa.list_(pa.binary()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64())]
-    names = ["chunk", "id", "held", "text", "words", "word_n", "grams", "gram_n"]
+    kinds = [pa.int64(), None, pa.bool_(), pa.binary(), pa.list_(pa.binary()), *[pa.list_(pa.int64())] * 4]
+    names = ["chunk", "id", "held", "text", "words", "word_h", "word_n", "grams", "gram_n"]
 
     def rows(ids, helds, texts, tables):
         n = len(texts)
         kinds[1] = ids.type
-        filled = [[None] * (n - 1) + [x] if tables else [None] * n for x in (tables or [None] * 4)]
+        filled = [[None] * (n - 1) + [x] if tables else [None] * n for x in (tables or [None] * 5)]
         columns = [[part + number] * n, ids, helds, texts, *filled]
         return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
 
@@ -234,19 +238,27 @@ class Lookup:
 def _scored(seen: int, kinds: int):
     def run(key, docs: pa.Table, tables: pa.Table) -> pa.Table:
         flat = lambda name: tables.column(name).combine_chunks().flatten()
-        counts = dict(zip(flat("words").to_pylist(), flat("word_c").to_pylist(), strict=True))
+        # The chunk's words lie in one of its documents' rows, in the order of the counts' places.
+        words = docs.column("words").combine_chunks().flatten().to_pylist()
+        count = np.zeros(len(words), np.int64)
+        count[flat("word_at").to_numpy(zero_copy_only=False)] = flat("word_c").to_numpy(zero_copy_only=False)
+        counts = dict(zip(words, count.tolist(), strict=True))
         lengths = Lookup(flat("grams").to_numpy(zero_copy_only=False), flat("log_p").to_numpy(zero_copy_only=False))
+        # The end counts as known where any document was learned from.
+        end = tables.column("docs_learned")[0].as_py()
+        level = np.log10(seen + kinds + 1)
         out: list[list] = [[], [], [], []]
-        for text in docs.column("text"):
-            text = text.as_py()
-            tokens = text.split()
-            c = np.fromiter(map(counts.__getitem__, tokens), np.int64, len(tokens))
-            # The end counts as known where any document was learned from.
-            end = tables.column("docs_learned")[0].as_py()
-            base = float(np.log10((c + 1) / (seen + kinds + 1)).sum() + np.log10((end + 1) / (seen + kinds + 1)))
-            row = (len(tokens) + 1, int((c > 0).sum()) + (end > 0), base, float(lengths(grams_of([text])).sum()))
-            for column, value in zip(out, row, strict=True):
-                column.append(value)
+        texts = docs.column("text")
+        for lo in range(0, len(texts), 256):
+            block = texts.slice(lo, 256).to_pylist()
+            coded = lengths(grams_of(block))
+            out[3] += np.add.reduceat(coded, np.cumsum([0] + [len(t) + 1 for t in block[:-1]])).tolist()
+            for text in block:
+                tokens = text.split()
+                c = np.fromiter(map(counts.__getitem__, tokens), np.int64, len(tokens))
+                out[0].append(len(tokens) + 1)
+                out[1].append(int(np.count_nonzero(c)) + (end > 0))
+                out[2].append(float(np.log10(c + 1).sum() + np.log10(end + 1) - (len(tokens) + 1) * level))
         ids, held = docs.column("id").combine_chunks(), docs.column("held").combine_chunks()
         n = pa.array(np.full(len(ids), seen, np.int64))
         return pa.table([ids, held, pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), n, pa.array(out[2], pa.float64()), pa.array(out[3], pa.float64())],
@@ -269,19 +281,23 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"),
     )
     kind = rows.schema["id"].dataType.simpleString()
-    lists = "words array<binary>, word_n array<long>, grams array<long>, gram_n array<long>"
+    lists = "words array<binary>, word_h array<long>, word_n array<long>, grams array<long>, gram_n array<long>"
     survey = stage(rows.mapInArrow(_survey, f"chunk long, id {kind}, held boolean, text binary, {lists}"), "lm-survey")
     chunks = survey.where("grams is not null")
 
-    words = chunks.select("chunk", F.explode(F.arrays_zip("words", "word_n")).alias("w")).select("chunk", "w.words", "w.word_n")
-    counts = stage(words.groupBy("words").agg(F.sum("word_n").alias("word_c")), "lm-words")
+    # Words meet by a 64-bit hash, which is shorter than they are.
+    words = chunks.select("chunk", F.posexplode(F.arrays_zip("word_h", "word_n")).alias("at", "w")).select("chunk", "at", "w.word_h", "w.word_n")
+    counts = stage(words.groupBy("word_h").agg(F.sum("word_n").alias("word_c")), "lm-words")
     learned = survey.where("not held").count()
     total = counts.where("word_c > 0").agg(F.coalesce(F.sum("word_c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     seen, kinds = total.n + learned, total.v + (learned > 0)
-    word_lists = words.join(counts, "words").groupBy("chunk").agg(F.collect_list("words").alias("words"), F.collect_list("word_c").alias("word_c"))
+    known = words.select("chunk", "at", "word_h").join(counts.where("word_c > 0"), "word_h")
+    word_lists = known.groupBy("chunk").agg(F.collect_list("at").alias("word_at"), F.collect_list("word_c").alias("word_c"))
 
     grams = chunks.select("chunk", F.explode(F.arrays_zip("grams", "gram_n")).alias("g")).select("chunk", "g.grams", "g.gram_n")
-    sums = stage(grams.groupBy("grams").agg(F.sum("gram_n").alias("n")).withColumn("near", F.shiftright("grams", 8).bitwiseAND(0xFFFF)), "lm-grams")
+    # All grams with the same two nearest bytes lie in one group; a group holds several such subtrees.
+    subtree = F.pmod(F.xxhash64(F.shiftright("grams", 8).bitwiseAND(0xFFFF)), F.lit(4 * n_tasks(docs.sparkSession)))
+    sums = stage(grams.groupBy("grams").agg(F.sum("gram_n").alias("n")).withColumn("near", subtree), "lm-grams")
 
     def settle(table: pa.Table) -> pa.Table:
         key, n, ones, log_p = _subtrees(table.column("grams").to_numpy(), table.column("n").to_numpy())
@@ -299,11 +315,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 
     coded = stage(sums.groupBy("near").applyInArrow(lengths, "grams long, log_p double"), "lm-lengths")
     gram_lists = grams.select("chunk", "grams").join(coded, "grams").groupBy("chunk").agg(F.collect_list("grams").alias("grams"), F.collect_list("log_p").alias("log_p"))
-    # A chunk of empty texts has no words.
-    none = F.array().cast("array<binary>"), F.array().cast("array<bigint>")
+    # A chunk may hold no word that was learned.
     tables = gram_lists.join(word_lists, "chunk", "left").select(
-        F.col("chunk").alias("of"), F.coalesce("words", none[0]).alias("words"), F.coalesce("word_c", none[1]).alias("word_c"), "grams", "log_p", F.lit(learned).alias("docs_learned")
-    )
+        F.col("chunk").alias("of"),
+        F.coalesce("word_at", F.array().cast("array<int>")).alias("word_at"),
+        F.coalesce("word_c", F.array().cast("array<bigint>")).alias("word_c"),
+        "grams", "log_p", F.lit(learned).alias("docs_learned"),
+    )
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    texts = survey.select("chunk", "id", "held", "text")
+    texts = survey.select("chunk", "id", "held", "text", "words")
     return texts.groupBy("chunk").cogroup(tables.groupBy("of")).applyInArrow(_scored(seen, kinds), schema).withColumnRenamed("id", id_col)
