@@ -149,6 +149,6 @@ def search(
     everywhere = rest.join(blocks.where("tab = 0").select(*place), "dim")
     out = first
     if not rest.isEmpty():
-        again = meet(everywhere.select("row", "id", "vector", *place))
+        again = meet(everywhere.select("row", "id", "vector", *(F.col(c).alias(c) for c in place)))
         out = first.join(short, first["query_id"] == short["id"], "left_anti").unionByName(again)
     return out.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")

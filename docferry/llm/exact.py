@@ -76,7 +76,7 @@ def _walk(columns: list[str], schema: pa.Schema, all_rows: bool):
 def sorted_runs(docs: DataFrame, id_col: str, text_col: str, columns: list[str], all_rows: bool) -> DataFrame:
     """One row per document (or per run) with its run, after joining runs across partitions.
 
-    Adds ``keep_id``, ``group_size``, ``text_sha256`` and ``kept`` to ``columns``.
+    Behind ``columns`` come ``_docferry_keep``, ``_docferry_size``, ``_docferry_kept`` and ``_docferry_sha``.
     """
     inner = {c: f"_docferry_c{i}" for i, c in enumerate(dict.fromkeys([*columns, id_col]))}
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
@@ -119,10 +119,10 @@ def sorted_runs(docs: DataFrame, id_col: str, text_col: str, columns: list[str],
     local = F.col("run_keep") if heads is not None else key
     return joined.select(
         *(F.col(v).alias(c) for c, v in inner.items() if c in columns),
-        F.when(F.col("all").isNull(), local).otherwise(F.col("all_keep")).alias("keep_id"),
-        F.coalesce("all", "size").alias("group_size"),
-        (F.col("first") & F.coalesce("wins", F.lit(True))).alias("kept"),
-        F.col("sha").alias("text_sha256"),
+        F.when(F.col("all").isNull(), local).otherwise(F.col("all_keep")).alias("_docferry_keep"),
+        F.coalesce("all", "size").alias("_docferry_size"),
+        (F.col("first") & F.coalesce("wins", F.lit(True))).alias("_docferry_kept"),
+        F.col("sha").alias("_docferry_sha"),
     )
 
 
@@ -133,10 +133,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     with the largest identifier stays (null counts as smallest); of rows that repeat one
     identifier and text, one stays. An empty table gives an empty result.
     """
-    return sorted_runs(docs, id_col, text_col, [id_col], True)
+    return sorted_runs(docs, id_col, text_col, [id_col], True).toDF(id_col, "keep_id", "group_size", "kept", "text_sha256")
 
 
 def drop_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows that stay, with all their columns unchanged."""
     out = sorted_runs(docs, id_col, text_col, docs.columns, False)
-    return out.where("kept").select(*(f"`{c}`" for c in docs.columns))
+    return out.where("_docferry_kept").select(*(f"`{c}`" for c in docs.columns))

@@ -35,6 +35,8 @@ def split_text(text: str) -> list[str]:
     """
     if not text:
         return []
+    if "▁" in text:  # the library's own sign for a blank
+        text = text.replace("▁", " ")
     if "  " in text or text[0] == " " or text[-1] == " ":
         return [p[1:] for p in PRE_TOKEN.findall(" " + text)]
     return text.split(" ")
