@@ -9,6 +9,7 @@ a document over a border gives one record on each side. No document is moved by
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,11 +22,11 @@ from docferry.llm.common import stage, worker_store
 
 WINDOW, END_ID = 2048, 1
 #: Words whose ids a worker remembers; when full it starts anew, which changes no result.
-REMEMBERED = 250_000
+REMEMBERED = 500_000
 
 
-class WordIds:
-    """Token ids of texts as the tokenizers library gives them, remembering blank-separated pieces.
+class WordIds(dict):
+    """Token ids of blank-separated pieces as the tokenizers library gives them, each made once.
 
     The vocabulary's normaliser and splitter never join across a blank, so the ids of a text
     are those of its pieces. A piece of letters below U+0250 is one pre-token and goes to the
@@ -35,46 +36,41 @@ class WordIds:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
+        super().__init__()
+        self[""] = b""
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
         # The printable letter that stands for each byte in byte-level vocabularies.
         plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
         spare = iter(range(256, 512))
         self.letters = {b: b if b in set(plain) else next(spare) for b in range(256)}
 
-    def piece(self, piece: str) -> bytes:
+    def ids(self, piece: str) -> bytes:
         if piece.isalpha() and max(piece) < "ɐ":
-            text = piece.lower().encode().decode("latin-1").translate(self.letters)
+            text = piece.lower()
+            if not text.isascii():
+                text = text.encode().decode("latin-1").translate(self.letters)
             ids = [t.id for t in self.tokenizer.model.tokenize(text)]
         else:
             ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        return np.array(ids, "<u4").tobytes()
+        return array("I", ids).tobytes()
+
+    def __missing__(self, piece: str) -> bytes:
+        # A final stop or comma is a pre-token of its own behind letters.
+        if piece[-1] in ".," and piece[:-1].isalpha():
+            out = self[piece[:-1]] + self[piece[-1]]
+        else:
+            out = self.ids(piece)
+        if len(piece) < 64:
+            self[piece] = out
+        return out
 
     def encode(self, text: str) -> bytes:
         if "<|" in text:  # a special token may hold no blank, but leave all of it to the library
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        pieces = text.replace("\n", " ").split(" ")
-        known = self.known
-        try:
-            return b"".join(map(known.__getitem__, pieces))
-        except KeyError:
-            pass
-        if len(known) > REMEMBERED:
-            known.clear()
-            known[""] = b""
-        out = []
-        for p in pieces:
-            ids = known.get(p)
-            if ids is None:
-                # A final stop or comma is a pre-token of its own behind letters.
-                if p[-1] in ".," and p[:-1].isalpha():
-                    ids = self.piece(p[:-1]) + self.piece(p[-1])
-                else:
-                    ids = self.piece(p)
-                if len(p) < 64:
-                    known[p] = ids
-            out.append(ids)
-        return b"".join(out)
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+        if len(self) > REMEMBERED:
+            self.clear()
+            self[""] = b""
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 def _tokenise(vocabulary: str, end_id: int):
