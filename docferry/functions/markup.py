@@ -99,7 +99,7 @@ def _flat_yaml_lines(lines: Column) -> Column:
 
 
 def _toon_tokens(text: Column) -> Column:
-    return F.regexp_extract_all(text, F.lit(r'(?:^|,) *("(?:[^"\\]|\\.)*"|[^,"]*?) *(?=,|$)'), F.lit(1))
+    return F.regexp_extract_all(text, F.lit(r'(?:^|,) *("(?:[^"\\]|\\.)*+"|[^,"]*?) *(?=,|$)'), F.lit(1))
 
 
 def _toon_value(token: Column) -> Column:
@@ -116,12 +116,12 @@ def _toon_key(raw: Column) -> Column:
     return F.when(F.startswith(raw, F.lit('"')), raw).otherwise(json_string(raw))
 
 
-_KEY = r'("(?:[^"\\]|\\.)*"|[^\s:"\[\]{}]+)'
+_KEY = r'("(?:[^"\\]|\\.)*+"|[^\s:"\[\]{}]+)'
 _TABLE = rf"^{_KEY}\[([0-9]+)\]\{{(.+)\}}:[ ]*$"
 _INLINE = rf"^{_KEY}\[([0-9]+)\]:(?: (.*))?$"
 _SCALAR = rf"^{_KEY}: (.*)$"
 # A value that opens a quote must be one whole quoted string.
-_WHOLE_SCALAR = rf'^{_KEY}: (?!\s*").*$|^{_KEY}: "(?:[^"\\]|\\.)*"\s*$'
+_WHOLE_SCALAR = rf'^{_KEY}: (?!\s*").*$|^{_KEY}: "(?:[^"\\]|\\.)*+"\s*$'
 
 
 def toon_documents(text: Column) -> Column:

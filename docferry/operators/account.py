@@ -60,8 +60,8 @@ def error_counts(replies: DataFrame) -> DataFrame:
 def error_messages(replies: DataFrame) -> DataFrame:
     """The error counts as text, one message per row."""
     message = F.concat(
-        F.lit("("), F.col("n").cast("string"), F.lit(") <"), F.col("index"), F.lit("> "), F.col("type"),
-        F.lit(" - "), F.col("reason"),
+        F.lit("("), F.col("n").cast("string"), F.lit(") <"), F.coalesce("index", F.lit("")), F.lit("> "),
+        F.coalesce("type", F.lit("unknown")), F.lit(" - "), F.coalesce("reason", F.lit("")),
     )
     return error_counts(replies).select(message.alias("message"))
 

@@ -18,7 +18,7 @@ def split_documents(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 # How a document looks whose first value is an array.
-_FIRST_IS_ARRAY = r'^\s*\{\s*"(?:[^"\\]|\\.)*"\s*:\s*\['
+_FIRST_IS_ARRAY = r'^\s*\{\s*"(?:[^"\\]|\\.)*+"\s*:\s*\['
 
 
 def explode_rows(df: DataFrame, doc: str = "doc") -> DataFrame:

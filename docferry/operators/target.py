@@ -141,6 +141,8 @@ def apply_mapping(df: DataFrame, properties: dict[str, dict]) -> DataFrame:
         if field not in df.columns:
             continue
         column = F.col(f"`{field}`")
+        if spec["type"] != "date" and spec["type"] not in MAPPING_TYPES:
+            raise ValueError(f"mapping of {field}: type {spec['type']} is not one of date, {', '.join(MAPPING_TYPES)}")
         if spec["type"] == "date":
             pattern = spec.get("format", "yyyy-MM-dd")
             typed[field] = F.try_to_timestamp(column, F.lit(pattern)).cast("date")

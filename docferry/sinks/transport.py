@@ -40,9 +40,9 @@ class HttpTransport:
     """POST to a search cluster. Request bodies are gzip-compressed unless turned off."""
 
     url: str
-    api_key: str | None = None
+    api_key: str | None = field(default=None, repr=False)
     username: str | None = None
-    password: str | None = None
+    password: str | None = field(default=None, repr=False)
     compress: bool = True
     insecure: bool = False
     timeout: float = 60.0
@@ -87,7 +87,8 @@ class DryRun:
 
     def __call__(self, request: BulkRequest) -> tuple[int, str]:
         items = []
-        lines = iter(request.body.decode().splitlines())
+        # Lines end at "\n" only; a document may hold other line separators.
+        lines = iter(request.body.decode().removesuffix("\n").split("\n"))
         for line in lines:
             next(lines)
             ((action, meta),) = json.loads(line).items()

@@ -8,9 +8,7 @@ from pyspark.sql import types as T
 
 from docferry.functions.paths import plain_path
 from docferry.sources.envelope import ENVELOPE_DDL, envelope
-from docferry.sources.listing import exceeds_split, local_form
-
-_CORRUPT = "_docferry_corrupt"
+from docferry.sources.listing import local_form
 
 
 def row_to_json(columns: dict[str, Column]) -> Column:
@@ -18,12 +16,12 @@ def row_to_json(columns: dict[str, Column]) -> Column:
     return F.to_json(F.struct(*[c.alias(k) for k, c in columns.items()]), {"ignoreNullFields": "false"})
 
 
-def read_csv_docs(spark: SparkSession, path: str, multi_line: bool | None = None) -> DataFrame:
+def read_csv_docs(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """One document per CSV row, keys from the header, every value a string.
 
-    A row that is longer or shorter than the header is an error. ``multi_line`` tells
-    whether a quoted value may hold a line break. Such files cannot be split, so when it is
-    not given, and a file is larger than one split, one pass over the lines finds out.
+    A row that is longer or shorter than the header is an error. One set of rules holds for
+    files of any size: a quoted value may hold line breaks, so a file is read by one task.
+    ``multi_line=False`` says that every line is a record of its own; such files are split.
     """
     path = local_form(path)
     strict = {"quote": '"', "escape": '"', "maxCharsPerColumn": "-1", "maxColumns": "1000000"}
@@ -31,43 +29,32 @@ def read_csv_docs(spark: SparkSession, path: str, multi_line: bool | None = None
     if header is None:
         return spark.createDataFrame([], ENVELOPE_DDL)
     names = ["" if v is None else v for v in header]
-    if multi_line is None:
-        multi_line = path.lower().endswith(".gz") or _may_span_lines(spark, path)
-
     # A repeated name cannot be a column name twice; the last column of a name counts.
     unique = len({n.lower() for n in names}) == len(names)
     columns = names if unique else [f"_c{i}" for i in range(len(names))]
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in columns + [_CORRUPT]])
+    corrupt = "_docferry_corrupt"
+    while corrupt in {n.lower() for n in names}:
+        corrupt += "_"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, corrupt]])
     rows = (
         spark.read.options(**strict)
-        .options(header="true", multiLine=str(multi_line).lower(), columnNameOfCorruptRecord=_CORRUPT)
+        .options(header="true", multiLine=str(multi_line).lower(), columnNameOfCorruptRecord=corrupt)
         # With real names, Spark checks them against the header of every file.
         .options(mode="PERMISSIVE", enforceSchema=str(not unique).lower())
         .schema(schema)
         .csv(path)
     )
-    values = {n: F.coalesce(F.col(f"`{c}`"), F.lit("")) for n, c in zip(names, columns)}
+    quoted = ["`" + c.replace("`", "``") + "`" for c in columns]
+    values = {n: F.coalesce(F.col(c), F.lit("")) for n, c in zip(names, quoted)}
     # Spark refuses to read the corrupt-record column on its own, so the rule also names a
     # data column, in a condition that always holds.
-    read_too = F.length(F.concat_ws("", F.col(f"`{columns[0]}`"))) >= 0
+    read_too = F.length(F.concat_ws("", F.col(quoted[0]))) >= 0
     placed = rows.select(
         row_to_json(values).alias("doc"),
-        F.when(F.col(_CORRUPT).isNotNull() & read_too, "row length differs from header").alias("error"),
+        F.when(F.col(corrupt).isNotNull() & read_too, "row length differs from header").alias("error"),
         plain_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("pos"),
     )
     return envelope(placed, F.col("doc"), F.col("error"))
 
-
-def _may_span_lines(spark: SparkSession, path: str) -> bool:
-    """False only if no record can span lines.
-
-    A line break inside quotes leaves an odd number of quotes on its line. So if every
-    line has an even number, each line is a whole record and the file may be split.
-    """
-    if not exceeds_split(spark, path):
-        return True
-    lines = spark.read.text(path)
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
-    return not lines.where(quotes % 2 == 1).isEmpty()

@@ -4,7 +4,6 @@ import json
 import pytest
 
 from docferry.operators.validate import DocumentError, check_documents, enforce, rejected, require_all_objects
-from docferry.sources import csv as csv_source
 from docferry.sources.csv import read_csv_docs
 from docferry.sources.files import (
     read_documents,
@@ -124,19 +123,31 @@ def test_csv_byte_order_mark_and_many_parts(spark, tmp_path):
         read_csv_docs(spark, str(tmp_path / "parts")).collect()
 
 
-def test_csv_is_split_when_records_stay_on_lines(spark, tmp_path):
-    plain = write(tmp_path / "p.csv", "i,v\n" + "".join(f'{i},"q ""{i}"""\n' for i in range(2000)))
-    broken = write(tmp_path / "b.csv", "i,v\n" + "".join(f'{i},"q\n{i}"\n' for i in range(2000)))
+def test_csv_does_not_depend_on_file_size(spark, tmp_path):
+    lines = "".join(f'{i},"q ""{i}"""\n{i},"a\nb"\n' for i in range(500))
+    odd = write(tmp_path / "o.csv", "i,v\n" + lines + "  \n7,x\ry\n" + lines)
+    small = [(r["doc"], r["error"]) for r in rows(read_csv_docs(spark, odd))]
+    plain = write(tmp_path / "p.csv", "i,v\n" + "".join(f"{i},x\n" for i in range(2000)))
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
-        assert not csv_source._may_span_lines(spark, plain)
-        assert csv_source._may_span_lines(spark, broken)
-        got = read_csv_docs(spark, plain)
-        assert got.select("block_start").distinct().count() > 1
-        assert docs(got) == [{"i": str(i), "v": f'q "{i}"'} for i in range(2000)]
-        assert docs(read_csv_docs(spark, broken)) == [{"i": str(i), "v": f"q\n{i}"} for i in range(2000)]
+        assert [(r["doc"], r["error"]) for r in rows(read_csv_docs(spark, odd))] == small
+        split = read_csv_docs(spark, plain, multi_line=False)
+        assert split.select("block_start").distinct().count() > 1
+        assert docs(split) == docs(read_csv_docs(spark, plain))
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert sum(e is not None for _, e in small) == 1 and len(small) == 2002
+
+
+def test_csv_header_of_any_name(spark, tmp_path):
+    named = write(tmp_path / "n.csv", "a`b,_docferry_corrupt\n1,2\n")
+    assert docs(read_csv_docs(spark, named)) == [{"a`b": "1", "_docferry_corrupt": "2"}]
+
+
+def test_long_quoted_toon_value(spark, tmp_path):
+    text = "x\\n" * 50_000
+    path = write(tmp_path / "long.toon", f'a: "{text}"\n')
+    assert docs(read_toon_docs(spark, path)) == [{"a": "x\n" * 50_000}]
 
 
 def corpus(root):
