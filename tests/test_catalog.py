@@ -5,6 +5,8 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import connect, difference, type_difference
+from docferry.plans.catalog import QUERIES
+from docferry.plans.oracle import ORACLE
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -16,9 +18,9 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", list(entry_module.queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_sql(spark, con, name):
-    df, sql = entry_module.queries()[name](spark, SF_DIR), entry_module.oracle_sql()[name]
+    df, sql = QUERIES[name](spark, SF_DIR), ORACLE[name]
     assert difference(df, con, sql) is None
     assert type_difference(df, con, sql) == {}
 
@@ -28,7 +30,8 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(entry_module.queries()) == set(entry_module.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry_module.queries()) and set(ORACLE) <= set(entry_module.oracle_sql())
 
 
 PLAIN = ["ndjson_valid", "wrap_content", "file_metadata", "frontmatter", "split_documents", "pattern_match", "typed_mapping"]
