@@ -10,9 +10,10 @@
 3. A posting list is not joined with itself. Each member meets the centre of its list,
    collisions of the full signatures are counted, pairs above ``MATCHES`` are confirmed on
    the full sets, and confirmed links make components. Lists whose members lie in one
-   component are done. The rest meet another centre, and at last all their members that
-   still lie in different components meet each other, but for pairs whose shingles that no
-   other set in question has rule out a link.
+   component are done. The rest meet another centre. The members of what is still mixed then
+   meet under their rarest shingles: of two linked sets, in one common order, each has a
+   common shingle among its first fifth, early enough for what follows to suffice. Members of
+   one component do not meet, and the collisions of these pairs are counted as before.
 
 So a group of copies of any size costs a number of pairs in proportion to its size, and no
 link between different components is left out.
@@ -205,16 +206,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             centres = outside.groupBy("pair").agg(F.max("c").alias("c")).select("pair", F.col("c.rep").alias("other"))
             meet = lists.join(centres, "pair").where("rep != other").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
         else:
-            # Members outside the list's largest component meet everyone of another component.
-            left = stage(lists.join(mixed, "pair"), "near-mixed")
+            left = stage(lists.join(mixed.select("pair"), "pair", "left_semi").select("rep", "comp").distinct(), "near-mixed")
             if left.isEmpty():
                 break
             sets = _full_sets(left.select("rep"), classes, rows, words, kind)
-            left = left.join(_sharing(sets), "rep").where("10 * sharing >= 8 * size")
-            few = left.where("comp != main").select("pair", *(F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "size", "sharing")))
-            meet = few.join(left, "pair").where("comp != x_comp and (comp = main or x_comp < comp)")
-            # Common shingles are at most what either shares with anyone; 0.8 asks for 4/9 of both sizes.
-            meet = meet.where("9 * least(sharing, x_sharing) >= 4 * (size + x_size)")
+            rare = stage(_rare_posts(sets).join(left, "rep"), "near-rare")
+            # Members outside the largest component of a shingle meet everyone of another component.
+            held = rare.groupBy("shingle", "comp").agg(F.count("*").alias("k"))
+            held = held.groupBy("shingle").agg(F.count("*").alias("comps"), F.max(F.struct("k", "comp")).alias("main")).where("comps > 1")
+            rare = stage(rare.join(held.select("shingle", F.col("main.comp").alias("main")), "shingle"), "near-rare-mixed")
+            few = rare.where("comp != main").select("shingle", *(F.col(c).alias(f"x_{c}") for c in ("rep", "comp", "size", "rest")))
+            meet = few.join(rare, "shingle").where("comp != x_comp and (comp = main or x_comp < comp)")
+            # A link needs common shingles for 4/9 of both sizes, and from the first common one on no more than the rest is there.
+            meet = meet.where("5 * least(size, x_size) >= 4 * greatest(size, x_size) and 9 * least(rest, x_rest) >= 4 * (size + x_size)")
             meet = meet.select(F.least("x_rep", "rep").alias("a"), F.greatest("x_rep", "rep").alias("b"))
         pairs = meet.distinct()
         one, two = (sigs.select(F.col("rep").alias(c), F.col("sig").alias(f"s{c}"), F.col("n").alias(f"n{c}")) for c in "ab")
@@ -257,9 +261,20 @@ def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.full(len(shingles), rep.as_py())), pa.array(shingles)], names=["rep", "shingle"])
 
 
-def _sharing(sets: DataFrame) -> DataFrame:
-    """(rep, size, sharing): a set's shingles, and how many of them some other of these sets has too."""
-    once = sets.mapInArrow(_exploded, "rep long, shingle long").groupBy("shingle").agg(F.count("*").alias("n"), F.first("rep").alias("rep")).where("n = 1")
-    size = sets.select("rep", (F.octet_length("shingles") / 8).cast("long").alias("size"))
-    own = once.groupBy("rep").agg(F.count("*").alias("own"))
-    return size.join(own, "rep", "left").select("rep", "size", (F.col("size") - F.coalesce("own", F.lit(0))).alias("sharing"))
+def _rare_posts(sets: DataFrame) -> DataFrame:
+    """(rep, size, rest, shingle): each set's rarest shingles and how many it has from there on.
+
+    Sets are ordered by how many of these sets hold a shingle. A linked set has at least 4/5
+    of this one, so it has one of the first ``size - ceil(4/5 size) + 1``; shingles that only
+    one set holds come first and are not posted.
+    """
+    posted = sets.mapInArrow(_exploded, "rep long, shingle long")
+    shared = stage(posted.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1"), "near-shared")
+    ranked = posted.join(shared, "shingle").groupBy("rep").agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("p"))
+    sized = sets.select("rep", F.expr("octet_length(shingles) div 8").alias("size"))
+    first = F.expr("cast(size(p) + 1 - (4 * size + 4) div 5 as int)")
+    return (
+        ranked.join(sized, "rep").withColumn("first", first).where("first > 0")
+        .select("rep", "size", F.size("p").alias("n"), F.posexplode(F.slice("p", 1, F.col("first"))).alias("at", "p"))
+        .select("rep", "size", (F.col("n") - F.col("at")).alias("rest"), F.col("p.shingle").alias("shingle"))
+    )
