@@ -1,12 +1,14 @@
 """Near-duplicates by an inverted join over the coordinates of MinHash signatures.
 
 1. Every document becomes its set of word shingles, as 64-bit hashes, and a signature of
-   ``COORDINATES`` minima. Documents with equal sets are one class with one representative.
+   ``MINIMA`` minima, two to a coordinate. Documents with equal sets are one class with one
+   representative.
 2. Each representative is posted under its coordinate-value pairs. Two sets with similarity
-   0.8 share fewer than ``MATCHES`` of 48 coordinates with a chance of about 5e-7. Ordered
-   by how many representatives hold a pair, rarest first, two signatures that share
-   ``MATCHES`` pairs must share one among the first ``COORDINATES - MATCHES + 1``: only this
-   prefix is posted for the join, and pairs held once are skipped.
+   0.8 share fewer than ``SHARED`` of 24 coordinates with a chance of about 3e-7, and fewer
+   than ``MATCHES`` of 48 minima with one of about 5e-7. Ordered by how many representatives
+   hold a pair, rarest first, two signatures that share ``SHARED`` pairs must share
+   ``IN_PREFIX`` of them among the first ``PREFIX``: only these are posted for the join, and
+   pairs held once are skipped.
 3. A posting list is not joined with itself. Each member meets the centre of its list,
    collisions of the full signatures are counted, pairs above ``MATCHES`` are confirmed on
    the full sets, and confirmed links make components. Lists whose members lie in one
@@ -32,13 +34,15 @@ from pyspark.sql.pandas.functions import pandas_udf
 
 from docferry.llm.common import stage, worker_store
 
-COORDINATES, MATCHES = 48, 22
-PREFIX = COORDINATES - MATCHES + 1
+MINIMA, MATCHES = 48, 22
+COORDINATES, SHARED = MINIMA // 2, 4
+IN_PREFIX = 2
+PREFIX = COORDINATES - SHARED + IN_PREFIX
 #: Rounds in which lists meet one centre before all that is left meets each other.
 ROUNDS = 2
 REMEMBERED = 300_000
 # Odd multipliers of the hash functions, from a fixed seed.
-_A, _B = np.random.default_rng(20_240_501).integers(1, 2**63, (2, COORDINATES), dtype=np.uint64) | np.uint64(1)
+_A, _B = np.random.default_rng(20_240_501).integers(1, 2**63, (2, MINIMA), dtype=np.uint64) | np.uint64(1)
 _P, _Q = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
@@ -74,8 +78,8 @@ def shingle_set(text: bytes, words: int, known: dict[bytes, int]) -> np.ndarray:
 
 def signature(shingles: np.ndarray) -> np.ndarray:
     """The minimum of each hash function, 32 bits each."""
-    out = np.empty(COORDINATES, np.uint32)
-    for i in range(COORDINATES):
+    out = np.empty(MINIMA, np.uint32)
+    for i in range(MINIMA):
         out[i] = ((shingles ^ _B[i]) * _A[i]).min() >> np.uint64(32)
     return out
 
@@ -106,11 +110,11 @@ def _describe(words: int, with_set: bool):
 
 
 def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Coordinate-value pairs as one long each: the coordinate above the 32 bits of the value."""
-    place = np.arange(COORDINATES, dtype=np.int64) << 32
+    """Coordinate-value pairs as one long each: a hash of the two minima and the coordinate."""
+    place = np.arange(1, COORDINATES + 1, dtype=np.uint64) * _Q
     for batch in batches:
-        sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint32).reshape(-1, COORDINATES)
-        pairs = (sig.astype(np.int64) | place).ravel()
+        sig = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint64).reshape(-1, COORDINATES)
+        pairs = _mixed((sig ^ place) * _P).view(np.int64).ravel()
         yield pa.RecordBatch.from_arrays([pa.array(np.repeat(batch.column(0).to_numpy(), COORDINATES)), pa.array(pairs)], names=["rep", "pair"])
 
 
@@ -120,7 +124,7 @@ def _collisions(a, b):
 
     if not len(a):
         return pd.Series([], dtype="int32")
-    x, y = (np.frombuffer(b"".join(s), np.uint32).reshape(-1, COORDINATES) for s in (a, b))
+    x, y = (np.frombuffer(b"".join(s), np.uint32).reshape(-1, MINIMA) for s in (a, b))
     return pd.Series((x == y).sum(axis=1).astype("int32"))
 
 
@@ -188,7 +192,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # A text that others were made from shares more, and in longer lists, than its copies do.
     central = F.aggregate("p", F.lit(0).cast("long"), lambda s, x: s + x["held"]).alias("central")
     prefix = stage(
-        ranked.where(alone < PREFIX).select("rep", central, F.explode(F.slice("p", 1, PREFIX - alone)).alias("p")).select("rep", "central", "p.pair"),
+        ranked.where(alone <= COORDINATES - SHARED).select("rep", central, F.explode(F.slice("p", 1, PREFIX - alone)).alias("p")).select("rep", "central", "p.pair"),
         "near-prefixes",
     )
     sigs = classes.select("rep", "sig", "n")
@@ -206,7 +210,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             centres = outside.groupBy("pair").agg(F.max("c").alias("c")).select("pair", F.col("c.rep").alias("other"))
             meet = lists.join(centres, "pair").where("rep != other").select(F.least("rep", "other").alias("a"), F.greatest("rep", "other").alias("b"))
         else:
-            left = stage(lists.join(mixed.select("pair"), "pair", "left_semi").select("rep", "comp").distinct(), "near-mixed")
+            left = lists.join(mixed.select("pair"), "pair", "left_semi").groupBy("rep", "comp").agg(F.count("*").alias("n_mixed"))
+            left = stage(left.where(F.col("n_mixed") >= IN_PREFIX).select("rep", "comp"), "near-mixed")
             if left.isEmpty():
                 break
             sets = _full_sets(left.select("rep"), classes, rows, words, kind)
