@@ -255,8 +255,10 @@ def _full_sets(reps: DataFrame, classes: DataFrame, rows: DataFrame, words: int,
     wanted = stage(wanted, "near-wanted")
     texts = rows.join(wanted.select("wid").distinct(), F.col("id").eqNullSafe(F.col("wid")), "left_semi")
     made = texts.mapInArrow(_describe(words, True), f"id {kind}, digest binary, shingles binary")
-    found = made.join(wanted, F.col("id").eqNullSafe(F.col("wid")) & (F.col("digest") == F.col("wdigest")))
-    return stage(found.groupBy("rep").agg(F.first("shingles").alias("shingles")), "near-full-sets")
+    # Equal digests are equal sets, so the digest alone says which class a set belongs to, and
+    # sets are dealt out once, by digest, for the join and for dropping repeats alike.
+    found = made.select("digest", "shingles").join(wanted.select("rep", F.col("wdigest").alias("digest")), "digest")
+    return stage(found.groupBy("digest", "rep").agg(F.first("shingles").alias("shingles")).drop("digest"), "near-full-sets")
 
 
 def _exploded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
