@@ -123,10 +123,30 @@ def assign_batches(
     ).drop("row_index")
 
 
+def checked_lines(df: DataFrame, action: str = "create", validated: bool = False) -> DataFrame:
+    """Add ``line``, the text of one bulk operation, and ``error`` where there is none to send.
+
+    An error already there stays. A null document has no line, nor has an update without a
+    string ``_id``.
+    """
+    refused = F.col("error") if "error" in df.columns else F.lit(None).cast("string")
+    refused = F.when(F.col("doc").isNull(), F.coalesce(refused, F.lit("no document"))).otherwise(refused)
+    marked = df.withColumn("_refused", refused).drop("error")
+    if action == "update":
+        sound = F.when(F.col("_refused").isNull(), F.col("doc"))
+        split = with_update_id(marked.withColumn("doc", sound), validated=validated)
+        error = F.coalesce(F.col("_refused"), F.concat(F.lit("update action: "), F.col("error")))
+        line = bulk_line(action, F.col("doc"), F.col("id"))
+    else:
+        split, error, line = marked, F.col("_refused"), bulk_line(action, F.col("doc"))
+    return split.withColumn("error", error).withColumn("line", F.when(F.col("error").isNull(), line)).drop("_refused")
+
+
 def bulk_lines(df: DataFrame, action: str = "create", validated: bool = False) -> DataFrame:
     """Add ``line``: the text of one bulk operation per document.
 
-    An update needs a string ``_id`` in each document; rows without one fail the job.
+    An update needs a string ``_id`` in each document; rows without one fail the job. A
+    writer that sends should take ``checked_lines``, so that no task fails after sending.
     """
     if action != "update":
         return df.withColumn("line", bulk_line(action, F.col("doc")))

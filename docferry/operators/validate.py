@@ -47,11 +47,12 @@ def require_all_objects(df: DataFrame, doc: str = "doc") -> None:
 
 def first_error(df: DataFrame) -> DataFrame:
     """One row: number of documents in error and the first of them in reading order."""
-    order = F.struct("path", "block_start", "pos")
+    places = [c for c in ("path", "block_start", "pos") if c in df.columns]
+    order = F.struct(*places, "error")
     bad = F.col("error").isNotNull()
     return df.where(bad).agg(
         F.count(F.lit(1)).alias("n_bad"),
-        F.min_by(F.struct("path", "pos", "error"), order).alias("first"),
+        F.min_by(F.struct(*[c for c in places if c != "block_start"], "error"), order).alias("first"),
     )
 
 
@@ -70,13 +71,23 @@ def enforce(df: DataFrame, mode: str = "failfast") -> DataFrame:
     if mode == "gate":
         found = first_error(df).first()
         if found["n_bad"]:
-            raise DocumentError(f"{found['first']['path']}: {found['first']['error']} ({found['n_bad']} in error)")
+            first = found["first"].asDict()
+            where = f"{first['path']}: " if "path" in first else ""
+            raise DocumentError(f"{where}{first['error']} ({found['n_bad']} in error)")
         return df.drop("error")
     if mode == "keep":
         return df.where(F.col("error").isNull()).drop("error")
     raise ValueError(f"unknown error mode: {mode}")
 
 
+def error_totals(df: DataFrame) -> list[Column]:
+    """``n_bad`` and ``first``, the text of the first error in reading order, for an Observation."""
+    text = F.concat_ws(": ", *[F.col(c) for c in ("path", "error") if c in df.columns])
+    place = F.struct(*[F.col(c) for c in ("path", "block_start", "pos") if c in df.columns], text)
+    bad = F.col("error").isNotNull()
+    return [F.count_if(bad).alias("n_bad"), F.min_by(text, F.when(bad, place)).alias("first")]
+
+
 def rejected(df: DataFrame) -> DataFrame:
     """The documents in error, for a quarantine table."""
     return df.where(F.col("error").isNotNull())

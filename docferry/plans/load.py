@@ -11,6 +11,7 @@ from docferry.functions.patterns import template_match
 from docferry.operators.account import run_summary
 from docferry.operators.batch import DEFAULT_MAX_REQUESTS
 from docferry.operators.target import TargetOptions, check_targets
+from docferry.operators.validate import rejected
 from docferry.session import configure, scratch_dir
 from docferry.sinks.bulk import BulkTarget, write_bulk
 from docferry.sinks.ndjson import OutputError, check_output, write_ndjson
@@ -24,14 +25,20 @@ def load_to_ndjson(
     field: str = "body",
     options: TargetOptions | None = None,
     errors: str = "failfast",
+    refused_path: str | None = None,
 ) -> int:
-    """Copy the documents of the inputs to an NDJSON data set; give their number."""
+    """Copy the documents of the inputs to an NDJSON data set; give the number written.
+
+    With ``errors="keep"`` refused documents go to ``refused_path``, where one is given.
+    """
     if options is not None and options.given:
         raise OutputError("pipeline and template options need a search cluster as output")
     check_output(output, len(inputs))
     documents = read_documents(configure(spark), *inputs, field=field)
     seen = Observation("documents")
-    write_ndjson(documents.observe(seen, F.count(F.lit(1)).alias("n")), output, errors)
+    write_ndjson(documents.observe(seen, F.count_if(F.col("error").isNull()).alias("n")), output, errors)
+    if refused_path is not None:
+        rejected(documents).write.mode("overwrite").parquet(refused_path)
     return seen.get["n"]
 
 
@@ -44,14 +51,27 @@ def load_to_bulk(
     action: str = "create",
     max_requests: int | None = DEFAULT_MAX_REQUESTS,
     errors: str = "failfast",
+    refused_path: str | None = None,
 ) -> DataFrame:
-    """Send the documents of the inputs; give the one-row summary, with elapsed ``seconds``."""
+    """Send the documents of the inputs; give the one-row summary, with elapsed ``seconds``.
+
+    ``n_read`` is the number of documents read and ``n_refused`` of those not sent. With
+    ``errors="keep"`` what the readers refused goes to ``refused_path``, where one is given.
+    """
     start = time.monotonic()
     documents = read_documents(configure(spark), *inputs, field=field)
-    replies = write_bulk(
-        documents, target, replies_path or scratch_dir(spark, "replies"), action, max_requests, errors
+    seen = Observation("documents")
+    counted = documents.observe(seen, F.count(F.lit(1)).alias("n"))
+    replies = write_bulk(counted, target, replies_path or scratch_dir(spark, "replies"), action, max_requests, errors)
+    if refused_path is not None:
+        rejected(documents).write.mode("overwrite").parquet(refused_path)
+    n_read = F.lit(seen.get["n"]).cast("long")
+    return run_summary(replies).select(
+        n_read.alias("n_read"),
+        (n_read - F.col("n_docs")).alias("n_refused"),
+        "*",
+        F.lit(round(time.monotonic() - start, 3)).alias("seconds"),
     )
-    return run_summary(replies).withColumn("seconds", F.lit(round(time.monotonic() - start, 3)))
 
 
 def check_target(spark: SparkSession, index: str, options: TargetOptions, known_pipelines: DataFrame) -> list[str]:

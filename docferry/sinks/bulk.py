@@ -15,7 +15,7 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -23,8 +23,9 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from docferry.operators.batch import DEFAULT_BATCH_SIZE, DEFAULT_MAX_REQUESTS, bulk_lines
-from docferry.operators.validate import enforce
+from docferry.operators.batch import DEFAULT_BATCH_SIZE, DEFAULT_MAX_REQUESTS, checked_lines
+from docferry.operators.validate import DocumentError, enforce, error_totals
+from docferry.session import stage
 from docferry.sinks.transport import BulkRequest, Transport, load_transport
 
 # Seconds before a refused request is sent again, doubled up to the second.
@@ -128,19 +129,32 @@ def write_bulk(
 
     The send is one Spark write of the replies to ``replies_path``, so the reply of each
     finished task is kept exactly once; count them with ``docferry.operators.account``.
-    At most ``max_requests`` requests are in flight, as that many tasks send. Tasks are
-    joined without a shuffle: with so few requests, the target is the limit and not the
-    reading. ``None`` sets no limit, and every running task sends: give that on a large
-    cluster whose target can take it; tasks then also stay small, so that little is sent
-    again when one is lost.
+    At most ``max_requests`` requests are in flight: the input is read and checked by all
+    tasks, its lines are staged in the shared folder, and that many tasks send them.
+    ``None`` sets no limit and stages nothing; every running task reads and sends: give that
+    on a large cluster whose target can take it.
+
+    No document in error fails a task that sends, as Spark would run it again and send its
+    good documents again. ``failfast`` (default) sends each good document and then raises
+    one error that names the first bad one; ``gate`` reads everything first and sends
+    nothing if one is bad; ``keep`` sends the good ones.
     """
     if max_requests is not None and max_requests < 1:
         raise ValueError("max requests must be at least 1")
-    checked = "error" in df.columns
-    lines = bulk_lines(enforce(df, errors) if checked else df, action, validated=checked).select("line")
+    if errors not in ("failfast", "gate", "keep"):
+        raise ValueError(f"unknown error mode: {errors}")
+    lines = checked_lines(df, action, validated="error" in df.columns)
+    found = Observation()
+    if errors == "failfast":
+        lines = enforce(lines.observe(found, *error_totals(lines)), "keep")
+    else:
+        lines = enforce(lines, errors)
+    lines = lines.select("line")
     if max_requests is not None:
-        lines = lines.coalesce(max_requests)
+        lines = stage(lines, "bulk-lines").coalesce(max_requests)
     lines.mapInArrow(_sender(target), REPLIES_DDL).write.mode("overwrite").parquet(replies_path)
+    if errors == "failfast" and found.get["n_bad"]:
+        raise DocumentError(f"{found.get['first']} ({found.get['n_bad']} in error, all others sent)")
     return df.sparkSession.read.schema(REPLIES_DDL).parquet(replies_path)
 
 

@@ -42,10 +42,14 @@ def stream_bulk(
     errors: str = "failfast",
 ) -> DataStreamWriter:
     """Send each micro-batch. The next one starts when this one is settled, so a slow
-    target slows the source. A repeated micro-batch replaces its own replies."""
+    target slows the source. A repeated micro-batch replaces its own replies.
+
+    ``failfast`` is the gate of each micro-batch here: a bad document stops the stream
+    before its micro-batch is sent, so a restart does not send that one again."""
+    mode = "gate" if errors == "failfast" else errors
 
     def send(batch: DataFrame, batch_id: int) -> None:
-        write_bulk(batch, target, f"{replies_path}/batch={batch_id}", action, max_requests, errors)
+        write_bulk(batch, target, f"{replies_path}/batch={batch_id}", action, max_requests, mode)
 
     return stream.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint)
 

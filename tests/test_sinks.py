@@ -13,7 +13,7 @@ from docferry import load_to_bulk, load_to_ndjson
 from docferry.operators.account import run_summary
 from docferry.operators.batch import bulk_lines
 from docferry.operators.target import TargetOptions
-from docferry.operators.validate import enforce
+from docferry.operators.validate import DocumentError, enforce
 from docferry.sinks.bulk import BulkTarget, cut_batches, register, write_bulk
 from docferry.sinks.ndjson import OutputError, check_output, write_ndjson
 from docferry.sinks.transport import BulkRequest, DryRun, HttpTransport
@@ -71,6 +71,57 @@ def test_retry_and_refusal():
         BulkTarget("i", lambda r: (503, "down"), fail_on_server_error=True).send(b"", 0)
 
 
+@pytest.mark.parametrize("max_requests", [2, None])
+def test_a_bad_document_repeats_no_other(spark, tmp_path, max_requests):
+    (tmp_path / "a.ndjson").write_text("".join(f'{{"id":{i}}}\n' if i != 700 else "{\n" for i in range(1000)))
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    target, replies = BulkTarget("i", Recorder(seen), 50), str(tmp_path / "replies")
+    docs = read_ndjson(spark, str(tmp_path / "a.ndjson"))
+    with pytest.raises(DocumentError, match=r"a\.ndjson: invalid JSON \(1 in error"):
+        write_bulk(docs, target, replies, max_requests=max_requests)
+    good = [i for i in range(1000) if i != 700]
+    assert sorted(i for _, b in requests_in(seen) for i in ids(b)) == good
+    assert run_summary(spark.read.parquet(replies)).first()["n_docs"] == 999
+    with pytest.raises(DocumentError, match="invalid JSON"):
+        write_bulk(docs, target, replies, max_requests=max_requests, errors="gate")
+    assert sum(len(ids(b)) for _, b in requests_in(seen)) == 999  # the gate sends nothing
+
+
+def test_null_and_nameless_documents_are_refused(spark, tmp_path):
+    docs = spark.createDataFrame([(None,), ('{"_id":"a","v":1}',), ('{"v":2}',)], "doc string")
+    for action, sent in (("create", 2), ("update", 1)):
+        seen = tmp_path / action
+        seen.mkdir()
+        replies = write_bulk(docs, BulkTarget("i", Recorder(seen)), str(tmp_path / f"r-{action}"), action, errors="keep")
+        assert run_summary(replies).first()["n_docs"] == sent
+        with pytest.raises(DocumentError, match="no document|_id is missing"):
+            write_bulk(docs, BulkTarget("i", Recorder(seen)), str(tmp_path / f"r-{action}"), action)
+        assert sum(b.count(b"\n") for _, b in requests_in(seen)) == 2 * 2 * sent
+
+
+def test_bad_line_stops_a_stream_before_sending(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.ndjson").write_text('{"id":1}\n[]\n')
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    for _ in range(2):  # also after a restart
+        stream = stream_ndjson(spark, str(tmp_path / "in"))
+        writer = stream_bulk(stream, BulkTarget("i", Recorder(seen)), str(tmp_path / "replies"), str(tmp_path / "ck"))
+        with pytest.raises(Exception, match="not a JSON object"):
+            writer.trigger(availableNow=True).start().awaitTermination()
+    assert not requests_in(seen)
+
+
+def test_load_counts_what_was_read_and_refused(spark, tmp_path):
+    (tmp_path / "a.ndjson").write_text('{"a":1}\n{\n{"a":2}\n')
+    inputs, refused = [f"{tmp_path}/a.ndjson"], str(tmp_path / "refused")
+    row = load_to_bulk(spark, inputs, BulkTarget("i", DryRun()), errors="keep", refused_path=refused).first()
+    assert (row["n_read"], row["n_refused"], row["n_docs"], row["n_accepted"]) == (3, 1, 2, 2)
+    assert [r["error"] for r in spark.read.parquet(refused).collect()] == ["invalid JSON"]
+    assert load_to_ndjson(spark, inputs, str(tmp_path / "out.ndjson"), errors="keep", refused_path=refused) == 2
+
+
 def test_bulk_refuses_bad_settings(spark, tmp_path):
     with pytest.raises(ValueError):
         BulkTarget("", DryRun())
