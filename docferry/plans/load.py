@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import time
+import warnings
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,13 +54,23 @@ def load_to_bulk(
     max_requests: int | None = DEFAULT_MAX_REQUESTS,
     errors: str = "failfast",
     refused_path: str | None = None,
+    options: TargetOptions | None = None,
+    known_pipelines: DataFrame | None = None,
 ) -> DataFrame:
     """Send the documents of the inputs; give the one-row summary, with elapsed ``seconds``.
 
     ``n_read`` is the number of documents read and ``n_refused`` of those not sent. With
     ``errors="keep"`` what the readers refused goes to ``refused_path``, where one is given.
+    ``options``, held against ``known_pipelines``, are checked before any input is read, and
+    say which pipeline the requests name.
     """
     start = time.monotonic()
+    if options is not None:
+        if known_pipelines is None:
+            known_pipelines = spark.createDataFrame([], "name string")
+        for warning in check_target(spark, target.index, options, known_pipelines):
+            warnings.warn(warning, stacklevel=2)
+        target = replace(target, pipeline=options.request_pipeline)
     documents = read_documents(configure(spark), *inputs, field=field)
     seen = Observation("documents")
     counted = documents.observe(seen, F.count(F.lit(1)).alias("n"))

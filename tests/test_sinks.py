@@ -122,6 +122,20 @@ def test_load_counts_what_was_read_and_refused(spark, tmp_path):
     assert load_to_ndjson(spark, inputs, str(tmp_path / "out.ndjson"), errors="keep", refused_path=refused) == 2
 
 
+def test_load_checks_its_target_first(spark, tmp_path):
+    (tmp_path / "a.ndjson").write_text('{"id":1}\n')
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    inputs, target = [f"{tmp_path}/a.ndjson"], BulkTarget("logs", Recorder(seen))
+    template = '{"index_patterns":["logs*"],"template":{"settings":{"index.default_pipeline":"geo"}}}'
+    options = TargetOptions(template_name="t", template_body=template)
+    with pytest.raises(ValueError, match="template pipeline is missing"):
+        load_to_bulk(spark, [f"{tmp_path}/none.ndjson"], target, options=options)
+    load_to_bulk(spark, inputs, target, options=TargetOptions("own", "{}"))
+    load_to_bulk(spark, inputs, target, options=options, known_pipelines=spark.createDataFrame([("geo",)], "name string"))
+    assert sorted(t for t, _ in requests_in(seen)) == ["/logs/_bulk", "/logs/_bulk?pipeline=own"]
+
+
 def test_bulk_refuses_bad_settings(spark, tmp_path):
     with pytest.raises(ValueError):
         BulkTarget("", DryRun())
