@@ -16,12 +16,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docferry.llm.common import crc_class, worker_store
+from docferry.llm.common import crc_class, stage, worker_store
 
 SPAN, STRIDE = 16, 8
 WORD_ROWS, GRAM_ROWS, WIDTH, HIDDEN, ATTENTION = 1 << 15, 1 << 16, 6, 8, 8
-#: Bounds of the training sample: documents of each label, and letters read of the whole sample.
-SAMPLE_DOCS, SAMPLE_LETTERS = 2_500, 24_000_000
+#: Bounds of the training sample: documents of each label, their rows where identifiers repeat, and letters of the whole sample.
+SAMPLE_DOCS, SAMPLE_ROWS, SAMPLE_LETTERS = 2_500, 10_000, 24_000_000
+#: Letters of each window that a text too long for the sample is cut to.
+CUT_LETTERS = 2_000
 ROUNDS, STEPS, BATCH = 4, 150, 192
 #: Rows whose checksum falls into this class of four are never learned from.
 FOLDS, HELD_OUT = 4, 2
@@ -286,12 +288,66 @@ class Scorer:
         return _sigmoid(np.maximum.reduceat(out, first).astype(np.float64))
 
 
+def shares(lengths: dict[int, list[int]], letters: int) -> dict[int, int]:
+    """The longest text of each label that the sample takes whole.
+
+    Each label has half of ``letters``, and what the other leaves of its half. Within a label
+    the bound is as high as the sum of all texts, each up to the bound, allows.
+    """
+    total = {y: sum(n) for y, n in lengths.items()}
+    out = {}
+    for y, own in lengths.items():
+        left = max(letters // 2, letters - (sum(total.values()) - total[y]))
+        if total[y] <= left:
+            out[y] = max(own, default=0)
+            continue
+        for i, n in enumerate(own := sorted(own)):
+            if n * (len(own) - i) > left:
+                out[y] = left // (len(own) - i)
+                break
+            left -= n
+    return out
+
+
+def sampled(text: str, letters: int) -> str:
+    """Windows of a text, at random places in equal parts of it, of ``letters`` letters together.
+
+    A window loses what it has of a word at its borders, unless it holds no blank.
+    """
+    if len(text) <= letters:
+        return text
+    n = max(1, letters // CUT_LETTERS)
+    size, part = letters // n, len(text) // n
+    r = np.random.default_rng(len(text))
+    out = []
+    for i, shift in enumerate(r.integers(0, part - size + 1, n).tolist()):
+        lo = i * part + shift
+        hi = lo + size
+        words = text[lo:hi].split()
+        if len(words) > 2:
+            words = words[lo > 0 and not text[lo - 1].isspace() :]
+            words = words[: len(words) - (hi < len(text) and not text[hi].isspace())]
+        out.append(" ".join(words)[:size])
+    return " ".join(out)[:letters]
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lo in range(batch.num_rows):
+            one = batch.slice(lo, 1)
+            text = sampled(one.column(2)[0].as_py(), one.column(3)[0].as_py())
+            yield pa.RecordBatch.from_arrays([*one.columns[:2], pa.array([text], pa.string())], names=["_id", "_y", "_t"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Network | None:
-    """Train on labelled rows outside the held-out class; at most ``SAMPLE_DOCS`` of each label.
+    """Train on labelled rows outside the held-out class; at most ``SAMPLE_DOCS`` documents of each label.
 
     The sample is drawn by a hash of the identifier, so it is the same in every run and spread
     over the table. Rows without label, identifier or text teach nothing. A document with
-    several labels has the largest. Texts together above ``SAMPLE_LETTERS`` letters end the sample.
+    several labels has the largest. Of rows that repeat identifiers, ``SAMPLE_ROWS`` of each
+    label teach, one of each identifier before others. Where the texts exceed
+    ``SAMPLE_LETTERS``, every one still teaches: the longest of each label are cut to random
+    windows, so no text takes the place of another.
     """
     known = labels.groupBy(F.col(id_col).alias("_id")).agg(F.max(label_col).cast("int").alias("_y")).where("_y is not null and _id is not null")
     learn = known.where(crc_class(F.col("_id"), FOLDS) != HELD_OUT)
@@ -300,11 +356,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
         some = learn.where(F.col("_y") == y).orderBy(F.xxhash64("_id"), "_id").limit(SAMPLE_DOCS)
         chosen = some if chosen is None else chosen.union(some)
     rows = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").alias("_t")).join(F.broadcast(chosen), "_id").where("_t is not null")
-    texts, ys, letters = [], [], 0
+    # As a table: what is counted here and what is read below are then the same rows.
+    rows = stage(rows.withColumn("_row", F.monotonically_increasing_id()).withColumn("_h", F.xxhash64("_t")), "toxicity-sample")
+    one = rows.groupBy("_id").agg(F.min(F.struct("_h", "_row")).alias("_one"))
+    each = rows.select("_id", "_y", "_h", "_row", F.length("_t").alias("_n")).join(F.broadcast(one), "_id")
+    lengths, taken = {}, []
+    for y in (0, 1):
+        order = [F.col("_row") != F.col("_one._row"), F.xxhash64("_id", "_h"), "_id", "_h", "_row"]
+        some = each.where(F.col("_y") == y).orderBy(*order).limit(SAMPLE_ROWS).select("_row", "_n").collect()
+        lengths[y] = [r._n for r in some]
+        taken += [r._row for r in some]
+    longest = shares(lengths, SAMPLE_LETTERS)
+    numbers = F.broadcast(docs.sparkSession.createDataFrame([(n,) for n in taken], "_row long"))
+    rows = rows.join(numbers, "_row", "left_semi").select("_id", "_y", "_t", F.when(F.col("_y") == 1, longest[1]).otherwise(longest[0]).alias("_n"))
+    rows = rows.mapInArrow(_cut, rows.select("_id", "_y", "_t").schema)
+    texts, ys = [], []
     for row in rows.orderBy(F.xxhash64("_id"), "_id", "_t").toLocalIterator():
-        letters += len(row._t)
-        if letters > SAMPLE_LETTERS:
-            break
         texts.append(row._t)
         ys.append(row._y)
     return train(texts, ys)

@@ -10,6 +10,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from docferry.llm import crosspoly, ctw, exact, minhash, mixing, packing, sharding, tokens, toxicity, warc
 from docferry.llm.queries import vocabulary
@@ -294,6 +295,35 @@ def test_toxicity(spark, docs, nothing):
     assert toxicity.score(nothing, net).count() == 0
 
 
+def test_toxicity_long_text_first(spark):
+    """A labelled text longer than the whole sample takes no other row's place."""
+    order = spark.range(400).selectExpr("id", "crc32(cast(cast(id AS string) AS binary)) % 4 AS c").where("c <> 2").orderBy(F.xxhash64("id"), "id")
+    first, *others = [r.id for r in order.collect()]
+    for long_label in (0, 1):
+        given = [(i, f"calm river stone light {'vile' if i % 4 == 0 else 'green'} paper window bread", int(i % 4 == 0)) for i in others]
+        table = spark.createDataFrame(given, "doc_id long, text string, toxic int")
+        long = spark.range(1).selectExpr(f"{first}L AS doc_id", "repeat('calm stone ', 2300000) AS text", f"{long_label} AS toxic")
+        table = table.unionByName(long)
+        net = toxicity.fit(table.select("doc_id", "text"), table.select("doc_id", "toxic"))
+        assert net is not None
+        asked = spark.createDataFrame(given, "doc_id long, text string, toxic int")
+        got = toxicity.score(asked, net).collect()
+        assert sum((r.score >= toxicity.THRESHOLD) == (r.toxic == 1) for r in got) >= 0.95 * len(got), long_label
+
+
+def test_toxicity_shares():
+    assert toxicity.shares({0: [5, 9], 1: [7]}, 100) == {0: 9, 1: 7}
+    assert toxicity.shares({0: [1000, 10, 20], 1: [7]}, 100) == {0: 63, 1: 7}
+    assert toxicity.shares({0: [1000, 1000], 1: [300]}, 100) == {0: 25, 1: 50}
+    assert toxicity.shares({0: [], 1: [300]}, 100) == {0: 0, 1: 100}
+    text = " ".join(f"w{i}" for i in range(100_000))
+    cut = toxicity.sampled(text, 50_000)
+    assert 40_000 < len(cut) <= 50_000 and set(cut.split()) <= set(text.split())
+    numbers = [int(w[1:]) for w in cut.split()]
+    assert numbers == sorted(numbers) and numbers[0] < 8_000 and numbers[-1] > 92_000
+    assert toxicity.sampled(text, len(text)) == text and len(toxicity.sampled("x" * 99, 10)) == 10
+
+
 def test_gradients():
     net, r = toxicity.Network(), np.random.default_rng(1)
     for k, v in net.p.items():
