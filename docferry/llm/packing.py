@@ -29,8 +29,9 @@ class WordIds(dict):
     """Token ids of blank-separated pieces as the tokenizers library gives them, each made once.
 
     The vocabulary's normaliser and splitter never join across a blank, so the ids of a text
-    are those of its pieces. A piece of letters below U+0250 is one pre-token and goes to the
-    library's model at once; any other piece goes through the whole of the library.
+    are those of its pieces. A piece of letters below U+0250 that stay letters in lower case
+    (U+0130 does not) is one pre-token and goes to the library's model at once; any other
+    piece goes through the whole of the library.
     """
 
     def __init__(self, path: str):
@@ -44,8 +45,12 @@ class WordIds(dict):
         spare = iter(range(256, 512))
         self.letters = {b: b if b in set(plain) else next(spare) for b in range(256)}
 
+    @staticmethod
+    def one_pre_token(piece: str) -> bool:
+        return piece.isalpha() and max(piece) < "ɐ" and piece.lower().isalpha()
+
     def ids(self, piece: str) -> bytes:
-        if piece.isalpha() and max(piece) < "ɐ":
+        if self.one_pre_token(piece):
             text = piece.lower()
             if not text.isascii():
                 text = text.encode().decode("latin-1").translate(self.letters)
@@ -55,8 +60,8 @@ class WordIds(dict):
         return array("I", ids).tobytes()
 
     def __missing__(self, piece: str) -> bytes:
-        # A final stop or comma is a pre-token of its own behind letters.
-        if piece[-1] in ".," and piece[:-1].isalpha():
+        # A final stop or comma is a pre-token of its own behind such letters; others may end in a mark, which joins it.
+        if piece[-1] in ".," and self.one_pre_token(piece[:-1]):
             out = self[piece[:-1]] + self[piece[-1]]
         else:
             out = self.ids(piece)

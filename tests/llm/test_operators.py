@@ -121,6 +121,18 @@ def test_pack(docs, nothing):
     assert packing.pack(nothing, vocabulary("word_bpe_49k.json")).count() == 0
 
 
+def test_pack_letters():
+    """Every letter below U+0250, and letters above that lose a mark, as the library gives them."""
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(vocabulary("word_bpe_49k.json"))
+    words = packing.WordIds(vocabulary("word_bpe_49k.json"))
+    for x in [*filter(str.isalpha, map(chr, range(0x250))), "\ufb1d", "\u1e9e", "\u212b", "\u0958"]:
+        for text in (x, f"a{x}b", f"{x}stanbul", f"{x}.", f"a{x},", f"{x}{x}. a{x}"):
+            ids = np.array(library.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            assert words.encode(text) == ids, (hex(ord(x)), text)
+
+
 def test_tokens(docs, nothing):
     import sentencepiece
 
