@@ -61,7 +61,8 @@ def _lone_table(spark: SparkSession, path: str) -> DataFrame | None:
     """A file that is one table, row by row; none for any other file.
 
     The header is read first; one pass then counts the lines, as the header tells how many
-    rows there must be.
+    rows there must be. A row of wrong width or a byte that is no text refuses the document,
+    as it does in a small file.
     """
     lines = spark.read.text(path, lineSep="\n").select(
         F.regexp_replace("value", "\r$", "").alias("line"),
@@ -78,13 +79,19 @@ def _lone_table(spark: SparkSession, path: str) -> DataFrame | None:
     is_header, declared = spark.range(1).select(is_toon_header(header), toon_length(header)).first()
     if not is_header:
         return None
+    doc = toon_row(toon_header(header), line)
     found = lines.agg(
         F.count_if(~line.rlike(r"^\s*$") & ~is_toon_row(line)).alias("others"),
         F.count_if(is_toon_row(line)).alias("rows"),
+        F.count_if(~F.col("valid")).alias("not_text"),
+        F.count_if(is_toon_row(line) & doc.isNull()).alias("wrong_width"),
     ).first()
     if found["others"] != 1 or found["rows"] != declared or found["rows"] == 0:
         return None  # several documents, or an error that the general reader reports
-    doc = toon_row(toon_header(header), line)
-    rows = lines.where(is_toon_row(line)).withColumn("doc", doc)
-    error = F.when(~F.col("valid"), "not UTF-8 text").when(F.col("doc").isNull(), ROW_WIDTH)
-    return envelope(rows, F.col("doc"), error)
+    none = F.lit(None).cast("string")
+    if found["not_text"] or found["wrong_width"]:
+        error = "not UTF-8 text" if found["not_text"] else ROW_WIDTH
+        place = F.lit(0).cast("long")
+        refused = spark.range(1).select(F.lit(head["path"]).alias("path"), place.alias("block_start"), place.alias("pos"))
+        return envelope(refused, none, F.lit(error))
+    return envelope(lines.where(is_toon_row(line)).withColumn("doc", doc), F.col("doc"), none)

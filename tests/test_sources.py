@@ -286,6 +286,24 @@ def test_large_toon_is_split(spark, tmp_path):
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
 
+def test_damaged_toon_table_of_any_size(spark, tmp_path):
+    """A table with one wrong row or byte is refused whole, read in one piece or in many."""
+    body = "".join(f"  {i},n{i}\n" for i in range(1500)).encode()
+    for name, damaged, error in (
+        ("width", body.replace(b"  7,", b"  7,7,"), "row width differs from header"),
+        ("byte", body.replace(b"n9\n", b"n\xff\n"), "not UTF-8 text"),
+        ("both", body.replace(b"  7,", b"  7,7,").replace(b"n9\n", b"n\xff\n"), "not UTF-8 text"),
+    ):
+        path = write(tmp_path / f"{name}.toon", b"rows[1500]{id,name}:\n" + damaged)
+        small = [r.asDict() for r in read_documents(spark, path).collect()]
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+        try:
+            large = [r.asDict() for r in read_documents(spark, path).collect()]
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert [r["error"] for r in small] == [error] and large == small
+
+
 def test_read_configs(spark, tmp_path):
     from docferry.sources.configs import read_configs
 
