@@ -221,6 +221,15 @@ def test_search_one_common_vector(spark):
     assert [r.vec_id for r in got] == [1, 2, 3, 4, 5] and all(abs(r.score - 1) < 1e-15 for r in got)
 
 
+def test_search_repeated_nearest(spark):
+    """An id with more rows than neighbours asked for is one neighbour; the others stay."""
+    given = [(0, [1.0, 0.0, 0.0])] + [(7, [1.0, 0.001 * i, 0.0]) for i in range(9)] + [(i, [1.0, 0.1 * i, 0.0]) for i in range(1, 7)]
+    vectors = spark.createDataFrame(given, "vec_id long, embedding array<double>").repartition(3)
+    got = crosspoly.search(vectors, vectors.where("vec_id = 0")).orderBy("rank").collect()
+    assert [r.vec_id for r in got] == [7, 1, 2, 3, 4] and got[0].score == 1
+    assert math.isclose(got[1].score, 1 / math.hypot(1, 0.1))
+
+
 def test_archives(spark, tmp_path):
     big, small = "é" * 800, "x" * 10
     given = [(1, "http://A.example.com/x?q=1#f", big), (2, "https://b.example.com:8080/", big), (3, None, small), (4, "bad url\n", small),
