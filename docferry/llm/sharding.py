@@ -35,8 +35,9 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limi
 
     A bucket is split while it holds more than ``limit`` bytes and more than one row. Rows
     that share all bits of the hash, as rows that repeat an identifier do, cannot be split
-    by it: their bucket is cut by running bytes into ``piece`` 0, 1, … instead. One row above
-    the limit is a shard of its own. Null texts count 0 bytes. An empty table gives no rows.
+    by it: their bucket is cut into ``piece`` 0, 1, … instead. Each of its rows above half the
+    limit is a piece of its own; the others are cut by running bytes, so that no piece passes
+    the limit. One row above the limit is a shard of its own. Null texts count 0 bytes. An empty table gives no rows.
     """
     rows = stage(
         docs.select(
@@ -74,11 +75,20 @@ def shards(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limi
     else:
         # Rows with equal hashes: cut by running bytes, summed per block of rows as they were read.
         block = F.shiftright("row", 33)
-        up = lambda window: F.coalesce(F.sum("n_bytes").over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-        blocks = open_rows.groupBy("hash", block.alias("block")).agg(F.sum("n_bytes").alias("n_bytes"))
-        starts = blocks.select("hash", "block", up(Window.partitionBy("hash").orderBy("block")).alias("start"))
-        inside = open_rows.withColumn("block", block).withColumn("before", up(Window.partitionBy("hash", "block").orderBy("row")))
-        piece = F.floor((F.col("before") + F.col("start")) / F.lit(limit))
+        large = F.col("n_bytes") * 2 > limit
+        up = lambda column, window: F.coalesce(F.sum(column).over(window.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        sized = open_rows.withColumns({"block": block, "large": large.cast("long"), "small": F.when(large, 0).otherwise(F.col("n_bytes"))})
+        blocks = sized.groupBy("hash", "block").agg(F.sum("small").alias("small"), F.sum("large").alias("large"), F.max("small").alias("most"))
+        whole, run = Window.partitionBy("hash"), Window.partitionBy("hash").orderBy("block")
+        starts = blocks.select(
+            "hash", "block", up("small", run).alias("start"), up("large", run).alias("large_start"),
+            F.sum("large").over(whole).alias("n_large"), F.max("most").over(whole).alias("most"),
+        )
+        run = Window.partitionBy("hash", "block").orderBy("row")
+        inside = sized.withColumns({"before": up("small", run), "large_before": up("large", run)})
+        # Rows that start within a stretch shorter than the limit by the largest of them end within the limit.
+        stretch = F.floor((F.col("before") + F.col("start")) / (F.lit(limit + 1) - F.col("most")))
+        piece = F.when(F.col("large") == 1, F.col("large_before") + F.col("large_start")).otherwise(F.col("n_large") + stretch)
         cut = inside.join(starts, ["hash", "block"]).select(
             "id", "n_bytes", "hash", "row", F.lit(BITS).alias("depth"), F.col("hash").alias("prefix"), piece.alias("piece")
         )

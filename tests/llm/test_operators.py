@@ -191,6 +191,23 @@ def test_shards(spark, docs, nothing):
     assert sharding.shards(nothing).count() == 0
 
 
+def test_shards_of_repeated_ids_keep_the_limit(spark):
+    """Sizes that do not divide the limit, and rows above it among others, under one id and under null."""
+    sizes = [90, 90, 90, 250, 7, 33, 50, 51, 90, 100, 101, 1, 0, 49, 49] * 4
+    given = [(key, "x" * n) for n in sizes for key in (1, None)]
+    df = spark.createDataFrame(given, "doc_id long, text string").repartition(3)
+    got = sharding.shards(df, limit=100).collect()
+    shards = defaultdict(list)
+    for r in got:
+        shards[r.depth, r.prefix, r.piece].append(r.n_bytes)
+        assert r.shard_bytes <= 100 or r.shard_rows == 1
+    assert sorted(n for s in shards.values() for n in s) == sorted(2 * sizes)
+    assert all({(r.shard_bytes, r.shard_rows)} == {(sum(s), len(s))} for r in got for s in [shards[r.depth, r.prefix, r.piece]])
+    for prefix in {r.prefix for r in got}:
+        pieces = {r.piece for r in got if r.prefix == prefix}
+        assert pieces == set(range(len(pieces)))
+
+
 def test_search(spark):
     r = np.random.default_rng(2)
     x = r.normal(size=(600, 24))
