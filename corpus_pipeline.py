@@ -8,6 +8,7 @@ executor costs the running stage only.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from docferry.llm import exact, minhash, mixing, packing, toxicity
 from docferry.llm.common import stage, table
@@ -27,9 +28,14 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group linked on shingles of five words the document with the smallest id stays."""
-    gone = minhash.near_groups(docs, words=5).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti")
+    """Of each group linked on shingles of five words one row stays, of those with the smallest id.
+
+    Rows are told apart by a number, as ids may repeat or be null; as a table, so that it is
+    the same number whenever the rows are read.
+    """
+    numbered = stage(docs.withColumn("_near_row", F.monotonically_increasing_id()), "near-rows")
+    gone = minhash.near_groups(numbered, words=5, row_col="_near_row").where("not kept").select("_near_row")
+    return numbered.join(gone, "_near_row", "left_anti").drop("_near_row")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -103,8 +103,8 @@ def _describe(words: int, with_set: bool):
                     columns = [part.column(0), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())]
                     yield pa.RecordBatch.from_arrays(columns, names=["id", "digest", "shingles"])
                 else:
-                    columns = [part.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary())]
-                    yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "digest", "sig"])
+                    columns = [part.column(0), pa.array(n, pa.int64()), pa.array(digest, pa.binary()), pa.array(sig, pa.binary()), part.column(2)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["id", "n", "digest", "sig", "row"])
 
     return run
 
@@ -161,7 +161,7 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5) -> DataFrame:
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, row_col: str | None = None) -> DataFrame:
     """For every row: ``n_shingles``, ``component_id`` and ``kept``.
 
     A set holds the distinct shingles of ``words`` words of the text with A-Z lower-cased;
@@ -169,17 +169,24 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Documents with ``100 * common >= 80 * union`` are linked. ``component_id`` is the smallest
     identifier that a document can reach by links, ``kept`` marks that document. Rows that
     repeat an identifier are separate nodes of one name: each links by its own text, and a
-    component's id is their smallest name. Rows with a null identifier take part, and
-    a component of such rows only has a null id; its first row by place is kept.
+    component's id is their smallest name, and all its rows of that name are marked. Rows
+    with a null identifier take part, and a component of such rows only has a null id; its
+    first row by place is kept.
+
+    ``row_col`` names a column of whole numbers, one for each row and the same whenever
+    ``docs`` is read. It is then given as well, and ``kept`` marks one row only of each
+    component: of those with the smallest identifier the one with the smallest number.
     """
+    number = F.monotonically_increasing_id() if row_col is None else F.col(f"`{row_col}`").cast("long")
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    described = stage(rows.mapInArrow(_describe(words, False), f"id {kind}, n long, digest binary, sig binary"), "near-sets")
+    numbered = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("binary").alias("text"), number.alias("row"))
+    described = stage(numbered.mapInArrow(_describe(words, False), f"id {kind}, n long, digest binary, sig binary, row long"), "near-sets")
     # One class for each set; its number is the row number of one member, so it fits any id.
     classes = stage(
         described.where("digest is not null").groupBy("digest")
-        .agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sig").alias("sig"))
-        .withColumn("rep", F.monotonically_increasing_id()),
+        .agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("least"), F.first("n").alias("n"), F.first("sig").alias("sig"))
+        .withColumn("id", F.col("least.id")).withColumn("rep", F.monotonically_increasing_id()),
         "near-classes",
     )
 
@@ -235,18 +242,21 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             new = stage(likely.join(one, "a").join(two, "b").where(_linked("set_a", "set_b")).select("a", "b"), "near-links")
             links = new if links is None else links.unionByName(new)
             comps = components(links)
-    named = classes.select("rep", "digest", F.col("id").alias("class_id"))
+    named = classes.select("rep", "digest", "least")
     if comps is not None:
         named = named.join(comps, named["rep"] == comps["node"], "left").withColumn("comp", F.coalesce("comp", "rep"))
     else:
         named = named.withColumn("comp", F.col("rep"))
-    smallest = named.groupBy("comp").agg(F.min("class_id").alias("component_id"))
-    final = named.join(smallest, "comp").select("digest", "component_id")
-    out = described.select("id", "n", "digest").join(final, "digest", "left")
-    component = F.when(F.col("digest").isNull(), F.col("id")).otherwise(F.col("component_id"))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id")).withColumn(
-        "kept", F.col(id_col).eqNullSafe(F.col("component_id"))
-    )
+    smallest = named.groupBy("comp").agg(F.min("least").alias("first"))
+    final = named.join(smallest, "comp").select("digest", F.col("first.id").alias("component_id"), F.col("first.row").alias("first_row"))
+    out = described.select("id", "n", "digest", "row").join(final, "digest", "left")
+    alone = F.col("digest").isNull()
+    component = F.when(alone, F.col("id")).otherwise(F.col("component_id"))
+    kept = F.col("row") == F.col("first_row")
+    if row_col is None:
+        kept = kept | F.coalesce(F.col("id") == F.col("component_id"), F.lit(False))
+    columns = [F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), (alone | kept).alias("kept")]
+    return out.select(*columns, *([] if row_col is None else [F.col("row").alias(row_col)]))
 
 
 def _full_sets(reps: DataFrame, classes: DataFrame, rows: DataFrame, words: int, kind: str) -> DataFrame:

@@ -85,6 +85,16 @@ def test_near(docs, nothing, n):
     assert minhash.near_groups(nothing).count() == 0
 
 
+def test_near_null_ids(spark):
+    """Of near copies without an id one is kept; texts without words are kept each."""
+    text = " ".join(f"w{i}" for i in range(100))
+    given = [(None, text), (None, text + " end"), (None, text), (None, ""), (None, None), (3, "other words"), (3, "OTHER words")]
+    got = minhash.near_groups(spark.createDataFrame(given, "doc_id long, text string").repartition(3), words=2).collect()
+    assert sorted((r.doc_id is None, r.n_shingles > 0, r.kept) for r in got) == sorted(
+        [(True, True, True), (True, True, False), (True, True, False), (True, False, True), (True, False, True), (False, True, True), (False, True, True)]
+    )
+
+
 def test_near_group_of_copies(spark):
     r = np.random.default_rng(5)
     base = [f"w{i}" for i in r.integers(0, 5000, 120)]
