@@ -180,17 +180,21 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Network | None
     A label holds for a text, not for each window. Of a text labelled 1, the window that
     now scores worst is taught as 1; texts labelled 0 teach random windows and the worst.
     """
-    tokens = [t.split() or [""] for t in texts]
     y = np.array(labels)
     if not (0 < y.sum() < len(y)):
         return None
     r, net = np.random.default_rng(seed), Network(seed)
     index: dict[str, int] = {}
-    ids = np.array([index.setdefault(w, len(index)) for doc in tokens for w in doc])
+    # Text by text, so that each word is kept once and not as often as it occurs.
+    numbers = []
+    for text in texts:
+        doc = text.split() or [""]
+        numbers.append(np.fromiter((index.setdefault(w, len(index)) for w in doc), np.int64, len(doc)))
+    lengths = np.array(list(map(len, numbers)))
+    ids = np.concatenate(numbers)
     words = list(index)
     rows, grams, first = features(words)
-    lengths = np.array(list(map(len, tokens)))
-    owner = np.repeat(np.arange(len(tokens)), lengths)
+    owner = np.repeat(np.arange(len(texts)), lengths)
     # The first number of every embedding starts at the log-odds of its row among the texts.
     pairs = np.unique(owner * len(words) + ids)
     doc, word = pairs // len(words), pairs % len(words)
@@ -202,7 +206,7 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Network | None
         net.p[name][:, 0] = np.clip(odds(a, b), -2, 4) * np.minimum(1, (a + b) / 10) / 2
         net.p[name][0] = 0
     places, mask, begin = windows(lengths)
-    texts_of = np.repeat(np.arange(len(tokens)), np.diff(np.append(begin, places.shape[1])))
+    texts_of = np.repeat(np.arange(len(texts)), np.diff(np.append(begin, places.shape[1])))
     word_score = np.clip(odds(positive, negative), 0, None) * (positive > 2)
     score = np.where(mask, word_score[ids[places]], 0).sum(0)
     clean = np.flatnonzero(y[texts_of] == 0)
