@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import sys
 import types
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +17,7 @@ from docferry.session import stage
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["UPPER", "WORD", "lower_ascii", "stage", "table", "worker_store", "n_tasks", "crc_class"]
+__all__ = ["UPPER", "WORD", "lower_ascii", "stage", "table", "worker_store", "n_tasks", "crc_class", "row_slices"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -45,3 +48,14 @@ def worker_store(name: str, make: Callable[[], object]):
     if name not in kept:
         kept[name] = make()
     return kept[name]
+
+
+def row_slices(texts: pa.Array, n_bytes: int) -> Iterator[tuple[int, int]]:
+    """Row ranges of an Arrow text column whose texts have about ``n_bytes`` together, one row at least."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(ends):
+        before = int(ends[lo - 1]) if lo else 0
+        hi = max(lo + 1, int(np.searchsorted(ends, before + n_bytes, "right")))
+        yield lo, hi
+        lo = hi

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.llm import crosspoly, ctw, exact, minhash, mixing, packing, sharding, tokens, toxicity, warc
+from docferry.llm import alignment, crosspoly, ctw, exact, langid, minhash, mixing, packing, resampling, sharding, tokens, toxicity, warc
 from docferry.llm.common import crc_class, table
 
 LIMIT_TOKENS = 4096
@@ -64,10 +64,25 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_groups(table(spark, sf_dir, "documents"), words=2)
 
 
+def op11_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.fit(docs))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return alignment.align(docs, vocabulary("byte_bpe_50k.json"), vocabulary("piece_bpe_32k.model"))
+
+
+def op13_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_packing, op2_cross_polytope, op3_warc, op4_context_tree, op5_token_counts,
         op6_mixing, op7_sharding, op8_exact_dedup, op9_toxicity, op10_minhash,
+        op11_language, op12_alignment, op13_resampling,
     )
 }
