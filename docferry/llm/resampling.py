@@ -39,7 +39,7 @@ class Grams:
     """The features of some texts: what is distinct, and which of it stands at each place."""
 
     def __init__(self, texts: pa.Array, buckets: int = BUCKETS):
-        pieces = pc.split_pattern_regex(pc.ascii_lower(texts.cast(pa.large_string()).fill_null("")), BETWEEN)
+        pieces = pc.split_pattern_regex(pc.ascii_lower(texts.fill_null("")), BETWEEN)
         flat, of = pc.list_flatten(pieces), pc.list_parent_indices(pieces)
         filled = pc.greater(pc.binary_length(flat), 0)
         words, self.of = flat.filter(filled).dictionary_encode(), of.filter(filled).to_numpy()
