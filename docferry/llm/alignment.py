@@ -1,9 +1,9 @@
 """Two tokenizers' ids of the same texts, aligned where both cut.
 
-A text is tokenised whole by both. Where a token of each begins with a blank at the same byte, as
+Both tokenise the whole of a text. Where a token of each begins with a blank at the same byte, as
 their byte lengths tell, lies an anchor; anchors cut the ids of a text into windows. How a window
 falls into groups (between bytes where tokens of both end) depends on its ids alone, so a worker
-remembers it by the tuple of the ids and works out each window once.
+remembers it by the pair of both runs of ids, packed, and works out each window once.
 
 How many documents hold a pair of ids linked is counted over the whole corpus. Documents are kept
 in chunks of bounded size; a chunk's windows and the pairs in them are numbered within it. Pair
@@ -15,6 +15,8 @@ from __future__ import annotations
 
 import os
 import re
+import string
+from array import array
 from collections.abc import Iterator
 from hashlib import sha256
 from itertools import chain
@@ -30,19 +32,16 @@ from docferry.llm.common import row_slices, stage, worker_store
 #: Text whose pairs are numbered together, and text aligned at once.
 CHUNK_BYTES, SLICE_BYTES = 16_000_000, 2_000_000
 #: What a worker remembers: units and windows, of this many letters or ids at most. When full it starts anew.
-REMEMBERED, LONGEST = 200_000, 64
+REMEMBERED, LONGEST = 300_000, 64
 #: Pairs of ids are one number: this many bits for the second id.
 _BITS = 24
 _CUT = re.compile(r"(?<=\S)(?= +[^ ])")
 
+Runs = tuple[bytes, bytes]  # the ids of both tokenizers, 32 bits each
 
-class Tokens:
-    """The ids of both tokenizers, unit by unit, and how many bytes each id stands for.
 
-    A unit begins at a blank behind a letter or sign; blanks at the end stay with the last unit.
-    Neither splitter joins across such a place, so the ids of a text are those of its units,
-    each tokenised once by the libraries.
-    """
+class Tokens:
+    """Both tokenizers, and how many bytes each of their ids stands for."""
 
     def __init__(self, first: str, second: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task for each core
@@ -55,7 +54,8 @@ class Tokens:
         # The letter that stands for each byte in byte-level vocabularies.
         plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
         spare = iter(range(256, 512))
-        byte_of = {chr(b if b in plain else next(spare)): b for b in range(256)}
+        self.letters = {b: b if b in plain else next(spare) for b in range(256)}
+        byte_of = {chr(c): b for b, c in self.letters.items()}
         a = [b""] * (max(self.first.get_vocab().values()) + 1)
         for token, i in self.first.get_vocab().items():
             a[i] = bytes(byte_of[c] for c in token) if all(c in byte_of for c in token) else token.encode()
@@ -66,100 +66,129 @@ class Tokens:
         self.bytes_of = (a, b)
         self.length_of = tuple(np.array(list(map(len, x)), np.int64) for x in (a, b))
         self.spaced = tuple(np.array([t[:1] == b" " for t in x]) for x in (a, b))
-        self.known: dict[str, tuple[list[int], list[int], bool]] = {}
-
-    def units(self, texts: list[str]) -> list[list[tuple[list[int], list[int], bool]]]:
-        """For the units of each text: both lists of ids, and whether both spell the unit."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        known = self.known
-        # Where blanks are the only white space and stand alone, plain functions cut alike.
-        plain = [t.isprintable() and "  " not in t and t[-1] != " " for t in texts]
-        cut = [t.replace(" ", "\0 ")[1:].split("\0") if p else _CUT.split(t) for p, t in zip(plain, texts, strict=True)]
-        missing = list({u for units in cut for u in units if u not in known})
-        made = {}
-        for lo in range(0, len(missing), 2_000):
-            some = missing[lo : lo + 2_000]
-            firsts = self.first.encode_batch_fast(some, add_special_tokens=False)
-            seconds = self.second.encode([u[1:] for u in some], num_threads=1)
-            for unit, x, y in zip(some, firsts, seconds, strict=True):
-                data = unit.encode()
-                exact = all(b"".join(map(of.__getitem__, ids)) == data for of, ids in zip(self.bytes_of, (x.ids, y), strict=True))
-                (known if len(unit) <= LONGEST else made)[unit] = (x.ids, y, exact)
-        return [[known.get(u) or made[u] for u in units] for units in cut]
-
-    def ids(self, texts: list[str]) -> list[tuple[list[int], list[int]] | None]:
-        """Both lists of ids of blank + text; None where there is none or one does not spell it."""
-        out: list[tuple[list[int], list[int]] | None] = []
-        spelt = [f" {t}" for t in texts if t]
-        found = iter(zip(spelt, self.units(spelt), strict=True))
+
+    def _first_ids(self, texts: list[str]) -> list[list[int]]:
+        """The first tokenizer's ids of texts that begin with a blank.
+
+        Letters behind the blank, and marks behind these, are one piece each to its splitter;
+        such texts go to the library's model at once, others through the whole of the library.
+        """
+        model, out, others = self.first.model.tokenize, [], []
         for text in texts:
-            if not text:
+            core = text[1:].rstrip(string.punctuation)
+            if not core.isalpha():
+                others.append(text)
                 out.append(None)
                 continue
-            whole, units = next(found)
-            both = tuple(list(chain.from_iterable(u[k] for u in units)) for k in (0, 1))
-            sound = all(u[2] for u in units) or all(b"".join(map(of.__getitem__, x)) == whole.encode() for of, x in zip(self.bytes_of, both, strict=True))
-            out.append(both if sound else None)
-        return out
-
-
-def groups(a: list[int], b: list[int], length_a: np.ndarray, length_b: np.ndarray) -> list[tuple[list[int], list[int]]]:
-    """Runs of both lists between places where tokens of both end."""
-    ends_a, ends_b = np.cumsum(length_a[a]), np.cumsum(length_b[b])
-    _, i, j = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-    out, k, m = [], 0, 0
-    for x, y in zip((i + 1).tolist(), (j + 1).tolist(), strict=True):
-        out.append((a[k:x], b[m:y]))
-        k, m = x, y
-    return out
-
-
-def linked(parts: list[tuple[list[int], list[int]]]) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct pairs of ids that share a group, and how often each does."""
-    codes, times = [], []
-    for a, b in parts:
-        if len(a) == len(b) == 1:
-            codes.append([a[0] << _BITS | b[0]])
-            times.append([1])
-            continue
-        # Ids that a group repeats meet once, with the product of their numbers.
-        (x, n), (y, m) = np.unique(a, return_counts=True), np.unique(b, return_counts=True)
-        codes.append(((x[:, None] << _BITS) | y).ravel())
-        times.append((n[:, None] * m).ravel())
-    return _summed(np.concatenate(codes).astype(np.int64), np.concatenate(times).astype(np.int64))
-
-
-def _summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    order = np.argsort(keys, kind="stable")
-    keys = keys[order]
-    start = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys[start], np.add.reduceat(n[order], start)
+            word = f"Ġ{core}" if core.isascii() else text[: len(core) + 1].encode().decode("latin-1").translate(self.letters)
+            ids = [t.id for t in model(word)]
+            out.append(ids + [t.id for t in model(text[len(core) + 1 :])] if len(text) > len(core) + 1 else ids)
+        found = iter(self.first.encode_batch_fast(others, add_special_tokens=False) if others else ())
+        return [next(found).ids if x is None else x for x in out]
+
+    def encode(self, texts: list[str]) -> tuple[list[Runs], np.ndarray]:
+        """Both runs of ids of texts that begin with a blank, and whether both spell the text."""
+        runs = (self._first_ids(texts), self.second.encode([t[1:] for t in texts], num_threads=1))
+        data = [t.encode() for t in texts]
+        sizes, packed, exact = np.array(list(map(len, data))), [], np.ones(len(texts), bool)
+        for ids, of, length in zip(runs, self.bytes_of, self.length_of, strict=True):
+            flat = array("I", chain.from_iterable(ids))
+            ends = np.cumsum(list(map(len, ids)))
+            spelt = np.diff(np.append(0, np.cumsum(length[np.frombuffer(flat, np.uint32)]))[np.append(0, ends)])
+            if (spelt != sizes).any() or b"".join(map(of.__getitem__, flat)) != b"".join(data):
+                exact &= [b"".join(map(of.__getitem__, x)) == d for x, d in zip(ids, data, strict=True)]
+            flat, ends = flat.tobytes(), [0, *(4 * ends).tolist()]
+            packed.append([flat[i:j] for i, j in zip(ends[:-1], ends[1:], strict=True)])
+        return list(zip(*packed, strict=True)), exact
+
+
+def units(text: str) -> list[str]:
+    """A text cut before blanks that follow a letter or sign; blanks at the end stay with the last unit.
+
+    Neither splitter joins across such a place, so the ids of a text are those of its units.
+    """
+    if text.isprintable() and "  " not in text and text[-1] != " ":  # single blanks are the only white space
+        return text.replace(" ", "\0 ")[1:].split("\0")
+    return _CUT.split(text)
+
+
+def numbers(ids: bytes) -> np.ndarray:
+    return np.frombuffer(ids, np.uint32)
+
+
+class Groups:
+    """Runs of ids between places where tokens of both end, for windows laid end to end."""
+
+    def __init__(self, a: np.ndarray, b: np.ndarray, tokens: Tokens):
+        self.a, self.b = a, b
+        ends_a, ends_b = (np.cumsum(n[x]) for n, x in zip(tokens.length_of, (a, b), strict=True))
+        self.ends, i, j = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        #: Where groups begin, and how many ids they have.
+        self.at_a, self.at_b = np.append(0, i + 1), np.append(0, j + 1)
+        self.n_a, self.n_b = np.diff(self.at_a), np.diff(self.at_b)
+
+    def text(self) -> list[str]:
+        a, b = list(map(str, self.a.tolist())), list(map(str, self.b.tolist()))
+        places = zip(self.at_a[:-1].tolist(), self.at_a[1:].tolist(), self.at_b[:-1].tolist(), self.at_b[1:].tolist(), strict=True)
+        return [f"{a[i]}|{b[k]}" if j - i == m - k == 1 else ",".join(a[i:j]) + "|" + ",".join(b[k:m]) for i, j, k, m in places]
+
+    def links(self, of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """By owner (one of ``of`` for each group): the distinct pairs of ids that share a group, and how often each does."""
+        size = self.n_a * self.n_b
+        few = size <= LONGEST**2
+        n, m = size[few], self.n_b[few]
+        step = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        m = np.repeat(m, n)
+        x = self.a[np.repeat(self.at_a[:-1][few], n) + step // m].astype(np.int64)
+        y = self.b[np.repeat(self.at_b[:-1][few], n) + step % m]
+        owner, codes, times = [np.repeat(of[few], n)], [x << _BITS | y], [np.ones(len(x), np.int64)]
+        for g in np.flatnonzero(~few).tolist():
+            # Ids that a large group repeats meet once, with the product of their numbers.
+            (x, n), (y, m) = (np.unique(v[at[g] : at[g + 1]], return_counts=True) for v, at in ((self.a, self.at_a), (self.b, self.at_b)))
+            codes.append(((x.astype(np.int64)[:, None] << _BITS) | y).ravel())
+            times.append((n[:, None] * m).ravel())
+            owner.append(np.full(len(codes[-1]), of[g]))
+        owner, codes, times = map(np.concatenate, (owner, codes, times))
+        order = np.lexsort((codes, owner))
+        owner, codes = owner[order], codes[order]
+        start = np.flatnonzero(np.append(True, (owner[1:] != owner[:-1]) | (codes[1:] != codes[:-1])))
+        return owner[start], codes[start], np.add.reduceat(times[order], start)
 
 
 class Windows:
     """Windows by their ids, numbered as they are met, with what each holds."""
 
     def __init__(self):
-        self.number: dict[tuple, int] = {}
+        self.number: dict[tuple[bytes, bytes], int] = {}
         self.text: list[str] = []
-        self.groups: list[int] = []
-        self.links: list[int] = []
-        self.codes: list[np.ndarray] = []
-        self.times: list[np.ndarray] = []
-
-    def add(self, a: tuple[int, ...], b: tuple[int, ...], tokens: Tokens) -> int:
-        parts = groups(list(a), list(b), *tokens.length_of)
-        codes, times = linked(parts)
-        self.text.append(";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in parts))
-        self.groups.append(len(parts))
-        self.links.append(int(times.sum()))
+        #: Ids of both kinds, groups and links of each window.
+        self.sizes = np.empty((4, 0), np.int64)
+        #: The pairs of all windows end to end, how often each, and where a window's pairs begin.
+        self.codes, self.times, self.bounds = [np.empty(0, np.int64)], [np.empty(0, np.int64)], np.zeros(1, np.int64)
+
+    def add(self, new: list[tuple[bytes, bytes]], tokens: Tokens):
+        """Work out windows that have no number yet; they get the next ones."""
+        a, b = (numbers(b"".join([w[k] for w in new])) for k in (0, 1))
+        ends = np.cumsum([len(w[0]) // 4 for w in new])
+        found = Groups(a, b, tokens)
+        of = np.searchsorted(ends, found.at_a[:-1], "right")
+        count = np.bincount(of, minlength=len(new))
+        first = np.cumsum(count) - count
+        parts = found.text()
+        self.text += [parts[i] if n == 1 else ";".join(parts[i : i + n]) for i, n in zip(first.tolist(), count.tolist(), strict=True)]
+        ids = [[len(w[k]) // 4 for w in new] for k in (0, 1)]
+        self.sizes = np.concatenate((self.sizes, [*ids, count, np.add.reduceat(found.n_a * found.n_b, first)]), 1)
+        owner, codes, times = found.links(of)
         self.codes.append(codes)
         self.times.append(times)
-        number = len(self.text) - 1
-        if len(a) + len(b) <= LONGEST:
-            self.number[a, b] = number
-        return number
+        self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(np.bincount(owner, minlength=len(new))))
+
+    def pairs(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The pairs of these windows end to end, how often each, and the number of each window's."""
+        self.codes, self.times = ([np.concatenate(x)] for x in (self.codes, self.times))
+        n = self.bounds[which + 1] - self.bounds[which]
+        at = np.arange(n.sum()) + np.repeat(self.bounds[which] - np.cumsum(n) + n, n)
+        return self.codes[0][at], self.times[0][at], n
 
 
 def _starts(ids: np.ndarray, length: np.ndarray, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -169,25 +198,62 @@ def _starts(ids: np.ndarray, length: np.ndarray, spaced: np.ndarray) -> tuple[np
     return at, (np.cumsum(n) - n)[at]
 
 
-def windows_of(pairs: list[tuple[list[int], list[int]]], tokens: Tokens, known: Windows) -> tuple[np.ndarray, np.ndarray]:
-    """Window numbers of the texts' ids, end to end, and each window's text.
+def windows_of(pairs: list[Runs], tokens: Tokens, known: Windows) -> list[tuple[int, ...]]:
+    """Window numbers of each text, from the runs of ids that both spell it.
 
-    All texts are one run of bytes: both tokenizers spell each of them, so they stay level.
+    All texts are one run of bytes, on which both tokenizers stay level.
     """
-    both = [list(chain.from_iterable(p[k] for p in pairs)) for k in (0, 1)]
-    ids = [np.array(x, np.int64) for x in both]
-    places = [_starts(x, n, s) for x, n, s in zip(ids, tokens.length_of, tokens.spaced, strict=True)]
-    anchors, i, j = np.intersect1d(places[0][1], places[1][1], assume_unique=True, return_indices=True)
-    a = [*places[0][0][i].tolist(), len(both[0])]
-    b = [*places[1][0][j].tolist(), len(both[1])]
-    numbers, number = [], known.number
-    for k in range(len(anchors)):
-        x, y = tuple(both[0][a[k] : a[k + 1]]), tuple(both[1][b[k] : b[k + 1]])
-        found = number.get((x, y))
-        numbers.append(known.add(x, y, tokens) if found is None else found)
-    first = np.cumsum([0] + [len(p[0]) for p in pairs[:-1]])
-    text = np.searchsorted(first, np.array(a[:-1]), "right") - 1
-    return np.array(numbers, np.int64), text
+    x, y = (b"".join([p[k] for p in pairs]) for k in (0, 1))
+    (at_a, byte_a), (at_b, byte_b) = (_starts(numbers(v), n, s) for v, n, s in zip((x, y), tokens.length_of, tokens.spaced, strict=True))
+    _, i, j = np.intersect1d(byte_a, byte_b, assume_unique=True, return_indices=True)
+    first = at_a[i]
+    a, b = [*(4 * first).tolist(), len(x)], [*(4 * at_b[j]).tolist(), len(y)]
+    keys = [(x[i:j], y[k:m]) for i, j, k, m in zip(a[:-1], a[1:], b[:-1], b[1:], strict=True)]
+    which = list(map(known.number.get, keys))
+    fresh = list(dict.fromkeys([k for k, w in zip(keys, which, strict=True) if w is None]))
+    if fresh:
+        n = len(known.text)
+        found = {k: n + place for place, k in enumerate(fresh)}
+        known.add(fresh, tokens)
+        known.number.update((k, v) for k, v in found.items() if len(k[0]) + len(k[1]) <= 4 * LONGEST)
+        which = [found[k] if w is None else w for k, w in zip(keys, which, strict=True)]
+    # Both runs of a text begin with a blank, so each text begins a window.
+    begin = np.searchsorted(first, np.cumsum([0] + [len(p[0]) // 4 for p in pairs])).tolist()
+    return [tuple(which[lo:hi]) for lo, hi in zip(begin[:-1], begin[1:], strict=True)]
+
+
+class Aligner:
+    """Windows of texts. Units come again and again, so their windows are remembered too."""
+
+    def __init__(self, tokens: Tokens):
+        self.tokens, self.windows = tokens, Windows()
+        self.known: dict[str, tuple[int, ...]] = {}
+
+    def full(self) -> bool:
+        return max(len(self.known), len(self.windows.text)) > REMEMBERED
+
+    def __call__(self, texts: list[str]) -> list[np.ndarray | None]:
+        """Window numbers of blank + text; None where there is no text or a tokenizer does not spell it."""
+        cut = [units(f" {t}") if t else [] for t in texts]
+        found = [list(map(self.known.get, u)) for u in cut]
+        missing = list({u for us, have in zip(cut, found, strict=True) if None in have for u, f in zip(us, have, strict=True) if f is None})
+        made: dict[str, tuple[int, ...]] = {}
+        for lo in range(0, len(missing), 10_000):
+            some = missing[lo : lo + 10_000]
+            pairs, exact = self.tokens.encode(some)
+            spelt = np.flatnonzero(exact).tolist()
+            made.update(dict.fromkeys(some, ()))
+            if spelt:
+                made.update(zip([some[i] for i in spelt], windows_of([pairs[i] for i in spelt], self.tokens, self.windows), strict=True))
+        if made:
+            self.known.update((u, w) for u, w in made.items() if len(u) <= LONGEST)
+            found = [[made[u] if f is None else f for u, f in zip(us, have, strict=True)] if None in have else have for us, have in zip(cut, found, strict=True)]
+        return [np.fromiter(chain.from_iterable(f), np.int64) if all(f) and f else self._whole(t) for t, f in zip(texts, found, strict=True)]
+
+    def _whole(self, text: str) -> np.ndarray | None:
+        """A text with a unit that is not spelt alone: its bytes are compared as a whole."""
+        pairs, exact = self.tokens.encode([f" {text}"]) if text else ([], [False])
+        return np.array(windows_of(pairs, self.tokens, self.windows)[0], np.int64) if exact[0] else None
 
 
 class _Chunk:
@@ -207,26 +273,25 @@ class _Chunk:
         self.seen.append(new)
         return self.local[which]
 
-    def add(self, ids: pa.Array, texts: list[str], tokens: Tokens, known: Windows):
-        found = tokens.ids(texts)
-        sound = [f for f in found if f is not None]
-        which, text = windows_of(sound, tokens, known) if sound else (np.empty(0, np.int64),) * 2
-        numbers, cuts = self.number(which, known), np.searchsorted(text, np.arange(len(sound) + 1)).tolist()
-        if sound:
+    def add(self, ids: pa.Array, texts: list[str], aligner: Aligner):
+        found, known = aligner(texts), aligner.windows
+        which = [f for f in found if f is not None]
+        if which:
+            n = list(map(len, which))
+            which, text = np.concatenate(which), np.repeat(np.arange(len(which)), n)
             # Each document counts once for a pair.
-            of = [known.codes[w] for w in which.tolist()]
-            both = np.unique(np.repeat(text << 2 * _BITS, list(map(len, of))) | np.concatenate(of))
+            codes, _, pairs = known.pairs(which)
+            both = np.unique(np.repeat(text << 2 * _BITS, pairs) | codes)
             self.codes.append(both & ((1 << 2 * _BITS) - 1))
-        at = 0
+            own, sizes = self.number(which, known), np.add.reduceat(known.sizes[:, which], np.cumsum(n) - n, axis=1).T.tolist()
+            own = iter(np.split(own, np.cumsum(n)[:-1]))
+            sizes = iter(sizes)
         for key, f in zip(ids.to_pylist(), found, strict=True):
-            lo, hi = (cuts[at], cuts[at + 1]) if f else (0, 0)
-            at += f is not None
-            w = which[lo:hi].tolist()
-            row = (
-                key, len(f[0]) if f else 0, len(f[1]) if f else 0,
-                sum(map(known.groups.__getitem__, w)), sum(map(known.links.__getitem__, w)),
-                sha256(";".join(map(known.text.__getitem__, w)).encode()).hexdigest() if f else "", numbers[lo:hi],
-            )
+            if f is None:
+                row = (key, 0, 0, 0, 0, "", np.empty(0, np.int32))
+            else:
+                text = ";".join(map(known.text.__getitem__, f.tolist()))
+                row = (key, *next(sizes), sha256(text.encode()).hexdigest(), next(own))
             for column, value in zip(self.rows, row, strict=True):
                 column.append(value)
 
@@ -235,23 +300,21 @@ class _Chunk:
         if not self.codes:
             return [[], [], [], [], []]
         codes, docs = np.unique(np.concatenate(self.codes), return_counts=True)
-        seen = np.concatenate(self.seen).tolist()
-        mine = [known.codes[w] for w in seen]
-        pair = np.searchsorted(codes, np.concatenate(mine))
-        return [codes, docs, pair, np.concatenate([known.times[w] for w in seen]), np.cumsum(list(map(len, mine)))]
+        mine, times, n = known.pairs(np.concatenate(self.seen))
+        return [codes, docs, np.searchsorted(codes, mine), times, np.cumsum(n)]
 
 
 _LISTS = ("codes", "docs", "pair", "times", "ends")
 
 
-def _aligned(first: str, second: str):
+def _aligned(first: str, second: str, chunk_bytes: int, slice_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = worker_store(f"align:{first}:{second}", lambda: Tokens(first, second))
-        part, number, chunk, known, kind = TaskContext.get().partitionId() << 24, 0, _Chunk(), Windows(), None
+        part, number, chunk, aligner, kind = TaskContext.get().partitionId() << 24, 0, _Chunk(), Aligner(tokens), None
 
         def rows() -> pa.RecordBatch:
             n = len(chunk.rows[0])
-            filled = [pa.array([None] * (n - 1) + [np.asarray(x, np.int64)], pa.list_(pa.int64())) for x in chunk.tables(known)]
+            filled = [pa.array([None] * (n - 1) + [np.asarray(x, np.int64)], pa.list_(pa.int64())) for x in chunk.tables(aligner.windows)]
             kinds = [kind, *[pa.int64()] * 4, pa.string(), pa.list_(pa.int32())]
             columns = [pa.array(c, t) for c, t in zip(chunk.rows, kinds, strict=True)]
             names = ["id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "windows", *_LISTS]
@@ -259,15 +322,15 @@ def _aligned(first: str, second: str):
 
         for batch in batches:
             kind = batch.column(0).type
-            for lo, hi in row_slices(batch.column(1), SLICE_BYTES):
+            for lo, hi in row_slices(batch.column(1), slice_bytes):
                 texts = [t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()]
-                chunk.add(batch.column(0).slice(lo, hi - lo), texts, tokens, known)
+                chunk.add(batch.column(0).slice(lo, hi - lo), texts, aligner)
                 chunk.size += sum(map(len, texts))
-                if chunk.size >= CHUNK_BYTES:
+                if chunk.size >= chunk_bytes:
                     yield rows()
                     number, chunk = number + 1, _Chunk()
-                    if len(known.text) > REMEMBERED:
-                        known = Windows()
+                    if aligner.full():
+                        aligner = Aligner(tokens)
         if chunk.rows[0]:
             yield rows()
 
@@ -297,7 +360,10 @@ def _counted(best_of: np.ndarray):
     return run
 
 
-def align(docs: DataFrame, first: str, second: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def align(
+    docs: DataFrame, first: str, second: str, id_col: str = "doc_id", text_col: str = "text",
+    chunk_bytes: int = CHUNK_BYTES, slice_bytes: int = SLICE_BYTES,
+) -> DataFrame:
     """Tokens, groups and links of every row's text under two tokenizers.
 
     ``first`` is a byte-level vocabulary for tokenizers, given blank + text; ``second`` a
@@ -307,13 +373,14 @@ def align(docs: DataFrame, first: str, second: str, id_col: str = "doc_id", text
     of its first id. ``groups_sha256`` is the hash of all groups as text. Null and empty texts,
     and texts that either tokenizer does not spell byte for byte, have zeros and an empty hash.
     Rows that repeat an identifier count each. An empty table gives no rows; other columns are
-    not looked at. Both files must be readable by every worker.
+    not looked at. Both files must be readable by every worker. ``chunk_bytes`` and
+    ``slice_bytes`` bound what is numbered and handled at once and change no result.
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
     lists = ", ".join(f"{c} array<long>" for c in _LISTS)
     schema = f"chunk long, id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, windows array<int>, {lists}"
-    aligned = stage(rows.mapInArrow(_aligned(first, second), schema), "align-chunks")
+    aligned = stage(rows.mapInArrow(_aligned(first, second, chunk_bytes, slice_bytes), schema), "align-chunks")
     found = aligned.where("codes is not null").select("chunk", F.posexplode(F.arrays_zip("codes", "docs")).alias("at", "p"))
     found = found.select("chunk", "at", F.col("p.codes").alias("code"), F.col("p.docs").alias("n"))
     counts = stage(found.groupBy("code").agg(F.sum("n").alias("count"), F.count("*").alias("chunks")), "align-counts")
@@ -330,7 +397,7 @@ def align(docs: DataFrame, first: str, second: str, id_col: str = "doc_id", text
 
 
 def spans(docs: DataFrame, first: str, second: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The groups themselves: ``id``, ``place`` (from 0), the bytes ``start`` to ``end`` of blank + text, and both lists of ids.
+    """The groups themselves: ``place`` (from 0), the bytes ``start`` to ``end`` of blank + text, and both lists of ids.
 
     Texts without tokens, as ``align`` tells, give no rows.
     """
@@ -338,21 +405,15 @@ def spans(docs: DataFrame, first: str, second: str, id_col: str = "doc_id", text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = worker_store(f"align:{first}:{second}", lambda: Tokens(first, second))
         for batch in batches:
-            for lo, hi in row_slices(batch.column(1), SLICE_BYTES):
-                found = tokens.ids([t or "" for t in batch.column(1).slice(lo, hi - lo).to_pylist()])
-                for k, pair in enumerate(found):
-                    if pair is None:
-                        continue
-                    parts = groups(*pair, *tokens.length_of)
-                    ends = np.cumsum([tokens.length_of[0][x].sum() for x, _ in parts])
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([batch.column(0)[lo + k].as_py()] * len(parts), batch.column(0).type), pa.array(np.arange(len(parts))),
-                            pa.array(np.append(0, ends[:-1])), pa.array(ends),
-                            pa.array([x for x, _ in parts], pa.list_(pa.int32())), pa.array([y for _, y in parts], pa.list_(pa.int32())),
-                        ],
-                        names=["id", "place", "start", "end", "first", "second"],
-                    )
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                pairs, exact = tokens.encode([f" {text}"]) if text else ([], [False])
+                if not exact[0]:
+                    continue
+                part = Groups(*map(numbers, pairs[0]), tokens)
+                n, ends = len(part.ends), part.ends
+                lists = [pa.ListArray.from_arrays(at.astype(np.int32), x.astype(np.int32)) for at, x in ((part.at_a, part.a), (part.at_b, part.b))]
+                arrays = [pa.array([key] * n, batch.column(0).type), pa.array(np.arange(n)), pa.array(np.append(0, ends[:-1])), pa.array(ends)]
+                yield pa.RecordBatch.from_arrays([*arrays, *lists], names=["id", "place", "start", "end", "first", "second"])
 
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
