@@ -159,9 +159,13 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     idf = np.log((1 + n) / (1 + df)) + 1
     # Four times the texts wanted pass a hash that repeated texts share; the first of them by hash stay.
     hashed = learn.withColumn("h", F.xxhash64("text"))
-    sizes = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"))
-    limit = F.least(F.lit(1.0), F.lit(4.0 * SAMPLE_DOCS) / F.col("n"))
-    passed = hashed.join(sizes, "lang").where(F.pmod("h", F.lit(1 << 30)) < limit * (1 << 30))
+    sizes = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n")).limit(LANGUAGES + 1).collect()
+    if len(sizes) > LANGUAGES:
+        raise ValueError(f"more than {LANGUAGES} languages")
+    limits = [(r.lang, int((1 << 30) * min(1.0, 4.0 * SAMPLE_DOCS / r.n))) for r in sizes]
+    # One row for each language, which are counted above.
+    limits = F.broadcast(docs.sparkSession.createDataFrame(limits, "lang string, below long"))
+    passed = hashed.join(limits, "lang").where(F.pmod("h", F.lit(1 << 30)) < F.col("below"))
     once = passed.groupBy("lang", "h").agg(F.min("text").alias("text"))
     sent = docs.sparkSession.sparkContext.broadcast(idf)
 
@@ -190,8 +194,6 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
         return pa.table({"lang": pa.array([table.column("lang")[0].as_py()] * k), "k": pa.array(range(k), pa.int32()), "least": least, "centroid": pa.array(list(centroids.astype(np.float32)))})
 
     model = ranked.where(F.col("place") <= SAMPLE_DOCS).groupBy("lang").applyInArrow(cluster, "lang string, k int, least double, centroid array<float>")
-    if sizes.count() > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
     rows = sorted(model.collect(), key=lambda r: (r.lang, r.k))
     if not rows:
         return None
