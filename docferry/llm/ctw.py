@@ -9,8 +9,10 @@ they tell the corpus. As counts do not change while scoring, the mixture gives e
 
 1. Tasks cut their documents into chunks of bounded size and count, once in each chunk, words
    and ``DEPTH`` + 1 bytes in a row (grams), which hold the counts of all shorter contexts.
-2. Counts are summed over the corpus. Grams meet by their two nearest context bytes, which
-   settles all deeper nodes; the few nodes above are settled from one summary per subtree.
+   The texts are kept next to these tables, compressed.
+2. Counts are summed over the corpus. Grams meet by their two nearest context bytes, and such a
+   subtree is staged as one row: all deeper nodes are settled in it, the few nodes above from
+   one summary per subtree, and then the code lengths are told, without another shuffle.
 3. Code lengths and word counts go back to the chunks that asked for them, so nothing that
    grows with the corpus is sent to all tasks.
 """
@@ -18,7 +20,7 @@ they tell the corpus. As counts do not change while scoring, the mixture gives e
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docferry.llm.common import crc_class, n_tasks, stage
+from docferry.llm.common import crc_class, n_tasks, row_slices, stage
 
 DEPTH = 5
 END, BEFORE = 0xFF, 0x00  # bytes that no UTF-8 text holds, and the context before a text
@@ -68,17 +70,17 @@ def _counted(keys: np.ndarray, weights: np.ndarray | None = None) -> tuple[np.nd
 class _Chunk:
     """Words and grams of the documents of one chunk; counts are of those learned from."""
 
-    def __init__(self):
-        self.learned, self.words, self.other = Counter(), set(), []
+    def __init__(self, block_bytes: int):
+        self.learned, self.words = Counter(), set()
         self.blocks: dict[bool, list[bytes]] = {True: [], False: []}
-        self.size, self.waiting, self.parts = 0, 0, []
+        self.block_bytes, self.size, self.waiting, self.parts = block_bytes, 0, 0, []
 
     def add(self, text: bytes, held: bool):
         (self.words if held else self.learned).update(text.split())
         self.blocks[held].append(text)
         self.size += len(text)
         self.waiting += len(text)
-        if self.waiting > BLOCK_BYTES:
+        if self.waiting > self.block_bytes:
             self.flush()
 
     def flush(self):
@@ -89,43 +91,56 @@ class _Chunk:
         self.blocks, self.waiting = {True: [], False: []}, 0
 
     def tables(self) -> list:
-        from xxhash import xxh3_64_intdigest
-
+        """Hashes of the words and their counts, grams and their counts."""
         self.flush()
         words = list(self.learned) + list(self.words - self.learned.keys())
         keys, n = _counted(*(np.concatenate(x) for x in zip(*self.parts, strict=True))) if self.parts else (np.empty(0, np.int64),) * 2
-        return [words, [xxh3_64_intdigest(w) - (1 << 63) for w in words], [self.learned[w] for w in words], keys, n]
-
-
-def _survey(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents with their chunk; a chunk's last row carries its tables."""
-    part, number, chunk = TaskContext.get().partitionId() << 24, 0, _Chunk()
-    waiting: list | None = None
-    kinds = [pa.int64(), None, pa.bool_(), pa.binary(), pa.list_(pa.binary()), *[pa.list_(pa.int64())] * 4]
-    names = ["chunk", "id", "held", "text", "words", "word_h", "word_n", "grams", "gram_n"]
-
-    def rows(ids, helds, texts, tables):
-        n = len(texts)
-        kinds[1] = ids.type
-        filled = [[None] * (n - 1) + [x] if tables else [None] * n for x in (tables or [None] * 5)]
-        columns = [[part + number] * n, ids, helds, texts, *filled]
-        return pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=names)
-
-    for batch in batches:
-        for lo in range(0, batch.num_rows, 200):
-            if waiting:
-                if chunk.size >= CHUNK_BYTES:
-                    yield rows(*waiting, chunk.tables())
-                    number, chunk = number + 1, _Chunk()
-                else:
-                    yield rows(*waiting, None)
-            piece = batch.slice(lo, 200)
-            texts, held = [t.lower() for t in piece.column(2).to_pylist()], piece.column(1).to_pylist()
-            for t, h in zip(texts, held, strict=True):
-                chunk.add(t, h)
-            waiting = [piece.column(0), held, texts]
-    if waiting:
-        yield rows(*waiting, chunk.tables())
+        return [list(map(_word_hash, words)), [self.learned[w] for w in words], keys, n]
+
+
+def _word_hash(word: bytes) -> int:
+    from xxhash import xxh3_64_intdigest
+
+    return xxh3_64_intdigest(word) - (1 << 63)
+
+
+def _survey(chunk_bytes: int, block_bytes: int):
+    """Blocks of documents with their chunk; a chunk's last block carries its tables."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(3).compress
+        part, number, chunk = TaskContext.get().partitionId() << 24, 0, _Chunk(block_bytes)
+        waiting: list | None = None
+        names = ["chunk", "ids", "held", "sizes", "texts", "word_h", "word_n", "grams", "gram_n"]
+
+        def row(ids: pa.Array, helds: list[bool], texts: list[bytes], tables: list | None) -> pa.RecordBatch:
+            arrays = [
+                pa.array([part + number]), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                pa.array([helds], pa.list_(pa.bool_())), pa.array([list(map(len, texts))], pa.list_(pa.int32())),
+                pa.array([pack(b"".join(texts))], pa.binary()),
+                *[pa.array([t], pa.list_(pa.int64())) for t in tables or [None] * 4],
+            ]
+            return pa.RecordBatch.from_arrays(arrays, names=names)
+
+        for batch in batches:
+            for lo, hi in row_slices(batch.column(2), block_bytes):
+                if waiting:
+                    if chunk.size >= chunk_bytes:
+                        yield row(*waiting, chunk.tables())
+                        number, chunk = number + 1, _Chunk(block_bytes)
+                    else:
+                        yield row(*waiting, None)
+                piece = batch.slice(lo, hi - lo)
+                texts, held = [t.lower() for t in piece.column(2).to_pylist()], piece.column(1).to_pylist()
+                for t, h in zip(texts, held, strict=True):
+                    chunk.add(t, h)
+                waiting = [piece.column(0), held, texts]
+        if waiting:
+            yield row(*waiting, chunk.tables())
+
+    return run
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -235,31 +250,41 @@ class Lookup:
         return self.values[at]
 
 
-def _scored(seen: int, kinds: int):
+class _Counts(dict):
+    """Counts of words, looked up once by hash for each word."""
+
+    def __init__(self, of: dict[int, int]):
+        self.of = of
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = self.of.get(_word_hash(word), 0)
+        return n
+
+
+def _scored(seen: int, kinds: int, learned: int):
     def run(key, docs: pa.Table, tables: pa.Table) -> pa.Table:
-        flat = lambda name: tables.column(name).combine_chunks().flatten()
-        # The chunk's words lie in one of its documents' rows, in the order of the counts' places.
-        words = docs.column("words").combine_chunks().flatten().to_pylist()
-        count = np.zeros(len(words), np.int64)
-        count[flat("word_at").to_numpy(zero_copy_only=False)] = flat("word_c").to_numpy(zero_copy_only=False)
-        counts = dict(zip(words, count.tolist(), strict=True))
-        lengths = Lookup(flat("grams").to_numpy(zero_copy_only=False), flat("log_p").to_numpy(zero_copy_only=False))
-        # The end counts as known where any document was learned from.
-        end = tables.column("docs_learned")[0].as_py()
+        import zstandard
+
+        unpack = zstandard.ZstdDecompressor().decompress
+        is_word = tables.column("is_word").to_numpy()
+        keys, values = tables.column("key").to_numpy(), tables.column("value").to_numpy()
+        counts = _Counts(dict(zip(keys[is_word].tolist(), values[is_word].astype(np.int64).tolist(), strict=True)))
+        lengths = Lookup(keys[~is_word], values[~is_word])
         level = np.log10(seen + kinds + 1)
         out: list[list] = [[], [], [], []]
-        texts = docs.column("text")
-        for lo in range(0, len(texts), 256):
-            block = texts.slice(lo, 256).to_pylist()
+        for blob, sizes in zip(docs.column("texts"), docs.column("sizes"), strict=True):
+            data, ends = unpack(blob.as_py()), np.cumsum(sizes.values.to_numpy(), dtype=np.int64).tolist()
+            block = [data[i:j] for i, j in zip([0, *ends[:-1]], ends, strict=True)]
             coded = lengths(grams_of(block))
             out[3] += np.add.reduceat(coded, np.cumsum([0] + [len(t) + 1 for t in block[:-1]])).tolist()
             for text in block:
                 tokens = text.split()
                 c = np.fromiter(map(counts.__getitem__, tokens), np.int64, len(tokens))
                 out[0].append(len(tokens) + 1)
-                out[1].append(int(np.count_nonzero(c)) + (end > 0))
-                out[2].append(float(np.log10(c + 1).sum() + np.log10(end + 1) - (len(tokens) + 1) * level))
-        ids, held = docs.column("id").combine_chunks(), docs.column("held").combine_chunks()
+                # The end counts as known where any document was learned from.
+                out[1].append(int(np.count_nonzero(c)) + (learned > 0))
+                out[2].append(float(np.log10(c + 1).sum() + np.log10(learned + 1) - (len(tokens) + 1) * level))
+        ids, held = (docs.column(c).combine_chunks().flatten() for c in ("ids", "held"))
         n = pa.array(np.full(len(ids), seen, np.int64))
         return pa.table([ids, held, pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), n, pa.array(out[2], pa.float64()), pa.array(out[3], pa.float64())],
                         names=["id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"])
@@ -267,13 +292,26 @@ def _scored(seen: int, kinds: int):
     return run
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _per_subtree(work: Callable[[np.ndarray, np.ndarray], dict[str, np.ndarray]]):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for grams, n in zip(batch.column(0), batch.column(1), strict=True):
+                yield pa.RecordBatch.from_pydict(work(grams.values.to_numpy(), n.values.to_numpy()))
+
+    return run
+
+
+def score(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", chunk_bytes: int = CHUNK_BYTES, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """For every row: tokens, known tokens, the unigram ``base_score``, and ``score``.
 
     ``score`` is the log10 probability of the text's bytes and end under the model learned
     from rows outside the held-out class; ``base_score`` sums log10((c + 1) / (N + V + 1)) over
     the words and the end. Null and empty texts are the end only. Rows that repeat an
-    identifier count and are scored each. Where nothing is learned, all choices are even.
+    identifier count and are scored each. Where nothing is learned, all choices are even. An
+    empty table gives no rows. ``chunk_bytes`` and ``block_bytes`` bound what a task counts and
+    handles at once and change no result.
     """
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"),
@@ -281,47 +319,45 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
         F.coalesce(F.col(f"`{text_col}`"), F.lit("")).cast("binary").alias("text"),
     )
     kind = rows.schema["id"].dataType.simpleString()
-    lists = "words array<binary>, word_h array<long>, word_n array<long>, grams array<long>, gram_n array<long>"
-    survey = stage(rows.mapInArrow(_survey, f"chunk long, id {kind}, held boolean, text binary, {lists}"), "lm-survey")
+    lists = "word_h array<long>, word_n array<long>, grams array<long>, gram_n array<long>"
+    blocks = f"chunk long, ids array<{kind}>, held array<boolean>, sizes array<int>, texts binary, {lists}"
+    survey = stage(rows.mapInArrow(_survey(chunk_bytes, block_bytes), blocks), "lm-survey")
     chunks = survey.where("grams is not null")
 
     # Words meet by a 64-bit hash, which is shorter than they are.
-    words = chunks.select("chunk", F.posexplode(F.arrays_zip("word_h", "word_n")).alias("at", "w")).select("chunk", "at", "w.word_h", "w.word_n")
-    counts = stage(words.groupBy("word_h").agg(F.sum("word_n").alias("word_c")), "lm-words")
-    learned = survey.where("not held").count()
-    total = counts.where("word_c > 0").agg(F.coalesce(F.sum("word_c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
+    words = chunks.select("chunk", F.explode(F.arrays_zip("word_h", "word_n")).alias("w")).select("chunk", "w.word_h", "w.word_n")
+    counts = stage(words.groupBy("word_h").agg(F.sum("word_n").alias("word_c")).where("word_c > 0"), "lm-words")
+    learned = survey.agg(F.coalesce(F.sum(F.size(F.filter("held", lambda h: ~h))), F.lit(0))).first()[0]
+    total = counts.agg(F.coalesce(F.sum("word_c"), F.lit(0)).alias("n"), F.count("*").alias("v")).first()
     seen, kinds = total.n + learned, total.v + (learned > 0)
-    known = words.select("chunk", "at", "word_h").join(counts.where("word_c > 0"), "word_h")
-    word_lists = known.groupBy("chunk").agg(F.collect_list("at").alias("word_at"), F.collect_list("word_c").alias("word_c"))
+    known = words.join(counts, "word_h").select(F.col("chunk").alias("of"), F.lit(True).alias("is_word"), F.col("word_h").alias("key"), F.col("word_c").cast("double").alias("value"))
 
     grams = chunks.select("chunk", F.explode(F.arrays_zip("grams", "gram_n")).alias("g")).select("chunk", "g.grams", "g.gram_n")
     # All grams with the same two nearest bytes lie in one group; a group holds several such subtrees.
     subtree = F.pmod(F.xxhash64(F.shiftright("grams", 8).bitwiseAND(0xFFFF)), F.lit(4 * n_tasks(docs.sparkSession)))
-    sums = stage(grams.groupBy("grams").agg(F.sum("gram_n").alias("n")).withColumn("near", subtree), "lm-grams")
+    sums = grams.groupBy("grams").agg(F.sum("gram_n").alias("n")).withColumn("near", subtree)
 
-    def settle(table: pa.Table) -> pa.Table:
-        key, n, ones, log_p = _subtrees(table.column("grams").to_numpy(), table.column("n").to_numpy())
-        return pa.table({"key": key, "n": n, "ones": ones, "log_p": log_p})
+    def together(table: pa.Table) -> pa.Table:
+        table = table.sort_by("grams")
+        return pa.table({c: pa.array([table.column(c).to_numpy()], pa.list_(pa.int64())) for c in ("grams", "n")})
 
-    nodes = sums.groupBy("near").applyInArrow(settle, "key long, n double, ones double, log_p double")
+    subtrees = stage(sums.groupBy("near").applyInArrow(together, "grams array<long>, n array<long>"), "lm-subtrees")
+
+    def settle(grams: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+        return dict(zip(("key", "n", "ones", "log_p"), _subtrees(grams, n), strict=True))
+
+    nodes = subtrees.mapInArrow(_per_subtree(settle), "key long, n double, ones double, log_p double")
     # Summed by their depth-1 parents first: what comes to the driver has 256 * 255 rows at most.
     parents = nodes.groupBy((F.shiftright("key", 8).bitwiseAND(255) * 256 + F.col("key").bitwiseAND(255)).alias("key"))
     upper_rows = parents.agg(F.sum("n").alias("n"), F.sum("ones").alias("ones"), F.sum("log_p").alias("log_p")).toArrow()
     upper = Upper(*(upper_rows.column(c).to_numpy() for c in ("key", "n", "ones", "log_p")))
 
-    def lengths(table: pa.Table) -> pa.Table:
-        g = table.column("grams").to_numpy()
-        return pa.table({"grams": g, "log_p": upper.lengths(g, table.column("n").to_numpy())})
-
-    coded = stage(sums.groupBy("near").applyInArrow(lengths, "grams long, log_p double"), "lm-lengths")
-    gram_lists = grams.select("chunk", "grams").join(coded, "grams").groupBy("chunk").agg(F.collect_list("grams").alias("grams"), F.collect_list("log_p").alias("log_p"))
-    # A chunk may hold no word that was learned.
-    tables = gram_lists.join(word_lists, "chunk", "left").select(
-        F.col("chunk").alias("of"),
-        F.coalesce("word_at", F.array().cast("array<int>")).alias("word_at"),
-        F.coalesce("word_c", F.array().cast("array<bigint>")).alias("word_c"),
-        "grams", "log_p", F.lit(learned).alias("docs_learned"),
-    )
+    def lengths(grams: np.ndarray, n: np.ndarray) -> dict[str, np.ndarray]:
+        return {"grams": grams, "log_p": upper.lengths(grams, n)}
+
+    coded = subtrees.mapInArrow(_per_subtree(lengths), "grams long, log_p double")
+    asked = grams.select("chunk", "grams").join(coded, "grams")
+    tables = asked.select(F.col("chunk").alias("of"), F.lit(False).alias("is_word"), F.col("grams").alias("key"), F.col("log_p").alias("value")).unionByName(known)
     schema = f"id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    texts = survey.select("chunk", "id", "held", "text", "words")
-    return texts.groupBy("chunk").cogroup(tables.groupBy("of")).applyInArrow(_scored(seen, kinds), schema).withColumnRenamed("id", id_col)
+    texts = survey.select("chunk", "ids", "held", "sizes", "texts")
+    return texts.groupBy("chunk").cogroup(tables.groupBy("of")).applyInArrow(_scored(seen, kinds, learned), schema).withColumnRenamed("id", id_col)
