@@ -3,13 +3,13 @@
 Every word enters by an embedding of the word and one of its letters' 3- and 4-grams, both
 hashed. Windows of ``SPAN`` words, each half over the next, go through the network and are
 pooled by attention; a document's score is that of its worst window. The network is trained
-in numpy on a bounded sample of labelled rows; scoring is one pass over all texts.
+in numpy, by one task, on a bounded sample of labelled rows; scoring is one pass over all texts.
 """
 
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +30,8 @@ FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 #: Words whose input a worker remembers, and letters of text it handles at once.
 REMEMBERED, CHUNK_LETTERS = 400_000, 2_000_000
+#: Windows that go through the network together.
+WINDOWS_AT_ONCE = 1024
 _TRIM = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum())
 
 
@@ -76,9 +78,8 @@ class Network:
         for side in "fb":
             self.p |= {f"in_{side}": draw(d, 3 * h), f"base_{side}": np.zeros(3 * h, np.float32), f"back_{side}": draw(h, 3 * h)}
 
-    def inputs(self, words: list[str]) -> np.ndarray:
-        """One row of word and letter embeddings for each word."""
-        rows, grams, first = features(words)
+    def inputs(self, rows: np.ndarray, grams: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """One row of word and letter embeddings for each word, from the words' features."""
         p = self.p
         letters = np.cumsum(p["grams"][grams[:, 0]] + p["grams"][grams[:, 1]], axis=0, dtype=np.float64)
         last = np.append(first[1:], len(grams)) - 1
@@ -156,14 +157,20 @@ class Network:
 
 
 def windows(lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Word places and mask (SPAN, windows) of texts of so many words laid end to end, and each text's first window."""
+    """First word and number of words of each window of texts laid end to end, and each text's first window."""
     count = np.maximum(1, -(-(lengths - SPAN) // STRIDE) + 1)
     first = np.cumsum(count) - count
     text = np.repeat(np.arange(len(lengths)), count)
+    shift = (np.arange(len(text)) - first[text]) * STRIDE
     begin = np.cumsum(lengths) - lengths
-    places = (begin[text] + (np.arange(len(text)) - first[text]) * STRIDE)[:, None] + np.arange(SPAN)
-    mask = places < (begin + lengths)[text][:, None]
-    return np.ascontiguousarray(np.where(mask, places, 0).T), np.ascontiguousarray(mask.T), first
+    return begin[text] + shift, np.minimum(lengths[text] - shift, SPAN).astype(np.int32), first
+
+
+def places_of(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Word places and mask (SPAN, windows) of these windows."""
+    step = np.arange(SPAN)[:, None]
+    mask = step < size
+    return np.where(mask, start + step, 0), mask
 
 
 def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -174,43 +181,47 @@ def _by_row(rows: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return rows[start], np.add.reduceat(values[order], start, axis=0)
 
 
-def train(texts: list[str], labels: list[int], seed: int = 11) -> Network | None:
+def train(rows: Iterable[tuple[str, int]], seed: int = 11) -> Network | None:
     """Fit to labelled texts; None unless both labels occur.
 
     A label holds for a text, not for each window. Of a text labelled 1, the window that
     now scores worst is taught as 1; texts labelled 0 teach random windows and the worst.
+    Texts are read one by one; what stays of them is one number for each word.
     """
+    index: dict[str, int] = {}
+    numbers, labels = [], []
+    for text, label in rows:
+        doc = text.split() or [""]
+        numbers.append(np.fromiter((index.setdefault(w, len(index)) for w in doc), np.int32, len(doc)))
+        labels.append(label)
     y = np.array(labels)
     if not (0 < y.sum() < len(y)):
         return None
     r, net = np.random.default_rng(seed), Network(seed)
-    index: dict[str, int] = {}
-    # Text by text, so that each word is kept once and not as often as it occurs.
-    numbers = []
-    for text in texts:
-        doc = text.split() or [""]
-        numbers.append(np.fromiter((index.setdefault(w, len(index)) for w in doc), np.int64, len(doc)))
+    words = _Features(list(index))
+    del index
+    # In how many texts of each label a word occurs.
+    positive, negative = np.zeros(words.n, np.int32), np.zeros(words.n, np.int32)
+    for doc, label in zip(numbers, labels, strict=True):
+        (positive if label else negative)[np.unique(doc)] += 1
     lengths = np.array(list(map(len, numbers)))
     ids = np.concatenate(numbers)
-    words = list(index)
-    rows, grams, first = features(words)
-    owner = np.repeat(np.arange(len(texts)), lengths)
+    del numbers
     # The first number of every embedding starts at the log-odds of its row among the texts.
-    pairs = np.unique(owner * len(words) + ids)
-    doc, word = pairs // len(words), pairs % len(words)
-    positive, negative = (np.bincount(word[y[doc] == k], minlength=len(words)) for k in (1, 0))
     odds = lambda a, b: np.log((a + 0.5) / (y.sum() + 1)) - np.log((b + 0.5) / (len(y) - y.sum() + 1))
-    of_gram = np.repeat(np.arange(len(words)), np.diff(np.append(first, len(grams))))
-    for name, size, at, of in (("words", WORD_ROWS, rows, np.arange(len(words))), ("grams", GRAM_ROWS, grams.ravel(), np.repeat(of_gram, 2))):
-        a, b = (np.bincount(at, c[of], size) for c in (positive, negative))
+    for name, size, columns, of in (("words", WORD_ROWS, [words.rows], slice(None)), ("grams", GRAM_ROWS, words.grams.T, words.of_gram())):
+        a, b = (sum(np.bincount(at, c[of], size) for at in columns) for c in (positive, negative))
         net.p[name][:, 0] = np.clip(odds(a, b), -2, 4) * np.minimum(1, (a + b) / 10) / 2
         net.p[name][0] = 0
-    places, mask, begin = windows(lengths)
-    texts_of = np.repeat(np.arange(len(texts)), np.diff(np.append(begin, places.shape[1])))
-    word_score = np.clip(odds(positive, negative), 0, None) * (positive > 2)
-    score = np.where(mask, word_score[ids[places]], 0).sum(0)
+    start, size, begin = windows(lengths)
+    texts_of = np.repeat(np.arange(len(lengths), dtype=np.int32), np.diff(np.append(begin, len(start))))
+    word_score = (np.clip(odds(positive, negative), 0, None) * (positive > 2)).astype(np.float32)
+    score = np.empty(len(start), np.float32)
+    for i in range(0, len(start), WINDOWS_AT_ONCE):
+        places, mask = places_of(start[i : i + WINDOWS_AT_ONCE], size[i : i + WINDOWS_AT_ONCE])
+        score[i : i + WINDOWS_AT_ONCE] = np.where(mask, word_score[ids[places]], 0).sum(0)
     clean = np.flatnonzero(y[texts_of] == 0)
-    span = np.diff(np.append(first, len(grams)))
+    rows, grams, first, span = words.rows, words.grams, words.first, words.span
     scale = np.sqrt(np.maximum(np.add.reduceat((grams > 0).sum(1), first), 1)).astype(np.float32)
     moment = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in net.p.items()}
     for step_round in range(ROUNDS):
@@ -220,7 +231,8 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Network | None
         hard = hard[np.argsort(-score[hard])][: max(BATCH, len(hard) // 4)]
         for step in range(STEPS):
             take = np.concatenate((r.choice(bad, BATCH // 2), r.choice(clean, BATCH // 4), r.choice(hard, BATCH // 4)))
-            m, w = mask[:, take], ids[places[:, take]]
+            places, m = places_of(start[take], size[take])
+            w = ids[places]
             used, back = np.unique(w, return_inverse=True)
             back = back.reshape(w.shape)
             # The letter grams of the words in use, and which of these words each belongs to.
@@ -244,23 +256,49 @@ def train(texts: list[str], labels: list[int], seed: int = 11) -> Network | None
                 b[here] += 0.01 * (v * v - b[here])
                 net.p[k][here] -= 0.01 * (a[here] / (1 - 0.9**t)) / (np.sqrt(b[here] / (1 - 0.99**t)) + 1e-6)
             net.p["grams"][0] = 0
-        score = _score_all(net, words, ids, places, mask)
+        score = _sigmoid(_forward(net, words.gates(net), ids, start, size))
     return net
 
 
-def _forward(net: Network, gates: np.ndarray, ids: np.ndarray, places: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    """Logits of windows of the words ``ids``, whose inputs are rows of ``gates``."""
-    out = np.empty(places.shape[1], np.float32)
-    for i in range(0, len(out), 1024):
-        rows = ids[places[:, i : i + 1024]]
-        block = np.stack([np.take(gates, r, axis=0).T for r in rows])
-        out[i : i + 1024] = net.forward(block, mask[:, i : i + 1024])
-    return out
+class _Features:
+    """Features of many words, made in blocks: embedding rows, letter grams, and where a word's grams begin."""
+
+    BLOCK = 50_000
 
+    def __init__(self, words: list[str]):
+        self.n = len(words)
+        blocks = [features(words[i : i + self.BLOCK]) for i in range(0, self.n, self.BLOCK)]
+        self.rows = np.concatenate([b[0] for b in blocks])
+        self.grams = np.concatenate([b[1].astype(np.int32) for b in blocks])
+        before = np.cumsum([0] + [len(b[1]) for b in blocks])
+        self.first = np.concatenate([b[2] + n for b, n in zip(blocks, before, strict=False)])
+        self.span = np.diff(np.append(self.first, len(self.grams)))
 
-def _score_all(net: Network, words: list[str], ids: np.ndarray, places: np.ndarray, mask: np.ndarray) -> np.ndarray:
-    gates = np.concatenate([net.projected(net.inputs(words[i : i + 50_000])) for i in range(0, len(words), 50_000)])
-    return _sigmoid(_forward(net, gates, ids, places, mask))
+    def of_gram(self) -> np.ndarray:
+        """The word each gram belongs to."""
+        return np.repeat(np.arange(self.n, dtype=np.int32), self.span)
+
+    def gates(self, net: Network) -> np.ndarray:
+        """What every word gives to the gates."""
+        out = np.empty((self.n, 6 * HIDDEN), np.float32)
+        ends = np.append(self.first, len(self.grams))
+        for i in range(0, self.n, self.BLOCK):
+            j = min(i + self.BLOCK, self.n)
+            out[i:j] = net.projected(net.inputs(self.rows[i:j], self.grams[ends[i] : ends[j]], self.first[i:j] - ends[i]))
+        return out
+
+
+def _forward(net: Network, gates: np.ndarray, ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Logits of windows of the words ``ids``, whose inputs are rows of ``gates``."""
+    out, nothing = np.empty(len(start), np.float32), net.projected(np.zeros(2 * WIDTH, np.float32))
+    for i in range(0, len(out), WINDOWS_AT_ONCE):
+        places, mask = places_of(start[i : i + WINDOWS_AT_ONCE], size[i : i + WINDOWS_AT_ONCE])
+        block = np.stack([np.take(gates, r, axis=0).T for r in ids[places]])
+        # Behind the words of a short window nothing enters, as in training.
+        step, window = np.nonzero(~mask)
+        block[step, :, window] = nothing
+        out[i : i + WINDOWS_AT_ONCE] = net.forward(block, mask)
+    return out
 
 
 class Words(dict):
@@ -285,10 +323,10 @@ class Scorer:
         known.new = new = []
         tokens = [t.split() or [""] for t in texts]
         ids = np.concatenate([np.fromiter(map(known.__getitem__, t), np.int32, len(t)) for t in tokens])
-        made = [self.net.projected(self.net.inputs(new[i : i + 20_000])) for i in range(0, len(new), 20_000)]
+        made = [self.net.projected(self.net.inputs(*features(new[i : i + 20_000]))) for i in range(0, len(new), 20_000)]
         self.gates = np.concatenate([self.gates, *made])
-        places, mask, first = windows(np.array(list(map(len, tokens))))
-        out = _forward(self.net, self.gates, ids, places, mask)
+        start, size, first = windows(np.array(list(map(len, tokens))))
+        out = _forward(self.net, self.gates, ids, start, size)
         return _sigmoid(np.maximum.reduceat(out, first).astype(np.float64))
 
 
@@ -343,10 +381,17 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*one.columns[:2], pa.array([text], pa.string())], names=["_id", "_y", "_t"])
 
 
+def _teach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    net = train((t.as_py(), y.as_py()) for batch in batches for y, t in zip(batch.column(1), batch.column(2), strict=True))
+    for name, value in net.p.items() if net else ():
+        row = [pa.array([name]), pa.array([value.shape], pa.list_(pa.int32())), pa.array([value.astype(np.float32).tobytes()])]
+        yield pa.RecordBatch.from_arrays(row, names=["name", "shape", "value"])
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Network | None:
     """Train on labelled rows outside the held-out class; at most ``SAMPLE_DOCS`` documents of each label.
 
-    The sample is drawn by a hash of the identifier, so it is the same in every run and spread
+    Training is one task over that bounded sample. The sample is drawn by a hash of the identifier, so it is the same in every run and spread
     over the table. Rows without label, identifier or text teach nothing. A document with
     several labels has the largest. Of rows that repeat identifiers, ``SAMPLE_ROWS`` of each
     label teach, one of each identifier before others. Where the texts exceed
@@ -374,11 +419,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     numbers = F.broadcast(docs.sparkSession.createDataFrame([(n,) for n in taken], "_row long"))
     rows = rows.join(numbers, "_row", "left_semi").select("_id", "_y", "_t", F.when(F.col("_y") == 1, longest[1]).otherwise(longest[0]).alias("_n"))
     rows = rows.mapInArrow(_cut, rows.select("_id", "_y", "_t").schema)
-    texts, ys = [], []
-    for row in rows.orderBy(F.xxhash64("_id"), "_id", "_t").toLocalIterator():
-        texts.append(row._t)
-        ys.append(row._y)
-    return train(texts, ys)
+    # One task trains, on the bounded sample only; its parameters come back.
+    taught = rows.repartition(1).sortWithinPartitions(F.xxhash64("_id"), "_id", "_t").mapInArrow(_teach, "name string, shape array<int>, value binary")
+    found = {r.name: np.frombuffer(bytes(r.value), np.float32).reshape(r.shape) for r in taught.collect()}
+    if not found:
+        return None
+    net = Network.__new__(Network)
+    net.p = found
+    return net
 
 
 def score(docs: DataFrame, net: Network | None, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
