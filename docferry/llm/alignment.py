@@ -30,11 +30,12 @@ from pyspark.sql import functions as F
 from docferry.llm.common import row_slices, stage, worker_store
 
 #: Text whose pairs are numbered together, and text aligned at once.
-CHUNK_BYTES, SLICE_BYTES = 16_000_000, 2_000_000
-#: What a worker remembers: units and windows, of this many letters or ids at most. When full it starts anew.
-REMEMBERED, LONGEST = 300_000, 64
+CHUNK_BYTES, SLICE_BYTES = 8_000_000, 1_000_000
+#: Units and windows that a worker carries on from chunk to chunk, and the most letters or ids of these.
+REMEMBERED, LONGEST = 150_000, 64
 #: Pairs of ids are one number: this many bits for the second id.
 _BITS = 24
+_BLANK_BEHIND_SPACE = re.compile(r"\s ")
 _CUT = re.compile(r"(?<=\S)(?= +[^ ])")
 
 Runs = tuple[bytes, bytes]  # the ids of both tokenizers, 32 bits each
@@ -73,16 +74,19 @@ class Tokens:
         Letters behind the blank, and marks behind these, are one piece each to its splitter;
         such texts go to the library's model at once, others through the whole of the library.
         """
-        model, out, others = self.first.model.tokenize, [], []
+        model, out, others, letters = self.first.model.tokenize, [], [], self.letters
         for text in texts:
-            core = text[1:].rstrip(string.punctuation)
+            core = text[1:]
             if not core.isalpha():
-                others.append(text)
-                out.append(None)
-                continue
-            word = f"Ġ{core}" if core.isascii() else text[: len(core) + 1].encode().decode("latin-1").translate(self.letters)
-            ids = [t.id for t in model(word)]
-            out.append(ids + [t.id for t in model(text[len(core) + 1 :])] if len(text) > len(core) + 1 else ids)
+                core = core.rstrip(string.punctuation)
+                if not core.isalpha():
+                    others.append(text)
+                    out.append(None)
+                    continue
+            ids = [t.id for t in model(f"Ġ{core}" if core.isascii() else f" {core}".encode().decode("latin-1").translate(letters))]
+            if len(text) > len(core) + 1:
+                ids += [t.id for t in model(text[len(core) + 1 :])]
+            out.append(ids)
         found = iter(self.first.encode_batch_fast(others, add_special_tokens=False) if others else ())
         return [next(found).ids if x is None else x for x in out]
 
@@ -107,7 +111,7 @@ def units(text: str) -> list[str]:
 
     Neither splitter joins across such a place, so the ids of a text are those of its units.
     """
-    if text.isprintable() and "  " not in text and text[-1] != " ":  # single blanks are the only white space
+    if text[-1] != " " and "\0" not in text and not _BLANK_BEHIND_SPACE.search(text):
         return text.replace(" ", "\0 ")[1:].split("\0")
     return _CUT.split(text)
 
@@ -183,6 +187,17 @@ class Windows:
         self.times.append(times)
         self.bounds = np.append(self.bounds, self.bounds[-1] + np.cumsum(np.bincount(owner, minlength=len(new))))
 
+    def keep(self, which: np.ndarray) -> np.ndarray:
+        """Forget all windows but these; the new number of each old one, -1 for the others."""
+        new = np.full(len(self.text), -1, np.int64)
+        new[which] = np.arange(len(which))
+        codes, times, n = self.pairs(which)
+        self.codes, self.times, self.bounds = [codes], [times], np.append(0, np.cumsum(n))
+        self.text, self.sizes = [self.text[w] for w in which.tolist()], self.sizes[:, which]
+        places = new.tolist()
+        self.number = {k: places[w] for k, w in self.number.items() if places[w] >= 0}
+        return new
+
     def pairs(self, which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The pairs of these windows end to end, how often each, and the number of each window's."""
         self.codes, self.times = ([np.concatenate(x)] for x in (self.codes, self.times))
@@ -203,6 +218,8 @@ def windows_of(pairs: list[Runs], tokens: Tokens, known: Windows) -> list[tuple[
 
     All texts are one run of bytes, on which both tokenizers stay level.
     """
+    if not pairs:
+        return []
     x, y = (b"".join([p[k] for p in pairs]) for k in (0, 1))
     (at_a, byte_a), (at_b, byte_b) = (_starts(numbers(v), n, s) for v, n, s in zip((x, y), tokens.length_of, tokens.spaced, strict=True))
     _, i, j = np.intersect1d(byte_a, byte_b, assume_unique=True, return_indices=True)
@@ -217,6 +234,8 @@ def windows_of(pairs: list[Runs], tokens: Tokens, known: Windows) -> list[tuple[
         known.add(fresh, tokens)
         known.number.update((k, v) for k, v in found.items() if len(k[0]) + len(k[1]) <= 4 * LONGEST)
         which = [found[k] if w is None else w for k, w in zip(keys, which, strict=True)]
+    if len(which) == len(pairs):
+        return [(w,) for w in which]
     # Both runs of a text begin with a blank, so each text begins a window.
     begin = np.searchsorted(first, np.cumsum([0] + [len(p[0]) // 4 for p in pairs])).tolist()
     return [tuple(which[lo:hi]) for lo, hi in zip(begin[:-1], begin[1:], strict=True)]
@@ -229,26 +248,33 @@ class Aligner:
         self.tokens, self.windows = tokens, Windows()
         self.known: dict[str, tuple[int, ...]] = {}
 
-    def full(self) -> bool:
-        return max(len(self.known), len(self.windows.text)) > REMEMBERED
+    def rest(self, used: np.ndarray):
+        """Behind a chunk, carry on what it used more than once, as far as there is room; ``used`` counts its windows."""
+        used = np.append(used, np.zeros(len(self.windows.text) - len(used), np.int64))
+        hot = np.flatnonzero(used > 1)
+        if len(hot) > REMEMBERED:
+            hot = np.sort(hot[np.argsort(-used[hot], kind="stable")[:REMEMBERED]])
+        new = self.windows.keep(hot).tolist()
+        moved = ((u, [new[w] for w in ws]) for u, ws in self.known.items() if ws)
+        self.known = {u: tuple(ws) for u, ws in moved if min(ws) >= 0}
 
     def __call__(self, texts: list[str]) -> list[np.ndarray | None]:
         """Window numbers of blank + text; None where there is no text or a tokenizer does not spell it."""
-        cut = [units(f" {t}") if t else [] for t in texts]
-        found = [list(map(self.known.get, u)) for u in cut]
-        missing = list({u for us, have in zip(cut, found, strict=True) if None in have for u, f in zip(us, have, strict=True) if f is None})
-        made: dict[str, tuple[int, ...]] = {}
+        cut, known = [units(f" {t}") if t else [] for t in texts], self.known
+        missing = list(set().union(*cut).difference(known))
         for lo in range(0, len(missing), 10_000):
             some = missing[lo : lo + 10_000]
             pairs, exact = self.tokens.encode(some)
-            spelt = np.flatnonzero(exact).tolist()
-            made.update(dict.fromkeys(some, ()))
-            if spelt:
-                made.update(zip([some[i] for i in spelt], windows_of([pairs[i] for i in spelt], self.tokens, self.windows), strict=True))
-        if made:
-            self.known.update((u, w) for u, w in made.items() if len(u) <= LONGEST)
-            found = [[made[u] if f is None else f for u, f in zip(us, have, strict=True)] if None in have else have for us, have in zip(cut, found, strict=True)]
-        return [np.fromiter(chain.from_iterable(f), np.int64) if all(f) and f else self._whole(t) for t, f in zip(texts, found, strict=True)]
+            if exact.all():
+                known.update(zip(some, windows_of(pairs, self.tokens, self.windows), strict=True))
+            else:
+                known.update(dict.fromkeys(some, ()))
+                spelt = np.flatnonzero(exact).tolist()
+                known.update(zip([some[i] for i in spelt], windows_of([pairs[i] for i in spelt], self.tokens, self.windows), strict=True))
+        found = [list(map(known.__getitem__, us)) for us in cut]
+        for unit in [u for u in missing if len(u) > LONGEST]:
+            del known[unit]
+        return [np.fromiter(chain.from_iterable(f), np.int64) if f and all(f) else self._whole(t) for t, f in zip(texts, found, strict=True)]
 
     def _whole(self, text: str) -> np.ndarray | None:
         """A text with a unit that is not spelt alone: its bytes are compared as a whole."""
@@ -256,11 +282,19 @@ class Aligner:
         return np.array(windows_of(pairs, self.tokens, self.windows)[0], np.int64) if exact[0] else None
 
 
+def _longer(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The sum of two counts, of which one may be shorter."""
+    out = np.zeros(max(len(a), len(b)), np.int64)
+    out[: len(a)] += a
+    out[: len(b)] += b
+    return out
+
+
 class _Chunk:
     """The windows and pairs of the texts of one chunk."""
 
     def __init__(self):
-        self.size, self.rows = 0, [[], [], [], [], [], [], []]
+        self.size, self.rows, self.used = 0, [[], [], [], [], [], [], []], np.empty(0, np.int64)
         self.seen: list[np.ndarray] = []  # windows in the order of their numbers within the chunk
         self.local = np.empty(0, np.int32)  # and these numbers, by window
         self.codes: list[np.ndarray] = []
@@ -278,6 +312,7 @@ class _Chunk:
         which = [f for f in found if f is not None]
         if which:
             n = list(map(len, which))
+            self.used = _longer(self.used, np.bincount(np.concatenate(which)))
             which, text = np.concatenate(which), np.repeat(np.arange(len(which)), n)
             # Each document counts once for a pair.
             codes, _, pairs = known.pairs(which)
@@ -304,17 +339,21 @@ class _Chunk:
         return [codes, docs, np.searchsorted(codes, mine), times, np.cumsum(n)]
 
 
-_LISTS = ("codes", "docs", "pair", "times", "ends")
+_LISTS = {"codes": pa.int64(), "docs": pa.int64(), "pair": pa.int32(), "times": pa.int64(), "ends": pa.int32()}
 
 
 def _aligned(first: str, second: str, chunk_bytes: int, slice_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = worker_store(f"align:{first}:{second}", lambda: Tokens(first, second))
-        part, number, chunk, aligner, kind = TaskContext.get().partitionId() << 24, 0, _Chunk(), Aligner(tokens), None
+        # Of one task at a time; what it remembers changes no result.
+        aligner = worker_store(f"aligner:{first}:{second}", lambda: Aligner(tokens))
+        part, number, chunk, kind = TaskContext.get().partitionId() << 24, 0, _Chunk(), None
 
         def rows() -> pa.RecordBatch:
             n = len(chunk.rows[0])
-            filled = [pa.array([None] * (n - 1) + [np.asarray(x, np.int64)], pa.list_(pa.int64())) for x in chunk.tables(aligner.windows)]
+            tables = zip(chunk.tables(aligner.windows), _LISTS.values(), strict=True)
+            filled = [pa.array([None] * (n - 1) + [np.asarray(x, t.to_pandas_dtype())], pa.list_(t)) for x, t in tables]
+            aligner.rest(chunk.used)
             kinds = [kind, *[pa.int64()] * 4, pa.string(), pa.list_(pa.int32())]
             columns = [pa.array(c, t) for c, t in zip(chunk.rows, kinds, strict=True)]
             names = ["id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "windows", *_LISTS]
@@ -329,8 +368,6 @@ def _aligned(first: str, second: str, chunk_bytes: int, slice_bytes: int):
                 if chunk.size >= chunk_bytes:
                     yield rows()
                     number, chunk = number + 1, _Chunk()
-                    if aligner.full():
-                        aligner = Aligner(tokens)
         if chunk.rows[0]:
             yield rows()
 
@@ -378,7 +415,7 @@ def align(
     """
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
     kind = rows.schema["id"].dataType.simpleString()
-    lists = ", ".join(f"{c} array<long>" for c in _LISTS)
+    lists = ", ".join(f"{c} array<{'int' if t == pa.int32() else 'long'}>" for c, t in _LISTS.items())
     schema = f"chunk long, id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, windows array<int>, {lists}"
     aligned = stage(rows.mapInArrow(_aligned(first, second, chunk_bytes, slice_bytes), schema), "align-chunks")
     found = aligned.where("codes is not null").select("chunk", F.posexplode(F.arrays_zip("codes", "docs")).alias("at", "p"))
