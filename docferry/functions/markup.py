@@ -172,6 +172,11 @@ def toon_header(line: Column) -> Column:
     return F.transform(_toon_tokens(F.regexp_extract(line, _TABLE, 3)), _toon_key)
 
 
+def toon_width(line: Column) -> Column:
+    """Number of values in a table row."""
+    return F.size(_toon_tokens(F.trim(line)))
+
+
 def toon_length(line: Column) -> Column:
     """Number of rows a table header declares."""
     return _declared(line, _TABLE)

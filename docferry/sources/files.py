@@ -22,7 +22,7 @@ from docferry.sources.csv import read_csv_docs
 from docferry.sources.envelope import COLUMNS, envelope
 from docferry.sources.listing import InputError, check_inputs, local_form, scan
 from docferry.sources.ndjson import line_documents, read_ndjson
-from docferry.sources.toon import SEPARATOR, read_toon_file, toon_pieces
+from docferry.sources.toon import read_toon, toon_envelope
 
 LINE_SUFFIXES = ["ndjson", "jsonl"]
 MARKDOWN_SUFFIXES = ["md", "markdown"]
@@ -144,7 +144,7 @@ def read_yaml_files(spark: SparkSession, *values: str, field: str = "body", meta
 
 def read_toon_docs(spark: SparkSession, *values: str, metadata: bool = False) -> DataFrame:
     """TOON documents between ``---`` lines; a lone table gives one document per row."""
-    return _with_metadata(toon_pieces(scan(spark, list(values), lineSep=SEPARATOR)), metadata)
+    return _with_metadata(read_toon(spark, list(values)), metadata)
 
 
 def read_file_documents(
@@ -174,7 +174,7 @@ def read_file_documents(
         .otherwise(_yaml_file(F.col("fields"), field))
     )
     others = _named(whole.where(~_is(LINE_SUFFIXES + TOON_SUFFIXES + WHOLE_SUFFIXES)))
-    toon = toon_pieces(scan(spark, values, lineSep=SEPARATOR).where(_is(TOON_SUFFIXES)))
+    toon = toon_envelope(spark, scan(spark, values, lineSep="\n").where(_is(TOON_SUFFIXES)))
     parts = [lines, toon, _rows(structured, result), _rows(others, _text_file(text, field))]
     return _with_metadata(concat_documents(*parts), metadata)
 
@@ -208,7 +208,7 @@ def read_documents(spark: SparkSession, *values: str, field: str = "body") -> Da
         if kind in ("ndjson", "json"):
             return read_ndjson(spark, value)
         if kind == "toon":
-            return read_toon_file(spark, value)
+            return read_toon(spark, [value])
         if value.lower().endswith(".gz"):
             raise InputError(f"cannot read this compressed file: {value}")
     return read_file_documents(spark, *values, field=field)

@@ -29,6 +29,11 @@ def _escape(text: str) -> str:
     return re.sub(r"([\\{}])", r"\\\1", text)
 
 
+def literal_path(path: str) -> str:
+    """A path whose signs mean nothing to the file system's globs."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
 def scan_root(value: str) -> str:
     """Where to list for one input: the path itself, the glob as the file system takes it,
     or for ``**`` the folder above it."""
@@ -114,16 +119,3 @@ def check_inputs(spark: SparkSession, values: list[str]) -> int:
     if found["gzip"]:
         raise InputError(f"cannot read this compressed file: {found['gzip']}")
     return found["n"]
-
-
-def exceeds_split(spark: SparkSession, path: str) -> bool:
-    """Is some file at ``path`` larger than one input split?"""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(_escape(local_form(path)))
-    largest = files.agg(F.max("length")).first()[0] or 0
-    return largest > _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
-
-
-def _bytes(size: str) -> int:
-    units = {"k": 10, "m": 20, "g": 30, "t": 40}
-    number = size.lower().rstrip("b")
-    return int(number[:-1]) << units[number[-1]] if number[-1] in units else int(number)

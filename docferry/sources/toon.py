@@ -1,7 +1,19 @@
-"""TOON files."""
+"""TOON files.
+
+Documents stand between ``---`` lines. Files are read by lines in splits, each block is cut at
+these lines, and a document over a border of blocks is joined from its pieces. (Reading by the
+separator would not do: "---" lines in a row overlap, and a split may begin within them.) A file
+that is one table is given row by row instead: its header is a side table of one row
+per file, and one aggregate per file settles the declared number and the widths of its rows, so
+the table is given whole or refused whole, whatever its size and however it is named.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,89 +21,138 @@ from docferry.functions.markup import (
     ROW_WIDTH,
     is_toon_header,
     is_toon_row,
-    split_chunks,
     toon_documents,
     toon_header,
     toon_length,
     toon_row,
+    toon_width,
 )
 from docferry.functions.paths import plain_path
+from docferry.session import stage
+from docferry.sources.blocks import block_runs, byte_lines, join_pieces
 from docferry.sources.envelope import envelope
-from docferry.sources.listing import exceeds_split, local_form
+from docferry.sources.listing import literal_path, scan
 
-# The usual separator between documents. Reading by it lets Spark split a large file.
-SEPARATOR = "\n---\n"
+_SEPARATOR = r"^[ \t]*---[ \t\r]*$"
+NOT_TEXT = "not UTF-8 text"
 
 
-def toon_pieces(text: DataFrame) -> DataFrame:
-    """Envelope rows from a text scan by ``SEPARATOR``.
+def _none() -> Column:
+    return F.lit(None).cast("string")
 
-    A piece may still hold separators of another form (CRLF, blanks around the dashes);
-    those are cut here.
-    """
 
-    def documents(chunk: Column) -> Column:
-        decoded = toon_documents(chunk)
-        none = F.lit(None).cast("string")
-        bad = F.array(F.struct(none.alias("doc"), decoded["error"].alias("error")))
-        good = F.transform(decoded["docs"], lambda d: F.struct(d.alias("doc"), none.alias("error")))
-        return F.when(decoded["error"].isNotNull(), bad).otherwise(good)
+def _cut_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents of each block, by the lines between separators; pieces at a block's borders."""
+    names = ["path", "block_start", "pos", "record", "opens", "ends"]
+    types = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.bool_()]
+    block: tuple[str, int] | None = None
+    held: list[bytes] = []
+    opens, place = True, 0
 
-    not_text = F.array(F.struct(F.lit(None).cast("string").alias("doc"), F.lit("not UTF-8 text").alias("error")))
-    results = F.when(
-        F.is_valid_utf8(F.col("value")), F.flatten(F.transform(split_chunks(F.col("value")), documents))
-    ).otherwise(not_text)
-    rows = text.select(
-        plain_path(F.col("_metadata.file_path")).alias("path"),
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.explode(results).alias("_r"),
-    ).withColumn("pos", F.monotonically_increasing_id())
-    return envelope(rows, F.col("_r.doc"), F.col("_r.error"))
+    def rows(found: list[tuple]) -> pa.RecordBatch:
+        columns = [list(c) for c in zip(*found, strict=True)] if found else [[]] * 6
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
 
+    for batch in batches:
+        paths, starts, positions, lines, separators = batch.columns
+        out = []
+        for path, start, lo, hi in block_runs(paths, starts):
+            if block != (path, start):
+                if block is not None:
+                    out.append((*block, place, b"\n".join(held), opens, False))
+                # A block goes on with the document before it, unless the file begins here.
+                block, held, opens, place = (path, start), [], start == 0, positions[lo].as_py()
+            values, done = lines.slice(lo, hi - lo).to_pylist(), 0
+            for i in np.flatnonzero(separators.slice(lo, hi - lo).to_numpy(zero_copy_only=False)).tolist():
+                out.append((*block, place, b"\n".join(held + values[done:i]), opens, True))
+                held, opens, place, done = [], True, positions[lo + i].as_py(), i + 1
+            held += values[done:]
+        if out:
+            yield rows(out)
+    if block is not None:
+        yield rows([(*block, place, b"\n".join(held), opens, False)])
 
-def read_toon_file(spark: SparkSession, path: str) -> DataFrame:
-    """Documents of one TOON file; a large file is read in splits."""
-    path = local_form(path)
-    if exceeds_split(spark, path) and (table := _lone_table(spark, path)) is not None:
-        return table
-    return toon_pieces(spark.read.text(path, lineSep=SEPARATOR))
 
+def toon_chunks(text: DataFrame) -> DataFrame:
+    """``path``, ``block_start``, ``pos`` and ``chunk`` of the documents in a text scan by lines; blank ones are left out."""
+    lines = byte_lines(text).withColumn("separates", F.col("value").cast("string").rlike(_SEPARATOR))
+    schema = "path string, block_start long, pos long, record binary, opens boolean, ends boolean"
+    documents = join_pieces(lines.mapInArrow(_cut_documents, schema), F.lit(True))
+    chunk = F.col("record").cast("string")
+    return documents.select("path", "block_start", "pos", chunk.alias("chunk")).where(~F.col("chunk").rlike(r"\A\s*\z"))
 
-def _lone_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A file that is one table, row by row; none for any other file.
 
-    The header is read first; one pass then counts the lines, as the header tells how many
-    rows there must be. A row of wrong width or a byte that is no text refuses the document,
-    as it does in a small file.
-    """
-    lines = spark.read.text(path, lineSep="\n").select(
-        F.regexp_replace("value", "\r$", "").alias("line"),
+def toon_results(chunks: DataFrame) -> DataFrame:
+    """Envelope rows of the documents in ``chunk``."""
+    decoded = toon_documents(F.col("chunk"))
+    bad = F.array(F.struct(_none().alias("doc"), decoded["error"].alias("error")))
+    good = F.transform(decoded["docs"], lambda d: F.struct(d.alias("doc"), _none().alias("error")))
+    not_text = F.array(F.struct(_none().alias("doc"), F.lit(NOT_TEXT).alias("error")))
+    results = F.when(~F.is_valid_utf8("chunk"), not_text).when(decoded["error"].isNotNull(), bad).otherwise(good)
+    rows = chunks.select("path", "block_start", "pos", F.posexplode(results).alias("at", "_r"))
+    # A document's rows follow each other behind its own place.
+    return envelope(rows.withColumn("pos", F.col("pos") * (1 << 20) + F.col("at")), F.col("_r.doc"), F.col("_r.error"))
+
+
+def _lines(text: DataFrame) -> DataFrame:
+    return text.select(
         plain_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("pos"),
-        F.is_valid_utf8("value").alias("valid"),
+        "value",
+        F.regexp_replace("value", "\r$", "").alias("line"),
     )
+
+
+def toon_files(text: DataFrame) -> DataFrame:
+    """One row per file of a text scan by lines: ``path``; ``header``, where the file is one table; ``error``."""
     line = F.col("line")
-    head = lines.where((F.col("block_start") == 0) & ~line.rlike(r"^\s*$")).first()
-    if head is None:
-        return None
-    header = F.lit(head["line"])
-    is_header, declared = spark.range(1).select(is_toon_header(header), toon_length(header)).first()
-    if not is_header:
-        return None
-    doc = toon_row(toon_header(header), line)
-    found = lines.agg(
-        F.count_if(~line.rlike(r"^\s*$") & ~is_toon_row(line)).alias("others"),
-        F.count_if(is_toon_row(line)).alias("rows"),
-        F.count_if(~F.col("valid")).alias("not_text"),
-        F.count_if(is_toon_row(line) & doc.isNull()).alias("wrong_width"),
-    ).first()
-    if found["others"] != 1 or found["rows"] != declared or found["rows"] == 0:
-        return None  # several documents, or an error that the general reader reports
-    none = F.lit(None).cast("string")
-    if found["not_text"] or found["wrong_width"]:
-        error = "not UTF-8 text" if found["not_text"] else ROW_WIDTH
-        place = F.lit(0).cast("long")
-        refused = spark.range(1).select(F.lit(head["path"]).alias("path"), place.alias("block_start"), place.alias("pos"))
-        return envelope(refused, none, F.lit(error))
-    return envelope(lines.where(is_toon_row(line)).withColumn("doc", doc), F.col("doc"), none)
+    filled, row = ~line.rlike(r"^\s*$"), is_toon_row(line)
+    place = F.struct("block_start", "pos")
+    found = _lines(text).groupBy("path").agg(
+        F.min_by(F.when(filled, line), F.when(filled, place)).alias("header"),
+        F.count_if(F.col("value").rlike(_SEPARATOR)).alias("separators"),
+        F.count_if(filled & ~row).alias("others"),
+        F.count_if(row).alias("rows"),
+        F.count_if(~F.is_valid_utf8("value")).alias("not_text"),
+        F.min(F.when(row, toon_width(line))).alias("narrowest"),
+        F.max(F.when(row, toon_width(line))).alias("widest"),
+    )
+    header = F.col("header")
+    alone = F.is_valid_utf8(header) & is_toon_header(header) & (F.col("separators") == 0)
+    width = F.size(toon_header(header))
+    error = (
+        F.when(F.col("not_text") > 0, NOT_TEXT)
+        .when(F.col("others") > 1, "unsupported block")
+        .when(F.col("rows") == 0, "no rows")
+        .when(F.col("rows") != toon_length(header), "declared length differs")
+        .when((F.col("narrowest") != width) | (F.col("widest") != width), ROW_WIDTH)
+    )
+    return found.select("path", F.when(alone, header).alias("header"), F.when(alone, error).alias("error"))
+
+
+def toon_envelope(spark: SparkSession, text: DataFrame) -> DataFrame:
+    """Envelope rows of all files of a text scan by lines."""
+    files = stage(toon_files(text), "toon-files")
+    # Spark's own listing holds one entry for each file on the driver; so do these lists.
+    several = [literal_path(r.path) for r in files.where("header is null").select("path").collect()]
+    tables = [literal_path(r.path) for r in files.where("header is not null and error is null").select("path").collect()]
+    place = F.lit(0).cast("long")
+    refused = files.where("header is not null and error is not null").select("path", "error", place.alias("block_start"), place.alias("pos"))
+    parts = [envelope(refused, _none(), F.col("error"))]
+    if several:
+        parts.append(toon_results(toon_chunks(spark.read.text(several, lineSep="\n"))))
+    if tables:
+        rows = _lines(spark.read.text(tables, lineSep="\n")).where(is_toon_row(F.col("line")))
+        headers = files.where("header is not null").select("path", "header")
+        doc = toon_row(toon_header(F.col("header")), F.col("line"))
+        parts.append(envelope(rows.join(headers, "path").withColumn("doc", doc), F.col("doc"), _none()))
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
+def read_toon(spark: SparkSession, values: list[str]) -> DataFrame:
+    """Documents of the TOON files the inputs name."""
+    return toon_envelope(spark, scan(spark, values, lineSep="\n"))

@@ -1,10 +1,13 @@
+import csv
 import gzip
+import io
 import json
+import random
 
 import pytest
 
 from docferry.operators.validate import DocumentError, check_documents, enforce, rejected, require_all_objects
-from docferry.sources.csv import read_csv_docs
+from docferry.sources.csv import HeaderError, ends_quoted, read_csv_docs
 from docferry.sources.files import (
     read_documents,
     read_file_documents,
@@ -123,20 +126,72 @@ def test_csv_byte_order_mark_and_many_parts(spark, tmp_path):
         read_csv_docs(spark, str(tmp_path / "parts")).collect()
 
 
-def test_csv_does_not_depend_on_file_size(spark, tmp_path):
-    lines = "".join(f'{i},"q ""{i}"""\n{i},"a\nb"\n' for i in range(500))
-    odd = write(tmp_path / "o.csv", "i,v\n" + lines + "  \n7,x\ry\n" + lines)
-    small = [(r["doc"], r["error"]) for r in rows(read_csv_docs(spark, odd))]
-    plain = write(tmp_path / "p.csv", "i,v\n" + "".join(f"{i},x\n" for i in range(2000)))
-    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
-    try:
-        assert [(r["doc"], r["error"]) for r in rows(read_csv_docs(spark, odd))] == small
-        split = read_csv_docs(spark, plain, multi_line=False)
+@pytest.fixture
+def split_at(spark):
+    """Sets the size of input splits for the rest of a test."""
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+
+    def put(size):
+        for name in names:
+            spark.conf.set(name, str(size))
+
+    yield put
+    for name in names:
+        spark.conf.unset(name)
+
+
+def test_csv_does_not_depend_on_splits(spark, tmp_path, split_at):
+    lines = "".join(f'{i},"q ""{i}"""\n{i},"a\nb"\n{i},li"t\r\n' for i in range(60))
+    odd = write(tmp_path / "o.csv", "i,v\n" + lines + "  \n7,x\ry\n\n8,\"\n\n,\n\"\n" + lines)
+    small = [(r["doc"], r["error"], r["pos"]) for r in rows(read_csv_docs(spark, odd))]
+    assert sum(e is not None for _, e, _ in small) == 1 and len(small) == 363
+    for size in (999, 100):
+        split_at(size)
+        split = read_csv_docs(spark, odd)
+        assert [(r["doc"], r["error"], r["pos"]) for r in rows(split)] == small
         assert split.select("block_start").distinct().count() > 1
-        assert docs(split) == docs(read_csv_docs(spark, plain))
-    finally:
-        spark.conf.unset("spark.sql.files.maxPartitionBytes")
-    assert sum(e is not None for _, e in small) == 1 and len(small) == 2002
+
+
+@pytest.mark.parametrize("size", [9, 40, 10_000])
+def test_csv_like_the_plain_reader(spark, tmp_path, split_at, size):
+    """Random values, quoted as needed or always, as Python's reader gives them; records counted by line."""
+    r = random.Random(size)
+    parts = ["a", '"', '""', ",", "\n", "\r\n", " ", "é", "x,y", '"z', "", "\n\n"]
+    given = [[str(i), *("".join(r.choices(parts, k=r.randint(0, 4))) for _ in range(2))] for i in range(15)]
+    for quoting in (csv.QUOTE_MINIMAL, csv.QUOTE_ALL):
+        out = io.StringIO(newline="")
+        csv.writer(out, quoting=quoting, lineterminator=r.choice(["\n", "\r\n"])).writerows([["i", "v,\nw", "x"], *given])
+        path = write(tmp_path / f"r{quoting}.csv", out.getvalue())
+        split_at(size)
+        got = rows(read_csv_docs(spark, path))
+        assert [list(json.loads(x["doc"]).values()) for x in got] == given
+        reader, starts = csv.reader(io.StringIO(out.getvalue(), newline="")), []
+        while True:
+            at = reader.line_num + 1
+            if next(reader, None) is None:
+                break
+            starts.append(at)
+        assert [x["pos"] for x in got] == starts[1:]
+
+
+def test_csv_bad_bytes_and_open_quotes(spark, tmp_path, split_at):
+    bad = write(tmp_path / "b.csv", b"i,v\n1,\xff\n2,x\n")
+    left_open = write(tmp_path / "l.csv", 'i,v\n1,x\n2,"y\n' + "3,z\n" * 8)
+    for size in (10_000, 6):
+        split_at(size)
+        assert [r["error"] for r in rows(read_csv_docs(spark, bad))] == ["invalid UTF-8", None]
+        got = rows(read_csv_docs(spark, left_open))
+        assert [(r["error"], r["pos"]) for r in got] == [(None, 2), ("quoted value is not closed", 3)]
+    with pytest.raises(HeaderError):
+        read_csv_docs(spark, write(tmp_path / "h.csv", 'i,"v\n1,x\n'))
+
+
+@pytest.mark.parametrize("line, outside, inside", [
+    (b"a,b", False, True), (b'a,"b', True, False), (b'"a","b"', False, False), (b'a"b,c', False, False), (b'"a""', True, False),
+    (b'x",y', False, False), (b'x","y', True, True), (b"", False, True), (b'"', True, False), (b'""', False, True), (b'"a"b,"c', True, True),
+])
+def test_state_behind_a_line(line, outside, inside):
+    assert (ends_quoted(line, False), ends_quoted(line, True)) == (outside, inside)
 
 
 def test_csv_header_of_any_name(spark, tmp_path):
