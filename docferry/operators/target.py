@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docferry.functions.patterns import default_pipeline, template_match
-from docferry.operators.batch import READING_ORDER
+from docferry.operators.batch import READING_ORDER, number_sorted
 
 # Fixed value: the pipeline name that switches the default pipeline off.
 NO_PIPELINE = "_none"
@@ -167,3 +167,29 @@ def sort_for_index(df: DataFrame, fields: list[str], orders: list[str], unique:
     else:
         keys += [F.col(f"`{c}`") for c in unique]
     return df.orderBy(*keys)
+
+
+def shard_of(id: Column, shards: int) -> Column:
+    """The shard a document's identifier routes it to: a hash of the text, by the number of shards."""
+    if shards < 1:
+        raise ValueError("an index has at least 1 shard")
+    digits = F.substring(F.md5(F.coalesce(id.cast("string"), F.lit("")).cast("binary")), 1, 8)
+    return (F.conv(digits, 16, 10).cast("bigint") % shards).cast("int")
+
+
+def sort_for_shards(
+    df: DataFrame, id_col: str, shards: int, fields: list[str], orders: list[str], unique: list[str] | None = None
+) -> DataFrame:
+    """Add ``shard`` and ``place``, the row's position from 0 in its shard's index sort order.
+
+    Shards are few and large, so no task takes a whole one: rows are range-sorted by shard
+    and keys, numbered across the ranges, and a shard's first number is taken off.
+    """
+    routed = df.withColumn("shard", shard_of(F.col(f"`{id_col}`"), shards))
+    numbered = number_sorted(sort_for_index(routed, ["shard", *fields], ["asc", *orders], unique or [id_col]))
+    counts = routed.groupBy("shard").agg(F.count(F.lit(1)).alias("_n"))
+    # One row per shard.
+    before = Window.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select("shard", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first"))
+    placed = numbered.join(F.broadcast(starts), "shard").withColumn("place", F.col("row_index") - F.col("_first"))
+    return placed.select(*df.columns, "shard", "place")

@@ -82,10 +82,11 @@ def enforce(df: DataFrame, mode: str = "failfast") -> DataFrame:
 
 def error_totals(df: DataFrame) -> list[Column]:
     """``n_bad`` and ``first``, the text of the first error in reading order, for an Observation."""
-    text = F.concat_ws(": ", *[F.col(c) for c in ("path", "error") if c in df.columns])
-    place = F.struct(*[F.col(c) for c in ("path", "block_start", "pos") if c in df.columns], text)
     bad = F.col("error").isNotNull()
-    return [F.count_if(bad).alias("n_bad"), F.min_by(text, F.when(bad, place)).alias("first")]
+    text = F.when(bad, F.concat_ws(": ", *[F.col(c) for c in ("path", "error") if c in df.columns]))
+    # Good documents, nearly all of them, build neither the text nor the place.
+    place = F.when(bad, F.struct(*[F.col(c) for c in ("path", "block_start", "pos") if c in df.columns], "error"))
+    return [F.count_if(bad).alias("n_bad"), F.min_by(text, place).alias("first")]
 
 
 def rejected(df: DataFrame) -> DataFrame:

@@ -13,7 +13,8 @@ from docferry.functions import paths as P
 from docferry.functions import patterns as R
 from docferry.functions.yaml_udf import yaml_object
 from docferry.operators import account, batch, shape, target, validate
-from docferry.session import configure, scratch_dir
+from docferry.plans.load import load_to_bulk
+from docferry.session import configure, scratch_dir, stage
 from docferry.sinks.bulk import BulkTarget, write_bulk
 from docferry.sinks.ndjson import write_ndjson
 from docferry.sinks.transport import DryRun
@@ -30,6 +31,7 @@ from docferry.sources.files import (
 )
 from docferry.sources.listing import list_files
 from docferry.sources.ndjson import read_ndjson
+from docferry.sources.places import error_places as place_errors
 from docferry.streaming.lines import stream_bulk, stream_ndjson, stream_to_ndjson
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -610,6 +612,149 @@ for _name, _kind, _read in [
     query(_build)
 
 
+def _in_small_splits(spark: SparkSession, read: Callable[[], DataFrame], size: str = "200k") -> DataFrame:
+    """What ``read`` gives where files are cut into splits of this size, staged."""
+    names = ["spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"]
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n in names:
+            spark.conf.set(n, size)
+        return stage(read(), "small-splits")
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+
+
+@query
+def csv_split(spark, sf_dir):
+    """Quoted values with line breaks, in files that are cut anywhere."""
+    path = scratch_dir(spark, "csv-split")
+    docs = table(spark, sf_dir, "documents").select(c("doc_id").cast("string").alias("doc_id"), "lang", "text")
+    docs.write.csv(path, header=True, quote='"', escape='"', quoteAll=True, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    rows = _in_small_splits(spark, lambda: validate.enforce(read_csv_docs(spark, path)))
+    fields = rows.select(F.from_json("doc", "doc_id string, lang string, text string").alias("f"))
+    return fields.select(c("f.doc_id").cast("bigint").alias("doc_id"), "f.lang", F.md5("f.text").alias("text_md5"))
+
+
+@query
+def csv_odd_rows(spark, sf_dir):
+    """Short and long rows, open lines, doubled and plain quotes, in files that are cut anywhere."""
+    key, kind = c("event_id"), c("event_type")
+    lines = by_rest(
+        "event_id",
+        6,
+        F.array(text(key, ',"', kind, ' ""q"""', ",x")),
+        F.array(text(key, ",", kind)),
+        F.array(text(key, ",", kind, ",x,y")),
+        F.array(text(key, ',"first'), text("second,", kind, '",z')),
+        F.array(text(key, ",plain", '"', kind, ",")),
+        F.array(text(key, ",", kind, ",z")),
+    )
+    path = scratch_dir(spark, "csv-odd")
+    given = table(spark, sf_dir, "events").select("event_id", F.posexplode(lines).alias("pos", "key,value,more"))
+    given = given.repartition("event_id").sortWithinPartitions("event_id", "pos").select("`key,value,more`")
+    # Separator and quote are characters no line holds.
+    given.write.csv(path, header=True, sep="\x01", quote="\x02", ignoreLeadingWhiteSpace=False)
+    rows = _in_small_splits(spark, lambda: read_csv_docs(spark, path), "20k")
+    good = F.from_json(F.when(c("error").isNull(), c("doc")), "key string, value string, more string")
+    number = F.coalesce(good["key"], F.substring_index("doc", ",", 1)).cast("bigint")
+    return rows.select(number.alias("event_id"), good["value"].alias("value"), good["more"].alias("more"), "error")
+
+
+@query
+def csv_gz(spark, sf_dir):
+    path = scratch_dir(spark, "csv-gz")
+    customers = table(spark, sf_dir, "customer").select(c("c_custkey").cast("string").alias("c_custkey"), "c_name")
+    customers.write.csv(path, header=True, compression="gzip")
+    docs = validate.enforce(read_csv_docs(spark, path))
+    return docs.select(F.get_json_object("doc", "$.c_custkey").cast("bigint").alias("c_custkey"), F.get_json_object("doc", "$.c_name").alias("c_name"))
+
+
+@query
+def error_places(spark, sf_dir):
+    """The line of every damaged event, counted from the start of its file."""
+    folder = scratch_dir(spark, "places")
+    given = damaged_events(spark, sf_dir).select((c("event_id") % 16).alias("part"), "event_id", c("doc").alias("line"))
+    given = given.repartition("part").sortWithinPartitions("part", "event_id").drop("event_id")
+    given.write.partitionBy("part").csv(folder, sep="\x01", quote="\x02", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+    found = _in_small_splits(spark, lambda: place_errors(read_ndjson(spark, folder), kind="lines"), "10k")
+    part = F.regexp_extract("path", "part=([0-9]+)/", 1).cast("bigint")
+    return found.select(part.alias("part"), "line", "error")
+
+
+@query
+def toon_long(spark, sf_dir):
+    """One table per file, cut between its rows, next to files of several documents."""
+    folder = scratch_dir(spark, "toon-long")
+    orders = table(spark, sf_dir, "orders").select((c("o_custkey") % 4).alias("part"), "o_orderkey", c("o_orderstatus").alias("state"))
+    counted = orders.groupBy("part").agg(F.count(F.lit(1)).alias("n"))
+    row = orders.select("part", F.lit(1).alias("at"), "o_orderkey", text("  ", c("o_orderkey"), ",", c("state")).alias("line"))
+    # Declared numbers are one too high in one part, and another holds two documents.
+    declared = text("rows[", c("n") + F.when(c("part") == 2, 1).otherwise(0), "]{key,state}:")
+    head = counted.select("part", F.lit(0).alias("at"), F.lit(None).cast("bigint").alias("o_orderkey"), declared.alias("line"))
+    second = counted.where("part = 3").select(
+        "part", F.lit(2).alias("at"), F.lit(None).cast("bigint").alias("o_orderkey"), F.explode(F.array(F.lit("---"), F.lit("key: -1"))).alias("line")
+    )
+    lines = head.unionByName(row).unionByName(second).repartition("part").sortWithinPartitions("part", "at", "o_orderkey", F.desc(c("line") == "---"))
+    plain = {"sep": "\x01", "quote": "\x02", "ignoreLeadingWhiteSpace": "false", "extension": "ton"}
+    lines.select("part", "line").write.partitionBy("part").options(**plain).csv(folder)
+    docs = _in_small_splits(spark, lambda: read_toon_docs(spark, f"{folder}/*/*.ton"), "10k")
+    fields = F.from_json("doc", "key bigint, state string")
+    part = F.regexp_extract("path", "part=([0-9]+)/", 1).cast("bigint")
+    return docs.select(part.alias("part"), fields["key"].alias("key"), fields["state"].alias("state"), "error")
+
+
+@query
+def pretty_json(spark, sf_dir):
+    """A folder of line files and of files with one document over several lines."""
+    folder = scratch_dir(spark, "pretty")
+    nations = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    name = text(' "name": "', c("n_name"), '",')
+    pretty = nations.select("n_nationkey", F.posexplode(F.array(F.lit("{"), name, text(' "key": ', c("n_nationkey")), F.lit("}"))).alias("pos", "line"))
+    pretty = pretty.repartition("n_nationkey").sortWithinPartitions("n_nationkey", "pos").select(c("n_nationkey").alias("part"), "line")
+    plain = {"sep": "\x01", "quote": "\x02", "ignoreLeadingWhiteSpace": "false", "extension": "json"}
+    pretty.write.partitionBy("part").options(**plain).csv(folder)
+    orders = table(spark, sf_dir, "orders").select(F.lit(-1).alias("part"), F.to_json(F.struct(c("o_orderstatus").alias("name"), c("o_orderkey").alias("key"))).alias("line"))
+    orders.write.mode("append").partitionBy("part").options(**plain).csv(folder)
+    docs = validate.enforce(read_ndjson(spark, folder))
+    fields = F.from_json("doc", "name string, key bigint")
+    return docs.select(fields["name"].alias("name"), fields["key"].alias("key"))
+
+
+@query
+def send_ledger(spark, sf_dir):
+    """A load that stops after one round and is taken up: each document is in one committed reply."""
+    replies, ledger = scratch_dir(spark, "replies"), scratch_dir(spark, "ledger")
+    target = BulkTarget("events", DryRun(), 200)
+    docs = event_docs(spark, sf_dir)
+    write_bulk(docs, target, replies, max_requests=2, ledger=ledger, parcel_docs=500, rounds=1)
+    sent = write_bulk(docs.limit(0), target, replies, max_requests=2, ledger=ledger)
+    parcels = sent.groupBy("parcel").agg(F.sum("n_docs").alias("n"), F.count(F.lit(1)).alias("n_requests"), F.max("seq").alias("last"))
+    return parcels.agg(
+        F.sum("n").alias("n_docs"),
+        F.count_if(c("n") > 500).alias("too_large"),
+        F.count_if(c("n_requests") != c("last") + 1).alias("sent_twice"),
+    )
+
+
+@query
+def load_summary(spark, sf_dir):
+    """What a load reads, refuses and sends."""
+    path = scratch_dir(spark, "load") + ".ndjson"
+    damaged_events(spark, sf_dir).select("doc").write.text(path)
+    target = BulkTarget("events", DryRun(), 500)
+    refused = scratch_dir(spark, "refused")
+    row = load_to_bulk(spark, [path], target, errors="keep", refused_path=refused)
+    kept = spark.read.parquet(refused).agg(F.count(F.lit(1)).alias("n_kept"))
+    return row.select("n_read", "n_refused", "n_docs", "n_accepted").crossJoin(kept)
+
+
+@query
+def shard_sort(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")
+    return target.sort_for_shards(customers, "c_custkey", 5, ["c_mktsegment", "c_acctbal"], ["asc", "desc"]).select("c_custkey", "shard", "place")
+
+
 @query
 def batches_as_read(spark, sf_dir):
     path = scratch_dir(spark, "as-read")

@@ -13,11 +13,11 @@ from docferry.functions.patterns import template_match
 from docferry.operators.account import run_summary
 from docferry.operators.batch import DEFAULT_MAX_REQUESTS
 from docferry.operators.target import TargetOptions, check_targets
-from docferry.operators.validate import rejected
 from docferry.session import configure, scratch_dir
 from docferry.sinks.bulk import BulkTarget, write_bulk
 from docferry.sinks.ndjson import OutputError, check_output, write_ndjson
 from docferry.sources.files import read_documents
+from docferry.sources.places import error_places
 
 
 def load_to_ndjson(
@@ -37,10 +37,12 @@ def load_to_ndjson(
         raise OutputError("pipeline and template options need a search cluster as output")
     check_output(output, len(inputs))
     documents = read_documents(configure(spark), *inputs, field=field)
-    seen = Observation("documents")
-    write_ndjson(documents.observe(seen, F.count_if(F.col("error").isNull()).alias("n")), output, errors)
-    if refused_path is not None:
-        rejected(documents).write.mode("overwrite").parquet(refused_path)
+    seen, good = Observation("documents"), F.col("error").isNull()
+    counted = documents.observe(seen, F.count_if(good).alias("n"), F.count_if(~good).alias("n_bad"))
+    write_ndjson(counted, output, errors)
+    # Read again only where something was refused; then each refusal gets its place.
+    if refused_path is not None and seen.get["n_bad"]:
+        error_places(documents).write.mode("overwrite").parquet(refused_path)
     return seen.get["n"]
 
 
@@ -74,9 +76,9 @@ def load_to_bulk(
     documents = read_documents(configure(spark), *inputs, field=field)
     seen = Observation("documents")
     counted = documents.observe(seen, F.count(F.lit(1)).alias("n"))
-    replies = write_bulk(counted, target, replies_path or scratch_dir(spark, "replies"), action, max_requests, errors)
-    if refused_path is not None:
-        rejected(documents).write.mode("overwrite").parquet(refused_path)
+    replies = write_bulk(
+        counted, target, replies_path or scratch_dir(spark, "replies"), action, max_requests, errors, refused_path=refused_path
+    )
     n_read = F.lit(seen.get["n"]).cast("long")
     return run_summary(replies).select(
         n_read.alias("n_read"),

@@ -193,6 +193,33 @@ FROM (SELECT *, page_id % 6 AS k FROM pages)""",
     "ndjson_gz_roundtrip": "SELECT event_id, event_type, props FROM events",
     "csv_file_docs": """
 SELECT CAST(conv_id AS VARCHAR) AS conv_id, CAST(turn AS VARCHAR) AS turn, role, md5(text) AS text_md5 FROM conversations""",
+    "csv_split": "SELECT doc_id, lang, md5(text) AS text_md5 FROM documents",
+    "csv_odd_rows": f"""
+SELECT event_id, CASE k WHEN 0 THEN event_type || ' "q"' WHEN 3 THEN 'first' || {LF} || 'second,' || event_type
+        WHEN 4 THEN 'plain"' || event_type WHEN 5 THEN event_type END AS value,
+    CASE k WHEN 0 THEN 'x' WHEN 3 THEN 'z' WHEN 4 THEN '' WHEN 5 THEN 'z' END AS more,
+    CASE WHEN k IN (1, 2) THEN 'row length differs from header' END AS error
+FROM (SELECT *, event_id % 6 AS k FROM events)""",
+    "csv_gz": "SELECT c_custkey, c_name FROM customer",
+    "error_places": f"""
+SELECT event_id % 16 AS part, line, CASE WHEN trim(doc) = '' THEN 'blank line' WHEN NOT json_valid(doc) THEN 'invalid JSON'
+        WHEN ltrim(doc) NOT LIKE '{{%' THEN 'not a JSON object' END AS error
+FROM (SELECT *, row_number() OVER (PARTITION BY event_id % 16 ORDER BY event_id) AS line FROM ({DAMAGED}))
+WHERE error IS NOT NULL""",
+    "toon_long": """
+SELECT o_custkey % 4 AS part, o_orderkey AS key, o_orderstatus AS state, CAST(NULL AS VARCHAR) AS error FROM orders WHERE o_custkey % 4 <> 2
+UNION ALL SELECT DISTINCT 2, CAST(NULL AS BIGINT), CAST(NULL AS VARCHAR), 'declared length differs' FROM orders WHERE o_custkey % 4 = 2
+UNION ALL SELECT DISTINCT 3, -1, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR) FROM orders WHERE o_custkey % 4 = 3""",
+    "pretty_json": """
+SELECT n_name AS name, CAST(n_nationkey AS BIGINT) AS key FROM nation UNION ALL SELECT o_orderstatus, o_orderkey FROM orders""",
+    "send_ledger": "SELECT count(*) AS n_docs, CAST(0 AS BIGINT) AS too_large, CAST(0 AS BIGINT) AS sent_twice FROM events",
+    "load_summary": f"""
+SELECT count(*) AS n_read, count(*) FILTER (NOT ok) AS n_refused, count(*) FILTER (ok) AS n_docs, count(*) FILTER (ok) AS n_accepted,
+    count(*) FILTER (NOT ok) AS n_kept
+FROM (SELECT {VALID} AND ltrim(doc) LIKE '{{%' AS ok FROM ({DAMAGED}))""",
+    "shard_sort": """
+SELECT c_custkey, shard, row_number() OVER (PARTITION BY shard ORDER BY c_mktsegment, c_acctbal DESC, c_custkey) - 1 AS place
+FROM (SELECT *, CAST(CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 5 AS INTEGER) AS shard FROM customer)""",
     "jsonl_files": "SELECT event_id, event_type, props, true AS named FROM events",
     "concat_inputs": """
 SELECT kind, count(*) AS n FROM (SELECT event_type AS kind FROM events UNION ALL SELECT o_orderstatus FROM orders)

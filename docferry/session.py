@@ -44,3 +44,9 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a staged table that is used up."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -2,7 +2,8 @@
 
 Each task cuts its own rows into batches and sends them one at a time, so writing needs
 no shuffle and a task holds one batch. Delivery is at least once: a task that Spark runs
-again sends its documents again. Turn ``spark.speculation`` off for these jobs.
+again sends its documents again, which are those of one parcel (see ``docferry.sinks.ledger``).
+Turn ``spark.speculation`` off for these jobs.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceArrowWriter,
@@ -25,14 +27,15 @@ from pyspark.sql.datasource import (
 
 from docferry.operators.batch import DEFAULT_BATCH_SIZE, DEFAULT_MAX_REQUESTS, checked_lines
 from docferry.operators.validate import DocumentError, enforce, error_totals
-from docferry.session import stage
+from docferry.session import discard, scratch_dir
+from docferry.sinks.ledger import PARCEL_DOCS, Ledger
 from docferry.sinks.transport import BulkRequest, Transport, load_transport
 
 # Seconds before a refused request is sent again, doubled up to the second.
 FIRST_WAIT = 1.0
 LONGEST_WAIT = 30.0
 
-REPLIES_DDL = "task bigint, seq bigint, n_docs bigint, n_bytes bigint, attempts int, status int, reply string"
+REPLIES_DDL = "task bigint, seq bigint, n_docs bigint, n_bytes bigint, attempts int, status int, reply string, parcel string"
 
 
 @dataclass(frozen=True)
@@ -103,14 +106,23 @@ def cut_batches(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[
 
 def _sender(target: BulkTarget):
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        for seq, (body, n_docs) in enumerate(cut_batches(batches, target.batch_size)):
+        task, parcel = TaskContext.get().partitionId(), None
+
+        def noted() -> Iterator[pa.RecordBatch]:
+            # All rows of a task are of one parcel, or of none.
+            nonlocal parcel
+            for batch in batches:
+                if parcel is None and batch.num_rows and "parcel" in batch.schema.names:
+                    parcel = batch.column("parcel")[0].as_py()
+                yield batch
+
+        for seq, (body, n_docs) in enumerate(cut_batches(noted(), target.batch_size)):
             attempts, status, reply = target.send(body, n_docs)
             yield pa.RecordBatch.from_pydict(
                 {
                     "task": [task], "seq": [seq], "n_docs": [n_docs], "n_bytes": [len(body)],
                     "attempts": pa.array([attempts], pa.int32()), "status": pa.array([status], pa.int32()),
-                    "reply": [reply],
+                    "reply": [reply], "parcel": pa.array([parcel], pa.string()),
                 }
             )
 
@@ -124,38 +136,85 @@ def write_bulk(
     action: str = "create",
     max_requests: int | None = DEFAULT_MAX_REQUESTS,
     errors: str = "failfast",
+    ledger: str | None = None,
+    parcel_docs: int = PARCEL_DOCS,
+    refused_path: str | None = None,
+    rounds: int | None = None,
 ) -> DataFrame:
     """Send the documents and return the table of replies, one row per request.
 
-    The send is one Spark write of the replies to ``replies_path``, so the reply of each
-    finished task is kept exactly once; count them with ``docferry.operators.account``.
-    At most ``max_requests`` requests are in flight: the input is read and checked by all
-    tasks, its lines are staged in the shared folder, and that many tasks send them.
-    ``None`` sets no limit and stages nothing; every running task reads and sends: give that
-    on a large cluster whose target can take it.
+    The replies go to ``replies_path``, where the reply of each finished task is kept exactly
+    once; count them with ``docferry.operators.account``. At most ``max_requests`` requests are
+    in flight: the input is read and checked by all tasks, its lines are staged in the shared
+    folder in parcels of at most ``parcel_docs`` documents, and rounds of that many tasks send
+    one parcel each. ``None`` sets no limit and stages nothing; every running task reads and
+    sends: give that on a large cluster whose target can take it.
+
+    ``ledger`` names a folder that outlives the run: a call with the folder of an earlier one
+    takes its parcels up, whatever ``df`` holds now, and sends those without a reply. ``rounds``
+    leaves the rest to a later call. Without a folder the load starts anew and replaces
+    ``replies_path``.
 
     No document in error fails a task that sends, as Spark would run it again and send its
     good documents again. ``failfast`` (default) sends each good document and then raises
     one error that names the first bad one; ``gate`` reads everything first and sends
-    nothing if one is bad; ``keep`` sends the good ones.
+    nothing if one is bad; ``keep`` sends the good ones. What is refused goes to
+    ``refused_path``, where one is given: ``path``, ``doc`` and ``error``.
     """
     if max_requests is not None and max_requests < 1:
         raise ValueError("max requests must be at least 1")
     if errors not in ("failfast", "gate", "keep"):
         raise ValueError(f"unknown error mode: {errors}")
+    if max_requests is None and ledger is not None:
+        raise ValueError("a ledger needs a limit of requests")
+    spark = df.sparkSession
     lines = checked_lines(df, action, validated="error" in df.columns)
     found = Observation()
-    if errors == "failfast":
-        lines = enforce(lines.observe(found, *error_totals(lines)), "keep")
+    seen = lines.observe(found, *error_totals(lines))
+    if max_requests is None:
+        if errors == "gate":
+            enforce(lines, "gate")
+        _write_replies(seen.where("error is null").select("line"), target, replies_path)
+        if refused_path is not None and found.get["n_bad"]:
+            _write_refused(lines, refused_path)
     else:
-        lines = enforce(lines, errors)
-    lines = lines.select("line")
-    if max_requests is not None:
-        lines = stage(lines, "bulk-lines").coalesce(max_requests)
-    lines.mapInArrow(_sender(target), REPLIES_DDL).write.mode("overwrite").parquet(replies_path)
-    if errors == "failfast" and found.get["n_bad"]:
+        book = Ledger(ledger or scratch_dir(spark, "bulk-ledger"), replies_path)
+        if ledger is None:
+            discard(spark, replies_path)
+        if book.is_(spark, "done"):
+            return spark.read.schema(REPLIES_DDL).parquet(replies_path)
+        fresh = not book.is_(spark, "ready")
+        # Of a refused document the line is the document itself, kept for the refused table.
+        path = F.col("path") if "path" in lines.columns else F.lit(None).cast("string")
+        book.prepare(seen.select(F.when(F.col("error").isNull(), F.col("line")).alias("line"), "error", path.alias("path"), F.when(F.col("error").isNotNull(), F.col("doc")).alias("doc")), parcel_docs)
+        bad = found.get if fresh else _refused(book.staged(spark))
+        n_bad = bad["n_bad"]
+        if refused_path is not None and n_bad:
+            _write_refused(book.staged(spark), refused_path)
+        if errors == "gate" and n_bad:
+            discard(spark, book.folder)
+            raise DocumentError(f"{bad['first']} ({n_bad} in error)")
+        book.send(spark, _sender(target), REPLIES_DDL, max_requests, rounds)
+        if ledger is None:
+            discard(spark, book.folder)
+    if errors == "failfast" and (max_requests is None or fresh) and found.get["n_bad"]:
         raise DocumentError(f"{found.get['first']} ({found.get['n_bad']} in error, all others sent)")
-    return df.sparkSession.read.schema(REPLIES_DDL).parquet(replies_path)
+    return spark.read.schema(REPLIES_DDL).parquet(replies_path)
+
+
+def _refused(staged: DataFrame) -> dict:
+    """Number and first of the refused documents of staged parcels."""
+    text = F.concat_ws(": ", "path", "error")
+    return staged.where("error is not null").agg(F.count("*").alias("n_bad"), F.min(text).alias("first")).first().asDict()
+
+
+def _write_replies(lines: DataFrame, target: BulkTarget, path: str) -> None:
+    lines.mapInArrow(_sender(target), REPLIES_DDL).write.mode("overwrite").parquet(path)
+
+
+def _write_refused(rows: DataFrame, path: str) -> None:
+    columns = [c if c in rows.columns else F.lit(None).cast("string").alias(c) for c in ("path", "doc", "error")]
+    rows.where("error is not null").select(*columns).write.mode("overwrite").parquet(path)
 
 
 @dataclass

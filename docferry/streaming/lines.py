@@ -10,6 +10,7 @@ from docferry.functions.json_text import trim_json
 from docferry.functions.paths import file_name, plain_path
 from docferry.operators.validate import line_error
 from docferry.sinks.bulk import BulkTarget, write_bulk
+from docferry.sinks.ledger import PARCEL_DOCS
 from docferry.sinks.ndjson import check_output
 from docferry.operators.validate import enforce
 
@@ -40,16 +41,20 @@ def stream_bulk(
     action: str = "create",
     max_requests: int | None = None,
     errors: str = "failfast",
+    parcel_docs: int = PARCEL_DOCS,
 ) -> DataStreamWriter:
     """Send each micro-batch. The next one starts when this one is settled, so a slow
-    target slows the source. A repeated micro-batch replaces its own replies.
+    target slows the source.
 
-    ``failfast`` is the gate of each micro-batch here: a bad document stops the stream
-    before its micro-batch is sent, so a restart does not send that one again."""
+    Each micro-batch has a ledger below ``checkpoint``: one that is repeated, as after a lost
+    driver, takes up its parcels and sends only those that have no reply. ``failfast`` is the
+    gate of each micro-batch here: a bad document stops the stream before its micro-batch is
+    sent, so a restart does not send that one again."""
     mode = "gate" if errors == "failfast" else errors
 
     def send(batch: DataFrame, batch_id: int) -> None:
-        write_bulk(batch, target, f"{replies_path}/batch={batch_id}", action, max_requests, mode)
+        limit = max_requests or batch.sparkSession.sparkContext.defaultParallelism
+        write_bulk(batch, target, f"{replies_path}/batch={batch_id}", action, limit, mode, ledger=f"{checkpoint}/ledger/{batch_id}", parcel_docs=parcel_docs)
 
     return stream.writeStream.foreachBatch(send).option("checkpointLocation", checkpoint)
 

@@ -375,3 +375,17 @@ def test_read_configs(spark, tmp_path):
     assert "unsupported" in got["notes"]["error"]
     pipelines = {r["name"]: r["error"] for r in read_configs(spark, f"{tmp_path}/*", kind="pipeline").collect()}
     assert pipelines["geo.v1"] is None and pipelines["logs"] is None and "unsupported" in pipelines["plain"]
+
+
+def test_pretty_files_are_chosen_one_by_one(spark, tmp_path):
+    """A folder of both kinds is read right, whichever file is larger or comes first."""
+    folder = tmp_path / "both"
+    write(folder / "a.json", '{\n "a": 1.0,\n "b": [1,\n 2]\n}\n')
+    write(folder / "b.json", '{"a":2}\n' * 50)
+    write(folder / "c [x].json", "\r\n".join(["{", '"a":3', "}"]))
+    write(folder / "d.json", "{\n")
+    write(folder / "e.json", "")
+    got = rows(read_ndjson(spark, str(folder)))
+    assert [r["doc"] for r in got if r["name"] in ("a.json", "c [x].json")] == ['{"a":1.0,"b":[1,2]}', '{"a":3}']
+    assert sum(r["doc"] == '{"a":2}' for r in got) == 50
+    assert [(r["name"], r["error"]) for r in got if r["error"]] == [("d.json", "invalid JSON")]
