@@ -1,8 +1,9 @@
 """From raw documents to packed sequences: five stages, each on all rows the one before kept.
 
 Every stage takes (spark, docs, sf_dir) and gives a DataFrame; all but the last give the
-columns of documents. Stages are written as Parquet and read again in between, so a lost
-executor costs the running stage only.
+columns of documents, whatever further columns there are and however they are called. Stages are
+written as Parquet and read again in between, so a lost executor costs the running stage only.
+In every stage null texts count as empty, and an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -15,36 +16,62 @@ from docferry.llm.common import stage, table
 from docferry.llm.queries import vocabulary
 
 
+def _by_place(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The rows with columns named by their place, which no inner column is called, and the new names."""
+    places = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*places), dict(zip(docs.columns, places, strict=True))
+
+
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents scored below the threshold stay."""
+    """Documents scored below the threshold stay.
+
+    Rows are scored each, those without text or identifier too; rows that repeat a text share
+    its score. Where labels of one kind only are known, all stay.
+    """
     net = toxicity.fit(docs, table(spark, sf_dir, "labels"))
-    scored = toxicity.score(docs, net)
-    return scored.where(scored["score"] < toxicity.THRESHOLD).drop("score")
+    rows, at = _by_place(docs)
+    scored = toxicity.score(rows, net, text_col=at["text"])
+    return scored.where(F.col("score") < toxicity.THRESHOLD).drop("score").toDF(*docs.columns)
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents with equal text the one with the largest id stays."""
-    return exact.drop_exact(docs)
+    """Of documents with equal text, A-Z lower-cased, the one with the largest id stays.
+
+    Null identifiers are the smallest; of rows that repeat both, one stays. All texts without a
+    letter or sign at all are equal.
+    """
+    rows, at = _by_place(docs)
+    return exact.drop_exact(rows, at["doc_id"], at["text"]).toDF(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked on shingles of five words one row stays, of those with the smallest id.
 
     Rows are told apart by a number, as ids may repeat or be null; as a table, so that it is
-    the same number whenever the rows are read.
+    the same number whenever the rows are read. Texts without words are linked with nothing
+    and stay.
     """
-    numbered = stage(docs.withColumn("_near_row", F.monotonically_increasing_id()), "near-rows")
-    gone = minhash.near_groups(numbered, words=5, row_col="_near_row").where("not kept").select("_near_row")
-    return numbered.join(gone, "_near_row", "left_anti").drop("_near_row")
+    rows, at = _by_place(docs)
+    numbered = stage(rows.withColumn("near_row", F.monotonically_increasing_id()), "near-rows")
+    gone = minhash.near_groups(numbered, at["doc_id"], at["text"], words=5, row_col="near_row").where("not kept").select("near_row")
+    return numbered.join(gone, "near_row", "left_anti").drop("near_row").toDF(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; the one at each source's cut in part."""
-    return mixing.take_rows(docs)
+    """Documents as often as the mix takes them; the one at each source's cut in part.
+
+    A null source is a source of its own. Rows without words come once where their source is
+    used at all; rows that repeat identifier and text share one decision.
+    """
+    rows, at = _by_place(docs)
+    return mixing.take_rows(rows, at["doc_id"], at["source"], at["text"], at.get("n_chars", "")).toDF(*docs.columns)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of the documents in sequences of fixed length, with their token ids."""
+    """Pieces of the documents in sequences of fixed length, with their token ids.
+
+    A text without tokens is its end id; rows that repeat an identifier are packed each.
+    """
     return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
