@@ -54,3 +54,18 @@ def test_near_stage_with_null_and_repeated_ids(spark, docs):
         given = step(spark, given, SF)
         assert given.columns == columns, name
     assert given.where("doc_id is null").count() == 1 and given.where("doc_id = 8").count() == 1
+
+
+def test_stages_with_clashing_names(spark, docs):
+    """Columns called as anything the stages use inside come through all of them unchanged."""
+    names = ("score", "near_row", "_near_row", "_mix_words", "_mix_id", "c0", "c1", "id", "row", "kept", "part", "_text", "place", "taken", "n")
+    given = docs.withColumns({n: docs["lang"] for n in names})
+    columns = given.columns
+    for name, step in corpus_pipeline.STAGES[:-1]:
+        given = step(spark, given, SF)
+        assert given.columns == columns, name
+        assert given.where(" or ".join(f"not ({n} <=> lang)" for n in names)).isEmpty(), name
+    assert corpus_pipeline.STAGES[-1][1](spark, given, SF).count() > 0
+    nothing = given.limit(0)
+    for name, step in corpus_pipeline.STAGES:
+        assert step(spark, nothing, SF).count() == 0, name
