@@ -22,13 +22,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from docferry.llm.common import stage
+from docferry.llm.common import n_tasks, stage
 from docferry.session import scratch_dir
 
 #: Payloads below this many bytes are always stored.
 LEAST_BYTES, BLOCK_LINES, LEVEL = 1000, 1000, 1
 #: Neighbouring records are read together up to so many bytes.
 SPAN_BYTES = 4_000_000
+#: What one task reads of the archives.
+FETCH_BYTES = 64_000_000
 DATE = "2024-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -261,10 +263,15 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fetch(places: DataFrame) -> DataFrame:
     """Records by their places: identifier, length and digest of the full payload, type, what it refers to, URL, payload.
 
-    Each file is read by one task, in its order, near records in one read.
+    Ranges of about ``FETCH_BYTES`` of the archives are read by a task each, in file order, near
+    records in one read. Places that are given more than once are read once.
     """
     kinds = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string, payload binary"
-    return places.distinct().repartition("file").sortWithinPartitions("file", "at").mapInArrow(_fetch, kinds)
+    # As a table: its bytes are summed, and sampled for ranges, before it is read.
+    known = stage(places.distinct(), "warc-places")
+    size = known.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    tasks = max(n_tasks(places.sparkSession), -(-size // FETCH_BYTES))
+    return known.repartitionByRange(tasks, "file", "at").sortWithinPartitions("file", "at").mapInArrow(_fetch, kinds)
 
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
