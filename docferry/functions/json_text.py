@@ -128,6 +128,11 @@ def check_content_field(field: str) -> str:
     return field
 
 
+def content_field_error(field: Column) -> Column:
+    """Why a text cannot be the content field; null when it can."""
+    return F.when(F.coalesce(field, F.lit("")) == "", "no name").when(F.contains(field, F.lit(".")), "has dots")
+
+
 def bulk_line(action: str, doc: Column, id: Column | None = None) -> Column:
     """Action line and document line of one bulk operation, each with its newline."""
     if action in ("create", "index"):

@@ -88,6 +88,12 @@ def output_gzip_refused(path: Column) -> Column:
     return is_gzip(path) & ~F.endswith(F.lower(path), F.lit(".ndjson.gz"))
 
 
+def output_error(path: Column, n_inputs: Column) -> Column:
+    """Why documents of so many inputs cannot be written to a path; null when they can."""
+    several = (n_inputs > 1) & ~F.lower(path).rlike(r"\.ndjson(\.gz)?$")
+    return F.when(output_gzip_refused(path), "compressed").when(several, "several inputs")
+
+
 def url_path(url: Column) -> Column:
     """Path part of a URL; works on malformed URLs too."""
     return F.regexp_extract(url, r"^(?:[A-Za-z][A-Za-z0-9+.-]*:)?(?://[^/?#]*)?([^?#]*)", 1)

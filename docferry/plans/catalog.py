@@ -15,7 +15,7 @@ from docferry.functions.yaml_udf import yaml_object
 from docferry.operators import account, batch, shape, target, validate
 from docferry.plans.load import load_to_bulk
 from docferry.session import configure, scratch_dir, stage
-from docferry.sinks.bulk import BulkTarget, write_bulk
+from docferry.sinks.bulk import COMMITS_DDL, BulkTarget, register, write_bulk
 from docferry.sinks.ndjson import write_ndjson
 from docferry.sinks.transport import DryRun
 from docferry.sources.csv import read_csv_docs, row_to_json
@@ -554,7 +554,8 @@ def concat_inputs(spark, sf_dir):
     write_ndjson(orders, second)
     both = validate.enforce(concat_documents(read_ndjson(spark, first), read_ndjson(spark, second)))
     kind = F.coalesce(F.get_json_object("doc", "$.event_type"), F.get_json_object("doc", "$.o_orderstatus"))
-    return both.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"))
+    key = F.coalesce(F.get_json_object("doc", "$.event_id"), F.get_json_object("doc", "$.o_orderkey")).cast("bigint")
+    return both.groupBy(kind.alias("kind")).agg(F.count(F.lit(1)).alias("n"), F.sum(key).alias("keys"))
 
 
 def _lines_of(kind: str) -> list[Column]:
@@ -749,6 +750,38 @@ def load_summary(spark, sf_dir):
     return row.select("n_read", "n_refused", "n_docs", "n_accepted").crossJoin(kept)
 
 
+@query
+def bulk_source(spark, sf_dir):
+    """Updates through the data source: what its table of commits says was sent and refused."""
+    register(spark)
+    commits = scratch_dir(spark, "commits")
+    lines = batch.checked_lines(update_docs(spark, sf_dir), "update").select("line")
+    options = {"index": "orders", "transport": "dry-run", "batchSize": "200", "commits": commits}
+    lines.write.format("docferry_bulk").mode("append").options(**options).save()
+    done = spark.read.schema(COMMITS_DDL).parquet(commits)
+    return done.agg(F.sum("n_docs").alias("n_docs"), F.sum("n_refused").alias("n_refused"), F.min("outcome").alias("outcome"), F.count_if(F.map_contains_key("statuses", F.lit(200)) != (c("n_docs") > 0)).alias("odd"))
+
+
+@query
+def utf8_lines(spark, sf_dir):
+    """Lines with a byte that is no UTF-8 text."""
+    wrong = F.concat(F.encode("props", "UTF-8"), F.lit(b"\xff")).cast("string")
+    docs = table(spark, sf_dir, "events").select("event_id", by_rest("event_id", 9, wrong, c("props")).alias("doc"))
+    return validate.check_documents(docs).select("event_id", "error")
+
+
+@query
+def content_fields(spark, sf_dir):
+    field = by_rest("doc_id", 4, F.lit(""), text(c("source"), ".", c("lang")), F.lit(None).cast("string"), c("source"))
+    return table(spark, sf_dir, "documents").select("doc_id", J.content_field_error(field).alias("error"))
+
+
+@query
+def output_rules(spark, sf_dir):
+    path = by_rest("page_id", 5, *[text(c("url"), s) for s in (".ndjson", ".NDJSON.gz", ".json.gz", ".json", ".gz")])
+    return table(spark, sf_dir, "pages").select("page_id", P.output_error(path, c("page_id") % 3).alias("error"))
+
+
 @query
 def shard_sort(spark, sf_dir):
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal")

@@ -217,13 +217,21 @@ SELECT n_name AS name, CAST(n_nationkey AS BIGINT) AS key FROM nation UNION ALL
 SELECT count(*) AS n_read, count(*) FILTER (NOT ok) AS n_refused, count(*) FILTER (ok) AS n_docs, count(*) FILTER (ok) AS n_accepted,
     count(*) FILTER (NOT ok) AS n_kept
 FROM (SELECT {VALID} AND ltrim(doc) LIKE '{{%' AS ok FROM ({DAMAGED}))""",
+    "bulk_source": """
+SELECT count(*) FILTER (o_orderkey % 4 >= 2) AS n_docs, count(*) FILTER (o_orderkey % 4 < 2) AS n_refused, 'sent' AS outcome,
+    CAST(0 AS BIGINT) AS odd FROM orders""",
+    "utf8_lines": "SELECT event_id, CASE WHEN event_id % 9 = 0 THEN 'invalid UTF-8' END AS error FROM events",
+    "content_fields": "SELECT doc_id, CASE doc_id % 4 WHEN 0 THEN 'no name' WHEN 1 THEN 'has dots' WHEN 2 THEN 'no name' END AS error FROM documents",
+    "output_rules": """
+SELECT page_id, CASE WHEN page_id % 5 IN (2, 4) THEN 'compressed' WHEN page_id % 5 = 3 AND page_id % 3 > 1 THEN 'several inputs' END AS error
+FROM pages""",
     "shard_sort": """
 SELECT c_custkey, shard, row_number() OVER (PARTITION BY shard ORDER BY c_mktsegment, c_acctbal DESC, c_custkey) - 1 AS place
 FROM (SELECT *, CAST(CAST('0x' || substr(md5(CAST(c_custkey AS VARCHAR)), 1, 8) AS BIGINT) % 5 AS INTEGER) AS shard FROM customer)""",
     "jsonl_files": "SELECT event_id, event_type, props, true AS named FROM events",
     "concat_inputs": """
-SELECT kind, count(*) AS n FROM (SELECT event_type AS kind FROM events UNION ALL SELECT o_orderstatus FROM orders)
-GROUP BY kind""",
+SELECT kind, count(*) AS n, CAST(sum(key) AS BIGINT) AS keys
+FROM (SELECT event_type AS kind, event_id AS key FROM events UNION ALL SELECT o_orderstatus, o_orderkey FROM orders) GROUP BY kind""",
     "batches_as_read": """
 SELECT batch_id, count(*) AS n, CAST(count(*) AS INTEGER) AS n_places
 FROM (SELECT (row_number() OVER (ORDER BY event_id) - 1) // 700 AS batch_id FROM events) GROUP BY batch_id""",

@@ -8,13 +8,15 @@ Turn ``spark.speculation`` off for these jobs.
 
 from __future__ import annotations
 
-import json
 import time
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs
+import pyarrow.parquet
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ from docferry.operators.batch import DEFAULT_BATCH_SIZE, DEFAULT_MAX_REQUESTS, c
 from docferry.operators.validate import DocumentError, enforce, error_totals
 from docferry.session import discard, scratch_dir
 from docferry.sinks.ledger import PARCEL_DOCS, Ledger
-from docferry.sinks.transport import BulkRequest, Transport, load_transport
+from docferry.sinks.transport import BulkRequest, DryRun, HttpTransport, Transport, load_transport
 
 # Seconds before a refused request is sent again, doubled up to the second.
 FIRST_WAIT = 1.0
@@ -217,70 +219,97 @@ def _write_refused(rows: DataFrame, path: str) -> None:
     rows.where("error is not null").select(*columns).write.mode("overwrite").parquet(path)
 
 
+COMMITS_DDL = "outcome string, batch bigint, task bigint, n_requests bigint, n_docs bigint, n_refused bigint, statuses map<int, bigint>"
+_COMMITS = pa.schema(
+    [("outcome", pa.string()), ("batch", pa.int64()), ("task", pa.int64()), ("n_requests", pa.int64()), ("n_docs", pa.int64()),
+     ("n_refused", pa.int64()), ("statuses", pa.map_(pa.int32(), pa.int64()))]
+)
+
+
 @dataclass
 class _Counts(WriterCommitMessage):
-    n_requests: int
-    n_docs: int
-    statuses: dict[int, int]
-
-
-def _send_all(target: BulkTarget, batches: Iterator[pa.RecordBatch]) -> _Counts:
-    counts = _Counts(0, 0, {})
-    for body, n_docs in cut_batches(batches, target.batch_size):
-        _, status, _ = target.send(body, n_docs)
-        counts.n_requests += 1
-        counts.n_docs += n_docs
-        counts.statuses[status] = counts.statuses.get(status, 0) + 1
-    return counts
-
-
-def _report(what: str, target: BulkTarget, messages: list) -> None:
-    # A few numbers per task, however many documents were sent.
-    done = [m for m in messages if m is not None]
-    statuses: dict[int, int] = {}
-    for message in done:
-        for status, n in message.statuses.items():
-            statuses[status] = statuses.get(status, 0) + n
-    print(
-        f"{what} {sum(m.n_docs for m in done):,} docs in {sum(m.n_requests for m in done):,} requests "
-        f"to {target.index}, statuses {json.dumps(statuses)}"
-    )
+    task: int
+    n_requests: int = 0
+    n_docs: int = 0
+    n_refused: int = 0
+    statuses: dict[int, int] = field(default_factory=dict)
+
+
+@dataclass(frozen=True)
+class _Sender:
+    """What both writers of the data source do."""
+
+    target: BulkTarget
+    commits: str | None
+    strict: bool
+
+    def send(self, batches: Iterator[pa.RecordBatch]) -> _Counts:
+        counts = _Counts(TaskContext.get().partitionId())
+
+        def good() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                lines = batch.column("line")
+                counts.n_refused += lines.null_count
+                yield pa.RecordBatch.from_arrays([lines.drop_null()], names=["line"])
+
+        for body, n_docs in cut_batches(good(), self.target.batch_size):
+            _, status, _ = self.target.send(body, n_docs)
+            counts.n_requests += 1
+            counts.n_docs += n_docs
+            counts.statuses[status] = counts.statuses.get(status, 0) + 1
+        return counts
+
+    def note(self, outcome: str, messages: list, batch: int | None = None) -> None:
+        """Add one row per task to the table of commits: a few numbers, however many documents were sent."""
+        done = [m for m in messages if m is not None]
+        if self.commits:
+            rows = [(outcome, batch, m.task, m.n_requests, m.n_docs, m.n_refused, list(m.statuses.items())) for m in done]
+            table = pa.Table.from_pylist([dict(zip(_COMMITS.names, r, strict=True)) for r in rows], _COMMITS)
+            files, folder = pa.fs.FileSystem.from_uri(self.commits) if "://" in self.commits else (pa.fs.LocalFileSystem(), self.commits.removeprefix("file:"))
+            files.create_dir(folder)
+            pa.parquet.write_table(table, f"{folder}/{outcome}-{uuid.uuid4().hex}.parquet", filesystem=files)
+        refused = sum(m.n_refused for m in done)
+        if outcome == "sent" and self.strict and refused:
+            raise DocumentError(f"{refused} documents had no line to send, all others were sent")
 
 
 class _BulkWriter(DataSourceArrowWriter):
-    def __init__(self, target: BulkTarget):
-        self.target = target
+    def __init__(self, sender: _Sender):
+        self.sender = sender
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        return _send_all(self.target, iterator)
+        return self.sender.send(iterator)
 
     def commit(self, messages: list) -> None:
-        _report("sent", self.target, messages)
+        self.sender.note("sent", messages)
 
     def abort(self, messages: list) -> None:
-        _report("aborted after", self.target, messages)
+        self.sender.note("aborted", messages)
 
 
 class _BulkStreamWriter(DataSourceStreamArrowWriter):
-    def __init__(self, target: BulkTarget):
-        self.target = target
+    def __init__(self, sender: _Sender):
+        self.sender = sender
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> WriterCommitMessage:
-        return _send_all(self.target, iterator)
+        return self.sender.send(iterator)
 
     def commit(self, messages: list, batchId: int) -> None:
-        _report(f"micro-batch {batchId}: sent", self.target, messages)
+        self.sender.note("sent", messages, batchId)
 
     def abort(self, messages: list, batchId: int) -> None:
-        _report(f"micro-batch {batchId}: aborted after", self.target, messages)
+        self.sender.note("aborted", messages, batchId)
 
 
 class BulkDataSource(DataSource):
     """``write.format("docferry_bulk")``, or ``writeStream``, for a ``line`` column made by
-    ``bulk_lines``.
+    ``checked_lines``: rows without a line are counted and not sent, so no task fails after it
+    has sent.
 
-    Options: ``index``, ``transport`` (``module:callable``, given all options),
-    ``batchSize``, ``pipeline``, ``maxAttempts``, ``failOnServerError``.
+    Options: ``index``, ``transport`` (``http``, ``dry-run``, or ``module:callable``, given all
+    options), ``batchSize``, ``pipeline``, ``maxAttempts``, ``failOnServerError``; ``commits``, a
+    shared folder where every commit adds a row per task to a Parquet table (``COMMITS_DDL``);
+    ``errors``, ``keep`` (default) or ``failfast``: the commit fails if a row had no line.
     """
 
     @classmethod
@@ -288,31 +317,37 @@ class BulkDataSource(DataSource):
         return "docferry_bulk"
 
     def writer(self, schema, overwrite):
-        return _BulkWriter(self._target(schema))
+        return _BulkWriter(self._sender(schema))
 
     def streamWriter(self, schema, overwrite):
-        return _BulkStreamWriter(self._target(schema))
+        return _BulkStreamWriter(self._sender(schema))
 
-    def _target(self, schema) -> BulkTarget:
+    def _sender(self, schema) -> _Sender:
         if "line" not in schema.names:
-            raise ValueError("the bulk sink needs a 'line' column; see bulk_lines")
+            raise ValueError("the bulk sink needs a 'line' column; see checked_lines")
         options = self.options
-        attempts = options.get("maxAttempts")
-        return BulkTarget(
+        attempts, errors = options.get("maxAttempts"), options.get("errors", "keep")
+        if errors not in ("keep", "failfast"):
+            raise ValueError(f"unknown error mode: {errors}")
+        target = BulkTarget(
             index=options.get("index", ""),
-            transport=load_transport(options["transport"], dict(options)),
+            transport=_transport(options["transport"], dict(options)),
             batch_size=int(options.get("batchSize", DEFAULT_BATCH_SIZE)),
             pipeline=options.get("pipeline"),
             max_attempts=int(attempts) if attempts else None,
             fail_on_server_error=options.get("failOnServerError", "false") == "true",
         )
+        return _Sender(target, options.get("commits"), errors == "failfast")
+
+
+def _transport(name: str, options: dict[str, str]) -> Transport:
+    known = {"http": http_transport, "dry-run": dry_run_transport}
+    return known[name](options) if name in known else load_transport(name, options)
 
 
 def http_transport(options: dict[str, str]):
     """Transport factory for the data source: options ``url``, ``apiKey``, ``username``,
     ``password``, ``compress``, ``insecure``."""
-    from docferry.sinks.transport import HttpTransport
-
     return HttpTransport(
         url=options["url"],
         api_key=options.get("apiKey"),
@@ -325,8 +360,6 @@ def http_transport(options: dict[str, str]):
 
 def dry_run_transport(options: dict[str, str]):
     """Transport factory for the data source that sends nothing."""
-    from docferry.sinks.transport import DryRun
-
     return DryRun(options.get("index", "dry-run"))
 
 

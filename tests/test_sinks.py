@@ -11,10 +11,10 @@ from recorder import Recorder
 
 from docferry import load_to_bulk, load_to_ndjson
 from docferry.operators.account import run_summary
-from docferry.operators.batch import bulk_lines
+from docferry.operators.batch import bulk_lines, checked_lines
 from docferry.operators.target import TargetOptions
 from docferry.operators.validate import DocumentError, enforce
-from docferry.sinks.bulk import BulkTarget, cut_batches, register, write_bulk
+from docferry.sinks.bulk import COMMITS_DDL, BulkTarget, cut_batches, register, write_bulk
 from docferry.sinks.ndjson import OutputError, check_output, write_ndjson
 from docferry.sinks.transport import BulkRequest, DryRun, HttpTransport
 from docferry.sources.ndjson import read_ndjson
@@ -163,6 +163,24 @@ def test_data_source(spark, tmp_path):
     assert sorted(i for _, b in requests_in(seen) for i in ids(b)) == list(range(25))
 
 
+def test_data_source_tells_what_it_did(spark, tmp_path):
+    """Commits are rows; documents without a line are counted, before or after others, and fail nothing that sends."""
+    seen = tmp_path / "seen"
+    seen.mkdir()
+    register(spark)
+    docs = spark.range(0, 40, 1, 4).select(F.when(F.col("id") % 4 == 0, "{}").otherwise(F.format_string('{"_id":"k%d","id":%d}', "id", "id")).alias("doc"))
+    writer = checked_lines(docs, "update").select("line").write.format("docferry_bulk").mode("append")
+    writer = writer.options(index="i", batchSize=4, folder=str(seen), transport="recorder:recorder_from_options", commits=str(tmp_path / "c"))
+    writer.save()
+    rows = spark.read.schema(COMMITS_DDL).parquet(str(tmp_path / "c")).orderBy("task").collect()
+    assert [(r.outcome, r.batch, r.task, r.n_docs) for r in rows] == [("sent", None, t, n) for t, n in enumerate((7, 8, 7, 8))]
+    assert sum(r.n_refused for r in rows) == 10 and sum(r.n_requests for r in rows) == len(requests_in(seen)) == 8
+    assert all(r.statuses == {200: r.n_requests} for r in rows)
+    with pytest.raises(Exception, match="10 documents had no line"):
+        writer.options(errors="failfast").save()
+    assert sum(len(b.splitlines()) // 2 for _, b in requests_in(seen)) == 60  # all others were sent
+
+
 def test_stream_data_source(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.ndjson").write_text("".join(f'{{"id":{i}}}\n' for i in range(12)))
