@@ -33,15 +33,14 @@ def block_runs(paths: pa.Array, starts: pa.Array) -> Iterator[tuple[str, int, in
 
 
 def join_pieces(pieces: DataFrame, ended: Column) -> DataFrame:
-    """Whole records from ``pieces``: ``path``, ``block_start``, ``pos``, ``record`` and the first piece's other columns.
+    """Whole records from the pieces at the borders of blocks: ``path``, ``block_start``, ``pos``,
+    ``record`` and the first piece's other columns.
 
     A piece ``opens`` a record or goes on with one, and ``ends`` it or not; a block has at most
     one piece that does not open and one that does not end, so few rows move. ``record`` is
     null unless ``ended`` (of ``ends``, whether the last piece ends it) holds.
     """
     more = [c for c in pieces.columns if c not in ("path", "block_start", "pos", "record", "opens", "ends")]
-    columns = ["path", "block_start", "pos", "record", *more]
-    whole = pieces.where("opens and ends").select(*columns)
     order = Window.partitionBy("path").orderBy("block_start", "pos")
     parts = pieces.where("not (opens and ends)").withColumn("number", F.sum(F.col("opens").cast("int")).over(order))
     in_order = F.array_sort(F.collect_list(F.struct("block_start", "pos", "record", *more)))
@@ -49,5 +48,4 @@ def join_pieces(pieces: DataFrame, ended: Column) -> DataFrame:
     first, texts = F.col("parts")[0], F.transform("parts", lambda p: p["record"])
     text = F.aggregate(F.slice(texts, 2, F.size(texts)), texts[0], lambda a, b: F.concat(a, F.lit(b"\n"), b))
     rest = [first[c].alias(c) for c in ("block_start", "pos")]
-    joined = joined.select("path", *rest, F.when(ended, text).alias("record"), *[first[c].alias(c) for c in more])
-    return whole.unionByName(joined)
+    return joined.select("path", *rest, F.when(ended, text).alias("record"), *[first[c].alias(c) for c in more])

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docferry.functions.paths import plain_path
+from docferry.session import stage
 from docferry.sources.blocks import block_runs, byte_lines, join_pieces
 from docferry.sources.envelope import ENVELOPE_DDL, envelope
 from docferry.sources.listing import local_form
@@ -115,8 +116,9 @@ def block_states(lines: DataFrame) -> DataFrame:
     later = order.rowsBetween(1, Window.unboundedFollowing)
     closed = F.coalesce(F.max(F.col("quoted") & F.col("closes")).over(later), F.lit(False))
     lines_before = F.coalesce(F.sum("n").over(before), F.lit(0))
+    crossed = F.col("quoted") | F.when(F.col("quoted"), F.col("inside")).otherwise(F.col("outside"))
     leads = ~F.coalesce(F.max("filled").over(before), F.lit(False))
-    return states.select("path", "block_start", "first", lines_before.alias("before"), leads.alias("leads"), "quoted", closed.alias("closed"))
+    return states.select("path", "block_start", "first", lines_before.alias("before"), leads.alias("leads"), "quoted", closed.alias("closed"), crossed.alias("crossed"))
 
 
 def _is_empty(line: Column) -> Column:
@@ -240,20 +242,26 @@ def csv_records(spark: SparkSession, path: str, header: bytes) -> DataFrame:
     """``path``, ``block_start``, ``pos`` (the number of its first line, from 1) and ``record``
     (bytes; null if not closed), without headers."""
     text = byte_lines(spark.read.text(path, lineSep="\n"))
+    states = stage(block_states(text), "csv-blocks")
     # One row per file block goes to every task.
-    states = F.broadcast(block_states(text))
-    placed = text.join(states, ["path", "block_start"])
+    placed = text.join(F.broadcast(states), ["path", "block_start"])
     has_quote = F.contains("value", F.lit(b'"')).alias("has_quote")
     line = (F.col("before") + F.col("pos") - F.col("first") + 1).alias("pos")
-    cut = placed.select("path", "block_start", line, "value", has_quote, "quoted", "closed", "leads")
     schema = "path string, block_start long, pos long, record binary, opens boolean, ends boolean, heads boolean"
-    pieces = cut.mapInArrow(_cut_records(header), schema)
-    records = join_pieces(pieces, F.col("ends"))
+
+    def cut(lines: DataFrame) -> DataFrame:
+        return lines.select("path", "block_start", line, "value", has_quote, "quoted", "closed", "leads").mapInArrow(_cut_records(header), schema)
+
+    whole = cut(placed).where("opens and ends").select("path", "block_start", "pos", "record")
+    if states.where("crossed").isEmpty():
+        return whole
+    # Pieces are looked for only in blocks that a record crosses.
+    joined = join_pieces(cut(placed.where("crossed")), F.col("ends"))
     # A header over a border of blocks is looked at here.
     start = F.when(F.startswith("record", F.lit(_BYTE_ORDER_MARK)), len(_BYTE_ORDER_MARK) + 1).otherwise(1)
     same = F.startswith(F.substring("record", start, F.octet_length("record")), F.lit(header))
     other = F.raise_error(F.concat("path", F.lit(": header differs from that of the first file"))).cast("boolean")
-    return records.where(F.when(~F.col("heads"), True).when(same, False).otherwise(other)).drop("heads")
+    return whole.unionByName(joined.where(F.when(~F.col("heads"), True).when(same, False).otherwise(other)).drop("heads"))
 
 
 def read_csv_docs(spark: SparkSession, path: str) -> DataFrame:

@@ -77,7 +77,10 @@ def toon_chunks(text: DataFrame) -> DataFrame:
     """``path``, ``block_start``, ``pos`` and ``chunk`` of the documents in a text scan by lines; blank ones are left out."""
     lines = byte_lines(text).withColumn("separates", F.col("value").cast("string").rlike(_SEPARATOR))
     schema = "path string, block_start long, pos long, record binary, opens boolean, ends boolean"
-    documents = join_pieces(lines.mapInArrow(_cut_documents, schema), F.lit(True))
+    # Staged, as whole documents and pieces are taken from it apart.
+    pieces = stage(lines.mapInArrow(_cut_documents, schema), "toon-pieces")
+    whole = pieces.where("opens and ends").select("path", "block_start", "pos", "record")
+    documents = whole.unionByName(join_pieces(pieces, F.lit(True)))
     chunk = F.col("record").cast("string")
     return documents.select("path", "block_start", "pos", chunk.alias("chunk")).where(~F.col("chunk").rlike(r"\A\s*\z"))
 
