@@ -9,6 +9,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,12 +43,19 @@ def worker_store(name: str, make: Callable[[], object]):
     """An object that lives as long as its Python worker, shared by all tasks it runs.
 
     Functions may be sent to workers by value, which gives their module's globals anew to
-    every task; a module kept in ``sys.modules`` stays.
+    every task; a module kept in ``sys.modules`` stays. When a stage makes an object, those
+    that it has not asked for go, so the memories of one operator's stages do not add up
+    with those of another.
     """
-    kept = sys.modules.setdefault("_docferry_worker", types.ModuleType("_docferry_worker")).__dict__
+    kept = sys.modules.setdefault("_docferry_worker", types.ModuleType("_docferry_worker")).__dict__.setdefault("kept", {})
+    context = TaskContext.get()
+    stage_id = context.stageId() if context else None
     if name not in kept:
-        kept[name] = make()
-    return kept[name]
+        for other in [k for k, (_, used) in kept.items() if used != stage_id]:
+            del kept[other]
+        kept[name] = (make(), stage_id)
+    kept[name] = (kept[name][0], stage_id)
+    return kept[name][0]
 
 
 def row_slices(texts: pa.Array, n_bytes: int) -> Iterator[tuple[int, int]]:

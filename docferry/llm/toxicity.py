@@ -29,7 +29,7 @@ ROUNDS, STEPS, BATCH = 4, 150, 192
 FOLDS, HELD_OUT = 4, 2
 THRESHOLD = 0.3
 #: Words whose input a worker remembers, and letters of text it handles at once.
-REMEMBERED, CHUNK_LETTERS = 400_000, 2_000_000
+REMEMBERED, CHUNK_LETTERS = 150_000, 1_000_000
 #: Windows that go through the network together.
 WINDOWS_AT_ONCE = 1024
 _TRIM = "".join(chr(c) for c in range(33, 128) if not chr(c).isalnum())
