@@ -1,8 +1,8 @@
 """Mixing sources to target weights, with DataFrame operations only.
 
-Each row gets a hash-random key. Within its source the keys are cut into equal ranges, each
-range is sorted and summed on its own, and the sums of the ranges give every row its exact
-place in its source; the source is cut where its budget ends and whole epochs go before.
+Each row gets a hash-random key. Rows are range-sorted by source and key, each range of a
+source is summed on its own, and the sums of the ranges give every row its exact place in its
+source; the source is cut where its budget ends and whole epochs go before.
 """
 
 from __future__ import annotations
@@ -14,8 +14,6 @@ from docferry.llm.common import WORD, stage
 
 #: Weights by place in the order of sources, repeating; a source gives at most so many epochs.
 WEIGHTS, EPOCHS = (1.0, 2.0, 3.0), 3
-#: Rows that one sort range of a source holds about.
-RANGE_ROWS = 50_000
 
 
 def word_count(text: Column) -> Column:
@@ -25,7 +23,7 @@ def word_count(text: Column) -> Column:
 def source_targets(totals: DataFrame) -> DataFrame:
     """Share the sum of all sizes by weight; no target above ``EPOCHS`` times its source.
 
-    ``totals``: one row per source (``source``, ``source_size``, ``rows``). What lies above a
+    ``totals``: one row per source (``source``, ``source_size``). What lies above a
     limit is shared again by weight: the sources at their limit are those with the lowest
     limit per weight, so one pass in that order finds the level at which the rest stands.
     """
@@ -45,7 +43,7 @@ def source_targets(totals: DataFrame) -> DataFrame:
         .withColumn("rank", F.row_number().over(by_limit))
         .withColumn("level", F.min(F.when(F.col("level") <= F.col("per_weight"), F.struct("rank", "level"))).over(everything)["level"])
         .select(
-            "source", "source_size", "rows", "ordinal",
+            "source", "source_size", "ordinal",
             F.least(F.coalesce(F.col("level") * F.col("weight"), F.col("limit")), F.col("limit")).cast("double").alias("target"),
         )
     )
@@ -62,29 +60,29 @@ def _plan(docs: DataFrame, id_col: str, source_col: str, text_col: str, seed: st
         ).withColumn("key", F.md5(F.concat_ws(":", F.lit(seed), F.col("id").cast("string")).cast("binary"))),
         "mix-sizes",
     )
-    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("rows"))
+    totals = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0)
     targets = stage(
         source_targets(totals)
         .withColumn("epochs", whole.cast("long"))
-        .withColumn("budget", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long"))
-        .withColumn("ranges", F.ceil(F.col("rows") / RANGE_ROWS)),
+        .withColumn("budget", F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")),
         "mix-targets",
     )
-    place = F.conv(F.substring("key", 1, 8), 16, 10).cast("long")
     rows = (
         sized.alias("s")
         .join(targets.alias("p"), F.col("p.source").eqNullSafe(F.col("s.source")))
-        .select(
-            "id", "digest", "size", "key", "source_size", "target", "epochs", "budget", "ordinal",
-            F.floor(place * F.col("ranges") / F.lit(1 << 32)).alias("range"),
-        )
-    )
-    sums = rows.groupBy("ordinal", "range").agg(F.sum("size").alias("range_size"))
+        .select("id", "digest", "size", "key", "source_size", "target", "epochs", "budget", "ordinal")
+    )
+    # The last key tells equal rows apart, so that a hot identifier is spread over ranges too.
+    order = ["ordinal", "key", "id", "digest", F.monotonically_increasing_id()]
+    ranged = stage(rows.orderBy(*order).withColumn("place", F.monotonically_increasing_id()), "mix-ranges")
+    # A row's number holds its range of the sort above its place in it.
+    ranged = ranged.withColumn("range", F.shiftright("place", 33))
+    sums = ranged.groupBy("ordinal", "range").agg(F.sum("size").alias("range_size"))
     upto = Window.partitionBy("ordinal").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     starts = sums.select("ordinal", "range", F.coalesce(F.sum("range_size").over(upto), F.lit(0)).alias("start"))
-    inside = Window.partitionBy("ordinal", "range").orderBy("key", "id", "digest").rowsBetween(Window.unboundedPreceding, -1)
-    placed = rows.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["ordinal", "range"])
+    inside = Window.partitionBy("ordinal", "range").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    placed = ranged.withColumn("before", F.coalesce(F.sum("size").over(inside), F.lit(0))).join(starts, ["ordinal", "range"])
     last = F.greatest(F.lit(0), F.least(F.col("size"), F.col("budget") - F.col("before") - F.col("start")))
     return placed.withColumn("taken", F.col("epochs") * F.col("size") + last)
 

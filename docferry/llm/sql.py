@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from docferry.llm.common import UPPER
-from docferry.llm.mixing import EPOCHS, RANGE_ROWS
+from docferry.llm.mixing import EPOCHS
 from docferry.llm.sharding import BITS, SHARD_BYTES
 from docferry.llm.warc import LEAST_BYTES
 
