@@ -2,8 +2,9 @@
 
 Each table turns unit vectors by three rounds of random signs and a fast Hadamard transform;
 the nearest signed axis is the bucket. A query looks into the buckets of its nearest axes in
-every table. Large buckets are dealt out to blocks of bounded size, which the query visits
-one by one; a block gives its best few by the exact cosine, and the best of all remain.
+every table. Large buckets are dealt out to blocks of bounded size, and the queries of a bucket
+too; each block of queries visits the blocks of items one by one, which give their best few by
+the exact cosine, and the best of all remain.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from docferry.llm.common import stage
 
-TABLES, PROBES, BLOCK_ROWS, SEED = 4, 24, 4096, 3
+TABLES, PROBES, BLOCK_ROWS, QUERY_ROWS, SEED = 4, 24, 4096, 2048, 3
 
 
 def _hadamard(x: np.ndarray) -> np.ndarray:
@@ -142,9 +143,13 @@ def search(
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block")
 
     def meet(probed: DataFrame) -> DataFrame:
-        visits = probed.join(blocks, place).select("id", "vector", *place, every)
-        keys = [*place, "block"]
-        found = members.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(_best(k), "query_id long, vec_id long, score double")
+        # Queries of a bucket are dealt to blocks too; a block of items meets each of these.
+        loads = probed.groupBy(*place).agg(F.ceil(F.count("*") / QUERY_ROWS).cast("int").alias("loads"))
+        dealt = F.pmod("row", F.col("loads")).cast("int").alias("load")
+        visits = probed.join(blocks, place).join(loads, place).select("id", "vector", *place, every, dealt)
+        faced = members.join(loads, place).withColumn("load", F.explode(F.sequence(F.lit(0), F.col("loads") - 1)))
+        keys = [*place, "block", "load"]
+        found = faced.groupBy(*keys).cogroup(visits.groupBy(*keys)).applyInArrow(_best(k), "query_id long, vec_id long, score double")
         each = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
         order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
         return each.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

@@ -17,8 +17,9 @@
    common shingle among its first fifth, early enough for what follows to suffice. Members of
    one component do not meet, and the collisions of these pairs are counted as before.
 
-So a group of copies of any size costs a number of pairs in proportion to its size, and no
-link between different components is left out.
+So a group of copies that link costs a number of pairs in proportion to its size, and no link
+between different components is left out. The last step is not bounded that way: G texts that
+share a rare shingle, all just below the limit and so each its own component, meet each other.
 """
 
 from __future__ import annotations
