@@ -3,7 +3,8 @@
 Both tokenise the whole of a text. Where a token of each begins with a blank at the same byte, as
 their byte lengths tell, lies an anchor; anchors cut the ids of a text into windows. How a window
 falls into groups (between bytes where tokens of both end) depends on its ids alone, so a worker
-remembers it by the pair of both runs of ids, packed, and works out each window once.
+works out each window once and remembers it: by the pair of both runs of ids, packed, and where
+a unit of text is one window, by that text, which determines the ids and is met first.
 
 How many documents hold a pair of ids linked is counted over the whole corpus. Documents are kept
 in chunks of bounded size; a chunk's windows and the pairs in them are numbered within it. Pair
@@ -31,8 +32,8 @@ from docferry.llm.common import row_slices, stage, worker_store
 
 #: Text whose pairs are numbered together, and text aligned at once.
 CHUNK_BYTES, SLICE_BYTES = 8_000_000, 1_000_000
-#: Units and windows that a worker carries on from chunk to chunk, and the most letters or ids of these.
-REMEMBERED, LONGEST = 150_000, 64
+#: Windows that a worker carries on from chunk to chunk, with their units, and the most letters or ids of these.
+REMEMBERED, LONGEST = 300_000, 64
 #: Pairs of ids are one number: this many bits for the second id.
 _BITS = 24
 _BLANK_BEHIND_SPACE = re.compile(r"\s ")
@@ -214,9 +215,11 @@ def _starts(ids: np.ndarray, length: np.ndarray, spaced: np.ndarray) -> tuple[np
 
 
 def windows_of(pairs: list[Runs], tokens: Tokens, known: Windows) -> list[tuple[int, ...]]:
-    """Window numbers of each text, from the runs of ids that both spell it.
+    """Window numbers of each text, from the runs of ids that both spell it. The texts are distinct.
 
-    All texts are one run of bytes, on which both tokenizers stay level.
+    All texts are one run of bytes, on which both tokenizers stay level. The ids of a window
+    and its text determine each other, so a text that is one window has not been met before;
+    windows of other texts are looked up by their ids.
     """
     if not pairs:
         return []
@@ -224,39 +227,48 @@ def windows_of(pairs: list[Runs], tokens: Tokens, known: Windows) -> list[tuple[
     (at_a, byte_a), (at_b, byte_b) = (_starts(numbers(v), n, s) for v, n, s in zip((x, y), tokens.length_of, tokens.spaced, strict=True))
     _, i, j = np.intersect1d(byte_a, byte_b, assume_unique=True, return_indices=True)
     first = at_a[i]
+    # Both runs of a text begin with a blank, so each text begins a window.
+    begin = np.searchsorted(first, np.cumsum([0] + [len(p[0]) // 4 for p in pairs]))
+    alone = np.diff(begin) == 1
+    fresh = [p for p, one in zip(pairs, alone.tolist(), strict=True) if one]
+    n = len(known.text)
+    out = [(n,)] * len(pairs)
+    for number, place in enumerate(np.flatnonzero(alone).tolist(), n):
+        out[place] = (number,)
     a, b = [*(4 * first).tolist(), len(x)], [*(4 * at_b[j]).tolist(), len(y)]
-    keys = [(x[i:j], y[k:m]) for i, j, k, m in zip(a[:-1], a[1:], b[:-1], b[1:], strict=True)]
-    which = list(map(known.number.get, keys))
-    fresh = list(dict.fromkeys([k for k, w in zip(keys, which, strict=True) if w is None]))
+    n += len(fresh)
+    found: dict[Runs, int] = {}
+    for place in np.flatnonzero(~alone).tolist():
+        keys = [(x[a[k] : a[k + 1]], y[b[k] : b[k + 1]]) for k in range(begin[place], begin[place + 1])]
+        for key in keys:
+            if key not in known.number and key not in found:
+                found[key] = n + len(found)
+                fresh.append(key)
+        out[place] = tuple([known.number[k] if k in known.number else found[k] for k in keys])
     if fresh:
-        n = len(known.text)
-        found = {k: n + place for place, k in enumerate(fresh)}
         known.add(fresh, tokens)
         known.number.update((k, v) for k, v in found.items() if len(k[0]) + len(k[1]) <= 4 * LONGEST)
-        which = [found[k] if w is None else w for k, w in zip(keys, which, strict=True)]
-    if len(which) == len(pairs):
-        return [(w,) for w in which]
-    # Both runs of a text begin with a blank, so each text begins a window.
-    begin = np.searchsorted(first, np.cumsum([0] + [len(p[0]) // 4 for p in pairs])).tolist()
-    return [tuple(which[lo:hi]) for lo, hi in zip(begin[:-1], begin[1:], strict=True)]
+    return out
 
 
 class Aligner:
     """Windows of texts. Units come again and again, so their windows are remembered too."""
 
     def __init__(self, tokens: Tokens):
-        self.tokens, self.windows = tokens, Windows()
+        self.tokens, self.windows, self.used = tokens, Windows(), np.empty(0, np.int64)
         self.known: dict[str, tuple[int, ...]] = {}
 
     def rest(self, used: np.ndarray):
-        """Behind a chunk, carry on what it used more than once, as far as there is room; ``used`` counts its windows."""
-        used = np.append(used, np.zeros(len(self.windows.text) - len(used), np.int64))
-        hot = np.flatnonzero(used > 1)
-        if len(hot) > REMEMBERED:
-            hot = np.sort(hot[np.argsort(-used[hot], kind="stable")[:REMEMBERED]])
-        new = self.windows.keep(hot).tolist()
-        moved = ((u, [new[w] for w in ws]) for u, ws in self.known.items() if ws)
-        self.known = {u: tuple(ws) for u, ws in moved if min(ws) >= 0}
+        """Behind a chunk, of which ``used`` counts the windows: when full, forget what came once, then the rarest."""
+        self.used = _longer(self.used, used)
+        if len(self.windows.text) <= REMEMBERED:
+            return
+        hot = np.flatnonzero(self.used > 1)
+        if len(hot) > REMEMBERED // 2:
+            hot = np.sort(hot[np.argsort(-self.used[hot], kind="stable")[: REMEMBERED // 2]])
+        new, self.used = self.windows.keep(hot).tolist(), np.zeros(len(hot), np.int64)
+        moved = ((u, tuple([new[w] for w in ws])) for u, ws in self.known.items() if ws)
+        self.known = {u: ws for u, ws in moved if min(ws) >= 0}
 
     def __call__(self, texts: list[str]) -> list[np.ndarray | None]:
         """Window numbers of blank + text; None where there is no text or a tokenizer does not spell it."""
