@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import json
+import re
+
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from docferry.functions.json_text import STRICT
-from docferry.functions.markup import let, split_chunks, toon_documents
+from docferry.functions.markup import split_chunks, toon_documents
 
 
 def split_documents(df: DataFrame, text: str = "text") -> DataFrame:
@@ -19,35 +23,59 @@ def split_documents(df: DataFrame, text: str = "text") -> DataFrame:
 
 # How a document looks whose first value is an array.
 _FIRST_IS_ARRAY = r'^\s*\{\s*"(?:[^"\\]|\\.)*+"\s*:\s*\['
+_HEAD = re.compile(r'\s*\{\s*"(?:[^"\\]|\\.)*"\s*:\s*\[\s*')
+_NEXT = re.compile(r"\s*(?:(,)\s*|\](\s*\}\s*\Z)?)")
+_SCAN = json.JSONDecoder(parse_int=str, parse_float=str, parse_constant=str).raw_decode
+
+
+def element_texts(doc: str | None) -> list[tuple[str, bool]] | None:
+    """The texts of the elements of the only value of an object, and whether each is an object.
+
+    Texts are slices of the document, so numbers and the order of keys stay as they are
+    spelt. None for a document whose only value is no array.
+    """
+    head = _HEAD.match(doc) if doc is not None else None
+    if head is None:
+        return None
+    at, out = head.end(), []
+    while True:
+        if doc[at] != "]" or out:
+            value, end = _SCAN(doc, at)
+            out.append((doc[at:end], isinstance(value, dict)))
+            at = end
+        step = _NEXT.match(doc, at)
+        if step[1]:
+            at = step.end()
+        else:
+            return out if step[2] is not None else None
+
+
+_ELEMENTS = T.ArrayType(T.StructType([T.StructField("doc", T.StringType()), T.StructField("object", T.BooleanType())]))
+
+
+@F.pandas_udf(_ELEMENTS)
+def _elements(docs: pd.Series) -> pd.Series:
+    return docs.map(element_texts)
 
 
 def explode_rows(df: DataFrame, doc: str = "doc") -> DataFrame:
     """A document whose only value is an array becomes one document per element.
 
-    Other documents stay as they are. Adds ``row`` (place in the array) and ``error``
-    when the array is empty or an element is no object.
+    Other documents stay as they are, and elements keep their text. Adds ``row`` (place in
+    the array) and ``error`` when the array is empty or an element is no object. Documents
+    are strict JSON, as the readers check.
     """
     others = [c for c in df.columns if c not in (doc, "error")]
     none = F.lit(None).cast("string")
     earlier = F.col("error") if "error" in df.columns else none
-    # Cheap looks first: only documents of one key that holds an array are parsed.
-    is_rows = F.rlike(F.col(doc), F.lit(_FIRST_IS_ARRAY)) & (F.size(F.json_object_keys(doc)) == 1)
-    fields = F.when(is_rows, F.from_json(doc, "map<string,array<variant>>", STRICT))
-
-    def element(rendered: Column) -> Column:
-        wrong = ~F.startswith(rendered, F.lit("{"))
-        return F.struct(rendered.alias("doc"), F.when(wrong, "row is not an object").alias("error"))
-
-    def all_of(elements: Column) -> Column:
-        empty = F.array(F.struct(F.col(doc).alias("doc"), F.lit("no rows").alias("error")))
-        return F.when(F.size(elements) == 0, empty).otherwise(F.transform(elements, lambda v: let(F.to_json(v), element)))
-
+    # A cheap look first: only documents that begin with an array go to Python, as Arrow batches.
+    elements = _elements(F.when(F.rlike(F.col(doc), F.lit(_FIRST_IS_ARRAY)), F.col(doc)))
     whole = F.array(F.struct(F.col(doc).alias("doc"), none.alias("error")))
-    only = F.get(F.map_values("_fields"), F.lit(0))
-    rows = F.when(F.col("_fields").isNull(), whole).otherwise(let(only, all_of))
-    # The parsed map is its own column, so the document is parsed once.
+    empty = F.array(F.struct(F.col(doc).alias("doc"), F.lit("no rows").alias("error")))
+    each = F.transform("_elements", lambda e: F.struct(e["doc"].alias("doc"), F.when(~e["object"], "row is not an object").alias("error")))
+    rows = F.when(F.col("_elements").isNull(), whole).when(F.size("_elements") == 0, empty).otherwise(each)
     return (
-        df.withColumn("_fields", fields)
+        df.withColumn("_elements", elements)
         .select(*others, earlier.alias("_e"), F.posexplode(rows).alias("row", "_r"))
         .select(*others, "row", F.col("_r.doc").alias(doc), F.coalesce("_e", "_r.error").alias("error"))
     )

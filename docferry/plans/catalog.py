@@ -245,6 +245,15 @@ def explode_rows(spark, sf_dir):
     return rows.select("l_orderkey", "l_linenumber", "row", "f.key", "f.of")
 
 
+@query
+def exploded_text(spark, sf_dir):
+    """Elements with spellings that a parser would change."""
+    element = text('{"price": ', c("l_extendedprice").cast("decimal(18,2)"), ', "key":', c("l_partkey"), '.0,"e":1e', c("l_linenumber"), "}")
+    doc = text('{"rows": [', element, ", ", element, "]}")
+    rows = shape.explode_rows(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", doc.alias("doc")))
+    return rows.select("l_orderkey", "l_linenumber", "row", "doc")
+
+
 @query
 def toon_rows(spark, sf_dir):
     whole = text(

@@ -105,6 +105,10 @@ UNION ALL
 SELECT l_orderkey, l_linenumber, 1, l_suppkey, 'supplier' FROM lineitem WHERE l_linenumber % 3 = 0
 UNION ALL
 SELECT l_orderkey, l_linenumber, 0, l_suppkey, NULL FROM lineitem WHERE l_linenumber % 3 <> 0""",
+    "exploded_text": """
+SELECT l_orderkey, l_linenumber, CAST(unnest([0, 1]) AS INTEGER) AS row, '{"price": ' || CAST(l_extendedprice AS DECIMAL(18, 2)) || ', "key":' || l_partkey
+    || '.0,"e":1e' || l_linenumber || '}' AS doc
+FROM lineitem""",
     "toon_rows": """
 SELECT p_partkey, 1 AS idx, 0 AS row, p_partkey AS id, p_name AS name, CAST(p_size AS VARCHAR) AS size,
     CAST(NULL AS BIGINT) AS first_size FROM part

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 from docferry.functions.paths import extension, file_name, glob_regex, has_glob, is_gzip, local_path, plain_path
 
 FILE_PATH = "_metadata.file_path"
+#: Globs that one regular expression takes in.
+PATTERNS_AT_ONCE = 200
 
 
 class InputError(ValueError):
@@ -51,21 +53,38 @@ def _has_scheme(value: str) -> bool:
     return "://" in value
 
 
-def matches(path: Column, value: str) -> Column:
-    """Is ``path`` one of the files this input names?"""
-    value = local_form(value)
-    if not _has_scheme(value):
-        # The listing reports the default file system's scheme and host; the input has neither.
-        path = F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "")
-    relative = not (value.startswith("/") or _has_scheme(value))
-    if not has_glob(value):
-        return F.endswith(path, F.lit("/" + value)) if relative else path == value
+def _without_scheme(path: Column) -> Column:
+    # The listing reports the default file system's scheme and host; an input may have neither.
+    return F.regexp_replace(path, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/]*", "")
+
+
+def _is_relative(value: str) -> bool:
+    return not (value.startswith("/") or _has_scheme(value))
+
+
+def _pattern(value: str) -> str:
+    """Regular expression that finds the paths of a glob."""
     pattern = glob_regex(value)
-    return path.rlike("/" + pattern[1:] if relative else pattern)
+    return "/" + pattern[1:] if _is_relative(value) else pattern
 
 
 def named_by(path: Column, values: list[str]) -> Column:
-    return reduce(lambda a, b: a | b, [matches(path, v) for v in values])
+    """Is ``path`` one of the files the inputs name?
+
+    All plain paths are one set and all globs a few expressions, so thousands of inputs are
+    planned as quickly as one.
+    """
+    found = []
+    for schemed in (True, False):
+        own = [v for v in map(local_form, values) if _has_scheme(v) == schemed]
+        at = path if schemed else _without_scheme(path)
+        plain = sorted({v for v in own if not has_glob(v) and not _is_relative(v)})
+        if plain:
+            found.append(at.isin(plain))
+        patterns = sorted({_pattern(v) for v in own if has_glob(v)} | {"/" + re.escape(v) + "$" for v in own if not has_glob(v) and _is_relative(v)})
+        for i in range(0, len(patterns), PATTERNS_AT_ONCE):
+            found.append(at.rlike("|".join(f"(?:{p})" for p in patterns[i : i + PATTERNS_AT_ONCE])))
+    return reduce(lambda a, b: a | b, found)
 
 
 def scan(spark: SparkSession, values: list[str], **text_options) -> DataFrame:
@@ -97,25 +116,63 @@ def list_files(spark: SparkSession, values: list[str]) -> DataFrame:
     )
 
 
+def _fixed_folder(value: str) -> str:
+    """The folder above the first glob sign of a path."""
+    parts = value.split("/")
+    return "/".join(parts[: next(i for i, part in enumerate(parts) if has_glob(part))])
+
+
+def input_matches(spark: SparkSession, files: DataFrame, values: list[str]) -> DataFrame:
+    """``input`` (place in ``values``) and ``path`` of every file that an input names.
+
+    Inputs are a table. They meet files by equal keys: the path, the folder above the first
+    glob sign (of which a file has as many as it lies deep), or the last parts of a relative
+    path; then each file is held against the patterns that are left.
+    """
+    rows, lengths = [], set()
+    for i, value in enumerate(map(local_form, values)):
+        kind, depth = "path", value.count("/") + 1
+        if has_glob(value):
+            kind, key = ("any", "") if _is_relative(value) else ("folder", _fixed_folder(value))
+        elif _is_relative(value):
+            kind, key = f"last {depth}", value
+            lengths.add(depth)
+        else:
+            key = value
+        rows.append((i, kind, key, _has_scheme(value), _pattern(value) if has_glob(value) else None))
+    inputs = spark.createDataFrame(rows, "input int, kind string, key string, schemed boolean, pattern string")
+
+    def key(kind: str, value: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), value.alias("key"))
+
+    path = F.col("at")
+    parts = F.split(path, "/")
+    folders = F.transform(F.sequence(F.lit(1), F.size(parts) - 1), lambda n: key("folder", F.array_join(F.slice(parts, 1, n), "/")))
+    lasts = [key(f"last {n}", F.substring_index(path, "/", -n)) for n in sorted(lengths)]
+    keys = F.concat(F.array(key("path", path), key("any", F.lit("")), *lasts), folders)
+    forms = F.array(F.struct(F.lit(True).alias("schemed"), F.col("path").alias("at")), F.struct(F.lit(False).alias("schemed"), _without_scheme(F.col("path")).alias("at")))
+    asked = files.select("path", F.explode(forms).alias("f")).select("path", "f.schemed", "f.at")
+    asked = asked.select("path", "schemed", "at", F.explode(keys).alias("k")).select("path", "schemed", "at", "k.kind", "k.key")
+    met = asked.join(inputs, ["schemed", "kind", "key"])
+    return met.where(F.col("pattern").isNull() | F.rlike("at", F.col("pattern"))).select("input", "path")
+
+
 def check_inputs(spark: SparkSession, values: list[str]) -> int:
     """Refuse inputs that name no regular file and compressed files; give the number of files.
 
-    One row of counts comes back, whatever the number of files.
+    One row of counts comes back, and at most one of the inputs without a file.
     """
     if not values:
         raise InputError("no input is given")
     files = list_files(spark, values)
     path = F.col("path")
-    found = files.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.when(is_gzip(path), path)).alias("gzip"),
-        *[F.count_if(matches(path, v)).alias(f"n{i}") for i, v in enumerate(values)],
-    ).first()
-    for i, value in enumerate(values):
-        if found[f"n{i}"] == 0:
-            if has_glob(value):
-                raise InputError(f"no file matches: {value}")
-            raise InputError(f"no such file: {value}")
+    found = files.agg(F.count(F.lit(1)).alias("n"), F.min(F.when(is_gzip(path), path)).alias("gzip")).first()
+    named = input_matches(spark, files, values).select("input").distinct()
+    every = spark.range(len(values)).select(F.col("id").cast("int").alias("input"))
+    missing = every.join(named, "input", "left_anti").agg(F.min("input")).first()[0]
+    if missing is not None:
+        value = values[missing]
+        raise InputError(f"no file matches: {value}" if has_glob(value) else f"no such file: {value}")
     if found["gzip"]:
         raise InputError(f"cannot read this compressed file: {found['gzip']}")
     return found["n"]

@@ -117,6 +117,15 @@ def test_explode_rows(spark):
     assert [(r["k"], r["doc"], r["error"]) for r in got] == [(k, *v) for k, vs in enumerate(cases.values()) for v in vs]
 
 
+def test_exploded_elements_keep_their_text(spark):
+    """Numbers, order of keys, escapes and blanks of an element stay as they are spelt."""
+    elements = [r'{"b": 1.0, "a":1e5,"z":"\u00e9 ]},{"}', '{"n":100000000000000000000.10,"m":-0,"deep":[[{"x":[1,2]}]]}', '"{}"', "null", "-1.50E+2"]
+    doc = ' { "ro\\"ws" : [ ' + " , ".join(elements) + " ] } "
+    got = shape.explode_rows(spark.createDataFrame([(doc,), ('{"a":[ ]}',), ('{"a":[{}],"b":[{}]}',), (None,)], "doc string")).collect()
+    assert [(r["doc"], r["error"]) for r in got[:5]] == [(e, None if e.startswith("{") else "row is not an object") for e in elements]
+    assert [(r["doc"], r["error"]) for r in got[5:]] == [('{"a":[ ]}', "no rows"), ('{"a":[{}],"b":[{}]}', None), (None, None)]
+
+
 def reply(items, errors=False):
     return json.dumps({"errors": errors, "items": items})
 

@@ -3,8 +3,10 @@ import gzip
 import io
 import json
 import random
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from docferry.operators.validate import DocumentError, check_documents, enforce, rejected, require_all_objects
 from docferry.sources.csv import HeaderError, ends_quoted, read_csv_docs
@@ -18,7 +20,7 @@ from docferry.sources.files import (
     read_toon_docs,
     read_yaml_files,
 )
-from docferry.sources.listing import InputError, check_inputs, list_files
+from docferry.sources.listing import InputError, check_inputs, input_matches, list_files, named_by
 from docferry.sources.ndjson import read_ndjson
 
 
@@ -389,3 +391,23 @@ def test_pretty_files_are_chosen_one_by_one(spark, tmp_path):
     assert [r["doc"] for r in got if r["name"] in ("a.json", "c [x].json")] == ['{"a":1.0,"b":[1,2]}', '{"a":3}']
     assert sum(r["doc"] == '{"a":2}' for r in got) == 50
     assert [(r["name"], r["error"]) for r in got if r["error"]] == [("d.json", "invalid JSON")]
+
+
+def test_thousands_of_inputs(spark, tmp_path):
+    """Plain paths and globs by the thousand are planned as a set and a few patterns."""
+    for i in range(40):
+        write(tmp_path / "d" / f"{i % 4}" / f"{i}.txt", str(i))
+    plain = [f"{tmp_path}/d/{i % 4}/{i}.txt" for i in range(40)] * 50
+    globs = [f"{tmp_path}/d/{i % 4}/{i}.t?t" for i in range(40)] + [f"{tmp_path}/d/[!1-3]/*.txt", f"{tmp_path}/**/3{'?'}.txt"] * 20
+    values = plain + globs
+    start = time.monotonic()
+    assert check_inputs(spark, values) == 40
+    condition = named_by(F.col("path"), values)._jc.toString()
+    assert condition.count("RLIKE") <= 1 and time.monotonic() - start < 60
+    got = input_matches(spark, list_files(spark, values), values)
+    per = {r.input: r.n for r in got.groupBy("input").agg(F.countDistinct("path").alias("n")).collect()}
+    assert all(per[i] == 1 for i in range(len(plain) + 40)) and per[len(plain) + 40] == 10 and per[len(plain) + 41] == 10
+    with pytest.raises(InputError, match="no file.*/d/0/99.txt|no such file: .*/d/0/99.txt"):
+        check_inputs(spark, [*plain[:3], f"{tmp_path}/d/0/99.txt"])
+    with pytest.raises(InputError, match=r"no file matches: .*/\\*.md"):
+        check_inputs(spark, [*plain[:3], f"{tmp_path}/d/*/*.md", *globs])
