@@ -601,11 +601,34 @@ def _supplier_fields(docs: DataFrame) -> DataFrame:
     )
 
 
+#: Folders of files made from a table, by session, table folder and kind: made once, read by several queries.
+_FOLDERS: dict[tuple[str, str, str], str] = {}
+
+
+def file_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
+    """A folder with one file per supplier; ``mixed`` has files of four kinds."""
+    key = (spark.sparkContext.applicationId, sf_dir, kind)
+    if key not in _FOLDERS:
+        folder = scratch_dir(spark, "files")
+        suppliers = table(spark, sf_dir, "supplier")
+        if kind == "mixed":
+            for rest, one in enumerate(["txt", "md", "yml"]):
+                _one_file_each(suppliers.where(c("s_suppkey") % 4 == rest), one, folder)
+            rows = suppliers.where(c("s_suppkey") % 4 == 3)
+            rows = rows.select("s_suppkey", c("s_name").alias("name"), c("s_nationkey").alias("nation"))
+            rows.repartition("s_suppkey").write.partitionBy("s_suppkey").json(f"{folder}/json")
+        else:
+            _one_file_each(suppliers, kind, folder)
+        _FOLDERS[key] = folder
+    return _FOLDERS[key]
+
+
+FILE_KINDS = ["txt", "md", "yml", "jsn", "ton", "mixed"]
+
+
 def _files_query(kind: str, read: Callable[..., DataFrame]) -> Query:
     def build(spark: SparkSession, sf_dir: str) -> DataFrame:
-        folder = scratch_dir(spark, "files")
-        _one_file_each(table(spark, sf_dir, "supplier"), kind, folder)
-        return _supplier_fields(read(spark, f"{folder}/**/*.{kind}", metadata=True))
+        return _supplier_fields(read(spark, f"{file_folder(spark, sf_dir, kind)}/**/*.{kind}", metadata=True))
 
     return build
 
@@ -810,21 +833,14 @@ def batches_as_read(spark, sf_dir):
 
 @query
 def mixed_files(spark, sf_dir):
-    folder = scratch_dir(spark, "files")
-    suppliers = table(spark, sf_dir, "supplier")
-    for rest, kind in enumerate(["txt", "md", "yml"]):
-        _one_file_each(suppliers.where(c("s_suppkey") % 4 == rest), kind, folder)
-    rows = suppliers.where(c("s_suppkey") % 4 == 3)
-    rows = rows.select("s_suppkey", c("s_name").alias("name"), c("s_nationkey").alias("nation"))
-    rows.repartition("s_suppkey").write.partitionBy("s_suppkey").json(f"{folder}/json")
+    folder = file_folder(spark, sf_dir, "mixed")
     # Overlapping inputs: every file counts once.
     return _supplier_fields(read_documents(spark, f"{folder}/**/*", f"{folder}/md/**/*.md"))
 
 
 @query
 def listed_files(spark, sf_dir):
-    folder = scratch_dir(spark, "files")
-    _one_file_each(table(spark, sf_dir, "supplier"), "txt", folder)
+    folder = file_folder(spark, sf_dir, "txt")
     found = list_files(spark, [f"{folder}/txt/*/*.txt", f"{folder}/**/*"])
     return found.select(F.regexp_extract("path", "s_suppkey=([0-9]+)/", 1).cast("bigint").alias("s_suppkey"), "suffix")
 

@@ -46,6 +46,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete a staged table that is used up."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -13,11 +13,10 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.session import discard
+from docferry.session import discard, exists
 
 #: Documents of a parcel: what a lost task sends again at most.
 PARCEL_DOCS = 50_000
@@ -29,16 +28,6 @@ PARCELS_DDL = "line string, error string, path string, doc string"
 _BY_TASK = {"mapreduce.fileoutputcommitter.algorithm.version": "2"}
 
 
-def exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.format("binaryFile").load(path).limit(0).collect()
-    except AnalysisException as err:
-        if err.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
-    return True
-
-
 @dataclass(frozen=True)
 class Ledger:
     """Where the parcels of one load lie, and where its replies go."""
