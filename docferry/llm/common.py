@@ -5,6 +5,7 @@ from __future__ import annotations
 import sys
 import types
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -13,12 +14,34 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from docferry.session import stage
+from docferry import session
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["UPPER", "WORD", "lower_ascii", "stage", "table", "worker_store", "n_tasks", "crc_class", "row_slices"]
+__all__ = ["UPPER", "WORD", "lower_ascii", "stage", "table", "worker_store", "n_tasks", "crc_class", "recorded", "row_slices"]
+
+
+#: Lists that are told of every table staged, while ``recorded`` is open.
+_RECORDS: list[list[str]] = []
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back."""
+    path = session.scratch_dir(df.sparkSession, label)
+    for record in _RECORDS:
+        record.append(path)
+    return session.stage(df, label, path)
+
+
+@contextmanager
+def recorded(paths: list[str]) -> Iterator[None]:
+    """Add the folders of all tables staged meanwhile to ``paths``."""
+    _RECORDS.append(paths)
+    try:
+        yield
+    finally:
+        _RECORDS.remove(paths)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
