@@ -3,17 +3,43 @@
 Every stage takes (spark, docs, sf_dir) and gives a DataFrame; all but the last give the
 columns of documents, whatever further columns there are and however they are called. Stages are
 written as Parquet and read again in between, so a lost executor costs the running stage only.
-In every stage null texts count as empty, and an empty table gives no rows.
+A stage deletes the tables that earlier ones staged, unless the rows it is given are still to be
+read from them. In every stage null texts count as empty, and an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docferry.llm import exact, minhash, mixing, packing, toxicity
-from docferry.llm.common import stage, table
+from docferry.llm.common import recorded, stage, table
 from docferry.llm.queries import vocabulary
+from docferry.session import discard
+
+
+Step = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+#: Folders that stages of this process have staged and not deleted.
+_STAGED: list[str] = []
+
+
+def _tidy(step: Step) -> Step:
+    """A stage that first deletes what earlier stages staged, as their rows have been written since."""
+
+    @wraps(step)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles()
+        for folder in [f for f in _STAGED if not any(f.split(":", 1)[-1].lstrip("/") in path for path in read)]:
+            discard(spark, folder)
+            _STAGED.remove(folder)
+        with recorded(_STAGED):
+            return step(spark, docs, sf_dir)
+
+    return run
 
 
 def _by_place(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
@@ -22,6 +48,7 @@ def _by_place(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     return docs.toDF(*places), dict(zip(docs.columns, places, strict=True))
 
 
+@_tidy
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold stay.
 
@@ -34,6 +61,7 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return scored.where(F.col("score") < toxicity.THRESHOLD).drop("score").toDF(*docs.columns)
 
 
+@_tidy
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents with equal text, A-Z lower-cased, the one with the largest id stays.
 
@@ -44,6 +72,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return exact.drop_exact(rows, at["doc_id"], at["text"]).toDF(*docs.columns)
 
 
+@_tidy
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked on shingles of five words one row stays, of those with the smallest id.
 
@@ -57,6 +86,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return numbered.join(gone, "near_row", "left_anti").drop("near_row").toDF(*docs.columns)
 
 
+@_tidy
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them; the one at each source's cut in part.
 
@@ -67,6 +97,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.take_rows(rows, at["doc_id"], at["source"], at["text"], at.get("n_chars", "")).toDF(*docs.columns)
 
 
+@_tidy
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of fixed length, with their token ids.
 

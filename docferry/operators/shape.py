@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+from collections.abc import Callable
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -25,14 +26,14 @@ def split_documents(df: DataFrame, text: str = "text") -> DataFrame:
 _FIRST_IS_ARRAY = r'^\s*\{\s*"(?:[^"\\]|\\.)*+"\s*:\s*\['
 _HEAD = re.compile(r'\s*\{\s*"(?:[^"\\]|\\.)*"\s*:\s*\[\s*')
 _NEXT = re.compile(r"\s*(?:(,)\s*|\](\s*\}\s*\Z)?)")
-_SCAN = json.JSONDecoder(parse_int=str, parse_float=str, parse_constant=str).raw_decode
 
 
-def element_texts(doc: str | None) -> list[tuple[str, bool]] | None:
+def element_texts(doc: str | None, scan: Callable[[str, int], tuple[object, int]]) -> list[tuple[str, bool]] | None:
     """The texts of the elements of the only value of an object, and whether each is an object.
 
     Texts are slices of the document, so numbers and the order of keys stay as they are
-    spelt. None for a document whose only value is no array.
+    spelt. None for a document whose only value is no array. ``scan`` reads one JSON value from
+    a place on and tells where it ends.
     """
     head = _HEAD.match(doc) if doc is not None else None
     if head is None:
@@ -40,7 +41,7 @@ def element_texts(doc: str | None) -> list[tuple[str, bool]] | None:
     at, out = head.end(), []
     while True:
         if doc[at] != "]" or out:
-            value, end = _SCAN(doc, at)
+            value, end = scan(doc, at)
             out.append((doc[at:end], isinstance(value, dict)))
             at = end
         step = _NEXT.match(doc, at)
@@ -55,7 +56,8 @@ _ELEMENTS = T.ArrayType(T.StructType([T.StructField("doc", T.StringType()), T.St
 
 @F.pandas_udf(_ELEMENTS)
 def _elements(docs: pd.Series) -> pd.Series:
-    return docs.map(element_texts)
+    scan = json.JSONDecoder(parse_int=str, parse_float=str, parse_constant=str).raw_decode
+    return docs.map(lambda doc: element_texts(doc, scan))
 
 
 def explode_rows(df: DataFrame, doc: str = "doc") -> DataFrame:

@@ -34,14 +34,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
+def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     Used where a value is fixed by one evaluation of the plan (row positions), so a
     lost executor cannot make a later pass see other values. Parquet rather than
     ``checkpoint()``, so that later passes read only the columns they need.
     """
-    path = scratch_dir(df.sparkSession, label)
+    path = path or scratch_dir(df.sparkSession, label)
     df.write.parquet(path, compression="zstd")
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -409,5 +409,5 @@ def test_thousands_of_inputs(spark, tmp_path):
     assert all(per[i] == 1 for i in range(len(plain) + 40)) and per[len(plain) + 40] == 10 and per[len(plain) + 41] == 10
     with pytest.raises(InputError, match="no file.*/d/0/99.txt|no such file: .*/d/0/99.txt"):
         check_inputs(spark, [*plain[:3], f"{tmp_path}/d/0/99.txt"])
-    with pytest.raises(InputError, match=r"no file matches: .*/\\*.md"):
+    with pytest.raises(InputError, match="matches no file|no file matches"):
         check_inputs(spark, [*plain[:3], f"{tmp_path}/d/*/*.md", *globs])
