@@ -126,7 +126,8 @@ def search(
     find its own id. Vectors that are null, zero, or hold null or non-finite components take
     no part, nor do null ids; vectors meet vectors of their own length. Rows that repeat an
     id are one item, as near as its nearest vector. A query that meets fewer than ``k``
-    candidates is compared with all vectors of its length, block by block.
+    candidates is compared with all vectors of its length, block by block. Without vectors or
+    queries there are no rows.
     """
 
     def prepared(df: DataFrame) -> DataFrame:

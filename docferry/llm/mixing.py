@@ -93,7 +93,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     ``taken`` counts the words the mix takes of the row: its size for each whole epoch, and
     in the last epoch all, none or, for the one row at the cut, a part. Sizes count words,
     null and empty texts 0. A null source is a source of its own and comes last. Rows that
-    repeat an identifier are separate rows. Every run gives the same rows.
+    repeat an identifier are separate rows; an empty table gives no rows. Every run gives the
+    same rows.
     """
     plan = _plan(docs, id_col, source_col, text_col, seed)
     return plan.select(F.col("id").alias(id_col), "size", "source_size", "target", "taken")
@@ -104,7 +105,8 @@ def take_rows(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source
 
     A row comes once for each time all of it is taken; the row at a source's cut comes with
     the words up to the cut. Rows without words come once when their source is used at all.
-    Rows that repeat an identifier with the same text share one decision.
+    Rows that repeat an identifier with the same text share one decision. An empty table gives
+    no rows; other columns come through unchanged.
     """
     columns = docs.columns
     plan = (

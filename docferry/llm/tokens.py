@@ -77,8 +77,8 @@ def count_tokens(docs: DataFrame, model: str, id_col: str = "doc_id", text_col:
     """``n_bytes`` and ``n_tokens`` of every whole text, as the sentencepiece file ``model`` gives them.
 
     No begin, end or added tokens; the names of such tokens inside a text are plain text.
-    Null and empty texts count 0. Rows that repeat an identifier are counted each. ``model``
-    is a file that every worker can open.
+    Null and empty texts count 0. Rows that repeat an identifier are counted each; an empty
+    table gives no rows. ``model`` is a file that every worker can open.
     """
     spark = docs.sparkSession
     frequent = spark.sparkContext.broadcast(frequent_lengths(docs, model, text_col))

@@ -432,7 +432,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 def score(docs: DataFrame, net: Network | None, text_col: str = "text", columns: list[str] | None = None) -> DataFrame:
     """``columns`` of every row with ``score``, from 0 to 1; a name ``score`` among them is an error.
 
-    Null and empty texts are scored as a text without words. Without a network (one label
+    Null and empty texts are scored as a text without words; rows that repeat an identifier are
+    scored each, and equal texts have equal scores. Without a network (one label
     only was known) every score is 0.
     """
     columns = docs.columns if columns is None else columns

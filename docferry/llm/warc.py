@@ -215,7 +215,10 @@ def _find(key, wanted: pa.Table, directory: pa.Table) -> pa.Table:
 
 
 def lookup(directory: DataFrame, captures: DataFrame, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
-    """Where the records of (identifier, URL) pairs lie: ``page_id``, ``file``, ``at``, ``length``."""
+    """Where the records of (identifier, URL) pairs lie: ``page_id``, ``file``, ``at``, ``length``.
+
+    A pair that is asked for more than once is looked up once; all records of a pair are found.
+    """
     # One row per range of the index, so as many as the index had tasks.
     first = directory.groupBy("part").agg(F.min(F.struct("key", "page_id")).alias("s")).orderBy("s").collect()
     starts, parts = [(r.s.key, r.s.page_id) for r in first], [r.part for r in first]
@@ -275,7 +278,11 @@ def fetch(places: DataFrame) -> DataFrame:
 
 
 def round_trip(pages: DataFrame, folder: str | None = None) -> DataFrame:
-    """Write archives and index of ``pages`` (page_id, url, html) and read every record back through the index."""
+    """Write archives and index of ``pages`` (page_id, url, html) and read every record back through the index.
+
+    An empty table gives no rows. Rows that repeat a page_id and URL are records of their own,
+    and each comes back once.
+    """
     folder = folder or scratch_dir(pages.sparkSession, "warc")
     directory = index(write(pages, f"{folder}/archive"), f"{folder}/index")
     return fetch(lookup(directory, pages)).drop("payload", "url")
