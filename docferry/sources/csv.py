@@ -74,7 +74,8 @@ def ends_quoted(line: bytes, quoted: bool) -> bool:
 
 def _tell_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """For each block: its first line's place, its lines, whether one is not empty, how it ends
-    from either state, and whether a value open at its start is closed in it.
+    from either state, whether a value open at its start is closed in it, and from either state
+    the last line before whose end an open value is closed (-1: none).
 
     Lines without a quote come as null; they change no state.
     """
@@ -82,27 +83,33 @@ def _tell_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         paths, starts, places, lines, fills = batch.columns
         for path, start, lo, hi in block_runs(paths, starts):
-            first, n, filled, outside, inside, closes = found.get((path, start)) or (places[lo].as_py(), 0, False, False, True, False)
+            first, n, filled, outside, inside, closes, last_outside, last_inside = found.get((path, start)) or (places[lo].as_py(), 0, False, False, True, False, -1, -1)
             filled = filled or bool(fills.slice(lo, hi - lo).true_count)
-            for line in lines.slice(lo, hi - lo).drop_null().to_pylist():
+            some, place = lines.slice(lo, hi - lo), places.slice(lo, hi - lo).to_numpy()
+            quoting = np.flatnonzero(some.is_valid().to_numpy(zero_copy_only=False)).tolist()
+            for i, line in zip(quoting, some.drop_null().to_pylist(), strict=True):
+                was_outside, was_inside = outside, inside
                 outside, inside = ends_quoted(line, outside), ends_quoted(line, inside)
+                last_outside = int(place[i]) if was_outside and not outside else last_outside
+                last_inside = int(place[i]) if was_inside and not inside else last_inside
                 closes = closes or not inside
-            found[path, start] = [first, n + hi - lo, filled, outside, inside, closes]
+            found[path, start] = [first, n + hi - lo, filled, outside, inside, closes, last_outside, last_inside]
     if found:
         columns = [list(c) for c in zip(*((p, s, *v) for (p, s), v in found.items()), strict=True)]
-        names = ["path", "block_start", "first", "n", "filled", "outside", "inside", "closes"]
+        names = ["path", "block_start", "first", "n", "filled", "outside", "inside", "closes", "last_outside", "last_inside"]
         yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
 
 def block_states(lines: DataFrame) -> DataFrame:
     """``path``, ``block_start``; ``first``, the place of the block's first line, and ``before``,
     the lines of the file before it; ``leads``: are all these empty; ``quoted``: does the block
-    begin inside a quoted value; ``closed``: does what is open at its end get closed.
+    begin inside a quoted value; ``closed``: does what is open at its end get closed; ``last``, the
+    place of the last line that closes an open value in the block.
 
     One row per file block, whatever a block holds.
     """
     seen = lines.select("path", "block_start", "pos", F.when(F.contains("value", F.lit(b'"')), F.col("value")).alias("value"), ~_is_empty(F.col("value")))
-    schema = "path string, block_start long, first long, n long, filled boolean, outside boolean, inside boolean, closes boolean"
+    schema = "path string, block_start long, first long, n long, filled boolean, outside boolean, inside boolean, closes boolean, last_outside long, last_inside long"
     told = seen.mapInArrow(_tell_blocks, schema)
     # A block either ends the same way from both states, or turns the state, or keeps it.
     order = Window.partitionBy("path").orderBy("block_start")
@@ -118,7 +125,7 @@ def block_states(lines: DataFrame) -> DataFrame:
     lines_before = F.coalesce(F.sum("n").over(before), F.lit(0))
     crossed = F.col("quoted") | F.when(F.col("quoted"), F.col("inside")).otherwise(F.col("outside"))
     leads = ~F.coalesce(F.max("filled").over(before), F.lit(False))
-    return states.select("path", "block_start", "first", lines_before.alias("before"), leads.alias("leads"), "quoted", closed.alias("closed"), crossed.alias("crossed"))
+    return states.select("path", "block_start", "first", lines_before.alias("before"), leads.alias("leads"), "quoted", closed.alias("closed"), crossed.alias("crossed"), F.when(F.col("quoted"), F.col("last_inside")).otherwise(F.col("last_outside")).alias("last"))
 
 
 def _is_empty(line: Column) -> Column:
@@ -135,7 +142,7 @@ def _cut_records(header: bytes):
         block: tuple[str, int] | None = None
         quoted = closed = opens = first = False
         held: list[bytes] = []
-        place = 0
+        place = last = 0
 
         def row(record: list[bytes] | None, ends: bool) -> pa.RecordBatch:
             text = b"\n".join(record) if record is not None else None
@@ -153,12 +160,12 @@ def _cut_records(header: bytes):
                 yield row(held if closed else None, False)
 
         for batch in batches:
-            paths, starts, positions, lines, quotes, states, closings, leads = batch.columns
+            paths, starts, positions, lines, quotes, states, closings, leads, lasts = batch.columns
             for path, start, lo, hi in block_runs(paths, starts):
                 if block != (path, start):
                     yield from rest()
                     block, held, first = (path, start), [], leads[lo].as_py()
-                    quoted, closed = states[lo].as_py(), closings[lo].as_py()
+                    quoted, closed, last = states[lo].as_py(), closings[lo].as_py(), lasts[lo].as_py()
                     opens = not quoted
                 some, pos = lines.slice(lo, hi - lo), positions.slice(lo, hi - lo).to_numpy()
                 # The state changes at lines with a quote only.
@@ -204,7 +211,8 @@ def _cut_records(header: bytes):
                     if not held:
                         place = int(pos[begin])
                     # A value that nothing closes may be the rest of the file: only its place is kept.
-                    held = held + some.slice(begin).to_pylist() if closed or not after[-1] else held or [b""]
+                    # What is open at the end of a batch may be closed later in the block.
+                    held = held + some.slice(begin).to_pylist() if closed or not after[-1] or pos[-1] < last else held or [b""]
                 quoted = bool(after[-1])
         yield from rest()
 
@@ -246,11 +254,12 @@ def csv_records(spark: SparkSession, path: str, header: bytes) -> DataFrame:
     # One row per file block goes to every task.
     placed = text.join(F.broadcast(states), ["path", "block_start"])
     has_quote = F.contains("value", F.lit(b'"')).alias("has_quote")
-    line = (F.col("before") + F.col("pos") - F.col("first") + 1).alias("pos")
+    line = F.col("before") + F.col("pos") - F.col("first") + 1
+    last = F.when(F.col("last") >= 0, F.col("before") + F.col("last") - F.col("first") + 1).otherwise(-1)
     schema = "path string, block_start long, pos long, record binary, opens boolean, ends boolean, heads boolean"
 
     def cut(lines: DataFrame) -> DataFrame:
-        return lines.select("path", "block_start", line, "value", has_quote, "quoted", "closed", "leads").mapInArrow(_cut_records(header), schema)
+        return lines.select("path", "block_start", line.alias("pos"), "value", has_quote, "quoted", "closed", "leads", last.alias("last")).mapInArrow(_cut_records(header), schema)
 
     whole = cut(placed).where("opens and ends").select("path", "block_start", "pos", "record")
     if states.where("crossed").isEmpty():
