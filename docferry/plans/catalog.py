@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from docferry.functions import patterns as R
 from docferry.functions.yaml_udf import yaml_object
 from docferry.operators import account, batch, shape, target, validate
 from docferry.plans.load import load_to_bulk
-from docferry.session import configure, scratch_dir, stage
+from docferry.session import configure, scratch_dir, stage, stored_at
 from docferry.sinks.bulk import COMMITS_DDL, BulkTarget, register, write_bulk
 from docferry.sinks.ndjson import write_ndjson
 from docferry.sinks.transport import DryRun
@@ -576,17 +578,53 @@ def _lines_of(kind: str) -> list[Column]:
         "md": [F.lit("---"), *fields, F.lit("---"), text("About ", name), text("from ", nation)],
         "yml": fields,
         "jsn": [text('{"name": "', name, '",'), text(' "nation": ', nation, "}")],
+        "json": [F.to_json(F.struct(name.alias("name"), nation.alias("nation")))],
         "ton": [F.lit("rows[2]{name,nation}:"), text("  ", name, ",", nation), text("  #", key, ",-1")],
     }[kind]
 
 
+#: Files that one task writes.
+FILES_A_TASK = 1000
+
+
+def _write_files(folder: str, suffix: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Write the lines of each supplier, which follow each other, as one file; give the number of files.
+
+    A task that runs again writes the same files again. Hadoop's local file system starts two
+    programs for every file it makes, so files by the ten thousand are not left to Spark's writer.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        files, at = stored_at(folder)
+
+        def write(key: int | None, lines: list[str | None]) -> None:
+            own = f"{at}/s_suppkey={'__HIVE_DEFAULT_PARTITION__' if key is None else key}"
+            files.create_dir(own)
+            with files.open_output_stream(f"{own}/part-0.{suffix}") as out:
+                out.write("".join(f"{line}\n" for line in lines if line is not None).encode())
+
+        rows = (row for batch in batches for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True))
+        n = 0
+        for key, group in groupby(rows, key=lambda row: row[0]):
+            write(key, [line for _, line in group])
+            n += 1
+        yield pa.RecordBatch.from_pydict({"n": pa.array([n], pa.int64())})
+
+    return run
+
+
 def _one_file_each(suppliers: DataFrame, kind: str, folder: str) -> None:
     """Write one file per supplier, with the kind as suffix."""
     lines = suppliers.select("s_suppkey", F.posexplode(F.array(*_lines_of(kind))).alias("pos", "line"))
-    lines = lines.repartition("s_suppkey").sortWithinPartitions("s_suppkey", "pos").drop("pos")
-    # The CSV writer can set the suffix; separator and quote are characters no line holds.
-    plain = {"extension": kind, "sep": "\x01", "quote": "\x02", "ignoreLeadingWhiteSpace": "false"}
-    lines.write.partitionBy("s_suppkey").options(**plain).csv(f"{folder}/{kind}")
+    # Said in numbers, as small rows would all go to one task.
+    n_tasks = max(suppliers.sparkSession.sparkContext.defaultParallelism, -(-suppliers.count() // FILES_A_TASK))
+    lines = lines.repartition(n_tasks, "s_suppkey").sortWithinPartitions("s_suppkey", "pos")
+    # As Spark's CSV writer has it: blanks at the end of a line are left out, an empty line is two quotes, a null is none.
+    line = F.regexp_replace("line", r"[\x00-\x20]+\z", "")
+    given = lines.select("s_suppkey", F.when(line == "", '""').otherwise(line).alias("line"))
+    files, at = stored_at(f"{folder}/{kind}")
+    files.create_dir(at)
+    given.mapInArrow(_write_files(f"{folder}/{kind}", kind), "n long").agg(F.sum("n")).first()
 
 
 def _supplier_fields(docs: DataFrame) -> DataFrame:
@@ -614,9 +652,7 @@ def file_folder(spark: SparkSession, sf_dir: str, kind: str) -> str:
         if kind == "mixed":
             for rest, one in enumerate(["txt", "md", "yml"]):
                 _one_file_each(suppliers.where(c("s_suppkey") % 4 == rest), one, folder)
-            rows = suppliers.where(c("s_suppkey") % 4 == 3)
-            rows = rows.select("s_suppkey", c("s_name").alias("name"), c("s_nationkey").alias("nation"))
-            rows.repartition("s_suppkey").write.partitionBy("s_suppkey").json(f"{folder}/json")
+            _one_file_each(suppliers.where(c("s_suppkey") % 4 == 3), "json", folder)
         else:
             _one_file_each(suppliers, kind, folder)
         _FOLDERS[key] = folder

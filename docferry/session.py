@@ -4,7 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
+import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 # Repeated keys are legal JSON; the last one wins, as in most JSON readers.
@@ -21,6 +25,22 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+#: Tasks that list folders, for each core.
+LISTING_TASKS = 4
+
+
+@contextmanager
+def listing_by_few_tasks(spark: SparkSession) -> Iterator[None]:
+    """While open, a task lists many folders. By default each folder is a task of its own, up to 10,000."""
+    name = "spark.sql.sources.parallelPartitionDiscovery.parallelism"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(int(before), LISTING_TASKS * spark.sparkContext.defaultParallelism)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new path below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
@@ -46,6 +66,13 @@ def stage(df: DataFrame, label: str, path: str | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def stored_at(path: str) -> tuple[pa.fs.FileSystem, str]:
+    """The store of a shared folder, for tasks that write files of their own, and the path in it."""
+    if "://" in path:
+        return pa.fs.FileSystem.from_uri(path)
+    return pa.fs.LocalFileSystem(), path.removeprefix("file:")
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

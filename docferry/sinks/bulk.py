@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.fs
 import pyarrow.parquet
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -29,7 +28,7 @@ from pyspark.sql.datasource import (
 
 from docferry.operators.batch import DEFAULT_BATCH_SIZE, DEFAULT_MAX_REQUESTS, checked_lines
 from docferry.operators.validate import DocumentError, enforce, error_totals
-from docferry.session import discard, scratch_dir
+from docferry.session import discard, scratch_dir, stored_at
 from docferry.sinks.ledger import PARCEL_DOCS, Ledger
 from docferry.sinks.transport import BulkRequest, DryRun, HttpTransport, Transport, load_transport
 
@@ -265,7 +264,7 @@ class _Sender:
         if self.commits:
             rows = [(outcome, batch, m.task, m.n_requests, m.n_docs, m.n_refused, list(m.statuses.items())) for m in done]
             table = pa.Table.from_pylist([dict(zip(_COMMITS.names, r, strict=True)) for r in rows], _COMMITS)
-            files, folder = pa.fs.FileSystem.from_uri(self.commits) if "://" in self.commits else (pa.fs.LocalFileSystem(), self.commits.removeprefix("file:"))
+            files, folder = stored_at(self.commits)
             files.create_dir(folder)
             pa.parquet.write_table(table, f"{folder}/{outcome}-{uuid.uuid4().hex}.parquet", filesystem=files)
         refused = sum(m.n_refused for m in done)

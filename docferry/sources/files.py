@@ -153,14 +153,16 @@ def read_file_documents(
     """Any mix of files, each read by its suffix; unknown suffixes, and CSV, are text.
 
     ``metadata`` defaults to whether more than one file is found. Four scans in all: lines,
-    TOON, structured whole files and text files, each opening only its own files.
+    TOON, structured whole files and text files, each opening only its own files. Files are
+    listed once to be checked, once by lines and once whole.
     """
     check_content_field(field)
     values = list(values)
     n_files = check_inputs(spark, values)
     metadata = n_files > 1 if metadata is None else metadata
 
-    lines = line_documents(scan(spark, values, lineSep="\n").where(_is(LINE_SUFFIXES)), skip_blank=True)
+    by_lines = scan(spark, values, lineSep="\n")
+    lines = line_documents(by_lines.where(_is(LINE_SUFFIXES)), skip_blank=True)
 
     whole = _whole_files(spark, values)  # listed once, used for both groups of whole files
     structured = _named(whole.where(_is(WHOLE_SUFFIXES)))
@@ -174,7 +176,7 @@ def read_file_documents(
         .otherwise(_yaml_file(F.col("fields"), field))
     )
     others = _named(whole.where(~_is(LINE_SUFFIXES + TOON_SUFFIXES + WHOLE_SUFFIXES)))
-    toon = toon_envelope(spark, scan(spark, values, lineSep="\n").where(_is(TOON_SUFFIXES)))
+    toon = toon_envelope(spark, by_lines.where(_is(TOON_SUFFIXES)))
     parts = [lines, toon, _rows(structured, result), _rows(others, _text_file(text, field))]
     return _with_metadata(concat_documents(*parts), metadata)
 

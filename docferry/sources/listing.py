@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docferry.functions.paths import extension, file_name, glob_regex, has_glob, is_gzip, local_path, plain_path
+from docferry.session import listing_by_few_tasks
 
 FILE_PATH = "_metadata.file_path"
 #: Globs that one regular expression takes in.
@@ -49,6 +50,16 @@ def scan_root(value: str) -> str:
     return _escape(value).replace("[!", "[^")
 
 
+def scan_roots(values: list[str]) -> list[str]:
+    """Where to list for the inputs; a ``**`` input's folder takes in the folders of others below it,
+    so each folder is listed once."""
+    wide = sorted({scan_root(v) for v in values if "**" in v})
+    wide = [w for w in wide if w not in ("/", ".")]
+    roots = list(dict.fromkeys(scan_root(v) for v in values))
+    # A root that is a glob itself keeps its own listing.
+    return [r for r in roots if has_glob(r) or not any(r != w and r.startswith(f"{w}/") for w in wide)]
+
+
 def _has_scheme(value: str) -> bool:
     return "://" in value
 
@@ -94,7 +105,8 @@ def scan(spark: SparkSession, values: list[str], **text_options) -> DataFrame:
     applies it to the file listing and never opens the other files. Recursive lookup makes
     overlapping inputs count once.
     """
-    text = spark.read.text([scan_root(v) for v in values], recursiveFileLookup=True, **text_options)
+    with listing_by_few_tasks(spark):
+        text = spark.read.text(scan_roots(values), recursiveFileLookup=True, **text_options)
     return text.where(named_by(plain_path(F.col(FILE_PATH)), values))
 
 
@@ -105,7 +117,8 @@ def list_files(spark: SparkSession, values: list[str]) -> DataFrame:
     """
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     try:
-        files = reader.load([scan_root(v) for v in values])
+        with listing_by_few_tasks(spark):
+            files = reader.load([scan_root(v) for v in values])
     except AnalysisException as err:
         raise InputError(f"input does not exist or matches no file: {', '.join(values)}") from err
     return (
