@@ -28,8 +28,8 @@ from docferry.functions.markup import (
     toon_width,
 )
 from docferry.functions.paths import plain_path
-from docferry.session import stage
-from docferry.sources.blocks import block_runs, byte_lines, join_pieces
+from docferry.session import listing_by_few_tasks, stage
+from docferry.sources.blocks import block_runs, byte_lines, gathered, join_pieces
 from docferry.sources.envelope import envelope
 from docferry.sources.listing import literal_path, scan
 
@@ -42,12 +42,15 @@ def _none() -> Column:
 
 
 def _cut_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Documents of each block, by the lines between separators; pieces at a block's borders."""
+    """Documents of each block, by the lines between separators; pieces at a block's borders.
+
+    A place is counted in lines of the block.
+    """
     names = ["path", "block_start", "pos", "record", "opens", "ends"]
     types = [pa.string(), pa.int64(), pa.int64(), pa.binary(), pa.bool_(), pa.bool_()]
     block: tuple[str, int] | None = None
     held: list[bytes] = []
-    opens, place = True, 0
+    opens, place, first = True, 0, 0
 
     def rows(found: list[tuple]) -> pa.RecordBatch:
         columns = [list(c) for c in zip(*found, strict=True)] if found else [[]] * 6
@@ -61,11 +64,11 @@ def _cut_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                 if block is not None:
                     out.append((*block, place, b"\n".join(held), opens, False))
                 # A block goes on with the document before it, unless the file begins here.
-                block, held, opens, place = (path, start), [], start == 0, positions[lo].as_py()
+                block, held, opens, place, first = (path, start), [], start == 0, 0, positions[lo].as_py()
             values, done = lines.slice(lo, hi - lo).to_pylist(), 0
             for i in np.flatnonzero(separators.slice(lo, hi - lo).to_numpy(zero_copy_only=False)).tolist():
                 out.append((*block, place, b"\n".join(held + values[done:i]), opens, True))
-                held, opens, place, done = [], True, positions[lo + i].as_py(), i + 1
+                held, opens, place, done = [], True, positions[lo + i].as_py() - first, i + 1
             held += values[done:]
         if out:
             yield rows(out)
@@ -93,18 +96,18 @@ def toon_results(chunks: DataFrame) -> DataFrame:
     not_text = F.array(F.struct(_none().alias("doc"), F.lit(NOT_TEXT).alias("error")))
     results = F.when(~F.is_valid_utf8("chunk"), not_text).when(decoded["error"].isNotNull(), bad).otherwise(good)
     rows = chunks.select("path", "block_start", "pos", F.posexplode(results).alias("at", "_r"))
-    # A document's rows follow each other behind its own place.
-    return envelope(rows.withColumn("pos", F.col("pos") * (1 << 20) + F.col("at")), F.col("_r.doc"), F.col("_r.error"))
+    # A document's rows follow each other behind its own place; of either there are fewer than 2^31.
+    return envelope(rows.withColumn("pos", F.col("pos") * (1 << 31) + F.col("at")), F.col("_r.doc"), F.col("_r.error"))
 
 
 def _lines(text: DataFrame) -> DataFrame:
-    return text.select(
+    return gathered(text.select(
         plain_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("pos"),
         "value",
         F.regexp_replace("value", "\r$", "").alias("line"),
-    )
+    ))
 
 
 def toon_files(text: DataFrame) -> DataFrame:
@@ -137,17 +140,24 @@ def toon_files(text: DataFrame) -> DataFrame:
 def toon_envelope(spark: SparkSession, text: DataFrame) -> DataFrame:
     """Envelope rows of all files of a text scan by lines."""
     files = stage(toon_files(text), "toon-files")
-    # Spark's own listing holds one entry for each file on the driver; so do these lists.
-    several = [literal_path(r.path) for r in files.where("header is null").select("path").collect()]
-    tables = [literal_path(r.path) for r in files.where("header is not null and error is null").select("path").collect()]
+    is_table = "header is not null and error is null"
+    n = files.agg(F.count("*").alias("all"), F.count_if(F.col("header").isNull()).alias("several"), F.count_if(F.expr(is_table)).alias("tables")).first()
+
+    def lines_of(which: str) -> DataFrame:
+        # Spark's own listing holds one entry for each file on the driver; so does this list.
+        paths = [literal_path(r.path) for r in files.where(which).select("path").collect()]
+        with listing_by_few_tasks(spark):
+            return spark.read.text(paths, lineSep="\n")
+
     place = F.lit(0).cast("long")
     refused = files.where("header is not null and error is not null").select("path", "error", place.alias("block_start"), place.alias("pos"))
     parts = [envelope(refused, _none(), F.col("error"))]
-    if several:
-        parts.append(toon_results(toon_chunks(spark.read.text(several, lineSep="\n"))))
-    if tables:
-        rows = _lines(spark.read.text(tables, lineSep="\n")).where(is_toon_row(F.col("line")))
-        headers = files.where("header is not null").select("path", "header")
+    if n["several"]:
+        parts.append(toon_results(toon_chunks(text if n["several"] == n["all"] else lines_of("header is null"))))
+    if n["tables"]:
+        # Where most files are tables the others are read too, and fall out in the join: no file is listed again.
+        rows = _lines(text if 2 * n["tables"] > n["all"] else lines_of(is_table)).where(is_toon_row(F.col("line")))
+        headers = files.where(is_table).select("path", "header")
         doc = toon_row(toon_header(F.col("header")), F.col("line"))
         parts.append(envelope(rows.join(headers, "path").withColumn("doc", doc), F.col("doc"), _none()))
     result = parts[0]
