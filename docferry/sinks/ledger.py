@@ -134,8 +134,8 @@ class Ledger:
             return read.where("line is not null").select("line", F.col("_metadata.file_name").alias("parcel"))
 
         if _can_open(self.replies):
-            # The folder is there even if no parcel has a line to send.
-            own.createDataFrame([], schema).write.mode("append").parquet(self.replies)
+            # The folder is there even if no parcel has a line to send. (Made by ``own``, it would leave that session active.)
+            spark.createDataFrame([], schema).write.mode("append").parquet(self.replies)
             if some:
                 lines(some).coalesce(size).mapInArrow(_send_parcels(sender, self.replies), "n long").agg(F.sum("n")).first()
         else:

@@ -6,6 +6,7 @@ from contextlib import contextmanager
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from recorder import Recorder
 from test_sinks import docs_of
@@ -100,6 +101,7 @@ def test_parcels_need_no_job_each(spark, tmp_path):
     assert replies.groupBy("parcel").agg(F.count("*").alias("n"), F.max("seq").alias("last")).where("n <> last + 1").isEmpty()
     assert replies.select("task").distinct().count() == 2
     assert len(jobs) < 20  # 30 rounds of two parcels
+    assert SparkSession.getActiveSession()._jsparkSession.equals(spark._jsparkSession)
 
 
 def test_a_task_that_runs_again_sends_open_parcels_only(tmp_path):
