@@ -19,7 +19,7 @@ from docferry import session
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 WORD = r"[^\x20\x09-\x0D]+"
 
-__all__ = ["UPPER", "WORD", "lower_ascii", "stage", "table", "worker_store", "n_tasks", "crc_class", "recorded", "row_slices"]
+__all__ = ["UPPER", "WORD", "lower_ascii", "stage", "table", "worker_store", "n_tasks", "crc_class", "recorded", "row_slices", "arrow_rows"]
 
 
 #: Lists that are told of every table staged, while ``recorded`` is open.
@@ -44,6 +44,21 @@ def recorded(paths: list[str]) -> Iterator[None]:
         _RECORDS.remove(paths)
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """While open, what runs hands texts to Python in Arrow batches of at most so many rows.
+
+    An executor holds a batch for each of its tasks outside its heap, twice while a buffer grows.
+    """
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

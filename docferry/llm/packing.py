@@ -18,11 +18,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from docferry.llm.common import stage, worker_store
+from docferry.llm.common import arrow_rows, stage, worker_store
 
 WINDOW, END_ID = 2048, 1
 #: Words whose ids a worker remembers; when full it starts anew, which changes no result.
 REMEMBERED = 500_000
+#: Texts handed to Python at a time, and encoded at a time.
+ROWS = 500
 
 
 class WordIds(dict):
@@ -83,8 +85,8 @@ def _tokenise(vocabulary: str, end_id: int):
         words = worker_store(f"words:{vocabulary}", lambda: WordIds(vocabulary))
         part, start, end = TaskContext.get().partitionId(), 0, np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for lo in range(0, batch.num_rows, 500):
-                piece = batch.slice(lo, 500)
+            for lo in range(0, batch.num_rows, ROWS):
+                piece = batch.slice(lo, ROWS)
                 ids = [words.encode(t or "") + end for t in piece.column(1).to_pylist()]
                 n = np.array([len(x) // 4 for x in ids], np.int64)
                 starts = start + np.cumsum(n) - n
@@ -136,7 +138,8 @@ def pack(
     """
     kind = docs.select(F.col(f"`{id_col}`")).schema[0].dataType.simpleString()
     rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
-    tokens = stage(rows.mapInArrow(_tokenise(vocabulary, end_id), f"id {kind}, part int, place long, n long, ids binary"), "pack-tokens")
+    with arrow_rows(docs.sparkSession, ROWS):
+        tokens = stage(rows.mapInArrow(_tokenise(vocabulary, end_id), f"id {kind}, part int, place long, n long, ids binary"), "pack-tokens")
     totals = tokens.groupBy("part").agg(F.sum("n").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     # One row of 12 bytes per task of the first pass, so small enough to send to all.

@@ -156,3 +156,26 @@ def test_small_splits_are_read_by_few_tasks(spark, tmp_path):
     assert len({r.block_start for r in rows}) > 100
     counts = [n for j in jobs for n in j]
     assert sum(counts) < 200  # each of three passes would be 139 tasks
+
+
+def test_packing_takes_few_texts_at_a_time(spark, monkeypatch):
+    from docferry.llm import packing
+
+    def counted(vocabulary, end_id):
+        def run(batches):
+            for batch in batches:
+                n = batch.num_rows
+                yield pa.RecordBatch.from_pydict(
+                    {"id": batch.column(0), "part": pa.array([0] * n, pa.int32()), "place": list(range(n)), "n": [n] * n, "ids": [b"1234"] * n}
+                )
+
+        return run
+
+    monkeypatch.setattr(packing, "_tokenise", counted)
+    docs = spark.range(3000).coalesce(1).select(F.col("id").alias("doc_id"), F.lit("a b").alias("text"))
+    staged, stage = [], packing.stage
+    monkeypatch.setattr(packing, "stage", lambda df, label: staged.append(stage(df, label)) or staged[-1])
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    packing.pack(docs, "none")
+    assert staged[0].count() == 3000 and staged[0].agg(F.max("n")).first()[0] <= 500
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
